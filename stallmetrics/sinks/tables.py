@@ -1,0 +1,147 @@
+"""Sinks: declared tables, appends, clustered rewrites, versioned snapshots, exports."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from stallmetrics import schemas
+from stallmetrics.schemas import PARTITION_COLUMN
+from stallmetrics.sources import paths
+
+
+def create_tables(spark: SparkSession, database: str, location: str | None = None) -> list[str]:
+    """Declare the mart's tables with nullability and day partitioning, if absent."""
+    plan = {
+        "products": (schemas.PRODUCTS, None),
+        "price_history": (schemas.PRICE_HISTORY, "date"),
+        "benchmarks": (schemas.BENCHMARKS, "date"),
+        "fetch_watermark": (schemas.FETCH_WATERMARK, None),
+        "order_items": (schemas.ORDER_ITEMS, PARTITION_COLUMN),
+    }
+    at = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{at}")
+    for name, (schema, partition) in plan.items():
+        columns = ", ".join(
+            f"`{f.name}` {f.dataType.simpleString()}{'' if f.nullable else ' NOT NULL'}" for f in schema.fields
+        )
+        by = f" PARTITIONED BY (`{partition}`)" if partition else ""
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{name} ({columns}) USING parquet{by}")
+    return [f"{database}.{name}" for name in plan]
+
+
+def balanced(df: DataFrame, *columns: str) -> DataFrame:
+    """Gather rows of the same partition value for writing. AQE splits a value that holds
+    much of the data over several tasks and merges small ones, so no day is one task."""
+    return df.hint("rebalance", *columns)
+
+
+def append_rows(df: DataFrame, path: str, partition: str | None = PARTITION_COLUMN) -> None:
+    if partition is None:
+        df.write.mode("append").parquet(path)
+    else:
+        balanced(df, partition).write.mode("append").partitionBy(partition).parquet(path)
+
+
+def write_clustered(df: DataFrame, path: str, partition: str = PARTITION_COLUMN, cluster: str = "order_id",
+                    mode: str = "errorifexists") -> None:
+    """Partitioned by day and sorted by the cluster column, so that Parquet min/max
+    statistics skip row groups on that column."""
+    ordered = balanced(df, partition).sortWithinPartitions(partition, cluster)
+    ordered.write.mode(mode).partitionBy(partition).parquet(path)
+
+
+def insert_from(src: DataFrame, path: str, partition: str = PARTITION_COLUMN) -> None:
+    """INSERT INTO ... SELECT."""
+    append_rows(src, path, partition)
+
+
+def snapshot_versions(spark: SparkSession, path: str) -> list[int]:
+    """Complete versions of a snapshot store, oldest first."""
+    found = [d for d in paths.child_dirs(spark, path) if d.startswith("snapshot_id=")]
+    return sorted(int(d.split("=", 1)[1]) for d in found if paths.exists(spark, f"{path}/{d}/_SUCCESS"))
+
+
+def save_snapshot(df: DataFrame, path: str, version: int | None = None) -> int:
+    """Publish the newest state as a new version; readers of older ones are not disturbed.
+
+    Writing a version twice replaces it, which makes a replayed micro-batch harmless.
+    """
+    if version is None:
+        known = snapshot_versions(df.sparkSession, path)
+        version = known[-1] + 1 if known else 0
+    df.write.mode("overwrite").parquet(f"{path}/snapshot_id={version}")
+    return version
+
+
+def load_snapshot(spark: SparkSession, path: str, schema, before: int | None = None) -> DataFrame:
+    """Newest complete version (older than ``before`` if given), empty on the first run."""
+    known = [v for v in snapshot_versions(spark, path) if before is None or v < before]
+    if not known:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(f"{path}/snapshot_id={known[-1]}")
+
+
+def append_price_history(snapshot: DataFrame, path: str, run_date) -> None:
+    """Observations of one run, filed under the load date."""
+    rows = snapshot.select(
+        "product_id", "site_id", F.col("price").cast("double").alias("price"), "timestamp",
+        F.lit(run_date).cast("date").alias("date"),
+    )
+    append_rows(rows, path, "date")
+
+
+def append_benchmarks(by_site: DataFrame, path: str, run_ts: Column) -> None:
+    """Per-site statistics of one run, filed under its day."""
+    rows = by_site.select(
+        F.to_date(run_ts).alias("date"), run_ts.alias("timestamp"), "site_id", "site_name",
+        "product_count", "avg_price", "min_price", "max_price",
+    )
+    append_rows(rows, path, "date")
+
+
+# Header of the catalog export.
+CATALOG_HEADER = ["Timestamp", "Category", "Product ID", "Product name", "Price", "Product Link"]
+# End of fixed values.
+
+
+def export_catalog(products: DataFrame, path: str, loaded_at: Column | None = None) -> None:
+    """Whole catalog with header and load time; replaces the last export."""
+    stamp = F.current_timestamp() if loaded_at is None else loaded_at
+    columns = [stamp, F.col("category"), F.col("product_id"), F.col("product_name"), F.col("price"), F.col("url")]
+    out = products.select(*[c.alias(name) for c, name in zip(columns, CATALOG_HEADER)])
+    out.write.mode("overwrite").option("header", True).csv(path)
+
+
+def append_change_log(changes: DataFrame, path: str, logged_at: Column | None = None, fmt: str = "parquet") -> None:
+    """One log row per price change."""
+    stamp = F.current_timestamp() if logged_at is None else logged_at
+    rows = changes.select(stamp.alias("logged_at"), "product_id", "product_name", "old_price", "new_price",
+                          "price_diff", "url")
+    rows.write.mode("append").format(fmt).save(path)
+
+
+def export_orders(orders: DataFrame, path: str) -> None:
+    """Order list as CSV with a header; timestamps lose their zone."""
+    plain = orders.select(*[
+        F.col(name).cast("timestamp_ntz").alias(name) if kind == "timestamp" else F.col(name)
+        for name, kind in orders.dtypes
+    ])
+    plain.write.mode("overwrite").option("header", True).csv(path)
+
+
+def table_profile(spark: SparkSession, name_or_path: str) -> DataFrame:
+    """One row: number of rows, column names, partition and clustering columns."""
+    is_path = "/" in name_or_path
+    df = spark.read.parquet(name_or_path) if is_path else spark.table(name_or_path)
+    if is_path:
+        partition = sorted({d.split("=", 1)[0] for d in paths.child_dirs(spark, name_or_path) if "=" in d})
+        cluster: list[str] = []
+    else:
+        info = spark.catalog.listColumns(name_or_path)
+        partition = [c.name for c in info if c.isPartition]
+        cluster = [c.name for c in info if c.isBucket]
+    return df.agg(F.count("*").alias("row_count")).select(
+        F.lit(name_or_path).alias("table"), "row_count", F.lit(",".join(df.columns)).alias("columns"),
+        F.lit(",".join(partition)).alias("partition_columns"), F.lit(",".join(cluster)).alias("cluster_columns"),
+    )
