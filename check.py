@@ -46,6 +46,13 @@ def compare(spark, con, sf_dir, name):
     want = rows_of([d[0] for d in rel.description], rel.fetchall())
     if got[0] != want[0]:
         return f"COLUMNS {got[0]} != {want[0]}", False, took
+    kinds = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
+             "timestamp": "TIMESTAMP", "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
+    ours = {c: kinds.get(t, t) for c, t in df.dtypes}
+    theirs = {d[0]: str(d[1]) for d in rel.description}
+    if ours != theirs:
+        wrong = {c: (ours[c], theirs[c]) for c in ours if ours[c] != theirs[c]}
+        return f"TYPES {wrong}", False, took
     if got[1] != want[1]:
         extra = [r for r in got[1] if r not in set(want[1])][:2]
         lost = [r for r in want[1] if r not in set(got[1])][:2]

@@ -57,3 +57,9 @@ def exact_sum(col: Column) -> Column:
 def ratio(num: Column, den: Column) -> Column:
     """num / den as double, null when den is 0 or null."""
     return F.try_divide(num.cast("double"), den.cast("double"))
+
+
+def exact_mean(total: Column, n: Column) -> Column:
+    """Mean to two decimals, rounded half up on the exact quotient; null when n is 0."""
+    quotient = F.try_divide(total.cast("decimal(28,4)"), n.cast("decimal(12,0)"))
+    return F.round(quotient, 2).cast("double")

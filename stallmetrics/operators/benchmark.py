@@ -7,12 +7,12 @@ aggregated once, map side first, and every report below works on the cube.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from stallmetrics.functions.filters import one_of, trailing_days
-from stallmetrics.functions.money import ratio
+from stallmetrics.functions.money import exact_mean, ratio
 from stallmetrics.operators.sales import share_of_total
 
 MONEY = "decimal(28,4)"
@@ -29,16 +29,12 @@ def price_cube(products: DataFrame) -> DataFrame:
     )
 
 
-def _mean(total: Column, n: Column) -> Column:
-    return F.round(ratio(total, n), 2)
-
-
 def bench_by_site(products: DataFrame, cube: DataFrame | None = None) -> DataFrame:
     """Count of all products; mean, minimum and maximum of the positive prices. Sites
     without a positive price are left out."""
     cube = price_cube(products) if cube is None else cube
     sites = cube.groupBy("site_id", "site_name").agg(
-        F.sum("n").alias("product_count"), _mean(F.sum("pos_total"), F.sum("pos_n")).alias("avg_price"),
+        F.sum("n").alias("product_count"), exact_mean(F.sum("pos_total"), F.sum("pos_n")).alias("avg_price"),
         F.min("lo").cast("double").alias("min_price"), F.max("hi").cast("double").alias("max_price"),
     )
     return sites.filter(F.col("min_price").isNotNull())
@@ -53,13 +49,13 @@ def kept_cube(products: DataFrame) -> DataFrame:
 def bench_by_category(products: DataFrame) -> DataFrame:
     """Count and mean per category over every product of a kept site."""
     return kept_cube(products).groupBy("category").agg(
-        F.sum("n").alias("product_count"), _mean(F.sum("total"), F.sum("n")).alias("avg_price"))
+        F.sum("n").alias("product_count"), exact_mean(F.sum("total"), F.sum("n")).alias("avg_price"))
 
 
 def bench_by_category_site(products: DataFrame) -> DataFrame:
     """Count and mean per category and site."""
     return kept_cube(products).groupBy("category", "site_id", "site_name").agg(
-        F.sum("n").alias("product_count"), _mean(F.sum("total"), F.sum("n")).alias("avg_price"))
+        F.sum("n").alias("product_count"), exact_mean(F.sum("total"), F.sum("n")).alias("avg_price"))
 
 
 def bench_category_levels(products: DataFrame) -> DataFrame:
@@ -68,7 +64,7 @@ def bench_category_levels(products: DataFrame) -> DataFrame:
     cube = kept_cube(products)
     return cube.groupingSets([["category"], ["category", "site_id"]], "category", "site_id").agg(
         F.grouping("site_id").cast("int").alias("is_total"),
-        F.sum("n").alias("product_count"), _mean(F.sum("total"), F.sum("n")).alias("avg_price"))
+        F.sum("n").alias("product_count"), exact_mean(F.sum("total"), F.sum("n")).alias("avg_price"))
 
 
 def categories_by_price(products: DataFrame) -> DataFrame:
@@ -109,7 +105,7 @@ def mean_of_site_means(products: DataFrame) -> DataFrame:
     """Unweighted mean of the sites' means, 0 without any."""
     sites = bench_by_site(products)
     total = F.sum(F.col("avg_price").cast(MONEY))
-    return sites.agg(F.coalesce(F.round(ratio(total, F.count("*")), 2), F.lit(0.0)).alias("overall_avg_price"))
+    return sites.agg(F.coalesce(exact_mean(total, F.count("*")), F.lit(0.0)).alias("overall_avg_price"))
 
 
 def category_counts(products: DataFrame) -> DataFrame:

@@ -1,4 +1,4 @@
-from stallmetrics.plans import order_audits, order_reports  # noqa: F401  (registers the queries)
+from stallmetrics.plans import order_audits, order_reports, price_reports  # noqa: F401  (registers the queries)
 from stallmetrics.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
