@@ -3,12 +3,22 @@
 from __future__ import annotations
 
 import re
+from functools import lru_cache
 from html.parser import HTMLParser
 
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 RAW = {"script", "style"}
 PART = re.compile(r"#(?P<id>[\w-]+)|\.(?P<cls>[\w-]+)|\[(?P<attr>[\w-]+)(?:(?P<op>[*^$]?=)\"?(?P<val>[^\"\]]*)\"?)?\]|(?P<tag>[\w-]+|\*)")
 
+TESTS = {
+    "has": lambda have, value: True,
+    "=": lambda have, value: have == value,
+    "~=": lambda have, value: value in have.split(),
+    "*=": lambda have, value: value in have,
+    "^=": lambda have, value: have.startswith(value),
+    "$=": lambda have, value: have.endswith(value),
+}
+
 
 class Element:
     __slots__ = ("tag", "attrs", "children")
@@ -72,30 +82,46 @@ def text_of(node: Element | None) -> str:
     return "".join(out).strip()
 
 
-def _matches(node: Element, simple: str) -> bool:
-    for m in PART.finditer(simple):
-        if m["tag"]:
-            ok = m["tag"] in ("*", node.tag)
-        elif m["id"]:
-            ok = node.attrs.get("id") == m["id"]
-        elif m["cls"]:
-            ok = m["cls"] in node.attrs.get("class", "").split()
-        else:
-            have = node.attrs.get(m["attr"])
-            test = {None: lambda: True, "=": lambda: have == m["val"], "*=": lambda: m["val"] in have,
-                    "^=": lambda: have.startswith(m["val"]), "$=": lambda: have.endswith(m["val"])}
-            ok = have is not None and test[m["op"]]()
-        if not ok:
+@lru_cache(maxsize=4096)
+def _compiled(selector: str) -> tuple:
+    """Nested parts of a selector, each as its list of (attribute, operator, value) tests."""
+    parts = []
+    for simple in selector.split():
+        tests = []
+        for m in PART.finditer(simple):
+            if m["tag"]:
+                tests.append((None, "tag", m["tag"]))
+            elif m["id"]:
+                tests.append(("id", "=", m["id"]))
+            elif m["cls"]:
+                tests.append(("class", "~=", m["cls"]))
+            else:
+                tests.append((m["attr"], m["op"] or "has", m["val"] or ""))
+        parts.append(tuple(tests))
+    return tuple(parts)
+
+
+def _matches(node: Element, tests: tuple) -> bool:
+    for attr, op, value in tests:
+        if op == "tag":
+            if value != "*" and node.tag != value:
+                return False
+            continue
+        have = node.attrs.get(attr)
+        if have is None or not TESTS[op](have, value):
             return False
     return True
 
 
 def _select(node: Element, selector: str):
     """Elements below ``node`` for one selector; parts split by spaces are nested."""
-    *outer, last = selector.split()
+    *outer, last = _compiled(selector)
     scopes = [node]
     for part in outer:
         scopes = [n for s in scopes for n in s.walk() if _matches(n, part)]
+    if not outer:
+        yield from (n for n in node.walk() if _matches(n, last))
+        return
     seen: set[int] = set()
     for scope in scopes:
         for n in scope.walk():

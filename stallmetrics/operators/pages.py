@@ -61,16 +61,19 @@ def _cards(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def extract_products(pages: DataFrame, sites: DataFrame, price_rule: str = "last",
-                     scraped_at: Column | None = None) -> DataFrame:
+                     scraped_at: Column | None = None, tasks: int | None = None) -> DataFrame:
     """Product rows of the cards on each page.
 
     Box, name and price selectors are lists; the first one that matches is used. Cards
-    without a name or a positive price are dropped.
+    without a name or a positive price are dropped. Parsing costs far more than its bytes
+    suggest: ``tasks`` spreads pages that come out of a shuffle, which AQE would otherwise
+    merge by size. Pages read from files are split already.
     """
     matched = match_sites(pages, sites)
     narrow = matched.select("page_id", "site_id", "html", "selectors.product_box", "selectors.product_name",
                             "selectors.product_price")
-    cards = narrow.mapInPandas(_cards, CARD_SCHEMA)
+    spread = narrow.repartition(tasks) if tasks else narrow
+    cards = spread.mapInPandas(_cards, CARD_SCHEMA)
     known = sites.select(F.col("id").alias("site_id"), F.col("name").alias("site_name"),
                          F.col("url").alias("site_url"))
     joined = cards.join(known, "site_id")

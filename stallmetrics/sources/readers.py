@@ -110,11 +110,16 @@ def flatten_benchmark(reports: DataFrame) -> DataFrame:
                        number("avg_price"), number("min_price"), number("max_price"))
 
 
+def enabled_sites(config: DataFrame, only_enabled: bool = True) -> DataFrame:
+    """One row per configured site."""
+    sites = config.select(F.inline("sites"))
+    return sites.filter("enabled") if only_enabled else sites
+
+
 def read_sites(spark: SparkSession, path: str, only_enabled: bool = True) -> DataFrame:
     """Site dimension with its selectors and paging."""
     config = spark.read.schema(schemas.SITES_CONFIG).option("multiLine", True).json(path)
-    sites = config.select(F.inline("sites"))
-    return sites.filter("enabled") if only_enabled else sites
+    return enabled_sites(config, only_enabled)
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
