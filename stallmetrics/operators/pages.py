@@ -33,7 +33,8 @@ CARD_SCHEMA = "page_id long, site_id string, card_no int, name string, price_tex
 def extract_json_ld(pages: DataFrame) -> DataFrame:
     """Structured-data blocks of each page, in order; text that is no JSON is dropped."""
     blocks = F.regexp_extract_all("html", F.lit(LD_JSON), F.lit(1))
-    found = pages.select("page_id", "url", F.posexplode(blocks).alias("block_no", "raw"))
+    # The outer form: a plain explode would repeat the extraction in a pushed-down filter.
+    found = pages.select("page_id", "url", F.posexplode_outer(blocks).alias("block_no", "raw"))
     trimmed = found.withColumn("json", F.regexp_replace("raw", r"^\s+|\s+$", ""))
     return trimmed.filter(F.try_parse_json("json").isNotNull()).select("page_id", "url", "block_no", "json")
 
@@ -98,9 +99,10 @@ def discover_categories(pages: DataFrame, keywords: list[str] = DISCOVERY_KEYWOR
     """
     base = url_base(F.col("url"))
     strip = lambda html: F.regexp_replace(F.regexp_replace(html, r"(?s)<[^>]*>", ""), r"^\s+|\s+$", "")
-    links = F.arrays_zip(
-        F.regexp_extract_all("html", F.lit(ANCHOR), F.lit(1)).alias("href"),
-        F.regexp_extract_all("html", F.lit(ANCHOR), F.lit(2)).alias("inner"))
+    # One pass over the page finds the anchors; their parts are read from the short texts.
+    anchors = F.regexp_extract_all("html", F.lit(ANCHOR), F.lit(0))
+    links = F.transform(anchors, lambda a: F.struct(
+        F.regexp_extract(a, ANCHOR, 1).alias("href"), F.regexp_extract(a, ANCHOR, 2).alias("inner")))
     own = lambda a: a["href"].startswith("/") | a["href"].startswith(F.col("base"))
     named = F.transform(F.filter("links", own), lambda a: F.struct(
         strip(a["inner"]).alias("name"), absolute_url(a["href"], F.col("base")).alias("link")))
@@ -116,6 +118,7 @@ def discover_categories(pages: DataFrame, keywords: list[str] = DISCOVERY_KEYWOR
             F.filter("cats", lambda c: F.lower(c["name"]).contains(p)), F.lit(1))),
         lambda c: c.isNotNull())
     chosen = rows.select("page_id", F.when(F.size(best) > 0, best).otherwise(F.col("cats")).alias("picked"))
-    out = chosen.select("page_id", F.posexplode("picked").alias("rank", "c")).select(
-        "page_id", "rank", F.col("c.name").alias("category"), F.col("c.link").alias("url"))
+    # The outer form: a plain explode would repeat all of the above in a pushed-down filter.
+    rows = chosen.select("page_id", F.posexplode_outer("picked").alias("rank", "c")).filter(F.col("c").isNotNull())
+    out = rows.select("page_id", "rank", F.col("c.name").alias("category"), F.col("c.link").alias("url"))
     return out.filter(F.col("category") == only) if only else out

@@ -67,8 +67,9 @@ def read_flat_snapshot(spark: SparkSession, path: str, wholetext: bool = True) -
 
 def flatten_flat_snapshot(texts: DataFrame, site_id: str = "", site_name: str = "") -> DataFrame:
     """One-level map of products, one row per product of the single site."""
-    entries = texts.select(F.explode(F.from_json("value", schemas.FLAT_SNAPSHOT_MAP)).alias("product_id", "p"))
-    return entries.select(
+    # The outer form parses each text once; a plain explode parses it again in a filter.
+    entries = texts.select(F.explode_outer(F.from_json("value", schemas.FLAT_SNAPSHOT_MAP)).alias("product_id", "p"))
+    return entries.filter(F.col("product_id").isNotNull()).select(
         F.lit(site_id).alias("site_id"), F.lit(site_name).alias("site_name"), "product_id",
         F.col("p.name").alias("product_name"), F.col("p.price").alias("price"), F.col("p.url").alias("url"),
         F.lit(None).cast("string").alias("category"), F.col("p.timestamp").alias("timestamp"),
