@@ -16,6 +16,7 @@ from stallmetrics.functions.web import absolute_url, product_id_from_url, url_ba
 
 LD_JSON = r"(?is)<script[^>]*type\s*=\s*[\"']application/ld\+json[\"'][^>]*>(.*?)</script>"
 ANCHOR = r"(?is)<a\b[^>]*?\bhref\s*=\s*[\"']([^\"']*)[\"'][^>]*>(.*?)</a>"
+ENTITIES = [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")]
 # Words and priority of home-page categories.
 DISCOVERY_KEYWORDS = [
     "çok satanlar", "yenilebilir", "kişiye özel", "premium", "gürme", "gürme lezzet",
@@ -89,6 +90,14 @@ def extract_products(pages: DataFrame, sites: DataFrame, price_rule: str = "last
     return rows.withColumn("category", detect_category(F.col("product_name")))
 
 
+def _plain(html: Column) -> Column:
+    """Text of a short piece of markup: tags dropped, the common entities decoded."""
+    text = F.regexp_replace(html, r"(?s)<[^>]*>", "")
+    for entity, char in ENTITIES:
+        text = F.replace(text, F.lit(entity), F.lit(char))
+    return text
+
+
 def discover_categories(pages: DataFrame, keywords: list[str] = DISCOVERY_KEYWORDS,
                         priority: list[str] = DISCOVERY_PRIORITY, only: str | None = None) -> DataFrame:
     """Category links of each page: anchors naming a keyword, first per URL, then the first
@@ -98,7 +107,7 @@ def discover_categories(pages: DataFrame, keywords: list[str] = DISCOVERY_KEYWOR
     result to one category.
     """
     base = url_base(F.col("url"))
-    strip = lambda html: F.regexp_replace(F.regexp_replace(html, r"(?s)<[^>]*>", ""), r"^\s+|\s+$", "")
+    strip = lambda html: F.regexp_replace(_plain(html), r"^\s+|\s+$", "")
     # One pass over the page finds the anchors; their parts are read from the short texts.
     anchors = F.regexp_extract_all("html", F.lit(ANCHOR), F.lit(0))
     links = F.transform(anchors, lambda a: F.struct(

@@ -445,13 +445,13 @@ def _(spark, sf):
 
 
 @query("st03_progress_mark", with_orders(
-    "SELECT DATE '2000-04-23' AS fetch_date, TIMESTAMP '2000-04-23 09:00:00' AS last_fetch_timestamp, count(*) AS rows_of_day "
-    f"FROM order_items WHERE {DAY} = DATE '2000-04-23'"))
+    "SELECT DATE '1997-03-18' AS fetch_date, TIMESTAMP '1997-03-18 09:00:00' AS last_fetch_timestamp, count(*) AS rows_of_day "
+    f"FROM order_items WHERE {DAY} = DATE '1997-03-18'"))
 def _(spark, sf):
     base = new_workdir(spark, "marks")
-    day = order_items(spark, sf).filter(filters.on_day("2000-04-23"))
-    for stamp, rows in (("2000-04-23 08:00:00", day.filter("delivery_status = 'O'")), ("2000-04-23 09:00:00", day)):
-        ingest.run_fetch(spark, rows, f"{base}/order_items", f"{base}/marks", "2000-04-23", "incremental", stamp)
+    day = order_items(spark, sf).filter(filters.on_day("1997-03-18"))
+    for stamp, rows in (("1997-03-18 08:00:00", day.filter("delivery_status = 'O'")), ("1997-03-18 09:00:00", day)):
+        ingest.run_fetch(spark, rows, f"{base}/order_items", f"{base}/marks", "1997-03-18", "incremental", stamp)
     marks = tables.load_snapshot(spark, f"{base}/marks", schemas.FETCH_WATERMARK).drop("updated_at")
     seen = readers.read_order_items(spark, f"{base}/order_items").groupBy(F.col(DAY).alias("fetch_date")).agg(
         F.count("*").alias("rows_of_day"))
@@ -459,12 +459,12 @@ def _(spark, sf):
 
 
 @query("j07_upsert_watermark", with_orders(f"""
-SELECT {DAY} AS fetch_date, CASE WHEN {DAY} = DATE '2000-04-23' THEN TIMESTAMP '2002-01-01 00:00:00'
+SELECT {DAY} AS fetch_date, CASE WHEN {DAY} = DATE '1997-03-18' THEN TIMESTAMP '2002-01-01 00:00:00'
        ELSE max(order_creation_timestamp) END AS last_fetch_timestamp FROM order_items GROUP BY 1
 UNION ALL SELECT DATE '2002-01-01', TIMESTAMP '2002-01-02 00:00:00'"""))
 def _(spark, sf):
     marks = order_items(spark, sf, DAY, "order_creation_timestamp").groupBy(F.col(DAY).alias("fetch_date")).agg(
         F.max("order_creation_timestamp").cast("timestamp").alias("last_fetch_timestamp"))
     marks = marks.withColumn("updated_at", F.col("last_fetch_timestamp"))
-    known = ingest.upsert_watermark(marks, "2000-04-23", "2002-01-01 00:00:00")
+    known = ingest.upsert_watermark(marks, "1997-03-18", "2002-01-01 00:00:00")
     return ingest.upsert_watermark(known, "2002-01-01", "2002-01-02 00:00:00").drop("updated_at")

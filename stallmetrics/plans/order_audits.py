@@ -27,9 +27,9 @@ def _(spark, sf):
     return quality.duplicate_summary(order_items_dup(spark, sf))
 
 
-@query("m10_duplicate_summary_day", with_dup_orders(GRAIN + summary_sql(f"{DAY} = DATE '2000-04-23'")))
+@query("m10_duplicate_summary_day", with_dup_orders(GRAIN + summary_sql(f"{DAY} = DATE '1997-03-18'")))
 def _(spark, sf):
-    return quality.duplicate_summary(order_items_dup(spark, sf), "2000-04-23")
+    return quality.duplicate_summary(order_items_dup(spark, sf), "1997-03-18")
 
 
 @query("a22_dates_with_surplus", with_dup_orders(f"""
@@ -66,9 +66,9 @@ SELECT '{quality.TODAY_LABEL}' AS "check", CAST(sum(copies) AS BIGINT) AS total_
        count(*) AS unique_rows, CAST(sum(copies - 1) AS BIGINT) AS exact_duplicates,
        min(order_creation_timestamp) AS first_ts, max(order_creation_timestamp) AS last_ts,
        datesub('hour', min(order_creation_timestamp), max(order_creation_timestamp)) AS span_hours
-FROM grain WHERE {DAY} = DATE '2000-04-23'"""))
+FROM grain WHERE {DAY} = DATE '1997-03-18'"""))
 def _(spark, sf):
-    return quality.health_today(order_items_dup(spark, sf), "2000-04-23")
+    return quality.health_today(order_items_dup(spark, sf), "1997-03-18")
 
 
 @query("a25_duplicate_groups", with_dup_orders(f"""
@@ -93,9 +93,9 @@ def _(spark, sf):
 @query("a27_hourly_load", with_dup_orders(GRAIN + f"""
 SELECT CAST(hour(order_creation_timestamp) AS INTEGER) AS hour, CAST(sum(copies) AS BIGINT) AS total_rows,
        {ORDERS} AS unique_orders, CAST(sum(copies - 1) AS BIGINT) AS exact_duplicates
-FROM grain WHERE {DAY} = DATE '2000-04-23' GROUP BY 1"""))
+FROM grain WHERE {DAY} = DATE '1997-03-18' GROUP BY 1"""))
 def _(spark, sf):
-    return quality.hourly_load(order_items_dup(spark, sf), "2000-04-23")
+    return quality.hourly_load(order_items_dup(spark, sf), "1997-03-18")
 
 
 @query("a28_null_audit", with_orders(f"""
@@ -124,13 +124,13 @@ def _(spark, sf):
 
 
 @query("a30_health_line", with_dup_orders(GRAIN + f"""
-SELECT DATE '2000-04-23' AS date, CAST(sum(copies) AS BIGINT) AS row_count, {ORDERS} AS order_count,
+SELECT DATE '1997-03-18' AS date, CAST(sum(copies) AS BIGINT) AS row_count, {ORDERS} AS order_count,
        CAST(sum(copies - 1) AS BIGINT) AS duplicate_count,
        CASE WHEN sum(copies - 1) = 0 THEN '{quality.LINE_CLEAN}' ELSE '{quality.LINE_PREFIX}' ||
             CAST(CAST(sum(copies - 1) AS BIGINT) AS VARCHAR) || '{quality.LINE_SUFFIX}' END AS status
-FROM grain WHERE {DAY} = DATE '2000-04-23'"""))
+FROM grain WHERE {DAY} = DATE '1997-03-18'"""))
 def _(spark, sf):
-    return quality.health_line(order_items_dup(spark, sf), "2000-04-23")
+    return quality.health_line(order_items_dup(spark, sf), "1997-03-18")
 
 
 @query("a31_items_per_order", with_orders("""

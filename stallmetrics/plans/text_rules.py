@@ -169,10 +169,10 @@ def _(spark, sf):
 
 @query("p16_all_but", with_orders("""
 SELECT * EXCLUDE (order_amount, order_creation_timestamp, requested_delivery_date) FROM order_items
-WHERE order_created_date_tr = DATE '2000-04-23'"""))
+WHERE order_created_date_tr = DATE '1997-03-18'"""))
 def _(spark, sf):
     rows = order_items(spark, sf).drop("order_amount", "order_creation_timestamp", "requested_delivery_date")
-    return rows.filter(filters.on_day("2000-04-23"))
+    return rows.filter(filters.on_day("1997-03-18"))
 
 
 @query("p17_constant_label", with_orders("""
@@ -212,7 +212,7 @@ def _(spark, sf):
 
 @query("f15_morning_filter", with_orders("""
 SELECT order_id, product_code_1 FROM order_items
-WHERE order_created_date_tr = DATE '2000-04-23' AND CASE delivery_status
+WHERE order_created_date_tr = DATE '1997-03-18' AND CASE delivery_status
       WHEN 'O' THEN hour(order_creation_timestamp) < 8 WHEN 'F' THEN TRUE ELSE payment_method < '3' END"""))
 def _(spark, sf):
     rows = order_items(spark, sf, "order_id", "product_code_1", "order_created_date_tr", "order_creation_timestamp",
@@ -227,4 +227,4 @@ def _(spark, sf):
         F.when(status == "O", stamp).when(status == "F", day).otherwise(F.lit("")).alias("order_created_date"),
         F.when(status == "P", F.concat(day, F.lit("T99"))).alias("created_at"),
         F.when(plain, day).otherwise(F.lit("1999-01-01")).alias("order_created_date_tr"))
-    return filters.morning_filter(shaped, "2000-04-23").select("order_id", "product_code_1")
+    return filters.morning_filter(shaped, "1997-03-18").select("order_id", "product_code_1")
