@@ -78,16 +78,27 @@ def changed(column: str = "price_diff") -> Column:
     return F.col(column).isNotNull() & (F.col(column) != 0)
 
 
-def prune_days(table: DataFrame, batch: DataFrame, column: str = PARTITION_COLUMN, max_days: int = 1000) -> DataFrame:
+MAX_LITERAL_DAYS = 1000
+
+
+def batch_days(batch: DataFrame, column: str = PARTITION_COLUMN, max_days: int = MAX_LITERAL_DAYS):
+    """Rows per day of a batch, or None when it has more than ``max_days`` days."""
+    found = batch.groupBy(column).count().limit(max_days + 1).collect()
+    return {r[0]: r[1] for r in found} if len(found) <= max_days else None
+
+
+def prune_days(table: DataFrame, batch: DataFrame, column: str = PARTITION_COLUMN, found=None,
+               max_days: int = MAX_LITERAL_DAYS) -> DataFrame:
     """``table`` cut down to the days that occur in ``batch``.
 
     The distinct days of one pull are few; up to ``max_days`` of them become a literal
-    partition filter. A wider batch falls back to a semi-join, which Spark plans by size.
+    partition filter (``found`` passes them in if known). A wider batch falls back to a
+    semi-join, which Spark plans by size.
     """
-    days = batch.select(column).distinct()
-    found = [r[0] for r in days.limit(max_days + 1).collect()]
-    if len(found) > max_days:
-        return table.join(days, table[column].eqNullSafe(days[column]), "left_semi")
+    found = batch_days(batch, column, max_days) if found is None else found
+    if found is None:
+        days = batch.select(F.col(column).alias("__day")).distinct()
+        return table.join(days, F.col(column).eqNullSafe(F.col("__day")), "left_semi")
     keep = F.col(column).isin([d for d in found if d is not None]) if any(d is not None for d in found) else F.lit(False)
     if None in found:
         keep = keep | F.col(column).isNull()

@@ -6,11 +6,12 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from stallmetrics import schemas
-from stallmetrics.functions.filters import prune_days
-from stallmetrics.functions.keys import BUSINESS_KEY, business_key
+from stallmetrics.functions.filters import batch_days, prune_days
+from stallmetrics.functions.keys import BUSINESS_KEY, business_key, row_digest
 from stallmetrics.functions.text import date_part, fold_column_names, joined_list
+from stallmetrics.operators.dedupe import first_n
 from stallmetrics.schemas import PARTITION_COLUMN
-from stallmetrics.sinks.tables import append_rows, load_snapshot, save_snapshot
+from stallmetrics.sinks.tables import load_snapshot, save_snapshot
 from stallmetrics.sources.readers import read_order_items
 
 DATE_COLUMNS = [PARTITION_COLUMN, "order_delivery_date", "requested_delivery_date"]
@@ -38,17 +39,23 @@ def conform(rows: DataFrame) -> DataFrame:
 
 
 def first_per_key(batch: DataFrame) -> DataFrame:
-    """One row per business key of the batch, with its ``row_key``."""
-    return batch.withColumn("row_key", business_key(batch)).dropDuplicates(["row_key"])
+    """One row per business key of the batch, with its ``row_key``.
+
+    Files have no row order, so the first is the earliest by creation time and then by
+    digest: a fixed choice, which a retried task repeats.
+    """
+    marked = batch.withColumns({"row_key": business_key(batch), "__digest": row_digest(batch)})
+    order = [F.col("order_creation_timestamp").asc_nulls_last()] if "order_creation_timestamp" in batch.columns else []
+    return first_n(marked, ["row_key"], 1, [*order, "__digest"]).drop("__digest")
 
 
-def new_rows(batch: DataFrame, table: DataFrame) -> DataFrame:
+def new_rows(batch: DataFrame, table: DataFrame, days: dict | None = None) -> DataFrame:
     """Rows of the batch whose business key is not stored yet, once each.
 
     The key contains the creation date, so only the batch's own days of the table are
     read, and of those only the key columns. ``distinct`` folds copies before the join.
     """
-    stored = prune_days(table, batch).select(*[c for c in BUSINESS_KEY if c in table.columns])
+    stored = prune_days(table, batch, found=days).select(*[c for c in BUSINESS_KEY if c in table.columns])
     known = stored.select(business_key(stored).alias("row_key")).distinct()
     return first_per_key(batch).join(known, "row_key", "left_anti").drop("row_key")
 
@@ -60,11 +67,12 @@ def ingest_batch(batch: DataFrame, path: str) -> dict:
     run. Any failing step fails the batch: nothing is inserted unchecked.
     """
     spark = batch.sparkSession
-    received = batch.count()
+    days = batch_days(batch)  # one narrow pass gives the days and, mostly, the size
+    received = batch.count() if days is None else sum(days.values())
     if received == 0:
         return {"status": EMPTY, "received": 0, "inserted": 0, "skipped": 0}
     written = Observation()
-    fresh = new_rows(batch, read_order_items(spark, path))
+    fresh = new_rows(batch, read_order_items(spark, path), days)
     append_observed(fresh, path, written)
     inserted = int(written.get.get("inserted", 0))
     return {

@@ -83,8 +83,9 @@ def by_category(df: DataFrame, approx: bool = False) -> DataFrame:
 
 
 def share_of_total(grouped: DataFrame, measure: str, name: str) -> DataFrame:
-    """Percentage of the total, over an already aggregated (small) table."""
-    total = F.sum(measure).over(W.partitionBy())
+    """Percentage of the total. The total is a scalar subquery: a window over everything
+    would gather all groups in one task."""
+    total = grouped.agg(F.sum(measure)).scalar()
     return grouped.withColumn(name, F.round(ratio(F.col(measure) * F.lit(100.0), total), 2))
 
 
@@ -104,16 +105,13 @@ def by_delivery_status(df: DataFrame, approx: bool = False) -> DataFrame:
 
 
 def totals(df: DataFrame) -> DataFrame:
-    """Scorecard row. Days are counted on top of a per-(order, day) aggregate, which
-    needs one pass and no row expansion for the two distinct counts."""
-    grain = df.filter(F.col(DAY).isNotNull()).groupBy("order_id", F.col(DAY).alias("day")).agg(
-        F.count("*").alias("n"), F.sum("order_amount").alias("amount"), F.count("order_amount").alias("priced"))
-    return grain.agg(
+    """Scorecard row."""
+    return df.filter(F.col(DAY).isNotNull()).agg(
         F.count_distinct("order_id").alias("total_unique_orders"),
-        F.sum("n").alias("total_items"),
-        F.sum("amount").cast("double").alias("total_revenue"),
-        ratio(F.sum("amount"), F.sum("priced")).alias("avg_order_value"),
-        F.count_distinct("day").alias("days_with_orders"),
+        F.count("*").alias("total_items"),
+        _revenue().alias("total_revenue"),
+        _average().alias("avg_order_value"),
+        F.count_distinct(DAY).alias("days_with_orders"),
     )
 
 
@@ -149,7 +147,12 @@ def top_regions(df: DataFrame, n: int = 100, approx: bool = False) -> DataFrame:
 
 
 def kpis(df: DataFrame, flt: Column) -> DataFrame:
-    """One row with the seven dashboard measures."""
+    """One row with the seven dashboard measures.
+
+    Several distinct counts make Spark expand each row once per count, inside one stage;
+    days, cities and vendors collapse map side, so the one shuffle holds little more than
+    the orders.
+    """
     rows = df.filter(flt & F.col(DAY).isNotNull())
     return rows.agg(
         F.count_distinct("order_id").alias("total_orders"),
@@ -234,8 +237,9 @@ def top_cities_normalized(df: DataFrame, flt: Column, n: int = 10, merge_first:
     rows = df.filter(flt & F.col("city").isNotNull())
     shown = normalize_turkish(F.col("city")).alias("city_display")
     if merge_first:
-        merged = rows.withColumn("city_display", shown).groupBy("city_display").agg(
-            *_measures("unique_orders", "total_revenue"))
+        # Each spelling is normalised once, not each row.
+        names = rows.select("city").distinct().select("city", shown)
+        merged = rows.join(names, "city").groupBy("city_display").agg(*_measures("unique_orders", "total_revenue"))
     else:
         top = rows.groupBy("city").agg(_orders().alias("unique_orders"), F.sum("order_amount").alias("amount"))
         top = top.orderBy(F.desc("unique_orders"), "city").limit(n)
