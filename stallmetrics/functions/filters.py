@@ -93,12 +93,13 @@ def prune_days(table: DataFrame, batch: DataFrame, column: str = PARTITION_COLUM
 
     The distinct days of one pull are few; up to ``max_days`` of them become a literal
     partition filter (``found`` passes them in if known). A wider batch falls back to a
-    semi-join, which Spark plans by size.
+    broadcast semi-join, which prunes partitions at run time: a DATE has a few million
+    values at the very most, so the broadcast side is bounded whatever the batch holds.
     """
     found = batch_days(batch, column, max_days) if found is None else found
     if found is None:
         days = batch.select(F.col(column).alias("__day")).distinct()
-        return table.join(days, F.col(column).eqNullSafe(F.col("__day")), "left_semi")
+        return table.join(F.broadcast(days), F.col(column).eqNullSafe(F.col("__day")), "left_semi")
     keep = F.col(column).isin([d for d in found if d is not None]) if any(d is not None for d in found) else F.lit(False)
     if None in found:
         keep = keep | F.col(column).isNull()

@@ -455,7 +455,11 @@ def _(spark, sf):
     marks = tables.load_snapshot(spark, f"{base}/marks", schemas.FETCH_WATERMARK).drop("updated_at")
     seen = readers.read_order_items(spark, f"{base}/order_items").groupBy(F.col(DAY).alias("fetch_date")).agg(
         F.count("*").alias("rows_of_day"))
-    return marks.join(seen, "fetch_date")
+    return zoneless(marks.join(seen, "fetch_date"))
+
+
+def zoneless(marks: DataFrame) -> DataFrame:
+    return marks.withColumn("last_fetch_timestamp", F.col("last_fetch_timestamp").cast("timestamp_ntz"))
 
 
 @query("j07_upsert_watermark", with_orders(f"""
@@ -467,4 +471,4 @@ def _(spark, sf):
         F.max("order_creation_timestamp").cast("timestamp").alias("last_fetch_timestamp"))
     marks = marks.withColumn("updated_at", F.col("last_fetch_timestamp"))
     known = ingest.upsert_watermark(marks, "1997-03-18", "2002-01-01 00:00:00")
-    return ingest.upsert_watermark(known, "2002-01-01", "2002-01-02 00:00:00").drop("updated_at")
+    return zoneless(ingest.upsert_watermark(known, "2002-01-01", "2002-01-02 00:00:00").drop("updated_at"))

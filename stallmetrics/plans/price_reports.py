@@ -11,7 +11,7 @@ from stallmetrics.operators import benchmark, dedupe, ordered, pricing, reports
 from stallmetrics.plans.order_reports import round2
 from stallmetrics.plans.registry import query
 from stallmetrics.plans.views import (
-    CUR_DAY, POSITION, PREV_DAY, price_obs, snapshot_sql, table, with_prices, with_snapshots)
+    CUR_DAY, POSITION, PREV_DAY, price_keys, snapshot_sql, table, with_names, with_prices, with_snapshots)
 
 COLUMNS = ["site_id", "site_name", "product_id", "product_name", "price", "url", "category", "timestamp"]
 
@@ -23,9 +23,10 @@ def half_up_mean(dec: str) -> str:
 
 
 def snapshot(spark, sf, before: str) -> DataFrame:
-    """Last observation per site and product before a day."""
-    seen = price_obs(spark, sf).filter(F.col("timestamp") < F.lit(before).cast("timestamp_ntz"))
-    return pricing.snapshot_of(seen, POSITION)
+    """Last observation per site and product before a day. Names are joined afterwards, so
+    that neither the shuffle nor the joins carry observations that are not kept."""
+    seen = price_keys(spark, sf).filter(F.col("timestamp") < F.lit(before).cast("timestamp_ntz"))
+    return with_names(spark, sf, pricing.snapshot_of(seen, POSITION))
 
 
 def prev(spark, sf):
@@ -76,8 +77,9 @@ FROM c1 JOIN p1 USING (product_id) WHERE c1.price <> p1.price"""))
 def _(spark, sf):
     # The whole table as one store: the last observation of a product anywhere.
     def at(day):
-        seen = price_obs(spark, sf).filter(F.col("timestamp") < F.lit(day).cast("timestamp_ntz"))
-        return dedupe.keep_last(seen, ["product_id"], [*POSITION, "site_id"]).select(*COLUMNS)
+        seen = price_keys(spark, sf).filter(F.col("timestamp") < F.lit(day).cast("timestamp_ntz"))
+        last = dedupe.keep_last(seen, ["product_id"], [*POSITION, "site_id"])
+        return with_names(spark, sf, last).select(*COLUMNS)
     return pricing.price_changes_single_site(at(PREV_DAY), at(CUR_DAY))
 
 
@@ -128,8 +130,8 @@ FROM dim JOIN (SELECT site_id, product_id, price FROM price_obs WHERE CAST("time
 GROUP BY product_name, site_name HAVING max(price) > min(price)
 ORDER BY volatility DESC, product_name, site_name LIMIT 20"""))
 def _(spark, sf):
-    obs = price_obs(spark, sf)
-    dim = obs.select("site_id", "product_id", "site_name", "product_name").distinct()
+    obs = price_keys(spark, sf)
+    dim = with_names(spark, sf, obs.select("site_id", "product_id").distinct())
     history = obs.select("site_id", "product_id", "price", F.to_date("timestamp").alias("date"))
     return pricing.volatile_products(dim, history, "2001-06-01")
 
@@ -153,20 +155,20 @@ LAG_COLUMNS = ["site_id", "product_id", "timestamp", "old_price", "new_price", "
 
 @query("w09_price_changes_over_time", LAG_SQL)
 def _(spark, sf):
-    return pricing.price_changes_over_time(price_obs(spark, sf), POSITION).select(*LAG_COLUMNS)
+    return pricing.price_changes_over_time(price_keys(spark, sf), POSITION).select(*LAG_COLUMNS)
 
 
 @query("w09_price_changes_over_time_split", LAG_SQL)
 def _(spark, sf):
     year = F.trunc("timestamp", "YEAR")
-    return pricing.price_changes_over_time(price_obs(spark, sf), POSITION, year).select(*LAG_COLUMNS)
+    return pricing.price_changes_over_time(price_keys(spark, sf), POSITION, year).select(*LAG_COLUMNS)
 
 
 def positions(spark, sf):
     """Observations with one sortable position text per site."""
     parts = [F.date_format("timestamp", "yyyyMMddHHmmss"), F.lpad(F.col("seq_a").cast("string"), 14, "0"),
              F.lpad(F.col("seq_b").cast("string"), 4, "0"), F.lpad(F.col("product_id"), 14, "0")]
-    return price_obs(spark, sf).withColumn("position", F.concat(*parts))
+    return price_keys(spark, sf).withColumn("position", F.concat(*parts))
 
 
 CAP_SQL = 'row_number() OVER (PARTITION BY site_id ORDER BY "timestamp", seq_a, seq_b, lpad(product_id, 14, \'0\'))'
@@ -346,13 +348,15 @@ def _(spark, sf):
 
 def bench_history(spark, sf):
     """Benchmark rows per day and site, as the daily runs would have recorded them."""
-    obs = price_obs(spark, sf).withColumn("date", F.to_date("timestamp"))
+    obs = price_keys(spark, sf).withColumn("date", F.to_date("timestamp"))
     price = F.col("price").cast("decimal(18,4)")
-    daily = obs.groupBy("date", "site_id", "site_name").agg(
+    daily = obs.groupBy("date", "site_id").agg(
         F.count("*").alias("product_count"),
         exact_mean(F.sum(price), F.count("*")).alias("avg_price"),
         F.min("price").alias("min_price"), F.max("price").alias("max_price"))
-    return daily.withColumn("timestamp", F.col("date").cast("timestamp_ntz"))
+    names = table(spark, sf, "supplier").select(
+        F.col("s_suppkey").cast("string").alias("site_id"), F.col("s_name").alias("site_name"))
+    return daily.join(names, "site_id").withColumn("timestamp", F.col("date").cast("timestamp_ntz"))
 
 
 HISTORY_CTE = f"""

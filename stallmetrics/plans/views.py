@@ -73,23 +73,31 @@ def _price() -> Column:
     return F.round(raw, 2).cast("double")
 
 
-def price_obs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Price observations: a supplier is a site, a part a product, a line an observation."""
-    items = table(spark, sf_dir, "lineitem").select(
-        "l_suppkey", "l_partkey", "l_orderkey", "l_linenumber", "l_shipdate", _price().alias("price"))
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand")
-    site = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
-    rows = items.join(part, F.col("l_partkey") == F.col("p_partkey")).join(
-        site, F.col("l_suppkey") == F.col("s_suppkey"))
-    return rows.select(
-        F.col("l_suppkey").cast("string").alias("site_id"), F.col("s_name").alias("site_name"),
-        F.col("l_partkey").cast("string").alias("product_id"), F.col("p_name").alias("product_name"), "price",
-        F.concat(F.lit("/p/"), F.col("l_partkey").cast("string")).alias("url"), F.col("p_brand").alias("category"),
-        F.col("l_shipdate").alias("timestamp"), F.col("l_orderkey").alias("seq_a"),
+def price_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Price observations without names: a supplier is a site, a part a product, a line an
+    observation. Needs no dimension table."""
+    return table(spark, sf_dir, "lineitem").select(
+        F.col("l_suppkey").cast("string").alias("site_id"), F.col("l_partkey").cast("string").alias("product_id"),
+        _price().alias("price"), F.col("l_shipdate").alias("timestamp"), F.col("l_orderkey").alias("seq_a"),
         F.col("l_linenumber").alias("seq_b"),
     )
 
 
+def with_names(spark: SparkSession, sf_dir: str, rows: DataFrame) -> DataFrame:
+    """Site and product names, link and category added to price rows."""
+    part = table(spark, sf_dir, "part").select(
+        F.col("p_partkey").cast("string").alias("product_id"), F.col("p_name").alias("product_name"),
+        F.concat(F.lit("/p/"), F.col("p_partkey").cast("string")).alias("url"), F.col("p_brand").alias("category"))
+    site = table(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").cast("string").alias("site_id"), F.col("s_name").alias("site_name"))
+    return rows.join(part, "product_id").join(site, "site_id")
+
+
+def price_obs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Price observations with their names."""
+    return with_names(spark, sf_dir, price_keys(spark, sf_dir))
+
+
 POSITION = ["timestamp", "seq_a", "seq_b"]
 
 # --- the same views as DuckDB SQL -------------------------------------------------
