@@ -78,7 +78,7 @@ def changed(column: str = "price_diff") -> Column:
     return F.col(column).isNotNull() & (F.col(column) != 0)
 
 
-MAX_LITERAL_DAYS = 1000
+MAX_LITERAL_DAYS = 10_000
 
 
 def batch_days(batch: DataFrame, column: str = PARTITION_COLUMN, max_days: int = MAX_LITERAL_DAYS):

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from stallmetrics.functions.keys import row_digest
+from stallmetrics.functions.keys import ROW_DIGEST, row_digest
 
 
 def _first_rows(df: DataFrame, keys: list, order: list, n: int = 1) -> DataFrame:
@@ -25,8 +25,8 @@ def dedupe_exact(df: DataFrame) -> DataFrame:
 
 def dedupe_fingerprint(df: DataFrame, order_col: str = "order_creation_timestamp") -> DataFrame:
     """Same, but partitioned by a 128-bit digest of the row; the newest copy stays."""
-    marked = df.withColumn("__digest", row_digest(df))
-    return _first_rows(marked, ["__digest"], [F.col(order_col).desc_nulls_first()]).drop("__digest")
+    marked = df.select("*", *row_digest(df))
+    return _first_rows(marked, ROW_DIGEST, [F.col(order_col).desc_nulls_first()]).drop(*ROW_DIGEST)
 
 
 def dedupe_latest(df: DataFrame, keys: list[str], order_col: str, tiebreak: list[str] = ()) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from stallmetrics import schemas
 from stallmetrics.functions.filters import batch_days, prune_days
-from stallmetrics.functions.keys import BUSINESS_KEY, business_key, row_digest
+from stallmetrics.functions.keys import BUSINESS_KEY, ROW_DIGEST, ROW_KEY, business_key, row_digest
 from stallmetrics.functions.text import date_part, fold_column_names, joined_list
 from stallmetrics.operators.dedupe import first_n
 from stallmetrics.schemas import PARTITION_COLUMN
@@ -39,14 +39,14 @@ def conform(rows: DataFrame) -> DataFrame:
 
 
 def first_per_key(batch: DataFrame) -> DataFrame:
-    """One row per business key of the batch, with its ``row_key``.
+    """One row per business key of the batch, with the key's two columns.
 
     Files have no row order, so the first is the earliest by creation time and then by
     digest: a fixed choice, which a retried task repeats.
     """
-    marked = batch.withColumns({"row_key": business_key(batch), "__digest": row_digest(batch)})
+    marked = batch.select("*", *business_key(batch), *row_digest(batch))
     order = [F.col("order_creation_timestamp").asc_nulls_last()] if "order_creation_timestamp" in batch.columns else []
-    return first_n(marked, ["row_key"], 1, [*order, "__digest"]).drop("__digest")
+    return first_n(marked, ROW_KEY, 1, [*order, *ROW_DIGEST]).drop(*ROW_DIGEST)
 
 
 def new_rows(batch: DataFrame, table: DataFrame, days: dict | None = None) -> DataFrame:
@@ -56,8 +56,8 @@ def new_rows(batch: DataFrame, table: DataFrame, days: dict | None = None) -> Da
     read, and of those only the key columns. ``distinct`` folds copies before the join.
     """
     stored = prune_days(table, batch, found=days).select(*[c for c in BUSINESS_KEY if c in table.columns])
-    known = stored.select(business_key(stored).alias("row_key")).distinct()
-    return first_per_key(batch).join(known, "row_key", "left_anti").drop("row_key")
+    known = stored.select(*business_key(stored)).distinct()
+    return first_per_key(batch).join(known, ROW_KEY, "left_anti").drop(*ROW_KEY)
 
 
 def ingest_batch(batch: DataFrame, path: str) -> dict:

@@ -13,7 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from stallmetrics.functions.filters import in_months, is_blank, on_day, trailing_days, trailing_hours
-from stallmetrics.functions.keys import row_digest, row_json
+from stallmetrics.functions.keys import ROW_DIGEST, row_digest, row_json
 from stallmetrics.functions.money import ratio
 from stallmetrics.schemas import PARTITION_COLUMN
 
@@ -28,7 +28,7 @@ QUALITY_LABEL = "Veri Kalitesi Kontrolü"
 
 def row_grain(df: DataFrame, *group: Column | str) -> DataFrame:
     """Distinct rows per group with ``copies``."""
-    return df.groupBy(*group, row_digest(df).alias("digest")).agg(F.count("*").alias("copies"))
+    return df.groupBy(*group, *row_digest(df)).agg(F.count("*").alias("copies"))
 
 
 def _order_counts(df: DataFrame, **group: Column) -> DataFrame:
@@ -103,7 +103,7 @@ def health_by_day(df: DataFrame, as_of, days: int = 7) -> DataFrame:
 def health_today(df: DataFrame, as_of) -> DataFrame:
     """One labelled row about the day, with first and last time and the hours between."""
     rows = df.filter(on_day(as_of))
-    grain = rows.groupBy("order_id", row_digest(rows).alias("digest")).agg(
+    grain = rows.groupBy("order_id", *row_digest(rows)).agg(
         F.count("*").alias("copies"), F.min("order_creation_timestamp").alias("first_ts"),
         F.max("order_creation_timestamp").alias("last_ts"))
     orders = grain.groupBy("order_id").agg(
@@ -118,11 +118,11 @@ def duplicate_groups(df: DataFrame, day=None, n: int = 10,
                      keys: tuple[str, ...] = ("order_id", "product_code_1", "user_id", "city")) -> DataFrame:
     """Rows that occur more than once, most copies first."""
     rows = df if day is None else df.filter(on_day(day))
-    groups = rows.groupBy(*keys, row_digest(rows).alias("digest")).agg(
+    groups = rows.groupBy(*keys, *row_digest(rows)).agg(
         F.count("*").alias("duplicate_count"), F.min("order_creation_timestamp").alias("first_seen"),
         F.max("order_creation_timestamp").alias("last_seen"))
     repeated = groups.filter(F.col("duplicate_count") > 1)
-    return repeated.orderBy(F.desc("duplicate_count"), *keys, "digest").limit(n).drop("digest")
+    return repeated.orderBy(F.desc("duplicate_count"), *keys, *ROW_DIGEST).limit(n).drop(*ROW_DIGEST)
 
 
 def duplicate_samples(df: DataFrame, day=None, n: int = 20) -> DataFrame:

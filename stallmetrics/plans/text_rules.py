@@ -196,7 +196,7 @@ SELECT order_id, count(*) AS distinct_keys FROM (
          order_id, product_code_1, product_name, rider_id, user_id, vendor_id FROM dup_items) GROUP BY 1"""))
 def _(spark, sf):
     rows = order_items_dup(spark, sf, *keys.BUSINESS_KEY)
-    return rows.select("order_id", keys.business_key(rows).alias("k")).distinct().groupBy("order_id").agg(
+    return rows.select("order_id", *keys.business_key(rows)).distinct().groupBy("order_id").agg(
         F.count("*").alias("distinct_keys"))
 
 
