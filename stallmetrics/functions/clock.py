@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date, timedelta
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -40,6 +40,14 @@ def classify_run(ts: Column, now: Column | None = None) -> Column:
     )
 
 
+def target_date(now: datetime, date_key: str | None = None, days_back: int | None = None) -> str:
+    """Day (or month) key of a pull: as asked, else so many local days before ``now``."""
+    if date_key:
+        return date_key
+    local = now.astimezone(timezone(timedelta(hours=LOCAL_OFFSET_HOURS)))
+    return (local - timedelta(days=days_back or 0)).strftime("%Y-%m-%d")
+
+
 def preset_range(name: str, as_of: date) -> tuple[date, date]:
     """Both ends of a named reporting range."""
     if name == "all_time":

@@ -100,7 +100,9 @@ def prune_days(table: DataFrame, batch: DataFrame, column: str = PARTITION_COLUM
     if found is None:
         days = batch.select(F.col(column).alias("__day")).distinct()
         return table.join(F.broadcast(days), F.col(column).eqNullSafe(F.col("__day")), "left_semi")
-    keep = F.col(column).isin([d for d in found if d is not None]) if any(d is not None for d in found) else F.lit(False)
+    # One SQL text instead of thousands of literal objects.
+    listed = ", ".join(f"DATE'{d}'" for d in found if d is not None)
+    keep = F.expr(f"`{column}` IN ({listed})") if listed else F.lit(False)
     if None in found:
         keep = keep | F.col(column).isNull()
     return table.filter(keep)

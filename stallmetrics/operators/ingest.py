@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from stallmetrics import schemas
-from stallmetrics.functions.filters import batch_days, prune_days
+from stallmetrics.functions.filters import batch_days, morning_filter, prune_days
 from stallmetrics.functions.keys import BUSINESS_KEY, ROW_DIGEST, ROW_KEY, business_key, row_digest
 from stallmetrics.functions.text import date_part, fold_column_names, joined_list
 from stallmetrics.operators.dedupe import first_n
@@ -122,9 +122,12 @@ def last_fetch(marks: DataFrame, fetch_date) -> DataFrame:
 
 
 def run_fetch(spark: SparkSession, payload: DataFrame, path: str, mark_store: str | None = None,
-              date_key: str = "", mode: str = "incremental", fetched_at=None) -> dict:
-    """One pull end to end. The progress mark is informational and only set by a
-    successful incremental pull of one day."""
+              date_key: str = "", mode: str = "incremental", fetched_at=None,
+              start_hour: int = 0, end_hour: int = 8) -> dict:
+    """One pull end to end. A morning pull keeps only the day's early hours. The progress
+    mark is informational and only set by a successful incremental pull of one day."""
+    if mode == "morning":
+        payload = morning_filter(payload, date_key, start_hour, end_hour)
     outcome = ingest_batch(conform(normalize_orders(payload)), path)
     if mark_store and mode == "incremental" and len(date_key) == 10 and outcome["status"] == SUCCESS:
         record_fetch(spark, mark_store, date_key, fetched_at)

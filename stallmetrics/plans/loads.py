@@ -266,6 +266,25 @@ def _(spark, sf):
     return tables.table_profile(spark, stored(spark, sf)).drop("table", "columns")
 
 
+def bucketed_snapshots(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """Both snapshots as bucketed tables."""
+    base = new_workdir(spark, "bucketed")
+    out = []
+    for name, rows in (("prev", prev(spark, sf)), ("cur", cur(spark, sf))):
+        table = f"{name}_{base.rsplit('-', 1)[1]}"
+        tables.write_bucketed(rows, table, f"{base}/{name}", pricing.KEY, 8)
+        out.append(spark.table(table))
+    return tuple(out)
+
+
+@query("k03_bucketed_price_changes", with_snapshots(
+    CHANGES_CTE + "SELECT site_id, product_id, old_price, new_price, price_diff FROM changes"))
+def _(spark, sf):
+    """Price changes between bucketed snapshots: a join without a shuffle."""
+    return pricing.price_changes(*bucketed_snapshots(spark, sf)).select(
+        "site_id", "product_id", "old_price", "new_price", "price_diff")
+
+
 ONE_MONTH = f"WHERE {MONTH_SQL} = DATE '{TARGET}'"
 OTHER_MONTHS = f"WHERE {MONTH_SQL} <> DATE '{TARGET}'"
 CLEAN_CTE = f"""

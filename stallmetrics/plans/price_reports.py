@@ -398,9 +398,9 @@ def _(spark, sf):
 
 
 @query("o03_sort_products", with_snapshots(
-    "SELECT site_id, product_id, price FROM cur_snap ORDER BY price DESC, site_id, product_id LIMIT 500"))
+    "SELECT site_id, product_id, price FROM cur_snap ORDER BY price DESC, site_id, product_id"))
 def _(spark, sf):
-    return pricing.sort_products(cur(spark, sf), "price_desc").limit(500).select("site_id", "product_id", "price")
+    return pricing.sort_products(cur(spark, sf), "price_desc").select("site_id", "product_id", "price")
 
 
 @query("o08_categories_by_price", with_bench(

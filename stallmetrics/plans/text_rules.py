@@ -117,10 +117,10 @@ def _(spark, sf):
 
 
 @query("p13_slugs", r"""
-SELECT s_suppkey, 'hizli_cicek_' || lower(s_name) AS underscored, 'hizlicicek' || lower(s_name) AS compact,
+SELECT s_suppkey, 'buyuk_carsi_' || lower(s_name) AS underscored, 'buyukcarsi' || lower(s_name) AS compact,
        trim(regexp_replace(lower(s_name), '[^a-z0-9]+', '-', 'g'), '-') AS slug FROM supplier""")
 def _(spark, sf):
-    shop = F.concat(F.lit("Hızlı Çiçek "), F.col("s_name"))
+    shop = F.concat(F.lit("Büyük Çarşı "), F.col("s_name"))
     return table(spark, sf, "supplier").select(
         "s_suppkey", text.site_slug_underscore(shop).alias("underscored"), text.site_slug_compact(shop).alias("compact"),
         text.name_slug(F.concat(F.lit("!"), F.col("s_name"), F.lit("?"))).alias("slug"))

@@ -47,8 +47,3 @@ def new_workdir(spark: SparkSession, label: str) -> str:
     """A fresh directory name below the shared folder; Spark creates it on first write."""
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex[:12]}"
 
-
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Point ``DataFrame.checkpoint`` at the shared folder unless the session already did."""
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_folder(spark))

@@ -51,6 +51,14 @@ def write_clustered(df: DataFrame, path: str, partition: str = PARTITION_COLUMN,
     ordered.write.mode(mode).partitionBy(partition).parquet(path)
 
 
+def write_bucketed(df: DataFrame, table: str, path: str, columns: list[str], buckets: int) -> None:
+    """Catalog table bucketed and sorted by its key, so that joins and aggregates on the key
+    need no shuffle. The repartition gives one file per bucket; keys should be unique or
+    near it, since a bucket holds all rows of its keys."""
+    writer = df.repartition(buckets, *columns).write.mode("overwrite").option("path", path)
+    writer.bucketBy(buckets, *columns).sortBy(*columns).saveAsTable(table)
+
+
 def insert_from(src: DataFrame, path: str, partition: str = PARTITION_COLUMN) -> None:
     """INSERT INTO ... SELECT."""
     append_rows(src, path, partition)

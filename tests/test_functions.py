@@ -1,12 +1,12 @@
 """Column functions on hand-made values."""
 
-from datetime import date, datetime
+from datetime import date, datetime, timezone
 
 import pytest
 from pyspark.sql import functions as F
 
 from stallmetrics.functions import clock, filters, keys, markup, money, text, web
-from tests.conftest import one, rows
+from tests.conftest import one
 
 
 def value(spark, data, fn, kind="string"):
@@ -35,8 +35,8 @@ def test_name_contains_is_false_without_text(spark):
 
 
 def test_slugs(spark):
-    assert value(spark, ["Hızlı Çiçek Ş"], text.site_slug_underscore) == ["hizli_cicek_s"]
-    assert value(spark, ["Hızlı  Çiçek"], text.site_slug_compact) == ["hizlicicek"]
+    assert value(spark, ["Büyük Çarşı Iş"], text.site_slug_underscore) == ["buyuk_carsi_is"]
+    assert value(spark, ["Büyük  Çarşı"], text.site_slug_compact) == ["buyukcarsi"]
     assert value(spark, ["--A b!!c-"], text.name_slug) == ["a-b-c"]
 
 
@@ -155,4 +155,9 @@ def test_selectors():
     assert len(markup.find_all(tree, "section div.card")) == 1
     assert markup.find_first(tree, "a[href]").attrs["href"] == "/1"
     assert [n.tag for n in markup.find_all(tree, "p")] == ["p"]  # text inside scripts is no markup
-    assert rows is not None
+
+
+def test_target_date_is_local():
+    now = datetime(2025, 11, 4, 22, 30, tzinfo=timezone.utc)
+    assert clock.target_date(now) == "2025-11-05" and clock.target_date(now, days_back=1) == "2025-11-04"
+    assert clock.target_date(now, "2025-10") == "2025-10"

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stallmetrics import schemas
-from stallmetrics.operators import ingest, quality, repair
+from stallmetrics.operators import ingest, pricing, quality, repair
 from stallmetrics.session import new_workdir, shared_folder
 from stallmetrics.sinks import maintenance, tables
 from stallmetrics.sources import paths, readers
@@ -120,6 +120,18 @@ def test_create_tables_is_repeatable(spark):
     assert not spark.catalog.tableExists("unit_mart.benchmarks")
 
 
+def test_bucketed_snapshots_join_without_a_shuffle(spark):
+    base = new_workdir(spark, "b")
+    one_row = products(spark, [("a", "1", 1, "x")])
+    for name, rows_of in (("bk_old", one_row), ("bk_new", one_row.withColumn("price", F.lit(2.0)))):
+        tables.write_bucketed(rows_of, name, f"{base}/{name}", pricing.KEY, 4)
+    # Small tables would be broadcast; the hint asks for the join of large ones.
+    changed = pricing.price_changes(spark.table("bk_old"), spark.table("bk_new").hint("merge"))
+    assert "Exchange" not in plan_of(changed) and "SortMergeJoin" in plan_of(changed)
+    assert one(changed, "old_price", "new_price") == (1.0, 2.0)
+    assert one(tables.table_profile(spark, "bk_old"), "cluster_columns") == ("site_id,product_id",)
+
+
 def test_exports(spark):
     base = new_workdir(spark, "x")
     tables.export_catalog(products(spark, [("a", "1", 1.5, "x")]), base + "/c")
@@ -204,11 +216,16 @@ def test_progress_mark_only_after_a_successful_incremental_day(spark, tmp_path):
     pull = lambda key, mode: ingest.run_fetch(
         spark, readers.read_order_payload(spark, str(tmp_path / "p.json")), base + "/o", base + "/m", key, mode, "2025-11-04 08:00:00")
     marks = lambda: tables.load_snapshot(spark, base + "/m", schemas.FETCH_WATERMARK)
-    assert pull("2025-11-04", "morning")["status"] == "success" and marks().count() == 0
+    # The morning pull keeps the early rows of its day: the bare date counts as midnight.
+    assert pull("2025-11-05", "morning") == {"status": "success", "received": 1, "inserted": 1, "skipped": 0}
+    assert marks().count() == 0
+    assert pull("2025-11", "incremental")["inserted"] == 1 and marks().count() == 0  # a month sets no mark
     assert pull("2025-11-04", "incremental")["status"] == "all_existing" and marks().count() == 0
-    again = ingest.upsert_watermark(marks(), "2025-11-04", "2025-11-04 08:00:00")
-    again = ingest.upsert_watermark(again, "2025-11-04", "2025-11-04 09:00:00")
-    assert one(ingest.last_fetch(again, "2025-11-04")) == (datetime(2025, 11, 4, 9),)
+    fresh = ingest.run_fetch(spark, batch(spark, item(77)), base + "/o", base + "/m", "2025-11-04", "incremental",
+                             "2025-11-04 08:00:00")
+    assert fresh["status"] == "success" and one(ingest.last_fetch(marks(), "2025-11-04")) == (datetime(2025, 11, 4, 8),)
+    later = ingest.upsert_watermark(marks(), "2025-11-04", "2025-11-04 09:00:00")
+    assert one(ingest.last_fetch(later, "2025-11-04")) == (datetime(2025, 11, 4, 9),) and later.count() == 1
 
 
 # --- streams --------------------------------------------------------------------------
