@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import re
-from functools import lru_cache
 from html.parser import HTMLParser
 
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 RAW = {"script", "style"}
 PART = re.compile(r"#(?P<id>[\w-]+)|\.(?P<cls>[\w-]+)|\[(?P<attr>[\w-]+)(?:(?P<op>[*^$]?=)\"?(?P<val>[^\"\]]*)\"?)?\]|(?P<tag>[\w-]+|\*)")
 
+COMPILED: dict[str, tuple] = {}  # selectors come from a site list of a few entries
 TESTS = {
     "has": lambda have, value: True,
     "=": lambda have, value: have == value,
@@ -82,9 +82,10 @@ def text_of(node: Element | None) -> str:
     return "".join(out).strip()
 
 
-@lru_cache(maxsize=4096)
 def _compiled(selector: str) -> tuple:
     """Nested parts of a selector, each as its list of (attribute, operator, value) tests."""
+    if selector in COMPILED:
+        return COMPILED[selector]
     parts = []
     for simple in selector.split():
         tests = []
@@ -98,7 +99,8 @@ def _compiled(selector: str) -> tuple:
             else:
                 tests.append((m["attr"], m["op"] or "has", m["val"] or ""))
         parts.append(tuple(tests))
-    return tuple(parts)
+    COMPILED[selector] = tuple(parts)
+    return COMPILED[selector]
 
 
 def _matches(node: Element, tests: tuple) -> bool:

@@ -2,18 +2,25 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stallmetrics.functions import markup
 from stallmetrics.functions.filters import valid_product
 from stallmetrics.functions.markup import find_all, find_first, parse, text_of
 from stallmetrics.functions.money import parse_price
 from stallmetrics.functions.text import detect_category
 from stallmetrics.functions.web import absolute_url, product_id_from_url, url_base, url_host
 
+# The card parser travels with its tasks, so executors need not have the package installed.
+cloudpickle.register_pickle_by_value(markup)
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 LD_JSON = r"(?is)<script[^>]*type\s*=\s*[\"']application/ld\+json[\"'][^>]*>(.*?)</script>"
 ANCHOR = r"(?is)<a\b[^>]*?\bhref\s*=\s*[\"']([^\"']*)[\"'][^>]*>(.*?)</a>"
 ENTITIES = [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")]

@@ -481,6 +481,28 @@ def zoneless(marks: DataFrame) -> DataFrame:
     return marks.withColumn("last_fetch_timestamp", F.col("last_fetch_timestamp").cast("timestamp_ntz"))
 
 
+@query("st04_morning_catch_up", with_dup_orders(f"""
+, day AS (SELECT DISTINCT {KEY_SQL} FROM dup_items WHERE {DAY} = DATE '1997-03-18' AND hour(order_creation_timestamp) < 8)
+SELECT 'success' AS status, (SELECT count(*) FROM dup_items WHERE {DAY} = DATE '1997-03-18'
+       AND hour(order_creation_timestamp) < 8) AS received, count(*) AS inserted, count(*) AS visible_rows FROM day"""))
+def _(spark, sf):
+    """The day's whole payload, of which the early hours are kept."""
+    path = f"{new_workdir(spark, 'morning')}/order_items"
+    stamp = F.concat(F.date_format("order_creation_timestamp", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+03:00"))
+    pulled = order_items_dup(spark, sf).withColumn("order_created_date", stamp).drop(DAY)
+    outcome = ingest.run_fetch(spark, pulled, path, date_key="1997-03-18", mode="morning")
+    return ingest.outcome_rows(spark, path, outcome).drop("skipped")
+
+
+@query("o05_last_fetch", with_orders(f"""
+SELECT max(order_creation_timestamp) AS last_fetch_timestamp FROM order_items WHERE {DAY} = DATE '1997-03-18'
+HAVING count(*) > 0"""))
+def _(spark, sf):
+    marks = order_items(spark, sf, DAY, "order_creation_timestamp").withColumnsRenamed(
+        {DAY: "fetch_date", "order_creation_timestamp": "last_fetch_timestamp"})
+    return ingest.last_fetch(marks, "1997-03-18")
+
+
 @query("j07_upsert_watermark", with_orders(f"""
 SELECT {DAY} AS fetch_date, CASE WHEN {DAY} = DATE '1997-03-18' THEN TIMESTAMP '2002-01-01 00:00:00'
        ELSE max(order_creation_timestamp) END AS last_fetch_timestamp FROM order_items GROUP BY 1
