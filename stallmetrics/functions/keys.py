@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import add
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,29 +28,27 @@ ROW_DIGEST = ["digest_1", "digest_2"]
 ROW_KEY = ["row_key_1", "row_key_2"]
 
 
-def digest(columns: list[Column], names: list[str]) -> list[Column]:
-    """128 bits over the given values, as two long columns: the row hash under two seeds.
+def digest(terms: list[str], names: list[str]) -> list[Column]:
+    """128 bits over the given SQL terms, as two long columns: the row hash under two seeds.
 
     64 bits would collide at 10^12 rows. The hash skips nulls, so the null flags are
-    hashed along as bit masks; otherwise (null, 'a') and ('a', null) would look alike.
-    It runs inside generated code, and longs sort and shuffle far cheaper than a text
-    digest over JSON.
+    hashed along as bit masks; otherwise (null, 'a') and ('a', null) would look alike. It
+    runs inside generated code, and longs sort and shuffle far cheaper than a text digest over JSON.
     """
-    masks = [
-        reduce(add, [F.when(c.isNull(), F.lit(1 << i)).otherwise(F.lit(0)).cast("long") for i, c in enumerate(part)])
-        for part in (columns[at:at + 60] for at in range(0, len(columns), 60))
-    ]
-    return [F.xxhash64(F.lit(seed), *columns, *masks).alias(name) for seed, name in enumerate(names)]
+    flags = [f"IF(isnull({t}), {1 << i % 60}L, 0L)" for i, t in enumerate(terms)]
+    masks = [" + ".join(flags[at:at + 60]) for at in range(0, len(flags), 60)]
+    values = ", ".join([*terms, *masks])
+    return [F.expr(f"xxhash64({seed}, {values})").alias(name) for seed, name in enumerate(names)]
 
 
 def business_key(df: DataFrame) -> list[Column]:
     """Digest over the business-key fields as text; an absent column counts as null."""
-    return digest([(F.col(n) if n in df.columns else F.lit(None)).cast("string") for n in BUSINESS_KEY], ROW_KEY)
+    return digest([f"CAST({f'`{n}`' if n in df.columns else 'NULL'} AS STRING)" for n in BUSINESS_KEY], ROW_KEY)
 
 
 def row_digest(df: DataFrame) -> list[Column]:
     """Digest of the whole row."""
-    return digest([F.col(c) for c in df.columns], ROW_DIGEST)
+    return digest([f"`{c}`" for c in df.columns], ROW_DIGEST)
 
 
 def row_json(df: DataFrame, *skip: str) -> Column:
