@@ -464,7 +464,9 @@ def _(spark, sf):
 
 
 @query("st03_progress_mark", with_orders(
-    "SELECT DATE '1997-03-18' AS fetch_date, TIMESTAMP '1997-03-18 09:00:00' AS last_fetch_timestamp, count(*) AS rows_of_day "
+    # A pull without new rows sets no mark: the second one needs rows the first did not bring.
+    "SELECT DATE '1997-03-18' AS fetch_date, CASE WHEN bool_or(delivery_status <> 'O') THEN TIMESTAMP '1997-03-18 09:00:00' "
+    "ELSE TIMESTAMP '1997-03-18 08:00:00' END AS last_fetch_timestamp, count(*) AS rows_of_day "
     f"FROM order_items WHERE {DAY} = DATE '1997-03-18'"))
 def _(spark, sf):
     base = new_workdir(spark, "marks")
@@ -483,8 +485,9 @@ def zoneless(marks: DataFrame) -> DataFrame:
 
 @query("st04_morning_catch_up", with_dup_orders(f"""
 , day AS (SELECT DISTINCT {KEY_SQL} FROM dup_items WHERE {DAY} = DATE '1997-03-18' AND hour(order_creation_timestamp) < 8)
-SELECT 'success' AS status, (SELECT count(*) FROM dup_items WHERE {DAY} = DATE '1997-03-18'
-       AND hour(order_creation_timestamp) < 8) AS received, count(*) AS inserted, count(*) AS visible_rows FROM day"""))
+SELECT CASE WHEN count(*) = 0 THEN 'empty' ELSE 'success' END AS status,
+       (SELECT count(*) FROM dup_items WHERE {DAY} = DATE '1997-03-18'
+        AND hour(order_creation_timestamp) < 8) AS received, count(*) AS inserted, count(*) AS visible_rows FROM day"""))
 def _(spark, sf):
     """The day's whole payload, of which the early hours are kept."""
     path = f"{new_workdir(spark, 'morning')}/order_items"
