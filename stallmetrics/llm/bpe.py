@@ -20,19 +20,17 @@ import hashlib
 import json
 import re
 from functools import lru_cache
-from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from stallmetrics.llm.common import sized, texts
 
-#: Chunks that a worker remembers; then it starts anew.
-CACHE_CHUNKS = 400_000
+#: Chunks and pairs of tokens that a worker remembers.
+CACHE_CHUNKS = 1_000_000
 CACHE_PAIRS = 1_000_000
 _END = "</w>"
 _ASCII_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
-_SPACE = re.compile(r"[ \t-\r]+")
 
 
 class TrieEncoder:
@@ -87,30 +85,34 @@ class TrieEncoder:
                 node = nxt
             ends[node] = word
         out: dict[str, list[str]] = {}
-        vocab, fits, most = self.vocab, self.fits, self.longest
+        vocab, pairs, fits, most = self.vocab, self.pairs, self.fits, self.longest
         path = ""  # the symbols above, without a word's end mark
         last: list[str] = [""]  # last token of each prefix of the path
         todo = [(node, 1, symbol) for symbol, node in children[0].items()]
         while todo:
             node, depth, symbol = todo.pop()
-            ended = len(symbol) > 1
             path = path[:depth - 1] + symbol[0]
             del last[depth:]
-            for start in range(max(0, depth - most), depth):
-                token = path[start:depth] + _END if ended else path[start:depth]
-                if token in vocab and fits(last[start], token):
-                    last.append(token)
-                    break
+            text = path if len(symbol) == 1 else path + _END
+            for start in range(depth - most if depth > most else 0, depth):
+                token = text[start:]
+                if token in vocab:
+                    fit = pairs.get((last[start], token))
+                    if fit or fit is None and fits(last[start], token):
+                        last.append(token)
+                        break
             else:
                 raise ValueError(f"no encoding for {path!r}: the vocabulary lacks a symbol of it")
-            if ended:
-                tokens, at = [], depth
+            if len(symbol) > 1:
+                tokens, at = [token], start
                 while at:
-                    tokens.append(last[at])
-                    at -= len(last[at].removesuffix(_END)) if last[at] != _END else len(_END)
+                    token = last[at]
+                    tokens.append(token)
+                    at -= len(token)
                 out[ends[node]] = tokens[::-1]
             else:
-                todo += [(child, depth + 1, s) for s, child in children[node].items()]
+                for s, child in children[node].items():
+                    todo.append((child, depth + 1, s))
         return out
 
 
@@ -132,7 +134,8 @@ class Codec:
         self.token_of = {i: t for t, i in {**self.vocab, **self.special}.items()}
         parts = Tokenizer.from_file(path)
         self.normalizer, self.splitter = parts.normalizer, parts.pre_tokenizer
-        self.known: dict[str, tuple[tuple[int, ...], str, str]] = {}
+        self.text_of = {t: str(i) for t, i in self.vocab.items()}
+        self.known: dict[bytes, tuple[str, str]] = {}
 
     def _words(self, chunk: str) -> list[str]:
         if chunk.isascii() and chunk.isprintable():
@@ -140,37 +143,58 @@ class Codec:
             return [chunk] if chunk.isalpha() else _ASCII_WORDS.findall(chunk)
         return [w for w, _ in self.splitter.pre_tokenize_str(self.normalizer.normalize_str(chunk))]
 
-    def _learn(self, chunks: set[str]) -> None:
-        """Adds new chunks: their words into one trie, then the chunks from their words."""
-        if len(self.known) + len(chunks) > CACHE_CHUNKS:
-            self.known.clear()
-        split = {}
-        for chunk in chunks:
-            parts = self.cut.split(chunk) if self.cut and "<|" in chunk else [chunk]
-            split[chunk] = [p if p in self.special else self._words(p) for p in parts if p]
-        words = dict.fromkeys(w for parts in split.values() for p in parts if isinstance(p, list) for w in p)
-        tokens = self.encoder.encode_words(list(words))
+    def _learn(self, chunks: set[bytes]) -> None:
+        """Adds new chunks: their words into one trie, then the chunks from their words.
+
+        A word of plain lower-case letters is a chunk too, so a known one is taken as it is.
+        """
+        known, split, words = self.known, {}, {}
+        for raw in chunks:
+            chunk = raw.decode()
+            if self.cut and "<|" in chunk:
+                parts = [w for p in self.cut.split(chunk) if p for w in ([p] if p in self.special else self._words(p))]
+            else:
+                parts = self._words(chunk)
+            split[raw] = parts
+            words.update(dict.fromkeys(parts))
+        found: dict[str, tuple[str, str]] = {w: (str(self.special[w]), w) for w in words if w in self.special}
+        fresh = []
+        for word in words:
+            if word in found:
+                continue
+            same = known.get(word.encode()) if word.isascii() and word.isalpha() else None
+            if same:
+                found[word] = same
+            else:
+                fresh.append(word)
+        text_of = self.text_of
+        for word, tokens in self.encoder.encode_words(fresh).items():
+            found[word] = (" ".join([text_of[t] for t in tokens]), " ".join(tokens))
         for chunk, parts in split.items():
-            found = [t for p in parts for t in ([p] if isinstance(p, str) else chain.from_iterable(tokens[w] for w in p))]
-            ids = tuple(self.special[t] if t in self.special else self.vocab[t] for t in found)
-            self.known[chunk] = (ids, " ".join(map(str, ids)), " ".join(self.token_of[i] for i in ids))
+            if len(parts) == 1:
+                known[chunk] = found[parts[0]]
+            else:
+                pairs = [found[w] for w in parts]
+                known[chunk] = (" ".join([p[0] for p in pairs]), " ".join([p[1] for p in pairs]))
 
-    def chunks(self, text: str) -> list[tuple[tuple[int, ...], str, str]]:
-        """Per chunk that has tokens: the ids, the ids as text, the decoded text."""
+    def chunks(self, text: str) -> list[tuple[str, str]]:
+        """Per chunk that has tokens: the ids as text, and the decoded text."""
         known = self.known
-        cut = [c for c in _SPACE.split(text) if c]
-        return [k for k in (known[c] for c in cut) if k[0]]
+        return [k for k in [known[c] for c in text.encode().split()] if k[0]]
 
     def load(self, given: list[str]) -> None:
-        """Makes sure that every chunk of the texts is known."""
-        seen = {c for t in given for c in _SPACE.split(t) if c}
-        missing = seen - self.known.keys()
+        """Makes sure that every chunk of the texts is known; beyond the bound only these stay."""
+        seen = {c for t in given for c in t.encode().split()}
+        known = self.known
+        missing = seen - known.keys()
+        if len(known) + len(missing) > CACHE_CHUNKS:
+            self.known = {c: known[c] for c in seen if c in known}
         if missing:
-            self._learn(seen if len(self.known) + len(missing) > CACHE_CHUNKS else missing)
+            self._learn(missing)
 
     def encode(self, given: list[str]) -> list[list[int]]:
         self.load(given)
-        return [[i for ids, _, _ in self.chunks(t) for i in ids] for t in given]
+        return [[int(i) for ids, _ in self.chunks(t) for i in ids.split(" ")] for t in given]
 
     def decode(self, ids: list[int]) -> str:
         return " ".join(self.token_of[i] for i in ids)
@@ -222,9 +246,10 @@ def round_trip(docs: DataFrame, path: str) -> DataFrame:
             n, ids, decoded = [], [], []
             for text in given:
                 found = own.chunks(text)
-                n.append(sum(len(k[0]) for k in found))
-                ids.append(digest(" ".join([k[1] for k in found])))
-                decoded.append(digest(" ".join([k[2] for k in found])))
+                joined = " ".join([k[0] for k in found])
+                n.append(joined.count(" ") + 1 if joined else 0)
+                ids.append(digest(joined))
+                decoded.append(digest(" ".join([k[1] for k in found])))
             yield pa.RecordBatch.from_arrays(
                 [batch["doc_id"], pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())],
                 names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
