@@ -15,8 +15,8 @@ connected needs no further pairs. (5) Pairs of different components that share a
 all prefixes are verified by exact intersection. (6) Components over all verified links.
 
 Text without words: an empty set, linked with nothing; a null id stays null. Repeated rows
-and equal texts are one node, so their number makes no pairs. Set and token hashes have 64
-bits. No partner or candidate is capped; the list of common tokens steers partitioning and
+and equal texts are one node, so their number makes no pairs. Token hashes have 56 bits and
+set hashes 64. No partner or candidate is capped; the list of common tokens steers partitioning and
 order only, and any order gives the same links.
 """
 
@@ -50,33 +50,51 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+class _Hashes(dict):
+    """Hashes of words, computed at first sight."""
+
+    def __missing__(self, word: bytes) -> int:
+        value = self[word] = xxhash.xxh64_intdigest(word)
+        return value
+
+
 class Shingler:
-    """Token sets of texts; remembers the hashes of words seen in the batch."""
+    """Token sets of texts; remembers the hashes of words up to a bound."""
 
     def __init__(self, words: int = WORDS):
-        self.words, self.hashes = words, {}
+        self.words, self.hashes = words, _Hashes()
 
     def tokens(self, text: str) -> np.ndarray:
-        """The distinct hashes of the text's word n-grams, sorted; the lowest bit is 0."""
+        """The distinct hashes of the text's word n-grams, sorted: 56 bits, of which the lowest is 0."""
         words = text.encode().translate(_LOWER).split()
         if not words:
             return np.zeros(0, dtype=np.uint64)
         known = self.hashes
         if len(known) > 500_000:
             known.clear()
-        try:
-            found = [known[w] for w in words]
-        except KeyError:
-            for w in words:
-                if w not in known:
-                    known[w] = xxhash.xxh64_intdigest(w)
-            found = [known[w] for w in words]
-        h = np.array(found, dtype=np.uint64)
+        h = np.array([known[w] for w in words], dtype=np.uint64)
         n = min(self.words, len(h))
         rolled = np.full(len(h) - n + 1, n, dtype=np.uint64)
         for k in range(n):
             rolled = rolled * _MIX[0] + h[k:len(h) - n + 1 + k]
-        return np.unique(_mixed(rolled) & ~np.uint64(1))
+        return np.unique(_mixed(rolled) >> np.uint64(9)) << np.uint64(1)
+
+
+class _Common:
+    """Marks the common tokens: their lowest bit is set. A table over the leading bits spares most look-ups."""
+
+    def __init__(self, common: np.ndarray):
+        self.common = common
+        self.leading = np.zeros(1 << 16, dtype=bool)
+        self.leading[common >> np.uint64(40)] = True
+
+    def mark(self, tokens: np.ndarray) -> np.ndarray:
+        maybe = np.flatnonzero(self.leading[tokens >> np.uint64(40)])
+        if len(maybe):
+            place = np.searchsorted(self.common, tokens[maybe])
+            place[place == len(self.common)] = 0
+            tokens[maybe[self.common[place] == tokens[maybe]]] |= np.uint64(1)
+        return tokens
 
 
 def set_hash(tokens: np.ndarray) -> int:
@@ -120,7 +138,7 @@ def _shared_tokens(docs: DataFrame, words: int, common: np.ndarray) -> DataFrame
     """(set_id, token, df) of every token that two or more sets have."""
 
     def emit(batches):
-        own = Shingler(words)
+        own, known = Shingler(words), _Common(common)
         for batch in sized(batches, "text"):
             done, sets, lists = set(), [], []
             for text in texts(batch):
@@ -130,7 +148,7 @@ def _shared_tokens(docs: DataFrame, words: int, common: np.ndarray) -> DataFrame
                     continue
                 done.add(key)
                 sets.append(key)
-                lists.append(tokens | np.isin(tokens, common).astype(np.uint64) if len(common) else tokens)
+                lists.append(known.mark(tokens) if len(common) else tokens)
             sizes = np.array([len(x) for x in lists], dtype=np.int64)
             flat = np.concatenate(lists).view(np.int64) if lists else np.zeros(0, np.int64)
             offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
@@ -193,7 +211,8 @@ def prefix_length(n: int, percent: int = PERCENT) -> int:
 
 
 def _active(shared: DataFrame, nodes: DataFrame, percent: int, orders: int) -> DataFrame:
-    """The sets whose prefixes hold shared tokens: their shared tokens, and those of each prefix with a flag per order."""
+    """The sets whose prefixes hold shared tokens: their shared tokens, and those of the prefixes with their place in
+    each order, counted from 1 and with the unshared tokens before them (0: not in that prefix)."""
     lists = shared.groupBy("set_id").agg(F.collect_set(F.struct("df", "token")).alias("rows"))
     known = lists.join(nodes.select("set_id", "n_shingles", "mins"), "set_id").filter(
         F.col("n_shingles") - F.size("rows") < F.expr(f"n_shingles + floor(-n_shingles * {percent} / 100D) + 1"))
@@ -208,24 +227,28 @@ def _active(shared: DataFrame, nodes: DataFrame, percent: int, orders: int) -> D
             token = flat.field("token").to_numpy(zero_copy_only=False)
             ends = np.concatenate([[0], np.cumsum(rows.value_lengths().to_numpy(zero_copy_only=False))])
             sizes = batch["n_shingles"].to_pylist()
-            tokens, prefix, flags = [], [], []
+            tokens, prefix, places, weights, own = [], [], [], [], []
             for k, n in enumerate(sizes):
                 t, f = token[ends[k]:ends[k + 1]], df[ends[k]:ends[k + 1]]
                 most = prefix_length(n, percent) - (n - len(t))
-                flag = np.zeros(len(t), dtype=np.int32)
+                place = np.zeros((len(t), orders), dtype=np.int32)
                 for o in range(orders):
                     tie = t.view(np.uint64) * _ODD[1][o]
-                    flag[np.lexsort((tie, f))[:most]] |= 1 << o
+                    first = np.lexsort((tie, f))[:most]
+                    place[first, o] = np.arange(n - len(t) + 1, n - len(t) + 1 + len(first))
+                own.append(n - len(t))
+                weights.append((int(f.sum()) + n - len(t)) / n)
                 tokens.append(np.sort(t))
-                prefix.append(t[flag > 0])
-                flags.append(flag[flag > 0])
+                inside = place.any(axis=1)
+                prefix.append(t[inside])
+                places.append(place[inside].tolist())
             yield pa.RecordBatch.from_arrays(
                 [batch["set_id"], batch["n_shingles"], batch["mins"], pa.array(tokens, pa.list_(pa.int64())),
-                 pa.array(prefix, pa.list_(pa.int64())), pa.array(flags, pa.list_(pa.int32()))],
-                names=["set_id", "n", "mins", "tokens", "prefix", "flags"])
+                 pa.array(prefix, pa.list_(pa.int64())), pa.array(places, pa.list_(pa.list_(pa.int32()))), pa.array(weights, pa.float64()), pa.array(own, pa.int64())],
+                names=["set_id", "n", "mins", "tokens", "prefix", "places", "weight", "u"])
 
     return known.select("set_id", "n_shingles", "mins", "rows").mapInArrow(
-        prefixes, "set_id long, n long, mins array<long>, tokens array<long>, prefix array<long>, flags array<int>")
+        prefixes, "set_id long, n long, mins array<long>, tokens array<long>, prefix array<long>, places array<array<int>>, weight double, u long")
 
 
 def _verified(pairs: DataFrame, active: DataFrame, percent: int) -> DataFrame:
@@ -254,33 +277,48 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def _compatible(percent: int):
-    return 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
+    """Can the pair reach the threshold? ``u`` tokens of each set are its own alone: never in the intersection, always in the union."""
+    most = F.least(F.col("n_a") - F.col("u_a"), F.col("n_b") - F.col("u_b"))
+    return 100 * most >= percent * F.greatest(F.col("n_a") + F.col("u_b"), F.col("n_b") + F.col("u_a"))
 
 
 def _stars(active: DataFrame, percent: int, hashes: int) -> DataFrame:
-    """Pairs of a set and the first set with the same min-hash, if at least half of their min-hashes agree."""
-    rows = active.select("set_id", "n", "mins", F.posexplode("mins").alias("k", "least"))
-    centres = rows.groupBy("k", "least").agg(F.min(F.struct("set_id", "n", "mins")).alias("c"), F.count("*").alias("size")).filter("size > 1")
+    """Pairs of a set and the centre of those with the same min-hash, if at least half of their min-hashes agree.
+
+    The centre has the tokens of the highest mean frequency: of a text and its altered copies
+    that is the text itself, which is nearer to each copy than the copies are to each other.
+    """
+    rows = active.select("set_id", "n", "u", "mins", "weight", F.posexplode("mins").alias("k", "least"))
+    centres = rows.groupBy("k", "least").agg(
+        F.max(F.struct("weight", "set_id", "n", "u", "mins")).alias("c"), F.count("*").alias("size")).filter("size > 1")
     pairs = rows.join(centres, ["k", "least"]).filter(F.col("set_id") != F.col("c.set_id")).select(
-        F.col("set_id").alias("b"), F.col("c.set_id").alias("a"), F.col("n").alias("n_b"), F.col("c.n").alias("n_a"),
+        F.least("set_id", "c.set_id").alias("a"), F.greatest("set_id", "c.set_id").alias("b"), F.col("n").alias("n_b"),
+        F.col("c.n").alias("n_a"), F.col("u").alias("u_b"), F.col("c.u").alias("u_a"),
         F.size(F.filter(F.arrays_zip(F.col("mins").alias("x"), F.col("c.mins").alias("y")), lambda z: z["x"] == z["y"])).alias("agree"))
     return pairs.filter(_compatible(percent) & (F.col("agree") * 2 >= hashes)).select("a", "b").distinct()
 
 
 def _candidates(active: DataFrame, labels: DataFrame, percent: int, orders: int) -> DataFrame:
-    """Pairs of sets in different components that share a prefix token under every order."""
-    rows = active.select("set_id", "n", F.explode(F.arrays_zip("prefix", "flags")).alias("p")).select(
-        "set_id", "n", F.col("p.prefix").alias("token"), F.col("p.flags").alias("flags"))
+    """Pairs of sets in different components that share a prefix token under every order.
+
+    If a token is the first that a pair shares in some order, the pair shares at most that
+    one and what follows it on either side. A token counts for an order only if that is enough.
+    """
+    rows = active.select("set_id", "n", F.explode(F.arrays_zip("prefix", "places")).alias("p")).select(
+        "set_id", "n", F.col("p.prefix").alias("token"), F.col("p.places").alias("places"))
     rows = rows.join(labels, rows["set_id"] == labels["node"], "left").select(
-        "token", "set_id", "n", "flags", F.coalesce("label", "set_id").alias("label"))
+        "token", "set_id", "n", "places", F.coalesce("label", "set_id").alias("label"))
     several = rows.groupBy("token").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x < y").select("token")
     rows = written(rows.join(several, "token", "left_semi"), "postings")
-    left, right = (rows.select("token", F.col("set_id").alias(s), F.col("n").alias(f"n_{s}"), F.col("flags").alias(f"f_{s}"),
+    left, right = (rows.select("token", F.col("set_id").alias(s), F.col("n").alias(f"n_{s}"), F.col("places").alias(f"p_{s}"),
                                F.col("label").alias(f"l_{s}")) for s in "ab")
-    met = left.join(right, [left["token"] == right["token"], F.col("a") < F.col("b"), F.col("l_a") != F.col("l_b"),
-                            _compatible(percent), F.col("f_a").bitwiseAND(F.col("f_b")) != 0])
-    flags = F.bit_or(F.col("f_a").bitwiseAND(F.col("f_b")))
-    return met.groupBy("a", "b").agg(flags.alias("flags")).filter(F.col("flags") == (1 << orders) - 1).select("a", "b")
+    flags = F.lit(0)
+    for o in range(orders):
+        a, b = F.get("p_a", o), F.get("p_b", o)
+        most = F.least(F.col("n_a") - a, F.col("n_b") - b) + 1
+        flags = flags + F.when((a > 0) & (b > 0) & ((100 + percent) * most >= percent * (F.col("n_a") + F.col("n_b"))), 1 << o).otherwise(0)
+    met = left.join(right, [left["token"] == right["token"], F.col("a") < F.col("b"), F.col("l_a") != F.col("l_b"), flags > 0])
+    return met.groupBy("a", "b").agg(F.bit_or(flags).alias("flags")).filter(F.col("flags") == (1 << orders) - 1).select("a", "b")
 
 
 def common_tokens(sketches: DataFrame) -> np.ndarray:
