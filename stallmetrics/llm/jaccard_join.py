@@ -36,6 +36,8 @@ ORDERS = 3
 HASHES = 12
 #: A token is common if it is in at least this share of all sets. Their number is bounded by the mean set size over it.
 COMMON_SHARE = 0.001
+#: Frequencies up to this are told apart; above it, every doubling is a class. The class stands above a token's 56 bits.
+EXACT_DF = 64
 #: Sets of one token whose rows a task holds back to count them; a larger group counts as most frequent.
 EXACT_ROWS = 50_000
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
@@ -106,7 +108,7 @@ def _min_hashes(tokens: np.ndarray, hashes: int) -> np.ndarray:
     return np.array([(tokens * odd).min() for odd in _ODD[0][:hashes]], dtype=np.uint64).view(np.int64)
 
 
-def _sketches(docs: DataFrame, words: int, hashes: int) -> DataFrame:
+def _sketches(docs: DataFrame, words: int) -> DataFrame:
     """A row per text, and rows (set null) with the common tokens of each batch."""
 
     def run(batches):
@@ -115,7 +117,6 @@ def _sketches(docs: DataFrame, words: int, hashes: int) -> DataFrame:
             sets = [own.tokens(t) for t in texts(batch)]
             keys = [set_hash(s) if len(s) else None for s in sets]
             first = {k: s for k, s in zip(keys, sets, strict=True) if k is not None}
-            mins = [_min_hashes(s, hashes) if len(s) else None for s in sets]
             token, count = (np.unique(np.concatenate(list(first.values())), return_counts=True) if first
                             else (np.zeros(0, np.uint64), np.zeros(0, np.int64)))
             often = count >= max(4, len(first) * COMMON_SHARE * 2)
@@ -125,17 +126,16 @@ def _sketches(docs: DataFrame, words: int, hashes: int) -> DataFrame:
                  pa.array([True] * len(sets) + [False] * pad),
                  pa.array([len(s) for s in sets] + [0] * pad, pa.int64()),
                  pa.array([*keys, *[None] * pad], pa.int64()),
-                 pa.array([*mins, *[None] * pad], pa.list_(pa.int64())),
                  pa.array([*[None] * len(sets), *token[often].view(np.int64).tolist()], pa.int64()),
                  pa.array([0] * len(sets) + count[often].tolist(), pa.int64())],
-                names=["doc_id", "is_text", "n_shingles", "set_id", "mins", "token", "seen"])
+                names=["doc_id", "is_text", "n_shingles", "set_id", "token", "seen"])
 
     return docs.select("doc_id", "text").mapInArrow(
-        run, "doc_id long, is_text boolean, n_shingles long, set_id long, mins array<long>, token long, seen long")
+        run, "doc_id long, is_text boolean, n_shingles long, set_id long, token long, seen long")
 
 
 def _shared_tokens(docs: DataFrame, words: int, common: np.ndarray) -> DataFrame:
-    """(set_id, token, df) of every token that two or more sets have."""
+    """(set_id, token) of every token that two or more sets have, its class of frequency in the top bits."""
 
     def emit(batches):
         own, known = Shingler(words), _Common(common)
@@ -187,22 +187,26 @@ def _shared_tokens(docs: DataFrame, words: int, common: np.ndarray) -> DataFrame
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = rows.repartition(parts, F.when(F.col("token").bitwiseAND(F.lit(1)) == 0, F.col("token"))
                              .otherwise(F.xxhash64("token", "set_id")))
-    return dealt.sortWithinPartitions("token").mapInArrow(count, "set_id long, token long, df long")
+    return dealt.sortWithinPartitions("token").mapInArrow(count, "set_id long, token long")
+
+
+def _class_of(df: np.ndarray) -> np.ndarray:
+    """Frequency classes below 127, in the order of the frequencies. Any order of tokens serves the filter."""
+    return np.where(df <= EXACT_DF, df, EXACT_DF + np.log2(np.maximum(df, EXACT_DF) / EXACT_DF).astype(np.int64) + 1)
 
 
 def _counted(token: np.ndarray, key: np.ndarray, sizes: np.ndarray, large) -> list[pa.RecordBatch]:
-    """The rows of tokens with two or more distinct sets; ``df`` is the same for every row of a token."""
+    """The rows of tokens with two or more distinct sets; every row of a token has the same class of frequency."""
     df = np.repeat(sizes, sizes)
-    common = (token & 1) == 1
-    df = np.where(common | (df > EXACT_ROWS) | ((token == large) if large is not None else False), EXACT_ROWS + 1, df)
+    frequent = ((token & 1) == 1) | (df > EXACT_ROWS) | ((token == large) if large is not None else False)
     # the same set may come from several batches: a token of one set alone is not shared
     group = np.repeat(np.arange(len(sizes)), sizes)
     least, most = (np.full(len(sizes), fill, dtype=np.int64) for fill in (np.iinfo(np.int64).max, np.iinfo(np.int64).min))
     np.minimum.at(least, group, key)
     np.maximum.at(most, group, key)
-    keep = (least < most)[group] | (df > EXACT_ROWS)
-    return [pa.RecordBatch.from_arrays([pa.array(key[keep]), pa.array(token[keep]), pa.array(df[keep])],
-                                       names=["set_id", "token", "df"])] if keep.any() else []
+    keep = (least < most)[group] | frequent
+    ranked = token | np.where(frequent, 126, _class_of(df)) << 56
+    return [pa.RecordBatch.from_arrays([pa.array(key[keep]), pa.array(ranked[keep])], names=["set_id", "token"])] if keep.any() else []
 
 
 def prefix_length(n: int, percent: int = PERCENT) -> int:
@@ -213,8 +217,8 @@ def prefix_length(n: int, percent: int = PERCENT) -> int:
 def _active(shared: DataFrame, nodes: DataFrame, percent: int, orders: int) -> DataFrame:
     """The sets whose prefixes hold shared tokens: their shared tokens, and those of the prefixes with their place in
     each order, counted from 1 and with the unshared tokens before them (0: not in that prefix)."""
-    lists = shared.groupBy("set_id").agg(F.collect_set(F.struct("df", "token")).alias("rows"))
-    known = lists.join(nodes.select("set_id", "n_shingles", "mins"), "set_id").filter(
+    lists = shared.groupBy("set_id").agg(F.collect_set("token").alias("rows"))
+    known = lists.join(nodes.select("set_id", "n_shingles"), "set_id").filter(
         F.col("n_shingles") - F.size("rows") < F.expr(f"n_shingles + floor(-n_shingles * {percent} / 100D) + 1"))
 
     def prefixes(batches):
@@ -222,41 +226,71 @@ def _active(shared: DataFrame, nodes: DataFrame, percent: int, orders: int) -> D
             if not batch.num_rows:
                 continue
             rows = batch["rows"]
-            flat = rows.flatten()
-            df = flat.field("df").to_numpy(zero_copy_only=False)
-            token = flat.field("token").to_numpy(zero_copy_only=False)
+            token = rows.flatten().to_numpy(zero_copy_only=False)
             ends = np.concatenate([[0], np.cumsum(rows.value_lengths().to_numpy(zero_copy_only=False))])
             sizes = batch["n_shingles"].to_pylist()
-            tokens, prefix, places, weights, own = [], [], [], [], []
+            tokens, mins, places, weights, own = [], [], [], [], []
             for k, n in enumerate(sizes):
-                t, f = token[ends[k]:ends[k + 1]], df[ends[k]:ends[k + 1]]
-                most = prefix_length(n, percent) - (n - len(t))
-                place = np.zeros((len(t), orders), dtype=np.int32)
+                t = np.sort(token[ends[k]:ends[k + 1]])
+                f, alone = t >> 56, n - len(t)
+                most = prefix_length(n, percent) - alone
+                place = np.zeros((orders, len(t)), dtype=np.int32)
                 for o in range(orders):
-                    tie = t.view(np.uint64) * _ODD[1][o]
-                    first = np.lexsort((tie, f))[:most]
-                    place[first, o] = np.arange(n - len(t) + 1, n - len(t) + 1 + len(first))
-                own.append(n - len(t))
-                weights.append((int(f.sum()) + n - len(t)) / n)
-                tokens.append(np.sort(t))
-                inside = place.any(axis=1)
-                prefix.append(t[inside])
-                places.append(place[inside].tolist())
+                    first = np.lexsort((t.view(np.uint64) * _ODD[1][o], f))[:most]
+                    place[o, first] = np.arange(alone + 1, alone + 1 + len(first))
+                own.append(alone)
+                weights.append((int(f.sum()) + alone) / n)
+                tokens.append(t)
+                mins.append(_min_hashes(t.view(np.uint64), HASHES))
+                places.append([p.tolist() for p in place])
             yield pa.RecordBatch.from_arrays(
-                [batch["set_id"], batch["n_shingles"], batch["mins"], pa.array(tokens, pa.list_(pa.int64())),
-                 pa.array(prefix, pa.list_(pa.int64())), pa.array(places, pa.list_(pa.list_(pa.int32()))), pa.array(weights, pa.float64()), pa.array(own, pa.int64())],
-                names=["set_id", "n", "mins", "tokens", "prefix", "places", "weight", "u"])
+                [batch["set_id"], batch["n_shingles"], pa.array(own, pa.int64()), pa.array(weights, pa.float64()),
+                 pa.array(mins, pa.list_(pa.int64())), pa.array(tokens, pa.list_(pa.int64())),
+                 pa.array(places, pa.list_(pa.list_(pa.int32())))],
+                names=["set_id", "n", "u", "weight", "mins", "tokens", "places"])
+
+    return known.select("set_id", "n_shingles", "rows").mapInArrow(
+        prefixes, "set_id long, n long, u long, weight double, mins array<long>, tokens array<long>, places array<array<int>>")
+
+
+def _enough(n_a: int, n_b: int, a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
+    """For shared tokens at places ``a`` and ``b`` of an order: could the pair reach the threshold if this is the first?"""
+    most = np.minimum(n_a - a, n_b - b) + 1
+    return (a > 0) & (b > 0) & ((100 + percent) * most >= percent * (n_a + n_b))
 
-    return known.select("set_id", "n_shingles", "mins", "rows").mapInArrow(
-        prefixes, "set_id long, n long, mins array<long>, tokens array<long>, prefix array<long>, places array<array<int>>, weight double, u long")
 
+def _verified(pairs: DataFrame, active: DataFrame, percent: int, orders: int) -> DataFrame:
+    """The pairs (a, b) that pass the filter of every order and then reach the threshold.
+
+    Tokens of one set alone cannot be common ones, so the shared ones do. Only sets that
+    occur in a pair are shuffled; Spark knows the size of the written ids and joins by it.
+    """
+    pairs = written(pairs.select("a", "b"), "candidates")
+    ids = written(pairs.select(F.col("a").alias("set_id")).union(pairs.select("b")).distinct(), "ids")
+    sets = active.join(ids, "set_id", "left_semi")
+    side = {s: sets.select(F.col("set_id").alias(s), F.col("n").alias(f"n_{s}"), F.col("tokens").alias(f"t_{s}"),
+                           *([F.col("places").alias(f"p_{s}")] if orders else [])) for s in "ab"}
+
+    def check(batches):
+        for batch in batches:
+            keep = []
+            for row in range(batch.num_rows):
+                n_a, n_b = (batch[c][row].as_py() for c in ("n_a", "n_b"))
+                t_a, t_b = (batch[c][row].values.to_numpy() for c in ("t_a", "t_b"))
+                good = True
+                for o in range(orders):
+                    a, b = (batch[c][row].values[o].values.to_numpy() for c in ("p_a", "p_b"))
+                    _, i, j = np.intersect1d(t_a[a > 0], t_b[b > 0], assume_unique=True, return_indices=True)
+                    good = good and bool(_enough(n_a, n_b, a[a > 0][i], b[b > 0][j], percent).any())
+                if good:
+                    common = len(np.intersect1d(t_a, t_b, assume_unique=True))
+                    good = 100 * common >= percent * (n_a + n_b - common)
+                if good:
+                    keep.append(row)
+            if keep:
+                yield batch.select(["a", "b"]).take(pa.array(keep))
 
-def _verified(pairs: DataFrame, active: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that reach the threshold. Tokens of one set alone cannot be common ones, so the shared ones do."""
-    side = {s: active.select(F.col("set_id").alias(s), F.col("n").alias(f"n_{s}"), F.col("tokens").alias(f"t_{s}")) for s in "ab"}
-    both = pairs.select("a", "b").join(side["a"], "a").join(side["b"], "b")
-    common = F.size(F.array_intersect("t_a", "t_b"))
-    return both.filter(100 * common >= percent * (F.col("n_a") + F.col("n_b") - common)).select("a", "b")
+    return pairs.join(side["a"], "a").join(side["b"], "b").mapInArrow(check, "a long, b long")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -298,27 +332,24 @@ def _stars(active: DataFrame, percent: int, hashes: int) -> DataFrame:
     return pairs.filter(_compatible(percent) & (F.col("agree") * 2 >= hashes)).select("a", "b").distinct()
 
 
-def _candidates(active: DataFrame, labels: DataFrame, percent: int, orders: int) -> DataFrame:
-    """Pairs of sets in different components that share a prefix token under every order.
+def _candidates(active: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """Pairs of sets in different components that share a prefix token under the first order.
 
     If a token is the first that a pair shares in some order, the pair shares at most that
-    one and what follows it on either side. A token counts for an order only if that is enough.
+    one and what follows it on either side. A token counts only if that is enough.
     """
-    rows = active.select("set_id", "n", F.explode(F.arrays_zip("prefix", "places")).alias("p")).select(
-        "set_id", "n", F.col("p.prefix").alias("token"), F.col("p.places").alias("places"))
+    rows = active.select("set_id", "n", F.explode(F.arrays_zip("tokens", F.get("places", 0).alias("place"))).alias("p")).select(
+        "set_id", "n", F.col("p.tokens").alias("token"), F.col("p.place").alias("place")).filter("place > 0")
     rows = rows.join(labels, rows["set_id"] == labels["node"], "left").select(
-        "token", "set_id", "n", "places", F.coalesce("label", "set_id").alias("label"))
+        "token", "set_id", "n", "place", F.coalesce("label", "set_id").alias("label"))
     several = rows.groupBy("token").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x < y").select("token")
     rows = written(rows.join(several, "token", "left_semi"), "postings")
-    left, right = (rows.select("token", F.col("set_id").alias(s), F.col("n").alias(f"n_{s}"), F.col("places").alias(f"p_{s}"),
+    left, right = (rows.select("token", F.col("set_id").alias(s), F.col("n").alias(f"n_{s}"), F.col("place").alias(f"p_{s}"),
                                F.col("label").alias(f"l_{s}")) for s in "ab")
-    flags = F.lit(0)
-    for o in range(orders):
-        a, b = F.get("p_a", o), F.get("p_b", o)
-        most = F.least(F.col("n_a") - a, F.col("n_b") - b) + 1
-        flags = flags + F.when((a > 0) & (b > 0) & ((100 + percent) * most >= percent * (F.col("n_a") + F.col("n_b"))), 1 << o).otherwise(0)
-    met = left.join(right, [left["token"] == right["token"], F.col("a") < F.col("b"), F.col("l_a") != F.col("l_b"), flags > 0])
-    return met.groupBy("a", "b").agg(F.bit_or(flags).alias("flags")).filter(F.col("flags") == (1 << orders) - 1).select("a", "b")
+    most = F.least(F.col("n_a") - F.col("p_a"), F.col("n_b") - F.col("p_b")) + 1
+    met = left.join(right, [left["token"] == right["token"], F.col("a") < F.col("b"), F.col("l_a") != F.col("l_b"),
+                            (100 + percent) * most >= percent * (F.col("n_a") + F.col("n_b"))])
+    return met.select("a", "b").distinct()
 
 
 def common_tokens(sketches: DataFrame) -> np.ndarray:
@@ -331,14 +362,14 @@ def common_tokens(sketches: DataFrame) -> np.ndarray:
 
 def link_texts(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, orders: int = ORDERS) -> DataFrame:
     """doc_id, n_shingles and component_id of every row of ``docs``."""
-    sketches = written(_sketches(docs, words, HASHES), "sketches")
+    sketches = written(_sketches(docs, words), "sketches")
     rows = sketches.filter("is_text").select("doc_id", "n_shingles", "set_id")
     nodes = sketches.filter("set_id IS NOT NULL").groupBy("set_id").agg(
-        F.min("doc_id").alias("first_id"), F.min("n_shingles").alias("n_shingles"), F.first("mins").alias("mins"))
+        F.min("doc_id").alias("first_id"), F.min("n_shingles").alias("n_shingles"))
     shared = _shared_tokens(docs, words, common_tokens(sketches))
     active = written(_active(shared, nodes, percent, orders), "active")
-    stars = written(_verified(_stars(active, percent, HASHES), active, percent), "stars")
-    pairs = written(_verified(_candidates(active, components(stars), percent, orders), active, percent), "pairs")
+    stars = written(_verified(_stars(active, percent, HASHES), active, percent, 0), "stars")
+    pairs = written(_verified(_candidates(active, components(stars), percent), active, percent, orders), "pairs")
     labels = components(stars.union(pairs))
     firsts = sketches.filter("set_id IS NOT NULL").groupBy("set_id").agg(F.min("doc_id").alias("first_id"))
     named = firsts.join(labels, F.col("set_id") == F.col("node"), "left")
