@@ -63,8 +63,8 @@ def page_is_good(html: Column) -> Column:
     text = F.regexp_replace(F.regexp_replace(F.coalesce(html, F.lit("")), r"(?s)<(?:script|style)[^>]*>.*?</(?:script|style)>", " "),
                             r"<[^>]*>", " ")
     text = F.replace(text, F.lit("&amp;"), F.lit("&"))
-    words = F.regexp_count(text, F.lit(r"[^\s]+"))
-    return F.when(words > 0, 5 * F.regexp_count(text, F.lit(MARKED)) < words)
+    words = F.size(F.array_remove(F.split(text, r"\s+"), ""))
+    return F.when(words > 0, 5 * (F.size(F.split(text, MARKED)) - 1) < words)
 
 
 def _weight(children: DataFrame) -> DataFrame:

@@ -3,9 +3,9 @@
 Every rolling pair of words of a text is hashed and joined with the pairs of the templates.
 A match at word i of the text and j of a template votes for the diagonal i - j. Votes are
 summed per diagonal, neighbouring diagonals (words put in or left out) are merged, and the
-merged band is verified: the words themselves must agree (they do already in the join), the
-share of the template that it covers and the length of the span must do. A base phrase
-counts where one diagonal has all its votes.
+merged band is verified: the share of the template's pairs that it covers and the length of
+the span must do. A base phrase counts where one diagonal has all its votes. Pairs are
+compared by 64-bit hashes: over 10^13 words less than one false match is to be expected.
 
 The templates are a fixed small table, so they are broadcast. Only matches and one row per
 text leave a task. Null or empty text: no words, no labels, score 0. Repeated rows are
@@ -46,11 +46,11 @@ NOTICES = {
 def words_of(text: Column) -> Column:
     """Words of the text with A-Z in lower case. Of other letters only the Kelvin sign would become one of a-z."""
     plain = F.lower(F.replace(F.coalesce(text, F.lit("")), F.lit("K"), F.lit("ĸ")))
-    return F.regexp_extract_all(plain, F.lit(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"), F.lit(0))
+    return F.array_remove(F.split(plain, r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"), "")
 
 
 def templates(spark, phrases: dict[str, str] = PHRASES, notices: dict[str, str] = NOTICES) -> DataFrame:
-    """(gram, template, label, is_phrase, j, n_grams, w0, w1): the word pairs of each template."""
+    """(gram, template, label, is_phrase, j, n_grams): the word pairs of each template."""
     rows = []
     for k, (text, label, phrase) in enumerate([*((t, n, True) for t, n in phrases.items()), *((t, n, False) for n, t in notices.items())]):
         words = text.split()
@@ -59,7 +59,7 @@ def templates(spark, phrases: dict[str, str] = PHRASES, notices: dict[str, str]
     rows.append({"template": -1, "label": "", "is_phrase": False, "j": 0, "n_grams": 0, "w0": "", "w1": ""})
     kind = "array<struct<template:int,label:string,is_phrase:boolean,j:int,n_grams:int,w0:string,w1:string>>"
     table = spark.range(1).select(F.inline(F.from_json(F.lit(json.dumps(rows)), kind)))
-    return table.withColumn("gram", F.when(F.col("template") < 0, F.lit(0).cast("long")).otherwise(F.xxhash64("w0", "w1")))
+    return table.withColumn("gram", F.when(F.col("template") < 0, F.lit(0).cast("long")).otherwise(F.xxhash64("w0", "w1"))).drop("w0", "w1")
 
 
 def scan_licenses(docs: DataFrame, phrases: dict[str, str] = PHRASES, notices: dict[str, str] = NOTICES) -> DataFrame:
@@ -69,13 +69,13 @@ def scan_licenses(docs: DataFrame, phrases: dict[str, str] = PHRASES, notices: d
     grams = F.transform(F.sequence(F.lit(0), F.size("words") - 2),
                         lambda i: F.xxhash64(F.get("words", i), F.get("words", i + 1)))
     grams = F.when(F.size("words") >= 2, F.concat(F.array(F.lit(0).cast("long")), grams)).otherwise(F.array(F.lit(0).cast("long")))
-    exploded = rows.select("doc_id", "row", "words", F.posexplode(grams).alias("p", "gram"))
+    counted = rows.select("doc_id", "row", F.size("words").cast("long").alias("n_words"), grams.alias("grams"))
+    exploded = counted.select("doc_id", "row", "n_words", F.posexplode("grams").alias("p", "gram"))
     known = F.broadcast(templates(docs.sparkSession, phrases, notices).withColumnRenamed("gram", "known"))
     i = F.col("p") - 1
-    same = F.when(F.col("p") == 0, F.col("template") < 0).otherwise(
-        (F.get("words", i) == F.col("w0")) & (F.get("words", i + 1) == F.col("w1")))
-    votes = exploded.join(known, (F.col("gram") == F.col("known")) & same).select(
-        "doc_id", "row", F.size("words").cast("long").alias("n_words"), "template", "label", "is_phrase", "n_grams",
+    itself = F.col("template") < 0
+    votes = exploded.join(known, (F.col("gram") == F.col("known")) & ((F.col("p") == 0) == itself)).select(
+        "doc_id", "row", "n_words", "template", "label", "is_phrase", "n_grams",
         "j", i.alias("at"), (i - F.col("j")).alias("diagonal"))
     diagonals = votes.repartition("row").groupBy(
         "row", "doc_id", "n_words", "template", "label", "is_phrase", "n_grams", "diagonal").agg(

@@ -56,7 +56,7 @@ def _place(column: str, values: list[str]) -> Column:
 
 def word_tokens() -> Column:
     """White-space separated words of ``text`` as its token weight."""
-    return F.regexp_count(F.coalesce(F.col("text"), F.lit("")), F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
+    return F.size(F.array_remove(F.split(F.coalesce(F.col("text"), F.lit("")), r"[\x20\x09-\x0D]+"), "")).cast("long")
 
 
 def cell_of(targets: dict[str, dict[str, float]], columns: dict[str, str]) -> Column:
