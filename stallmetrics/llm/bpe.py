@@ -2,9 +2,8 @@
 
 The encoding of a text's prefix is the encoding of a shorter prefix plus one last token,
 and a sequence of tokens is an encoding exactly if each two neighbours are the encoding of
-their own join. The distinct new words of a batch go into a trie of symbols; a depth-first
-walk finds each node's last token from the states above it, so a shared prefix is encoded
-once. A word's tokens are read back along the last tokens of its path.
+their own join. The distinct new words of a batch go into a trie; a depth-first walk finds
+each node's last token from the states above it, so a shared prefix is encoded once. A word's tokens are read back along the last tokens of its path.
 
 Texts are cut at ASCII white space, which no token crosses. Plain printable ASCII is split
 into words here; all else is normalised and split by the tokenizer file's own components.
@@ -16,6 +15,7 @@ are encoded one by one; the cache of chunks is bounded.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import json
 import re
@@ -27,10 +27,13 @@ from pyspark.sql import DataFrame
 from stallmetrics.llm.common import sized, texts
 
 #: Chunks and pairs of tokens that a worker remembers.
-CACHE_CHUNKS = 1_000_000
+CACHE_CHUNKS = 1_500_000
 CACHE_PAIRS = 1_000_000
 _END = "</w>"
-_ASCII_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+#: Printable ASCII and the composed Latin letters up to U+017F but for the dotted capital I: composed, and lower-cased
+#: one to one, so their words can be found here.
+_LATIN = re.compile(r"[!-~À-ÖØ-öø-įı-ſ]+")
+_LATIN_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ſ]+|[0-9]|[^a-z0-9ß-öø-ſ]+")
 
 
 class TrieEncoder:
@@ -72,47 +75,40 @@ class TrieEncoder:
         return known
 
     def encode_words(self, words: list[str]) -> dict[str, list[str]]:
-        """The tokens of each distinct word."""
-        children: list[dict[str, int]] = [{}]
-        ends: dict[int, str] = {}
-        for word in words:
-            node = 0
-            for symbol in (*word[:-1], word[-1] + _END):
-                nxt = children[node].get(symbol)
-                if nxt is None:
-                    nxt = children[node][symbol] = len(children)
-                    children.append({})
-                node = nxt
-            ends[node] = word
+        """The tokens of each distinct word.
+
+        The trie is held as the sorted words: a node is a prefix that neighbours share, and
+        going through them in order is its depth-first walk. ``last`` has the last token of
+        each prefix of the present path; a word keeps the states of the prefix it shares.
+        """
         out: dict[str, list[str]] = {}
         vocab, pairs, fits, most = self.vocab, self.pairs, self.fits, self.longest
-        path = ""  # the symbols above, without a word's end mark
-        last: list[str] = [""]  # last token of each prefix of the path
-        todo = [(node, 1, symbol) for symbol, node in children[0].items()]
-        while todo:
-            node, depth, symbol = todo.pop()
-            path = path[:depth - 1] + symbol[0]
-            del last[depth:]
-            text = path if len(symbol) == 1 else path + _END
-            for start in range(depth - most if depth > most else 0, depth):
-                token = text[start:]
-                if token in vocab:
-                    fit = pairs.get((last[start], token))
-                    if fit or fit is None and fits(last[start], token):
-                        last.append(token)
-                        break
-            else:
-                raise ValueError(f"no encoding for {path!r}: the vocabulary lacks a symbol of it")
-            if len(symbol) > 1:
-                tokens, at = [token], start
-                while at:
-                    token = last[at]
-                    tokens.append(token)
-                    at -= len(token)
-                out[ends[node]] = tokens[::-1]
-            else:
-                for s, child in children[node].items():
-                    todo.append((child, depth + 1, s))
+        before, last = "", [""]
+        for word in sorted(words):
+            size = len(word)
+            shared, top = 0, min(size, len(before)) - 1
+            while shared < top and word[shared] == before[shared]:
+                shared += 1
+            del last[shared + 1:]
+            before = word
+            for depth in range(shared + 1, size + 1):
+                text = word[:depth] if depth < size else word + _END
+                for start in range(depth - most if depth > most else 0, depth):
+                    token = text[start:]
+                    if token in vocab:
+                        fit = pairs.get((last[start], token))
+                        if fit or fit is None and fits(last[start], token):
+                            last.append(token)
+                            break
+                else:
+                    raise ValueError(f"no encoding for {word!r}: the vocabulary lacks a symbol of it")
+            tokens, at = [token], start
+            while at:
+                token = last[at]
+                tokens.append(token)
+                at -= len(token)
+            out[word] = tokens[::-1]
+            del last[size:]  # the state of the ended word is no prefix of another
         return out
 
 
@@ -134,67 +130,81 @@ class Codec:
         self.token_of = {i: t for t, i in {**self.vocab, **self.special}.items()}
         parts = Tokenizer.from_file(path)
         self.normalizer, self.splitter = parts.normalizer, parts.pre_tokenizer
+        self.symbol_of = {c.encode()[0]: self.splitter.pre_tokenize_str(c)[0][0][0] for c in "ÀĀŀ"}
+        self.symbol_of |= {b: self.splitter.pre_tokenize_str(chr(b + 64))[0][0][1] for b in range(0x80, 0xC0)}
         self.text_of = {t: str(i) for t, i in self.vocab.items()}
         self.known: dict[bytes, tuple[str, str]] = {}
 
     def _words(self, chunk: str) -> list[str]:
-        if chunk.isascii() and chunk.isprintable():
-            chunk = chunk.lower()
-            return [chunk] if chunk.isalpha() else _ASCII_WORDS.findall(chunk)
-        return [w for w, _ in self.splitter.pre_tokenize_str(self.normalizer.normalize_str(chunk))]
+        """The chunk's words in the model's byte symbols."""
+        if not _LATIN.fullmatch(chunk):
+            return [w for w, _ in self.splitter.pre_tokenize_str(self.normalizer.normalize_str(chunk))]
+        chunk = chunk.lower()
+        words = [chunk] if chunk.isalpha() else _LATIN_WORDS.findall(chunk)
+        if chunk.isascii():
+            return words
+        return [w if w.isascii() else w.encode().decode("latin-1").translate(self.symbol_of) for w in words]
 
     def _learn(self, chunks: set[bytes]) -> None:
         """Adds new chunks: their words into one trie, then the chunks from their words.
 
         A word of plain lower-case letters is a chunk too, so a known one is taken as it is.
         """
-        known, split, words = self.known, {}, {}
+        known, special = self.known, self.special
+        found: dict[str, tuple[str, str]] = {}
+        split: list[tuple[bytes, list[str]]] = []
+        fresh: list[str] = []
         for raw in chunks:
             chunk = raw.decode()
             if self.cut and "<|" in chunk:
-                parts = [w for p in self.cut.split(chunk) if p for w in ([p] if p in self.special else self._words(p))]
+                parts = [w for p in self.cut.split(chunk) if p for w in ([p] if p in special else self._words(p))]
             else:
                 parts = self._words(chunk)
-            split[raw] = parts
-            words.update(dict.fromkeys(parts))
-        found: dict[str, tuple[str, str]] = {w: (str(self.special[w]), w) for w in words if w in self.special}
-        fresh = []
-        for word in words:
-            if word in found:
-                continue
-            same = known.get(word.encode()) if word.isascii() and word.isalpha() else None
-            if same:
-                found[word] = same
-            else:
-                fresh.append(word)
+            split.append((raw, parts))
+            for word in parts:
+                if word not in found:
+                    same = known.get(word.encode()) if word.isalpha() and word.isascii() else None
+                    if same is None:
+                        if word in special:
+                            same = (str(special[word]), word)
+                        else:
+                            fresh.append(word)
+                    found[word] = same
         text_of = self.text_of
         for word, tokens in self.encoder.encode_words(fresh).items():
             found[word] = (" ".join([text_of[t] for t in tokens]), " ".join(tokens))
-        for chunk, parts in split.items():
+        for raw, parts in split:
             if len(parts) == 1:
-                known[chunk] = found[parts[0]]
+                known[raw] = found[parts[0]]
             else:
                 pairs = [found[w] for w in parts]
-                known[chunk] = (" ".join([p[0] for p in pairs]), " ".join([p[1] for p in pairs]))
+                known[raw] = (" ".join([p[0] for p in pairs]), " ".join([p[1] for p in pairs]))
 
-    def chunks(self, text: str) -> list[tuple[str, str]]:
-        """Per chunk that has tokens: the ids as text, and the decoded text."""
-        known = self.known
-        return [k for k in [known[c] for c in text.encode().split()] if k[0]]
+    def chunks(self, given: list[str]) -> list[list[tuple[str, str]]]:
+        """Of each text, per chunk that has tokens: the ids as text, and the decoded text.
 
-    def load(self, given: list[str]) -> None:
-        """Makes sure that every chunk of the texts is known; beyond the bound only these stay."""
-        seen = {c for t in given for c in t.encode().split()}
+        Beyond the bound of the cache only the chunks of these texts stay in it.
+        """
+        cut = [t.encode().split() for t in given]
+        seen = set().union(*cut)
         known = self.known
         missing = seen - known.keys()
         if len(known) + len(missing) > CACHE_CHUNKS:
             self.known = {c: known[c] for c in seen if c in known}
         if missing:
-            self._learn(missing)
+            collecting = gc.isenabled()
+            gc.disable()  # many small tuples, no cycles
+            try:
+                self._learn(missing)
+            finally:
+                if collecting:
+                    gc.enable()
+        known = self.known
+        found = [[known[c] for c in words] for words in cut]
+        return [[k for k in f if k[0]] for f in found] if any(not known[c][0] for c in seen) else found
 
     def encode(self, given: list[str]) -> list[list[int]]:
-        self.load(given)
-        return [[int(i) for ids, _ in self.chunks(t) for i in ids.split(" ")] for t in given]
+        return [[int(i) for ids, _ in found for i in ids.split(" ")] for found in self.chunks(given)]
 
     def decode(self, ids: list[int]) -> str:
         return " ".join(self.token_of[i] for i in ids)
@@ -240,12 +250,8 @@ def round_trip(docs: DataFrame, path: str) -> DataFrame:
 
     def run(batches):
         for batch in sized(batches, "text"):
-            given = texts(batch)
-            own = codec(path)
-            own.load(given)
             n, ids, decoded = [], [], []
-            for text in given:
-                found = own.chunks(text)
+            for found in codec(path).chunks(texts(batch)):
                 joined = " ".join([k[0] for k in found])
                 n.append(joined.count(" ") + 1 if joined else 0)
                 ids.append(digest(joined))
