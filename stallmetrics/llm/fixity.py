@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from stallmetrics.llm.common import written
+
 #: Bytes of the lowest range and children of a node.
 RANGE_BYTES = 1 << 16
 FANOUT = 16
@@ -63,13 +65,14 @@ def _below(level: DataFrame, k: int, shape: tuple[int, int], fanout: int) -> Dat
 def tree(leaves: DataFrame, shape: tuple[int, int], range_bytes: int = RANGE_BYTES, fanout: int = FANOUT) -> list[DataFrame]:
     """Nodes (file, node, digest) of each level, from the byte ranges up to the one root.
 
-    A node gathers the records of one byte range, or ``fanout`` nodes: both are bounded.
+    A node gathers the records of one byte range, or ``fanout`` nodes: both are bounded. Each
+    level is written, so that going down reads it instead of hashing again.
     """
     ranged = leaves.withColumns({"up_file": F.col("file"), "up_node": F.floor(F.col("offset") / range_bytes).cast("long")})
-    out = [_hashed(ranged, "offset")]
+    out = [written(_hashed(ranged, "offset"), "level")]
     for k in range(sum(shape) - 1):
         order = "file" if k == shape[0] - 1 else "node"
-        out.append(_hashed(_below(out[-1], k, shape, fanout), order))
+        out.append(written(_hashed(_below(out[-1], k, shape, fanout), order), "level"))
     return out
 
 
@@ -108,7 +111,7 @@ def audit(left: DataFrame, right: DataFrame, range_bytes: int = RANGE_BYTES, fan
     for k in range(sum(shape) - 2, -1, -1):
         parents = wrong.select(F.col("file").alias("up_file"), F.col("node").alias("up_node"))
         a, b = (_below(x[k], k, shape, fanout).join(parents, ["up_file", "up_node"], "left_semi") for x in (lefts, rights))
-        wrong = _differing(a, b, ["file", "node"])
+        wrong = written(_differing(a, b, ["file", "node"]), "wrong")
 
     def inside(leaves: DataFrame, name: str) -> DataFrame:
         found = leaves.withColumn("node", F.floor(F.col("offset") / range_bytes).cast("long")).join(wrong, ["file", "node"], "left_semi")
