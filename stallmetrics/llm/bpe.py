@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from stallmetrics.llm.common import sized, texts
 
 #: Chunks and pairs of tokens that a worker remembers.
-CACHE_CHUNKS = 1_500_000
+CACHE_CHUNKS = 700_000
 CACHE_PAIRS = 1_000_000
 _END = "</w>"
 #: Printable ASCII and the composed Latin letters up to U+017F but for the dotted capital I: composed, and lower-cased
