@@ -148,8 +148,9 @@ def visibility_label(products: DataFrame, caps: DataFrame, position: str = "posi
     Instead of numbering all rows of a site (one task per site), find the position of the
     row at the cap -- a group limit on both sides of the shuffle keeps at most ``cap``
     rows per site and task -- and compare positions with it. ``position`` is unique in a
-    site; ``caps`` has one row per capped site.
+    site; ``caps`` has one row per capped site, and a null cap or one of 0 is none.
     """
+    caps = caps.filter(F.col("cap") > 0)
     largest = caps.agg(F.max("cap")).first()[0]
     numbered = products.select("site_id", position).join(caps, "site_id")
     head = first_n(numbered, ["site_id"], int(largest or 0), [position])

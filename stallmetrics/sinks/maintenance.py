@@ -11,9 +11,14 @@ from stallmetrics.sources import paths
 
 
 def backup_partition(spark: SparkSession, path: str, day, backup: str, column: str = PARTITION_COLUMN) -> None:
-    """Copy one day aside; an existing backup is kept as it is."""
-    rows = spark.read.parquet(path).filter(on_day(day, column))
-    rows.write.mode("ignore").partitionBy(column).parquet(backup)
+    """Copy one day aside, into the day's own folder below ``backup``.
+
+    A complete copy is kept as it is; what an interrupted run left is written anew.
+    """
+    target = f"{backup}/{column}={day}"
+    if not paths.exists(spark, f"{target}/_SUCCESS"):
+        rows = spark.read.parquet(path).filter(on_day(day, column))
+        rows.drop(column).write.mode("overwrite").parquet(target)
 
 
 def backup_table(spark: SparkSession, path: str, backup: str, column: str = PARTITION_COLUMN) -> None:
@@ -30,7 +35,7 @@ def delete_partition(spark: SparkSession, path: str, day, column: str = PARTITIO
 
 
 def replace_partition(clean: DataFrame, path: str, column: str = PARTITION_COLUMN) -> None:
-    """Replace exactly the days that occur in ``clean``, in one commit.
+    """Replace exactly the days that occur in ``clean``, partition by partition when the write commits.
 
     ``clean`` must not read the days it replaces: take it from a backup.
     """
@@ -44,8 +49,11 @@ merge_replace = replace_partition
 
 
 def restore_partition(spark: SparkSession, backup: str, path: str, day, column: str = PARTITION_COLUMN) -> None:
-    """Put a backed-up day back."""
-    replace_partition(spark.read.parquet(backup).filter(on_day(day, column)), path, column)
+    """Put a backed-up day back; fails if the backup does not hold the day."""
+    rows = spark.read.parquet(backup).filter(on_day(day, column))
+    if rows.isEmpty():
+        raise ValueError(f"{backup} has no rows of {day}")
+    replace_partition(rows, path, column)
 
 
 def rebuild_table(spark: SparkSession, path: str, day, clean: DataFrame, out: str,
@@ -56,11 +64,21 @@ def rebuild_table(spark: SparkSession, path: str, day, clean: DataFrame, out: st
 
 
 def swap_table(spark: SparkSession, new: str, current: str, backup: str) -> None:
-    """Put ``new`` in the place of ``current``, which is kept as ``backup``."""
+    """Put ``new`` in the place of ``current``, which is kept as ``backup``.
+
+    ``backup`` must not exist: a rename would move the table inside it. If the second rename
+    fails, the first is undone; after a crash between them ``backup`` is the table.
+    """
     if not paths.exists(spark, f"{new}/_SUCCESS"):
         raise ValueError(f"{new} is not a complete table")
+    if paths.exists(spark, backup):
+        raise ValueError(f"{backup} exists already")
     paths.rename(spark, current, backup)
-    paths.rename(spark, new, current)
+    try:
+        paths.rename(spark, new, current)
+    except Exception:
+        paths.rename(spark, backup, current)
+        raise
 
 
 def drop_temp(spark: SparkSession, path_or_table: str) -> None:

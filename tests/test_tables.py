@@ -274,3 +274,27 @@ def test_repeated_run_gives_the_same_log(spark):
         changes.detect_run(run, run_id, base + "/state", base + "/log", ["pos"], keep_unseen=True)
     assert rows(changes.read_change_log(spark, base + "/log"), "run_id", "new_price") == [(1, 2.0)]
     assert tables.load_snapshot(spark, base + "/state", schemas.PRODUCT_ROWS).count() == 2
+
+
+def test_backup_of_two_days_and_of_an_unfinished_one(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from stallmetrics.sinks.maintenance import backup_partition, restore_partition, swap_table
+
+    table, backup = str(tmp_path / "t"), str(tmp_path / "b")
+    rows = spark.range(6).select("id", F.expr("date_add(DATE'2024-01-01', CAST(id % 3 AS INT))").alias("order_created_date_tr"))
+    rows.write.partitionBy("order_created_date_tr").parquet(table)
+    backup_partition(spark, table, "2024-01-01", backup)
+    backup_partition(spark, table, "2024-01-02", backup)
+    assert sorted(r["id"] for r in spark.read.parquet(backup).collect()) == [0, 1, 3, 4]
+    (tmp_path / "b" / "order_created_date_tr=2024-01-02" / "_SUCCESS").unlink()
+    backup_partition(spark, table, "2024-01-02", backup)
+    assert sorted(r["id"] for r in spark.read.parquet(backup).collect()) == [0, 1, 3, 4]
+    with pytest.raises(ValueError):
+        restore_partition(spark, backup, table, "2024-01-03")
+    restore_partition(spark, backup, table, "2024-01-02")
+    assert spark.read.parquet(table).count() == 6
+    rows.write.partitionBy("order_created_date_tr").parquet(str(tmp_path / "new"))
+    with pytest.raises(ValueError):
+        swap_table(spark, str(tmp_path / "new"), table, backup)
+    assert spark.read.parquet(table).count() == 6
