@@ -327,12 +327,13 @@ ORDER_LIST_LIMITS = [100, 500, 1000, 5000, 10000]
 # End of fixed values.
 
 
-def order_list(df: DataFrame, flt: Column, limit: int = 1000, tiebreak: list[str] = ()) -> DataFrame:
-    """Newest order items under their list names."""
-    if limit not in ORDER_LIST_LIMITS:
+def order_list(df: DataFrame, flt: Column, limit: int | None = 1000, tiebreak: list[str] = ()) -> DataFrame:
+    """Newest order items under their list names; without a limit all of them, as an export needs."""
+    if limit is not None and limit not in ORDER_LIST_LIMITS:
         raise ValueError(f"limit must be one of {ORDER_LIST_LIMITS}")
     rows = df.filter(flt & F.col(DAY).isNotNull())
-    top = rows.orderBy(F.desc(DAY), "order_id", *tiebreak).limit(limit)
+    top = rows.orderBy(F.desc(DAY), "order_id", *tiebreak)
+    top = top if limit is None else top.limit(limit)
     return top.select(*[F.col(src).alias(name) for src, name in ORDER_LIST.items()])
 
 
