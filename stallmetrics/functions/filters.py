@@ -78,28 +78,18 @@ def changed(column: str = "price_diff") -> Column:
     return F.col(column).isNotNull() & (F.col(column) != 0)
 
 
-MAX_LITERAL_DAYS = 10_000
+def batch_days(batch: DataFrame, column: str = PARTITION_COLUMN) -> dict:
+    """Rows per day of a batch: one entry per partition that the batch belongs to, as many
+    as the driver lists anyway when it writes them."""
+    return {r[0]: r[1] for r in batch.groupBy(column).count().collect()}
 
 
-def batch_days(batch: DataFrame, column: str = PARTITION_COLUMN, max_days: int = MAX_LITERAL_DAYS):
-    """Rows per day of a batch, or None when it has more than ``max_days`` days."""
-    found = batch.groupBy(column).count().limit(max_days + 1).collect()
-    return {r[0]: r[1] for r in found} if len(found) <= max_days else None
+def prune_days(table: DataFrame, batch: DataFrame, column: str = PARTITION_COLUMN, found=None) -> DataFrame:
+    """``table`` cut down to the days that occur in ``batch``, by a literal partition filter.
 
-
-def prune_days(table: DataFrame, batch: DataFrame, column: str = PARTITION_COLUMN, found=None,
-               max_days: int = MAX_LITERAL_DAYS) -> DataFrame:
-    """``table`` cut down to the days that occur in ``batch``.
-
-    The distinct days of one pull are few; up to ``max_days`` of them become a literal
-    partition filter (``found`` passes them in if known). A wider batch falls back to a
-    broadcast semi-join, which prunes partitions at run time: a DATE has a few million
-    values at the very most, so the broadcast side is bounded whatever the batch holds.
+    ``found`` passes the days in if they are known.
     """
-    found = batch_days(batch, column, max_days) if found is None else found
-    if found is None:
-        days = batch.select(F.col(column).alias("__day")).distinct()
-        return table.join(F.broadcast(days), F.col(column).eqNullSafe(F.col("__day")), "left_semi")
+    found = batch_days(batch, column) if found is None else found
     # One SQL text instead of thousands of literal objects.
     listed = ", ".join(f"DATE'{d}'" for d in found if d is not None)
     keep = F.expr(f"`{column}` IN ({listed})") if listed else F.lit(False)

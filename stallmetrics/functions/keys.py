@@ -8,18 +8,18 @@ from pyspark.sql import functions as F
 # The fields that identify one order item. Codes, amounts, status,
 # delivery dates and timestamps change after the fact and are left out.
 BUSINESS_KEY = [
-    "additional_products",
-    "city",
-    "delivery_location_type",
-    "district",
-    "neighborhood",
-    "order_created_date_tr",
     "order_id",
     "product_code_1",
-    "product_name",
-    "rider_id",
     "user_id",
+    "city",
+    "district",
+    "neighborhood",
+    "delivery_location_type",
     "vendor_id",
+    "rider_id",
+    "additional_products",
+    "product_name",
+    "order_created_date_tr",
 ]
 # End of fixed values.
 

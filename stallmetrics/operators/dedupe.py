@@ -11,6 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from stallmetrics.functions.keys import ROW_DIGEST, row_digest
+from stallmetrics.operators.ordered import running_index
 
 
 def _first_rows(df: DataFrame, keys: list, order: list, n: int = 1) -> DataFrame:
@@ -49,8 +50,17 @@ def keep_last(df: DataFrame, keys: list[str], position: list[str]) -> DataFrame:
     return _first_rows(df, keys, [F.col(c).desc() for c in position])
 
 
-def first_n(df: DataFrame, keys: list[str], n: int, order: list[str | Column]) -> DataFrame:
-    """First n rows per key; without keys the first n of the table."""
+def first_n(df: DataFrame, keys: list[str], n: int, order: list[str | Column],
+            bucket: Column | None = None) -> DataFrame:
+    """First n rows per key; without keys the first n of the table.
+
+    Spark's group limit ends at ``spark.sql.optimizer.windowGroupLimitThreshold`` rows
+    (1000). For more rows of a hot key give ``bucket``, a column that never falls along the
+    order: the numbering then splits a key over its buckets (see ``ordered``).
+    """
+    if bucket is not None:
+        ranked = running_index(df, keys, order, bucket, "__rn")
+        return ranked.filter(F.col("__rn") <= n).drop("__rn")
     if not keys:
         return df.orderBy(*order).limit(n)
     return _first_rows(df, keys, order, n)

@@ -11,6 +11,7 @@ from stallmetrics.functions.keys import BUSINESS_KEY, ROW_DIGEST, ROW_KEY, busin
 from stallmetrics.functions.text import date_part, fold_column_names, joined_list
 from stallmetrics.operators.dedupe import first_n
 from stallmetrics.schemas import PARTITION_COLUMN
+from stallmetrics.session import new_workdir
 from stallmetrics.sinks.tables import load_snapshot, save_snapshot
 from stallmetrics.sources.readers import read_order_items
 
@@ -63,12 +64,16 @@ def new_rows(batch: DataFrame, table: DataFrame, days: dict | None = None) -> Da
 def ingest_batch(batch: DataFrame, path: str) -> dict:
     """Append the unseen rows of one pull and report the outcome.
 
-    Running it again with the same rows appends nothing, whatever happened to the first
-    run. Any failing step fails the batch: nothing is inserted unchecked.
+    The batch is computed once, into the shared folder, and read from there. Running it
+    again with the same rows appends nothing, whatever happened to the first run. Any
+    failing step fails the batch: nothing is inserted unchecked.
     """
     spark = batch.sparkSession
-    days = batch_days(batch)  # one narrow pass gives the days and, mostly, the size
-    received = batch.count() if days is None else sum(days.values())
+    staged = f"{new_workdir(spark, 'batch')}/rows"
+    batch.write.parquet(staged)
+    batch = spark.read.schema(batch.schema).parquet(staged)
+    days = batch_days(batch)  # reads one column
+    received = sum(days.values())
     if received == 0:
         return {"status": EMPTY, "received": 0, "inserted": 0, "skipped": 0}
     written = Observation()

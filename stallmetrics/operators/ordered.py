@@ -35,6 +35,18 @@ def running_index(df: DataFrame, keys: list[str], order: list, bucket: Column, n
     return joined.withColumn(name, F.col("__local") + F.col("__offset")).drop("__local", "__offset", "__group")
 
 
+def table_index(df: DataFrame, keys: list[str], order: list, bucket: Column, name: str = "index") -> DataFrame:
+    """1-based position of each row in the whole table, ordered by the keys and then by
+    ``order``. Rows are numbered within their key; one small row per key carries the offset.
+    Keys are not null."""
+    placed = running_index(df, keys, order, bucket, name)
+    before = W.orderBy(*keys).rowsBetween(W.unboundedPreceding, -1)
+    sizes = df.groupBy(*keys).agg(F.count("*").alias("__n"))
+    offsets = sizes.select(*keys, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
+    joined = placed.join(offsets, keys)
+    return joined.withColumn(name, F.col(name) + F.col("__before")).drop("__before")
+
+
 def previous_value(df: DataFrame, keys: list[str], order: list[str], value: str, bucket: Column | None = None,
                    name: str = "previous") -> DataFrame:
     """``value`` of the row before, within its key. ``order`` must be unique within a key."""

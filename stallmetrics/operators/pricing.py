@@ -9,13 +9,12 @@ from stallmetrics.functions.filters import trailing_days
 from stallmetrics.functions.money import ratio
 from stallmetrics.functions.text import name_contains
 from stallmetrics.operators.dedupe import first_n, keep_last
-from stallmetrics.operators.ordered import previous_value
+from stallmetrics.operators.ordered import previous_value, running_index, table_index
 
 KEY = ["site_id", "product_id"]
-# Visibility labels, default category, report block.
+# Visibility labels, default category.
 VISIBLE, HIDDEN, NO_CAP = "Görünür", "Gizli/ekstra", "-"
 UNKNOWN_CATEGORY = "Unknown"
-REPORT_ROWS = 90
 # End of fixed values.
 
 
@@ -83,8 +82,16 @@ def comparison_sheet(comparison: DataFrame) -> DataFrame:
     )
 
 
-def report_block(rows: DataFrame, order: list[str], n: int = REPORT_ROWS) -> DataFrame:
-    """The fixed block of a report sheet: its header plus the first n rows."""
+def report_blocks(rows: DataFrame, keys: list[str], order: list[str], bucket: Column, n: int) -> DataFrame:
+    """All rows in blocks of n, as a report sheet shows them: ``block`` and the row's place in
+    it, both from 1, in the order of the keys and then of ``order``; for ``bucket`` see ``ordered``."""
+    placed = table_index(rows, keys, order, bucket, "__place")
+    return placed.withColumns({
+        "block": F.floor((F.col("__place") - 1) / n) + 1, "place": (F.col("__place") - 1) % n + 1}).drop("__place")
+
+
+def report_block(rows: DataFrame, order: list[str], n: int) -> DataFrame:
+    """The first block of a report: its first n rows. ``report_blocks`` gives the others too."""
     return first_n(rows, [], n, order)
 
 
@@ -118,9 +125,9 @@ def upsert_products(dim: DataFrame, snapshot: DataFrame) -> DataFrame:
     """New state of the product dimension. A known product takes the new name, category,
     URL and last sighting and keeps its site name and first sighting.
 
-    ``snapshot`` holds one row per (site, product); see ``snapshot_of``.
+    Of several rows of a (site, product) the newest by timestamp counts.
     """
-    fresh = product_rows(snapshot)
+    fresh = keep_last(product_rows(snapshot), KEY, ["last_seen", "product_name", "category", "url", "site_name"])
     both = dim.alias("t").join(fresh.alias("s"), KEY, "full_outer")
     newer = lambda c: F.coalesce(F.col(f"s.{c}"), F.col(f"t.{c}")).alias(c)
     older = lambda c: F.coalesce(F.col(f"t.{c}"), F.col(f"s.{c}")).alias(c)
@@ -142,27 +149,20 @@ def price_changes_over_time(history: DataFrame, order: list[str], bucket: Column
         "price_diff", F.col("new_price") - F.col("old_price"))
 
 
-def visibility_label(products: DataFrame, caps: DataFrame, position: str = "position") -> DataFrame:
+def visibility_label(products: DataFrame, caps: DataFrame, bucket: Column, position: str = "position") -> DataFrame:
     """Label of each product: among the first ``cap`` of its site or beyond.
 
-    Instead of numbering all rows of a site (one task per site), find the position of the
-    row at the cap -- a group limit on both sides of the shuffle keeps at most ``cap``
-    rows per site and task -- and compare positions with it. ``position`` is unique in a
-    site; ``caps`` has one row per capped site, and a null cap or one of 0 is none.
+    ``position`` is unique in a site, and ``bucket`` a column that never falls along it, so
+    that the numbering of a large site is many tasks. ``caps`` has one row per capped site;
+    a site without one, or with a null cap or one of 0, has no labels.
     """
-    caps = caps.filter(F.col("cap") > 0)
-    largest = caps.agg(F.max("cap")).first()[0]
-    numbered = products.select("site_id", position).join(caps, "site_id")
-    head = first_n(numbered, ["site_id"], int(largest or 0), [position])
-    inside = head.groupBy("site_id").agg(
-        F.max("cap").alias("cap"), F.sort_array(F.collect_list(position)).alias("head"))
-    edge = inside.select("site_id", F.col("cap"), F.try_element_at(
-        "head", F.least(F.col("cap"), F.size("head"))).alias("edge"))
+    known = caps.filter(F.col("cap") > 0).select("site_id", F.col("cap").alias("__cap"))
+    numbered = running_index(products, ["site_id"], [position], bucket, "__place").join(known, "site_id", "left")
     label = (
-        F.when(F.col("edge").isNull(), F.lit(NO_CAP))
-        .when(F.col(position) <= F.col("edge"), F.lit(VISIBLE)).otherwise(F.lit(HIDDEN))
+        F.when(F.col("__cap").isNull(), F.lit(NO_CAP))
+        .when(F.col("__place") <= F.col("__cap"), F.lit(VISIBLE)).otherwise(F.lit(HIDDEN))
     )
-    return products.join(edge, "site_id", "left").withColumn("visibility", label).drop("edge", "cap")
+    return numbered.withColumn("visibility", label).drop("__cap", "__place")
 
 
 def sort_products(products: DataFrame, mode: str = "price_asc") -> DataFrame:

@@ -251,18 +251,34 @@ def date_column(df: DataFrame) -> str:
     raise ValueError("the table has no creation-date column")
 
 
-def day_counts(df: DataFrame, start=None, end=None) -> DataFrame:
-    """Rows and orders per day, on either table layout."""
+def _dated(df: DataFrame, start, end) -> tuple[DataFrame, Column]:
+    """Rows with a date, in the range if one is given, and their day."""
     name = date_column(df)
     rows = df.filter(F.col(name).isNotNull())
     if start is not None:
         # A range on the raw column; it prunes partitions and also holds for timestamps.
         rows = rows.filter((F.col(name) >= F.lit(start).cast("date"))
                            & (F.col(name) < F.date_add(F.lit(end).cast("date"), 1)))
-    return rows.groupBy(F.col(name).cast("date").alias("date")).agg(
+    return rows, F.col(name).cast("date")
+
+
+def day_counts(df: DataFrame, start=None, end=None) -> DataFrame:
+    """Rows and orders per day, on either table layout."""
+    rows, day = _dated(df, start, end)
+    return rows.groupBy(day.alias("date")).agg(
         F.count("*").alias("row_count"), F.count_distinct("order_id").alias("unique_orders")).orderBy("date")
 
 
+def range_check(df: DataFrame, start=None, end=None) -> DataFrame:
+    """One row about a span: rows, orders, first and last day, and days with rows."""
+    rows, day = _dated(df, start, end)
+    grain = rows.groupBy("order_id", day.alias("date")).agg(F.count("*").alias("rows"))
+    return grain.agg(
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("row_count"), F.count_distinct("order_id").alias("unique_orders"),
+        F.min("date").alias("min_date"), F.max("date").alias("max_date"),
+        F.count_distinct("date").alias("day_count"))
+
+
 def reconcile_days(a: DataFrame, b: DataFrame, start=None, end=None) -> DataFrame:
     """Day counts of two tables side by side; days missing on one side count 0."""
     left = day_counts(a, start, end).withColumnsRenamed({"row_count": "rows_a", "unique_orders": "orders_a"})

@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stallmetrics.functions.keys import ROW_DIGEST, row_digest
 from stallmetrics.operators.dedupe import dedupe_exact, dedupe_latest
 from stallmetrics.operators.quality import dates_with_duplicates, row_grain
 from stallmetrics.schemas import PARTITION_COLUMN
 from stallmetrics.sinks.maintenance import replace_partition
 from stallmetrics.sinks.tables import balanced
+from stallmetrics.sources import paths
 
 DAY = PARTITION_COLUMN
 
@@ -18,19 +20,30 @@ def repair_dates(spark: SparkSession, path: str, backup: str, dates: list | None
     """Find, back up, clean and verify duplicated days -- all days in one job each.
 
     Returns one row per repaired day: rows before, rows after, copies left. The clean rows
-    are read from the backup, so no job overwrites what it is reading, and an interrupted
-    run can be repeated from the backup.
+    are read from the backup, so no job overwrites what it is reading. An interrupted run is
+    repeated with the same ``backup``, one folder per repair: an unfinished backup is written
+    anew, a finished one decides which days are replaced. It is refused if the table has
+    since received rows of these days that it lacks.
     """
     table = spark.read.parquet(path)
-    if dates is None:
+    resumed = paths.exists(spark, f"{backup}/_SUCCESS")
+    if resumed:
+        dates = [r[0] for r in spark.read.schema(table.schema).parquet(backup).select(DAY).distinct().collect()]
+    elif dates is None:
         # At most one entry per day of the table.
         dates = [r[0] for r in dates_with_duplicates(table).select(DAY).collect()]
     known = [d for d in dates if d is not None]
     chosen = F.col(DAY).isin(known) if known else F.lit(False)
     if None in dates:
         chosen = chosen | F.col(DAY).isNull()
-    balanced(table.filter(chosen), DAY).write.mode("errorifexists").partitionBy(DAY).parquet(backup)
+    if not resumed:
+        balanced(table.filter(chosen), DAY).write.mode("overwrite").partitionBy(DAY).parquet(backup)
     saved = spark.read.schema(table.schema).parquet(backup)
+    if resumed:
+        stored = table.filter(chosen)
+        known_rows = saved.select(*row_digest(saved)).distinct()
+        if not stored.select(*row_digest(stored)).join(known_rows, ROW_DIGEST, "left_anti").isEmpty():
+            raise ValueError(f"{path} has rows that {backup} lacks")
     replace_partition(dedupe_exact(saved), path)
     return repair_report(saved, spark.read.schema(table.schema).parquet(path).filter(chosen))
 

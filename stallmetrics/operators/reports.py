@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from stallmetrics.functions.clock import END_OF_DAY_HOUR, local_time
 from stallmetrics.operators.benchmark import bench_by_site
-from stallmetrics.operators.ordered import running_index
+from stallmetrics.operators.ordered import running_index, table_index
 
 # Message wording and signs.
 UP, DOWN = "📈", "📉"
@@ -26,7 +26,8 @@ BLOCK_LINK_FORMAT = "\n<%s|Ürüne Git>"
 MESSAGE_SIZE = 5
 # End of fixed values.
 
-NUMBERING_BLOCKS = 256
+#: Leading characters of a product id that split a site's numbering into tasks.
+NUMBERING_PREFIX = 6
 
 
 def _signed(diff: Column) -> Column:
@@ -50,32 +51,34 @@ def change_lines(changes: DataFrame) -> DataFrame:
         "line": F.concat(line, link(LINK_FORMAT)), "block": F.concat(block, link(BLOCK_LINK_FORMAT))})
 
 
-def _batches(lines: DataFrame, keys: list[str], text: str, n: int) -> DataFrame:
-    """Texts in messages of n. Numbering runs in blocks of products (a block is a hash
-    range, numbered in order), so a site with most of the changes is many tasks."""
-    spread = F.pmod(F.xxhash64("product_id"), F.lit(NUMBERING_BLOCKS))
-    order = ["product_id"] if keys else ["product_id", "site_id"]
-    numbered = running_index(lines, keys, order, spread, "pos")
-    placed = numbered.withColumn("message_no", F.floor((F.col("pos") - 1) / n) + 1)
-    # A group holds at most n texts.
-    parts = placed.groupBy(*keys, "message_no").agg(
+def _prefix() -> Column:
+    """Products that share their first characters are numbered by one task, so a site with
+    most of the changes is many."""
+    return F.substring("product_id", 1, NUMBERING_PREFIX)
+
+
+def _messages(placed: DataFrame, keys: list[str], text: str, n: int) -> DataFrame:
+    """Texts in messages of n; a group holds at most n texts."""
+    parts = placed.withColumn("message_no", F.floor((F.col("pos") - 1) / n) + 1).groupBy(*keys, "message_no").agg(
         F.count("*").alias("change_count"), F.sort_array(F.collect_list(F.struct("pos", text))).alias("__t"))
-    return parts.select(*keys, "message_no", "change_count",
-                        F.array_join(F.col(f"__t.{text}"), "\n").alias("message"))
+    return parts.withColumn("message", F.array_join(F.col(f"__t.{text}"), "\n")).drop("__t")
 
 
 def batch_messages(changes: DataFrame, n: int = MESSAGE_SIZE) -> DataFrame:
-    """All changes, one line each, in messages of n."""
-    return _batches(change_lines(changes), [], "line", n)
+    """All changes in the order of site and product, one line each, in messages of n."""
+    placed = table_index(change_lines(changes), ["site_id"], ["product_id"], _prefix(), "pos")
+    return _messages(placed, [], "line", n)
 
 
 def change_digest(changes: DataFrame, n: int = 50) -> DataFrame:
     """Per site a heading with its number of changes, and its changes in messages of n blocks."""
-    parts = _batches(change_lines(changes), ["site_id", "site_name"], "block", n)
-    heads = changes.groupBy("site_id", "site_name").agg(F.count("*").alias("site_changes"))
-    titled = parts.join(heads, ["site_id", "site_name"])
+    keys = ["site_id", "site_name"]
+    placed = running_index(change_lines(changes), keys, ["product_id"], _prefix(), "pos")
+    parts = _messages(placed, keys, "block", n)
+    # The messages of a site carry its number of changes: n times fewer rows than the changes.
+    heads = parts.groupBy(*keys).agg(F.sum("change_count").alias("site_changes"))
     heading = F.format_string(SITE_HEADER_FORMAT, F.col("site_name"), F.col("site_changes"))
-    return titled.withColumn("heading", heading)
+    return parts.join(heads, keys).withColumn("heading", heading)
 
 
 def change_header(changes: DataFrame) -> DataFrame:

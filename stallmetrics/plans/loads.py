@@ -271,7 +271,8 @@ def bucketed_snapshots(spark, sf) -> tuple[DataFrame, DataFrame]:
     out = []
     for name, rows in (("prev", prev(spark, sf)), ("cur", cur(spark, sf))):
         table = f"{name}_{base.rsplit('-', 1)[1]}"
-        tables.write_bucketed(rows, table, f"{base}/{name}", pricing.KEY, 8)
+        buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        tables.write_bucketed(rows, table, f"{base}/{name}", pricing.KEY, buckets)
         out.append(spark.table(table))
     return tuple(out)
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from stallmetrics.operators import dedupe, quality, repair
 from stallmetrics.plans.order_reports import round2
 from stallmetrics.plans.registry import query
-from stallmetrics.plans.views import (AS_OF, order_items, order_items_dup, with_dup_orders, with_orders)
+from stallmetrics.plans.views import (AS_OF, RECORD_SQL, order_items, order_items_dup, with_dup_orders, with_orders)
 
 DAY = "order_created_date_tr"
 ORDERS = "count(DISTINCT order_id)"
@@ -83,11 +83,12 @@ def _(spark, sf):
 @query("a26_duplicate_samples", with_dup_orders("""
 , top AS (SELECT order_id, count(*) AS duplicate_count FROM dup_items GROUP BY 1 HAVING count(*) > 1
           ORDER BY 2 DESC, 1 LIMIT 20)
-SELECT order_id, duplicate_count, product_code_1, vendor_id, order_delivery_date
+SELECT order_id, duplicate_count, product_code_1, vendor_id, order_delivery_date, """ + RECORD_SQL + """ AS record
 FROM dup_items JOIN top USING (order_id)"""))
 def _(spark, sf):
     records = quality.duplicate_samples(order_items_dup(spark, sf))
-    return records.select("order_id", "duplicate_count", "product_code_1", "vendor_id", "order_delivery_date")
+    return records.select(
+        "order_id", "duplicate_count", "product_code_1", "vendor_id", "order_delivery_date", "record")
 
 
 @query("a27_hourly_load", with_dup_orders(GRAIN + f"""
@@ -182,12 +183,19 @@ def _(spark, sf):
     return quality.day_counts(order_items(spark, sf, "order_id", DAY), "2000-11-01", "2000-11-05")
 
 
+@query("a33b_range_check", with_orders(f"""
+SELECT count(*) AS row_count, {ORDERS} AS unique_orders, min({DAY}) AS min_date, max({DAY}) AS max_date,
+       count(DISTINCT {DAY}) AS day_count FROM order_items WHERE {DAY} BETWEEN DATE '2000-11-01' AND DATE '2000-11-30'"""))
+def _(spark, sf):
+    return quality.range_check(order_items(spark, sf, "order_id", DAY), "2000-11-01", "2000-11-30")
+
+
 @query("j06_duplicate_order_details", with_dup_orders(GRAIN + """
 , chosen AS (SELECT DISTINCT order_id FROM grain WHERE copies > 1 ORDER BY order_id LIMIT 5)
-SELECT order_id, user_id, city, product_code_1, additional_products, order_creation_timestamp
-FROM dup_items WHERE order_id IN (SELECT order_id FROM chosen)"""))
+SELECT order_id, user_id, city, product_code_1, additional_products, order_creation_timestamp,
+       """ + RECORD_SQL + """ AS record FROM dup_items WHERE order_id IN (SELECT order_id FROM chosen)"""))
 def _(spark, sf):
-    return quality.duplicate_order_details(order_items_dup(spark, sf)).drop("record")
+    return quality.duplicate_order_details(order_items_dup(spark, sf))
 
 
 @query("j10_reconcile_days", with_dup_orders(f"""

@@ -102,13 +102,11 @@ def _(spark, sf):
 
 @query("j04_comparison_sheet", with_snapshots(f"""
 SELECT site_name, product_name, new_price,
-       CASE WHEN old_price IS NULL THEN '-' ELSE 'had' END AS old_price,
+       coalesce(CAST(old_price AS VARCHAR), '-') AS old_price,
        coalesce(format('{{:.2f}}', {round2('price_diff')}), '-') AS price_diff,
        coalesce(format('{{:.2f}}%', change_pct), '-') AS change_pct, category, url FROM ({COMPARISON_SQL})"""))
 def _(spark, sf):
-    sheet = pricing.comparison_sheet(comparison(spark, sf))
-    # The text of a double differs between engines, so the old price is checked for presence.
-    return sheet.withColumn("old_price", F.when(F.col("old_price") == "-", "-").otherwise("had"))
+    return pricing.comparison_sheet(comparison(spark, sf))
 
 
 @query("f20_changed_rows", with_snapshots(f"SELECT * FROM ({COMPARISON_SQL}) WHERE price_diff IS NOT NULL AND price_diff <> 0"))
@@ -118,7 +116,15 @@ def _(spark, sf):
 
 @query("o06_report_block", with_snapshots(f"SELECT * FROM ({COMPARISON_SQL}) ORDER BY site_id, product_id LIMIT 90"))
 def _(spark, sf):
-    return pricing.report_block(comparison(spark, sf), ["site_id", "product_id"])
+    return pricing.report_block(comparison(spark, sf), ["site_id", "product_id"], 90)
+
+
+@query("o06_report_blocks", with_snapshots(f"""
+SELECT * EXCLUDE (r), (r - 1) // 90 + 1 AS block, (r - 1) % 90 + 1 AS place FROM (
+  SELECT site_id, product_id, new_price, row_number() OVER (ORDER BY site_id, product_id) AS r FROM ({COMPARISON_SQL}))"""))
+def _(spark, sf):
+    rows = comparison(spark, sf).select("site_id", "product_id", "new_price")
+    return pricing.report_blocks(rows, ["site_id"], ["product_id"], F.substring("product_id", 1, 4), 90)
 
 
 @query("j05_volatile_products", with_prices(f"""
@@ -175,12 +181,15 @@ CAP_SQL = 'row_number() OVER (PARTITION BY site_id ORDER BY "timestamp", seq_a,
 
 
 @query("w10_visibility_label", with_prices(f"""
-SELECT site_id, product_id, seq_a, CASE WHEN s_nationkey >= 12 THEN '-' WHEN rn <= 23 THEN 'Görünür' ELSE 'Gizli/ekstra' END AS visibility
+SELECT site_id, product_id, seq_a, CASE WHEN s_nationkey >= 10 THEN '-' WHEN rn <= 23 THEN 'Görünür' ELSE 'Gizli/ekstra' END AS visibility
 FROM (SELECT *, {CAP_SQL} AS rn FROM price_obs) JOIN supplier ON site_id = CAST(s_suppkey AS VARCHAR)"""))
 def _(spark, sf):
+    # Some sites have no cap, some an unknown one, some one of 0.
+    cap = F.expr("CASE WHEN s_nationkey < 10 THEN 23 WHEN s_nationkey = 10 THEN 0 END")
     caps = table(spark, sf, "supplier").filter("s_nationkey < 12").select(
-        F.col("s_suppkey").cast("string").alias("site_id"), F.lit(23).alias("cap"))
-    return pricing.visibility_label(positions(spark, sf), caps).select("site_id", "product_id", "seq_a", "visibility")
+        F.col("s_suppkey").cast("string").alias("site_id"), cap.alias("cap"))
+    labels = pricing.visibility_label(positions(spark, sf), caps, F.trunc("timestamp", "MM"))
+    return labels.select("site_id", "product_id", "seq_a", "visibility")
 
 
 @query("w10_running_index", with_prices(f"SELECT site_id, product_id, seq_a, {CAP_SQL} AS index FROM price_obs"))
@@ -195,6 +204,13 @@ def _(spark, sf):
     return dedupe.first_n(positions(spark, sf), ["site_id"], 30, ["position"]).select("site_id", "product_id", "price")
 
 
+@query("w08_first_2000_per_site", with_prices(
+    f"SELECT site_id, product_id, price FROM (SELECT *, {CAP_SQL} AS rn FROM price_obs) WHERE rn <= 2000"))
+def _(spark, sf):
+    rows = dedupe.first_n(positions(spark, sf), ["site_id"], 2000, ["position"], F.trunc("timestamp", "MM"))
+    return rows.select("site_id", "product_id", "price")
+
+
 @query("w08_first_100_overall", with_prices("""
 SELECT site_id, product_id, price FROM price_obs
 ORDER BY "timestamp", seq_a, seq_b, lpad(product_id, 14, '0') LIMIT 100"""))
@@ -275,14 +291,14 @@ def _(spark, sf):
     return benchmark.bench_category_levels(bench_rows(spark, sf))
 
 
-PIVOT_BRANDS = ["NATION_0", "NATION_1", "NATION_2", "NATION_4"]
+PIVOT_NATIONS = [f"NATION_{k}" for k in range(25)]
 
 
 @query("a37_category_site_pivot", with_bench(f"""
 , n AS (SELECT k.category, n_name, {MEAN} AS avg_price FROM kept k JOIN supplier ON site_id = CAST(s_suppkey AS VARCHAR)
         JOIN nation ON s_nationkey = n_nationkey GROUP BY 1, 2)
 SELECT category, """ + ", ".join(
-    f"coalesce(max(avg_price) FILTER (WHERE n_name = '{n}'), 0.0) AS {n}" for n in PIVOT_BRANDS)
+    f"coalesce(max(avg_price) FILTER (WHERE n_name = '{n}'), 0.0) AS {n}" for n in PIVOT_NATIONS)
     + " FROM n GROUP BY 1"))
 def _(spark, sf):
     # Nations stand in for sites, so that the pivot has a fixed, small set of columns.
@@ -291,7 +307,7 @@ def _(spark, sf):
     kept_sites = benchmark.bench_by_site(bench_rows(spark, sf)).select("site_id")
     rows = bench_rows(spark, sf).join(kept_sites, "site_id", "left_semi").join(home, "site_id")
     rows = rows.withColumn("site_id", F.col("n_name")).withColumn("site_name", F.col("n_name"))
-    return benchmark.category_site_pivot(rows, PIVOT_BRANDS)
+    return benchmark.category_site_pivot(rows, PIVOT_NATIONS)
 
 
 def scrape_rows(spark, sf):
@@ -420,23 +436,28 @@ SIGNED = "CASE WHEN price_diff > 0 THEN '+' ELSE '' END || format('{:.2f}', pric
 ARROW = f"CASE WHEN price_diff > 0 THEN '{reports.UP}' ELSE '{reports.DOWN}' END"
 
 
-@query("p24_change_lines", with_snapshots(CHANGES_CTE + f"""
-SELECT site_id, product_id, {ARROW} || ' *' || product_name || '*: ' || format('{{:.2f}}', old_price) || '₺ → ' ||
+LINES_SQL = f"""
+SELECT site_id, site_name, product_id, {ARROW} || ' *' || product_name || '*: ' || format('{{:.2f}}', old_price) || '₺ → ' ||
        format('{{:.2f}}', new_price) || '₺ (' || {SIGNED} || '₺) <' || url || '|Ürün>' AS line,
        '*' || product_name || '*' || chr(10) || '• Eski: ' || format('{{:.2f}}', old_price) || '₺ → Yeni: ' ||
        format('{{:.2f}}', new_price) || '₺' || chr(10) || '• Fark: ' || {ARROW} || ' ' || {SIGNED} || '₺' ||
-       chr(10) || '<' || url || '|Ürüne Git>' AS block FROM changes"""))
+       chr(10) || '<' || url || '|Ürüne Git>' AS block FROM changes"""
+
+
+@query("p24_change_lines", with_snapshots(CHANGES_CTE + f"SELECT site_id, product_id, line, block FROM ({LINES_SQL})"))
 def _(spark, sf):
     return reports.change_lines(changes(spark, sf)).select("site_id", "product_id", "line", "block")
 
 
-@query("p24_change_digest", with_snapshots(CHANGES_CTE + """
-, per AS (SELECT site_id, site_name, count(*) AS n FROM changes GROUP BY 1, 2)
-SELECT site_id, message_no, least(50, n - 50 * (message_no - 1)) AS change_count,
-       '*🏪 ' || site_name || '* - ' || n || ' değişiklik' AS heading
-FROM per, unnest(generate_series(1, CAST(ceil(n / 50.0) AS BIGINT))) AS t(message_no)"""))
+@query("p24_change_digest", with_snapshots(CHANGES_CTE + f"""
+, placed AS (SELECT *, row_number() OVER (PARTITION BY site_id ORDER BY product_id) AS pos,
+                    count(*) OVER (PARTITION BY site_id) AS n FROM ({LINES_SQL}))
+SELECT site_id, (pos - 1) // 50 + 1 AS message_no, count(*) AS change_count,
+       '*🏪 ' || site_name || '* - ' || n || ' değişiklik' AS heading, string_agg(block, chr(10) ORDER BY pos) AS message
+FROM placed GROUP BY site_id, site_name, n, (pos - 1) // 50 + 1"""))
 def _(spark, sf):
-    return reports.change_digest(changes(spark, sf)).select("site_id", "message_no", "change_count", "heading")
+    return reports.change_digest(changes(spark, sf)).select(
+        "site_id", "message_no", "change_count", "heading", "message")
 
 
 @query("p24_change_header", with_snapshots(CHANGES_CTE + """
@@ -446,12 +467,12 @@ def _(spark, sf):
     return reports.change_header(changes(spark, sf))
 
 
-@query("p25_batch_messages", with_snapshots(CHANGES_CTE + """
-, total AS (SELECT count(*) AS n FROM changes)
-SELECT message_no, least(5, n - 5 * (message_no - 1)) AS change_count
-FROM total, unnest(generate_series(1, CAST(ceil(n / 5.0) AS BIGINT))) AS t(message_no)"""))
+@query("p25_batch_messages", with_snapshots(CHANGES_CTE + f"""
+, placed AS (SELECT *, row_number() OVER (ORDER BY site_id, product_id) AS pos FROM ({LINES_SQL}))
+SELECT (pos - 1) // 5 + 1 AS message_no, count(*) AS change_count, string_agg(line, chr(10) ORDER BY pos) AS message
+FROM placed GROUP BY (pos - 1) // 5 + 1"""))
 def _(spark, sf):
-    return reports.batch_messages(changes(spark, sf)).select("message_no", "change_count")
+    return reports.batch_messages(changes(spark, sf))
 
 
 NO_CHANGE_SQL = """

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from stallmetrics.functions import clock, filters, keys, money, text, web
 from stallmetrics.operators.ingest import normalize_orders
 from stallmetrics.plans.registry import query
-from stallmetrics.plans.views import order_items, order_items_dup, table, with_dup_orders, with_orders
+from stallmetrics.plans.views import RECORD_SQL, order_items, order_items_dup, table, with_dup_orders, with_orders
 
 
 def pick(values: list[str], index) -> "F.Column":
@@ -168,11 +168,9 @@ def _(spark, sf):
 
 
 @query("p16_all_but", with_orders("""
-SELECT * EXCLUDE (order_amount, order_creation_timestamp, requested_delivery_date) FROM order_items
-WHERE order_created_date_tr = DATE '1997-03-18'"""))
+SELECT * EXCLUDE (order_amount, order_creation_timestamp, requested_delivery_date) FROM order_items"""))
 def _(spark, sf):
-    rows = order_items(spark, sf).drop("order_amount", "order_creation_timestamp", "requested_delivery_date")
-    return rows.filter(filters.on_day("1997-03-18"))
+    return order_items(spark, sf).drop("order_amount", "order_creation_timestamp", "requested_delivery_date")
 
 
 @query("p17_constant_label", with_orders("""
@@ -182,12 +180,10 @@ def _(spark, sf):
     return cities.select(F.lit("orders").alias("check"), "city", "total_items")
 
 
-@query("p20_row_json", with_dup_orders("""
-SELECT order_created_date_tr AS date, count(*) AS distinct_rows FROM (SELECT DISTINCT * FROM dup_items) GROUP BY 1"""))
+@query("p20_row_json", with_orders("SELECT order_id, " + RECORD_SQL + " AS record FROM order_items"))
 def _(spark, sf):
-    rows = order_items_dup(spark, sf)
-    texts = rows.select(F.col("order_created_date_tr").alias("date"), keys.row_json(rows).alias("j")).distinct()
-    return texts.groupBy("date").agg(F.count("*").alias("distinct_rows"))
+    rows = order_items(spark, sf)
+    return rows.select("order_id", keys.row_json(rows).alias("record"))
 
 
 @query("h01_business_key", with_dup_orders("""

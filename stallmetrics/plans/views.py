@@ -133,6 +133,21 @@ price_obs AS (
   FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey JOIN supplier s ON l.l_suppkey = s.s_suppkey)"""
 
 
+def _json_value(column: str) -> str:
+    """SQL of a column's JSON text."""
+    if column in ("order_id", "product_category", "vendor_id", "rider_id", "order_amount"):
+        text = f"CAST({column} AS VARCHAR)"
+    elif column == "order_creation_timestamp":
+        text = f"strftime({column}, '\"%Y-%m-%dT%H:%M:%S.000\"')"
+    else:
+        text = f"'\"' || {column} || '\"'"
+    return f"'\"{column}\":' || coalesce({text}, 'null')"
+
+
+#: An order item as JSON text.
+RECORD_SQL = "'{' || " + " || ',' || ".join(_json_value(c) for c in ALL_COLUMNS) + " || '}'"
+
+
 def with_orders(sql: str) -> str:
     return f"WITH {ORDER_ITEMS_SQL}\n{sql}"
 

@@ -76,10 +76,27 @@ def test_fallback_only_for_missing_sites(spark, prev, cur):
 
 
 def test_visibility(spark):
-    df = spark.createDataFrame([("a", i) for i in range(5)] + [("b", i) for i in range(3)] + [("c", 0)], "site_id string, position int")
-    caps = spark.createDataFrame([("a", 2), ("c", 4)], "site_id string, cap int")
-    got = pricing.visibility_label(df, caps).groupBy("site_id", "visibility").count()
-    assert rows(got) == [("a", "Gizli/ekstra", 3), ("a", "Görünür", 2), ("b", "-", 3), ("c", "Görünür", 1)]
+    df = spark.createDataFrame([("a", i) for i in range(5)] + [("b", i) for i in range(3)] + [("c", 0), ("d", 0), ("e", 0)], "site_id string, position int")
+    caps = spark.createDataFrame([("a", 2), ("c", 4), ("d", 0), ("e", None)], "site_id string, cap int")
+    for width in (1, 3, 100):
+        bucket = F.floor(F.col("position") / width)
+        got = pricing.visibility_label(df, caps, bucket).groupBy("site_id", "visibility").count()
+        assert rows(got) == [("a", "Gizli/ekstra", 3), ("a", "Görünür", 2), ("b", "-", 3), ("c", "Görünür", 1),
+                             ("d", "-", 1), ("e", "-", 1)]
+
+
+def test_report_blocks_hold_every_row(spark):
+    df = spark.createDataFrame([("b" if i % 3 else "a", str(i)) for i in range(25)], "site_id string, product_id string")
+    got = pricing.report_blocks(df, ["site_id"], ["product_id"], F.substring("product_id", 1, 1), 10).orderBy("block", "place")
+    want = sorted((("b" if i % 3 else "a", str(i)) for i in range(25)))
+    assert [(r.site_id, r.product_id) for r in got.collect()] == want
+    assert [(r.block, r.place) for r in got.collect()] == [(i // 10 + 1, i % 10 + 1) for i in range(25)]
+
+
+def test_products_are_upserted_once_per_key(spark, prev):
+    twice = prev.unionByName(prev.withColumn("product_name", F.lit("z")))
+    dim = pricing.upsert_products(pricing.product_rows(prev), twice)
+    assert dim.count() == prev.count()
 
 
 def test_benchmarks_use_positive_prices_and_all_rows(spark):
@@ -165,8 +182,10 @@ def test_batches_hold_every_change_once(spark):
     new = old.withColumn("price", F.col("price") + 1)
     batches = reports.batch_messages(pricing.price_changes(old, new))
     assert rows(batches, "change_count").count((5,)) == 20 and batches.count() == 21
-    lines = [line for r in batches.collect() for line in r.message.split("\n")]
+    lines = [line for r in batches.orderBy("message_no").collect() for line in r.message.split("\n")]
     assert len(lines) == 103 == len(set(lines))
+    keys = sorted(("hot" if i % 3 else f"s{i}", str(i)) for i in range(103))
+    assert [line.split("*")[1] for line in lines] == [f"name {product}" for _, product in keys]
     digest = reports.change_digest(pricing.price_changes(old, new), 10).filter("site_id = 'hot'")
     assert sorted(r.change_count for r in digest.collect()) == [8, 10, 10, 10, 10, 10, 10]
 

@@ -96,6 +96,28 @@ def test_repair_of_named_days(spark, table):
     assert per_day(spark, table) == [(D1, 2), (D2, 2), (None, 2)]
 
 
+def test_repair_can_be_repeated(spark, table):
+    first = rows(repair.repair_dates(spark, table, table + "-b"))
+    after = per_day(spark, table)
+    assert rows(repair.repair_dates(spark, table, table + "-b")) == first and per_day(spark, table) == after
+    paths.delete(spark, f"{table}/{DAY}={D1}")  # lost in the middle of the replacement
+    assert rows(repair.repair_dates(spark, table, table + "-b")) == first and per_day(spark, table) == after
+
+
+def test_repair_replaces_an_unfinished_backup(spark, table):
+    spark.read.parquet(table).limit(1).write.partitionBy(DAY).parquet(table + "-b")
+    paths.delete(spark, table + "-b/_SUCCESS")
+    assert rows(repair.repair_dates(spark, table, table + "-b")) == [(D1, 3, 2, 0), (None, 2, 1, 0)]
+
+
+def test_repair_refuses_a_backup_that_lacks_rows(spark, table):
+    repair.repair_dates(spark, table, table + "-b")
+    later = spark.read.parquet(table).filter(F.col(DAY) == F.lit(D1)).limit(1).withColumn("city", F.lit("later"))
+    later.write.mode("append").partitionBy(DAY).parquet(table)
+    with pytest.raises(ValueError):
+        repair.repair_dates(spark, table, table + "-b")
+
+
 def test_repair_of_a_clean_table_changes_nothing(spark, table):
     repair.repair_dates(spark, table, table + "-b")
     after = per_day(spark, table)
@@ -186,7 +208,7 @@ def test_existing_rows_are_pruned_to_the_batch_days(spark, table):
     few = prune_days(stored, batch(spark, item(1), item(2, None)))
     assert rows(few.groupBy(DAY).count()) == [(D1, 3), (None, 2)]
     assert "PartitionFilters: [(" in few._jdf.queryExecution().toString()
-    wide = prune_days(stored, batch(spark, item(1), item(2, D2)), max_days=1)
+    wide = prune_days(stored, batch(spark, item(1), item(2, D2)))
     assert rows(wide.groupBy(DAY).count()) == [(D1, 3), (D2, 2)]
 
 
