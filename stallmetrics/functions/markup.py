@@ -7,6 +7,11 @@ from html.parser import HTMLParser
 
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 RAW = {"script", "style"}
+#: Elements whose end tag may be left out: a start tag of the second set ends an open one of the first.
+ENDED_BY = {"li": {"li"}, "option": {"option"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}, "tr": {"tr"},
+            "p": {"p", "div", "ul", "ol", "table", "h1", "h2", "h3", "h4", "h5", "h6", "section", "article", "form"}}
+#: An open element of these keeps what is outside it open.
+SCOPES = {"ul", "ol", "select", "table", "div", "article", "section"}
 PART = re.compile(r"#(?P<id>[\w-]+)|\.(?P<cls>[\w-]+)|\[(?P<attr>[\w-]+)(?:(?P<op>[*^$]?=)\"?(?P<val>[^\"\]]*)\"?)?\]|(?P<tag>[\w-]+|\*)")
 
 COMPILED: dict[str, tuple] = {}  # selectors come from a site list of a few entries
@@ -41,7 +46,17 @@ class _Builder(HTMLParser):
         self.root = Element("#root", {})
         self.open = [self.root]
 
+    def end_implied(self, tag):
+        """Close what the start of ``tag`` ends without an end tag, up to the nearest scope."""
+        for i in range(len(self.open) - 1, 0, -1):
+            name = self.open[i].tag
+            if tag in ENDED_BY.get(name, ()):
+                del self.open[i:]
+            elif name in SCOPES:
+                return
+
     def handle_starttag(self, tag, attrs):
+        self.end_implied(tag)
         node = Element(tag, {k: v or "" for k, v in attrs})
         self.open[-1].children.append(node)
         if tag not in VOID:
@@ -83,11 +98,16 @@ def text_of(node: Element | None) -> str:
 
 
 def _compiled(selector: str) -> tuple:
-    """Nested parts of a selector, each as its list of (attribute, operator, value) tests."""
+    """Nested parts of a selector, each as its list of (attribute, operator, value) tests.
+
+    Tags, ids, classes, attributes and nesting by spaces are known; any other form is an error.
+    """
     if selector in COMPILED:
         return COMPILED[selector]
     parts = []
     for simple in selector.split():
+        if PART.sub("", simple):
+            raise ValueError(f"selector {selector!r} has a form that is not supported: {simple!r}")
         tests = []
         for m in PART.finditer(simple):
             if m["tag"]:

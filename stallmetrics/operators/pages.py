@@ -35,7 +35,8 @@ DISCOVERY_PRIORITY = [
 ]
 # End of fixed values.
 
-CARD_SCHEMA = "page_id long, site_id string, card_no int, name string, price_text string, href string"
+CARD_SCHEMA = ("page_id long, site_id string, site_name string, site_url string, card_no int, name string, price_text string, "
+               "href string")
 
 
 def extract_json_ld(pages: DataFrame) -> DataFrame:
@@ -65,8 +66,9 @@ def _cards(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for i, card in enumerate(find_all(tree, page.product_box)):
                 name, price = find_first(card, page.product_name), find_first(card, page.product_price)
                 link = find_first(card, "a[href]") or card
-                rows.append((page.page_id, page.site_id, i, text_of(name), text_of(price), link.attrs.get("href")))
-        yield pd.DataFrame(rows, columns=["page_id", "site_id", "card_no", "name", "price_text", "href"])
+                rows.append((page.page_id, page.site_id, page.site_name, page.site_url, i, text_of(name), text_of(price),
+                             link.attrs.get("href")))
+        yield pd.DataFrame(rows, columns=["page_id", "site_id", "site_name", "site_url", "card_no", "name", "price_text", "href"])
 
 
 def extract_products(pages: DataFrame, sites: DataFrame, price_rule: str = "last",
@@ -79,16 +81,13 @@ def extract_products(pages: DataFrame, sites: DataFrame, price_rule: str = "last
     merge by size. Pages read from files are split already.
     """
     matched = match_sites(pages, sites)
-    narrow = matched.select("page_id", "site_id", "html", "selectors.product_box", "selectors.product_name",
+    narrow = matched.select("page_id", "site_id", "site_name", "site_url", "html", "selectors.product_box", "selectors.product_name",
                             "selectors.product_price")
     spread = narrow.repartition(tasks) if tasks else narrow
     cards = spread.mapInPandas(_cards, CARD_SCHEMA)
-    known = sites.select(F.col("id").alias("site_id"), F.col("name").alias("site_name"),
-                         F.col("url").alias("site_url"))
-    joined = cards.join(known, "site_id")
     url = absolute_url(F.col("href"), F.col("site_url"))
     stamp = F.current_timestamp() if scraped_at is None else scraped_at
-    rows = joined.select(
+    rows = cards.select(
         "page_id", "site_id", "site_name", "card_no",
         product_id_from_url(url, F.col("site_id"), F.col("card_no")).alias("product_id"),
         F.trim("name").alias("product_name"), parse_price(F.col("price_text"), price_rule).alias("price"),

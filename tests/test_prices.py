@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stallmetrics import schemas
+from stallmetrics.functions import markup
 from stallmetrics.operators import benchmark, pages, pricing, reports
 from stallmetrics.sources import readers
 from tests.conftest import one, rows
@@ -219,6 +220,20 @@ def test_extract_products(spark):
     assert one(first, "price") == (1299.9,)
 
 
+def test_markup_without_end_tags():
+    tree = markup.parse('<ul><li class="x">1<ul><li>1a<li>1b</ul><li>2</ul><p>a<p>b<table><tr><td>c<td>d<tr><td>e</table>')
+    assert [markup.text_of(n) for n in markup.find_all(tree, "li")] == ["11a1b", "1a", "1b", "2"]
+    assert [markup.text_of(n) for n in markup.find_all(tree, "p")] == ["a", "b"]
+    assert [markup.text_of(n) for n in markup.find_all(tree, "td")] == ["c", "d", "e"]
+    assert [markup.text_of(n) for n in markup.find_all(tree, "tr")] == ["cd", "e"]
+
+
+@pytest.mark.parametrize("selector", ["ul > li", "li:not(.x)", "li + li", "a ~ b"])
+def test_unsupported_selectors_are_errors(selector):
+    with pytest.raises(ValueError):
+        markup.find_all(markup.parse("<ul><li>1</ul>"), selector)
+
+
 def test_extract_json_ld_drops_broken_blocks(spark):
     assert one(pages.extract_json_ld(page_frame(spark, PAGE)), "block_no", "json") == (0, '{"a": 1}')
     assert pages.extract_json_ld(page_frame(spark, None)).count() == 0
