@@ -47,17 +47,17 @@ def table_index(df: DataFrame, keys: list[str], order: list, bucket: Column, nam
     return joined.withColumn(name, F.col(name) + F.col("__before")).drop("__before")
 
 
-def previous_value(df: DataFrame, keys: list[str], order: list[str], value: str, bucket: Column | None = None,
+def previous_value(df: DataFrame, keys: list[str], order: list[str], value: str, bucket: Column,
                    name: str = "previous") -> DataFrame:
     """``value`` of the row before, within its key. ``order`` must be unique within a key."""
-    if bucket is None:
-        return df.withColumn(name, F.lag(value).over(W.partitionBy(*keys).orderBy(*order)))
-    cut = _cut(df, keys, bucket)
+    # Shuffled once: the window, the last rows of the buckets and the join all use it.
+    cut = _cut(df, keys, bucket).repartition("__group")
     # The struct is null only for the first row of a bucket, so null values stay apart.
     inside = cut.withColumn("__before", F.lag(F.struct(F.col(value).alias("v"))).over(
         W.partitionBy("__group").orderBy(*order)))
+    # The keys go along unused, so that both branches read the same columns and Spark reuses the shuffle.
     ends = cut.groupBy("__group").agg(
-        F.max(F.struct(*[F.col(c) for c in order], F.col(value).alias("__v"))).alias("__end"))
+        F.max(F.struct(*[F.col(c) for c in order], F.col(value).alias("__v"), *keys)).alias("__end"))
     carried = ends.select("__group", F.lag(F.struct(F.col("__end.__v").alias("v"))).over(
         _across(keys)).alias("__carry"))
     joined = inside.join(carried, "__group", "left")

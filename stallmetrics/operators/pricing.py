@@ -137,7 +137,7 @@ def upsert_products(dim: DataFrame, snapshot: DataFrame) -> DataFrame:
     )
 
 
-def price_changes_over_time(history: DataFrame, order: list[str], bucket: Column | None = None) -> DataFrame:
+def price_changes_over_time(history: DataFrame, order: list[str], bucket: Column) -> DataFrame:
     """Every price change in a history, against the observation before it.
 
     ``order`` fixes the sequence within a product. ``bucket`` (a month of the timestamp,

@@ -237,9 +237,9 @@ def top_cities_normalized(df: DataFrame, flt: Column, n: int = 10, merge_first:
     rows = df.filter(flt & F.col("city").isNotNull())
     shown = normalize_turkish(F.col("city")).alias("city_display")
     if merge_first:
-        # Each spelling is normalised once, not each row.
-        names = rows.select("city").distinct().select("city", shown)
-        merged = rows.join(names, "city").groupBy("city_display").agg(*_measures("unique_orders", "total_revenue"))
+        # One read: the names of orders are normalised, not those of rows.
+        orders = rows.groupBy("city", "order_id").agg(F.sum("order_amount").alias("order_amount"))
+        merged = orders.groupBy(shown).agg(*_measures("unique_orders", "total_revenue"))
     else:
         top = rows.groupBy("city").agg(_orders().alias("unique_orders"), F.sum("order_amount").alias("amount"))
         top = top.orderBy(F.desc("unique_orders"), "city").limit(n)
@@ -267,11 +267,9 @@ def expand_cities(df: DataFrame, selected: list[str]) -> DataFrame:
 
 
 def filter_by_city_names(df: DataFrame, selected: list[str]) -> DataFrame:
-    """Orders of the selected normalised city names; no selection keeps everything.
-
-    A join on the city's distinct spellings normalises each spelling once, not each row.
-    """
-    return df.join(expand_cities(df, selected), "city", "left_semi") if selected else df
+    """Orders of the selected normalised city names; no selection keeps everything. A filter
+    without a second read of the table or a shuffle."""
+    return df.filter(normalize_turkish(F.col("city")).isin(list(selected))) if selected else df
 
 
 def momentum(daily: DataFrame) -> DataFrame:

@@ -83,7 +83,27 @@ def page_sites(spark, sf):
     return hosts.select("id", F.col("id").alias("name"), "url", selectors.alias("selectors"))
 
 
-@query("p22_headings_of_pages")
+HEADINGS_SQL = r"""
+WITH cards AS (
+  SELECT page_id, regexp_extract(url, '^([a-zA-Z]+://[^/?#]+)', 1) AS base,
+         regexp_replace(lower(regexp_extract(url, '^[a-zA-Z]+://([^/?#:]+)', 1)), '^www\.', '') AS site_id,
+         regexp_extract(html, '(?s)<article[^>]*>(.*?)</article>', 1) AS card FROM pages),
+parts AS (
+  SELECT *, trim(replace(replace(replace(replace(replace(
+           regexp_replace(regexp_extract(card, '(?s)<h1[^>]*>(.*?)</h1>', 1), '<[^>]*>', '', 'g'),
+           '&quot;', '"'), '&#39;', chr(39)), '&lt;', '<'), '&gt;', '>'), '&amp;', '&')) AS product_name,
+         regexp_extract(card, '<a\b[^>]*?\bhref="([^"]*)"', 1) AS href FROM cards),
+priced AS (
+  SELECT *, coalesce(TRY_CAST(regexp_extract(regexp_replace(replace(regexp_extract_all(product_name, '[\d.,]+')[-1], '.', ''),
+           '^([^,]*),', '\1.'), '^(\d+\.?\d*|\.\d+)', 1) AS DOUBLE), 0) AS price,
+         CASE WHEN href = '' THEN '' WHEN starts_with(href, 'http') THEN href WHEN starts_with(href, '/') THEN base || href
+              ELSE base || '/' || href END AS url FROM parts)
+SELECT page_id, site_id, site_id || '_' || CASE WHEN url = '' THEN '0' ELSE
+         regexp_replace(list_filter(string_split(url, '/'), lambda p: p <> '')[-1], '[^a-zA-Z0-9-]', '_', 'g') END AS product_id,
+       product_name, price, url FROM priced WHERE price > 0 AND product_name <> ''"""
+
+
+@query("p22_headings_of_pages", HEADINGS_SQL)
 def _(spark, sf):
     """Article headings with a number in them, read as cards of the given pages."""
     found = ops.extract_products(table(spark, sf, "pages"), page_sites(spark, sf))

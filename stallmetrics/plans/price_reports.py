@@ -161,7 +161,8 @@ LAG_COLUMNS = ["site_id", "product_id", "timestamp", "old_price", "new_price", "
 
 @query("w09_price_changes_over_time", LAG_SQL)
 def _(spark, sf):
-    return pricing.price_changes_over_time(price_keys(spark, sf), POSITION).select(*LAG_COLUMNS)
+    month = F.trunc("timestamp", "MM")
+    return pricing.price_changes_over_time(price_keys(spark, sf), POSITION, month).select(*LAG_COLUMNS)
 
 
 @query("w09_price_changes_over_time_split", LAG_SQL)
