@@ -260,7 +260,7 @@ def _(spark, sf):
 
 
 @query("k10_table_profile", with_dup_orders(
-    "SELECT count(*) AS row_count, 'order_month' AS partition_columns, '' AS cluster_columns FROM dup_items"))
+    "SELECT count(*) AS row_count, 'order_month' AS partition_columns, 'order_id' AS cluster_columns FROM dup_items"))
 def _(spark, sf):
     return tables.table_profile(spark, stored(spark, sf)).drop("table", "columns")
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from stallmetrics.functions.filters import not_on_day, on_day
 from stallmetrics.schemas import PARTITION_COLUMN
-from stallmetrics.sinks.tables import balanced, write_clustered
+from stallmetrics.sinks.tables import balanced, cluster_columns, write_clustered
 from stallmetrics.sources import paths
 
 
@@ -58,7 +58,9 @@ def restore_partition(spark: SparkSession, backup: str, path: str, day, column:
 
 def rebuild_table(spark: SparkSession, path: str, day, clean: DataFrame, out: str,
                   column: str = PARTITION_COLUMN, cluster: str = "order_id") -> None:
-    """New table: all other days (rows without a date included) plus the clean day."""
+    """New table: all other days (rows without a date included) plus the clean day. It keeps
+    the table's own clustering; ``cluster`` is for a table without any."""
+    cluster = next(iter(cluster_columns(spark, path)), cluster)
     others = spark.read.parquet(path).filter(not_on_day(day, column))
     write_clustered(others.unionByName(clean), out, column, cluster)
 

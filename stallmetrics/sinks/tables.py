@@ -36,6 +36,10 @@ def balanced(df: DataFrame, *columns: str) -> DataFrame:
     return df.hint("rebalance", *columns)
 
 
+#: Folder with a table's clustering note; readers of the table skip names that begin so.
+CLUSTERING = "_clustering"
+
+
 def append_rows(df: DataFrame, path: str, partition: str | None = PARTITION_COLUMN) -> None:
     if partition is None:
         df.write.mode("append").parquet(path)
@@ -46,9 +50,22 @@ def append_rows(df: DataFrame, path: str, partition: str | None = PARTITION_COLU
 def write_clustered(df: DataFrame, path: str, partition: str = PARTITION_COLUMN, cluster: str = "order_id",
                     mode: str = "errorifexists") -> None:
     """Partitioned by day and sorted by the cluster column, so that Parquet min/max
-    statistics skip row groups on that column."""
+    statistics skip row groups on that column. The column is noted beside the data."""
     ordered = balanced(df, partition).sortWithinPartitions(partition, cluster)
     ordered.write.mode(mode).partitionBy(partition).parquet(path)
+    note = df.sparkSession.createDataFrame([(cluster,)], "cluster string")
+    note.write.mode("overwrite").json(f"{path}/{CLUSTERING}")
+
+
+def cluster_columns(spark: SparkSession, path: str) -> list[str]:
+    """Columns that a table in a folder is clustered by (none without a note)."""
+    note = f"{path}/{CLUSTERING}"
+    return [r[0] for r in spark.read.schema("cluster string").json(note).collect()] if paths.exists(spark, note) else []
+
+
+def partition_columns(spark: SparkSession, path: str) -> list[str]:
+    """Columns that a table in a folder is partitioned by."""
+    return sorted({d.split("=", 1)[0] for d in paths.child_dirs(spark, path) if "=" in d})
 
 
 def write_bucketed(df: DataFrame, table: str, path: str, columns: list[str], buckets: int) -> None:
@@ -143,8 +160,7 @@ def table_profile(spark: SparkSession, name_or_path: str) -> DataFrame:
     is_path = "/" in name_or_path
     df = spark.read.parquet(name_or_path) if is_path else spark.table(name_or_path)
     if is_path:
-        partition = sorted({d.split("=", 1)[0] for d in paths.child_dirs(spark, name_or_path) if "=" in d})
-        cluster: list[str] = []
+        partition, cluster = partition_columns(spark, name_or_path), cluster_columns(spark, name_or_path)
     else:
         info = spark.catalog.listColumns(name_or_path)
         partition = [c.name for c in info if c.isPartition]

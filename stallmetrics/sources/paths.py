@@ -17,11 +17,13 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def child_dirs(spark: SparkSession, path: str) -> list[str]:
-    """Names of the directories directly below ``path`` (none if it does not exist)."""
+    """Names of the directories directly below ``path`` (none if it does not exist), without
+    those that begin with ``_`` or ``.``, which readers skip too."""
     fs, p = _fs(spark, path)
     if not fs.exists(p):
         return []
-    return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory())
+    names = (s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory())
+    return sorted(n for n in names if n[0] not in "_.")
 
 
 def rename(spark: SparkSession, src: str, dst: str) -> None:

@@ -96,6 +96,16 @@ def test_repair_of_named_days(spark, table):
     assert per_day(spark, table) == [(D1, 2), (D2, 2), (None, 2)]
 
 
+def test_rebuilt_tables_keep_their_clustering(spark, table):
+    base = new_workdir(spark, "clustered")
+    rows_of = spark.read.parquet(table)
+    tables.write_clustered(rows_of, base + "/t", cluster="vendor_id")
+    maintenance.rebuild_table(spark, base + "/t", D1, rows_of.filter(F.col(DAY) == F.lit(D1)).distinct(), base + "/n")
+    profile = one(tables.table_profile(spark, base + "/n"), "row_count", "partition_columns", "cluster_columns")
+    assert profile == (rows_of.count() - 1, DAY, "vendor_id")
+    assert tables.cluster_columns(spark, table + "-none") == []
+
+
 def test_repair_can_be_repeated(spark, table):
     first = rows(repair.repair_dates(spark, table, table + "-b"))
     after = per_day(spark, table)
