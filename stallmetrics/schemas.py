@@ -16,6 +16,8 @@ from pyspark.sql.types import (
 )
 
 MONEY = DecimalType(18, 2)
+
+# Column names and types of the published tables and files.
 PARTITION_COLUMN = "order_created_date_tr"
 
 ORDER_ITEMS = StructType([
@@ -185,3 +187,4 @@ BENCHMARKS = StructType([
     StructField("min_price", DoubleType(), False),
     StructField("max_price", DoubleType(), False),
 ])
+# End of fixed values.

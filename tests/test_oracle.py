@@ -14,7 +14,7 @@ from check import compare, duck
 SF_DIR = "/root/testdata/sf0.001"
 QUICK = ["a01", "a05", "a07", "a13", "a14_growth_previous_year", "a17_weekday_hour_pivot", "a23", "a25", "a33_", "j02", "j04",
          "j05", "j08", "j10", "w02", "w03", "w09", "w10", "w11", "a34", "a36", "a37", "p05", "p06", "p08", "p10", "p23",
-         "p24_change_lines", "p25", "p27", "f11", "f15", "h01", "u04"]
+         "p24", "p25", "a26", "o06", "p27", "f11", "f15", "h01", "u04"]
 NAMES = [n for n in driver.queries() if os.environ.get("ALL_QUERIES") or any(n.startswith(q) for q in QUICK)]
 
 
