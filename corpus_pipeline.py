@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from stallmetrics.llm import bpe, jaccard_join, mixing, quality, secrets
 from stallmetrics.llm.common import table, written
@@ -33,9 +34,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     columns = docs.columns
     topical = with_topic(docs, table(spark, sf_dir, "embeddings"))
     light = written(topical.select("source", "lang", "__topic", mixing.word_tokens().alias("n_tokens")), "mix")
-    chances = mixing.fit_probabilities(light, MIX, MIX_COLUMNS, "n_tokens")
-    chance = mixing.probability(mixing.cell_of(MIX, MIX_COLUMNS), chances)
-    return topical.filter(mixing.draw() < chance).select(*columns)
+    dealt = mixing.with_chance(topical, mixing.cell_chances(light, MIX, MIX_COLUMNS, "n_tokens"), MIX_COLUMNS)
+    return dealt.filter(mixing.draw() < F.col("__chance")).select(*columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,10 +1,13 @@
 """Mixing sources to target weights by iterative proportional fitting.
 
-Spark sums the tokens of every (source, lang, topic) cell. The cells are named by the
-targets (all other values, and null, share one place per margin), so their number is
-bounded by the targets and the fit runs on a small array. Each document is then kept with
+Spark sums the tokens of every (source, lang, topic) cell that occurs, and the fit runs on
+that list in the driver: it grows with the cells, not with the rows. The cells with their
+probabilities are written and joined to the documents, and each document is then kept with
 its cell's calibrated probability, decided by a hash of its id.
 
+Values that the targets do not name are cells of their own and have their targets from the
+sums: see ``aims_of``. Null and the empty string are one value, without a name.
+
 Empty text: no tokens, the cell's probability applies all the same. A margin value without
 tokens has its weight spread over the rest; a cell without tokens stays empty. Repeated
 rows share their decision.
@@ -19,33 +22,73 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stallmetrics.llm.common import written
+
 MARGINS = ("source", "lang", "topic")
 _REST = ""
 _BUCKETS = 1 << 30
 
 
-def rake(tokens: np.ndarray, targets: list[np.ndarray], rounds: int = 200, tolerance: float = 1e-9) -> np.ndarray:
-    """Weights of the cells, in proportion to ``tokens``, whose margins are ``targets`` (sums of 1)."""
+def rake_cells(tokens: np.ndarray, places: list[np.ndarray], targets: list[np.ndarray], rounds: int = 200,
+               tolerance: float = 1e-9) -> np.ndarray:
+    """Weights of listed cells, in proportion to ``tokens``, whose margins are ``targets`` (sums of 1).
+
+    ``places`` has for each margin the index of every cell's value."""
     if not tokens.sum():
         return np.zeros(tokens.shape)
     fitted = tokens / tokens.sum()
     for _ in range(rounds):
         moved = 0.0
-        for axis, target in enumerate(targets):
-            others = tuple(a for a in range(tokens.ndim) if a != axis)
-            now = fitted.sum(axis=others)
+        for place, target in zip(places, targets, strict=True):
+            now = np.bincount(place, fitted, len(target))
             aim = np.where(now > 0, target, 0.0)
             if not aim.sum():
                 continue
             aim = aim / aim.sum()
             ratio = np.divide(aim, now, out=np.zeros_like(now), where=now > 0)
             moved = max(moved, float(np.abs(aim - now).max()))
-            fitted = fitted * ratio.reshape([-1 if a == axis else 1 for a in range(tokens.ndim)])
+            fitted = fitted * ratio[place]
         if moved < tolerance:
             break
     return fitted
 
 
+def rake(tokens: np.ndarray, targets: list[np.ndarray], rounds: int = 200, tolerance: float = 1e-9) -> np.ndarray:
+    """The same for a table with an axis for each margin."""
+    places = [i.ravel() for i in np.indices(tokens.shape)]
+    return rake_cells(tokens.ravel(), places, targets, rounds, tolerance).reshape(tokens.shape)
+
+
+def aims_of(amounts: np.ndarray, given: np.ndarray, nameless: np.ndarray) -> np.ndarray:
+    """Target shares of a margin's values, from their tokens and the ``given`` ones (NaN: not named by the targets).
+
+    What the given ones leave of 1 is dealt to the others: the nameless value takes the part
+    that it has among their tokens, and the rest go by tempered shares, by the square root
+    where a value is above their mean. A rare value is not raised against the others, for it
+    would press down the probabilities of all. If nothing is left, the others keep their
+    measured shares and the given ones divide what remains.
+    """
+    share = amounts / amounts.sum() if amounts.sum() else np.zeros(len(amounts))
+    other = np.isnan(given)
+    named = np.where(other, 0.0, given)
+    left = 1.0 - named.sum()
+    if left < 1e-9:
+        return np.where(other, share, named / named.sum() * (1.0 - share[other].sum()))
+    weight = np.where(other, share, 0.0)
+    dealt = other & ~nameless & (share > 0)
+    if dealt.any():
+        tempered = np.minimum(share, np.sqrt(share * share[dealt].mean()))
+        weight[dealt] = tempered[dealt] * (share[dealt].sum() / tempered[dealt].sum())
+    return named + (left * weight / weight.sum() if weight.sum() else 0.0)
+
+
+def _chances(amounts: np.ndarray, fitted: np.ndarray, rate: float) -> np.ndarray:
+    """The cell that is short of most tokens is kept whole; cells without tokens too."""
+    ratio = np.divide(fitted, amounts, out=np.zeros(amounts.shape), where=amounts > 0)
+    most = ratio.max(initial=0.0)
+    return np.where(amounts > 0, ratio / most, 1.0) * rate if most else np.full(amounts.shape, rate)
+
+
 def _place(column: str, values: list[str]) -> Column:
     """Index of the value among the targets; the last one is for all others."""
     known = [v for v in values if v != _REST]
@@ -70,7 +113,7 @@ def cell_of(targets: dict[str, dict[str, float]], columns: dict[str, str]) -> Co
 
 def fit_probabilities(rows: DataFrame, targets: dict[str, dict[str, float]], columns: dict[str, str], tokens: str,
                       rate: float = 1.0) -> dict[int, float]:
-    """Probability of keeping a document, by cell.
+    """Probability of keeping a document, by cell, with one place per margin for all values that the targets do not name.
 
     ``targets`` gives per margin the share of tokens of each value; what is missing to 1 falls
     to all other values. ``rate`` below 1 thins out all cells alike.
@@ -81,16 +124,43 @@ def fit_probabilities(rows: DataFrame, targets: dict[str, dict[str, float]], col
               .agg(F.sum(F.col(tokens)).alias("n")).collect()}
     amounts = np.array([summed.get(k, 0) for k in range(int(np.prod(shape)))], dtype=float).reshape(shape)
     aims = []
-    for m in MARGINS:
-        given = [float(targets[m].get(v, 0.0)) for v in names[m][:-1]]
-        aims.append(np.array([*given, max(0.0, 1.0 - sum(given))]))
-    fitted = rake(amounts, aims)
-    ratio = np.divide(fitted, amounts, out=np.zeros(shape), where=amounts > 0)
-    most = ratio.max()
-    chance = np.where(amounts > 0, ratio / most, 1.0) * rate if most else np.full(shape, rate)
+    for axis, m in enumerate(MARGINS):
+        given = np.array([*(float(targets[m][v]) for v in names[m][:-1]), np.nan])
+        sums = amounts.sum(axis=tuple(a for a in range(len(shape)) if a != axis))
+        aims.append(aims_of(sums, given, np.isnan(given)))
+    chance = _chances(amounts, rake(amounts, aims), rate)
     return {k: float(c) for k, c in zip(range(chance.size), chance.ravel(), strict=True)}
 
 
+def _value(column: str) -> Column:
+    return F.nullif(F.col(column).cast("string"), F.lit(_REST))
+
+
+def cell_chances(rows: DataFrame, targets: dict[str, dict[str, float]], columns: dict[str, str], tokens: str,
+                 rate: float = 1.0) -> DataFrame:
+    """Probability of keeping a document, ``__chance``, for every cell that occurs in ``rows``; each value is one of its own."""
+    sums = rows.groupBy(*(_value(columns[m]).alias(f"__{m}_cell") for m in MARGINS)).agg(
+        F.sum(F.col(tokens)).cast("double").alias("n")).collect()
+    amounts = np.array([r["n"] or 0.0 for r in sums], dtype=float)
+    places, aims = [], []
+    for k, m in enumerate(MARGINS):
+        values = {v: i for i, v in enumerate(dict.fromkeys([*(v for v in targets[m] if v != _REST), None, *(r[k] for r in sums)]))}
+        place = np.array([values[r[k]] for r in sums], dtype=np.int64)
+        given = np.array([float(targets[m].get(v, np.nan)) for v in values])
+        places.append(place)
+        aims.append(aims_of(np.bincount(place, amounts, len(values)), given, np.array([v is None for v in values])))
+    chance = _chances(amounts, rake_cells(amounts, places, aims), rate)
+    schema = ", ".join([*(f"__{m}_cell string" for m in MARGINS), "__chance double"])
+    listed = [(*r[:len(MARGINS)], c) for r, c in zip(sums, chance.tolist(), strict=True)]
+    return written(rows.sparkSession.createDataFrame(listed, schema).coalesce(1), "cells")
+
+
+def with_chance(rows: DataFrame, chances: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """``rows`` with the ``__chance`` of their cells."""
+    same = [_value(columns[m]).eqNullSafe(F.col(f"__{m}_cell")) for m in MARGINS]
+    return rows.join(chances, same, "left").drop(*(f"__{m}_cell" for m in MARGINS))
+
+
 def draw(doc_id: str = "doc_id", seed: int = 7) -> Column:
     """A number in [0, 1) that depends on the id alone."""
     return F.pmod(F.xxhash64(F.col(doc_id), F.lit(seed)), F.lit(_BUCKETS)) / F.lit(_BUCKETS)

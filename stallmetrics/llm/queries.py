@@ -11,7 +11,7 @@ from stallmetrics.llm.common import table, written
 
 PIECES = "piece_bpe_32k.model"
 WORDS = "word_bpe_49k.json"
-#: Token shares aimed at. What is missing to 1 is for all other values.
+#: Token shares aimed at; all other values have theirs from the measured shares (``mixing.aims_of``).
 MIX = {"source": {"src0": 0.3}, "lang": {"en": 0.55, "de": 0.17, "fr": 0.17, "es": 0.11},
        "topic": {str(k): 0.02 for k in range(10)}}
 MIX_COLUMNS = {"source": "source", "lang": "lang", "topic": "__topic"}
@@ -79,10 +79,9 @@ def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = with_topic(table(spark, sf_dir, "documents").select(
         "doc_id", "source", "lang", mixing.word_tokens().alias("n_tokens")), table(spark, sf_dir, "embeddings"))
     docs = written(docs, "mix")
-    chances = mixing.fit_probabilities(docs, MIX, MIX_COLUMNS, "n_tokens")
-    chance = mixing.probability(mixing.cell_of(MIX, MIX_COLUMNS), chances)
+    docs = mixing.with_chance(docs, mixing.cell_chances(docs, MIX, MIX_COLUMNS, "n_tokens"), MIX_COLUMNS)
     return docs.select("doc_id", "source", "lang", F.col("__topic").alias("topic"), "n_tokens",
-                       F.round(chance, 9).alias("probability"), (mixing.draw() < chance).alias("drawn"))
+                       F.round("__chance", 9).alias("probability"), (mixing.draw() < F.col("__chance")).alias("drawn"))
 
 
 def op8_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -162,6 +162,44 @@ def test_raking_meets_its_margins(make, spark):
     assert len(mixing.cells(targets)) == len(chances)
 
 
+def test_mixing_names_every_value(spark):
+    rng = random.Random(5)
+    rows = []
+    for k in range(4000):
+        source = rng.choice(["src0", "hot", "hot", "hot", "hot", "hot", "hot", "b", "c", None])
+        rows.append((k, source, rng.choice(["en", "en", "de", "fr", "es", "it", None, ""]), rng.choice(["0", "1", "77", None]), rng.randrange(5, 40)))
+    rows.append((4000, "rare", "en", None, 3))
+    docs = spark.createDataFrame(rows, "doc_id long, source string, lang string, __topic string, n_tokens long")
+    chances = mixing.cell_chances(docs, queries.MIX, queries.MIX_COLUMNS, "n_tokens")
+    got = {r["doc_id"]: r for r in mixing.with_chance(docs, chances, queries.MIX_COLUMNS).collect()}
+    assert len(got) == len(rows) and all(0 < r["__chance"] <= 1 for r in got.values())
+    # plain raking over the same values, with the targets by hand
+    total = sum(r[4] for r in rows)
+
+    def measured(col):
+        out = {}
+        for r in rows:
+            out[r[col] or None] = out.get(r[col] or None, 0) + r[4] / total
+        return out
+
+    lang, source = measured(2), measured(1)
+    open_lang = lang["it"] + lang[None]
+    want_lang = {**{v: t * (1 - open_lang) for v, t in queries.MIX["lang"].items()}, "it": lang["it"], None: lang[None]}
+    others = {v: s for v, s in source.items() if v not in ("src0", None)}
+    mean = sum(others.values()) / len(others)
+    soft = {v: min(s, (s * mean) ** 0.5) for v, s in others.items()}
+    rest = 1 - source["src0"]
+    want_source = {"src0": 0.3, None: 0.7 * source[None] / rest,
+                   **{v: 0.7 * (rest - source[None]) / rest * s / sum(soft.values()) for v, s in soft.items()}}
+    kept = sum(r["__chance"] * r["n_tokens"] for r in got.values())
+    for col, want in ((2, want_lang), (1, want_source)):
+        for v, aim in want.items():
+            mine = sum(got[r[0]]["__chance"] * r[4] for r in rows if (r[col] or None) == v) / kept
+            assert abs(mine - aim) < 1e-6, (v, mine, aim)
+    assert want_source["hot"] / source["hot"] < want_source["b"] / source["b"]
+    assert mixing.cell_chances(docs.limit(0), queries.MIX, queries.MIX_COLUMNS, "n_tokens").count() == 0
+
+
 def test_fixity_equals_a_full_comparison(spark):
     rows = [(k, f"http://h/{k}", "body " * (k % 40) if k % 9 else None) for k in range(900)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
