@@ -9,13 +9,17 @@ then reranked by inner products of the original vectors in double precision.
 
 R is learned on the sample: it covers ``coverage`` of the pairs of a vector and its nearest
 ones there; in a larger table the nearest are nearer still. Where a shard holds fewer than k
-codes within R, R is raised there until it does or all rows are in.
+codes of other ids within R, R is raised there until it does or all rows are in.
 
 Every row is indexed. Index shards have a fixed number of rows, queries go in blocks to
 every shard, and each shard answers with its k best, so no task sees more than one shard and
 one block. Vectors that are null, zero, of another length than the sample's most frequent
-one, or with null or non-finite components take no part; a null id takes none either. Of
-rows that repeat an id each may be found, save by queries of that id.
+one, or with null or non-finite components take no part; a null id takes none either.
+
+Neighbours are ids. Rows that repeat an id with the same vector count once; if an id has
+several vectors it asks with each and is found by each, and the score of two ids is the best
+of their vectors. Rows are dealt to shards and blocks by id and vector, so the vectors of one
+id spread.
 """
 
 from __future__ import annotations
@@ -28,6 +32,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from stallmetrics.llm.common import written
+
 SAMPLE_ROWS = 4096
 ROTATIONS = 2
 SHARD_ROWS = 16_384
@@ -100,16 +106,33 @@ class Index:
         apart = _POPCOUNT[self.codes[rows] ^ code].sum(axis=1, dtype=np.int64)
         return rows[apart <= radius]
 
-    def near(self, code: np.ndarray, radius: int, least: int) -> np.ndarray:
-        """The same, with the radius raised until ``least`` rows are found or all are."""
-        least = min(least, len(self.codes))
-        rows = self.within(code, radius)
-        while len(rows) < least:
-            radius += max(1, self.codes.shape[1] // 2)
+    def near(self, code: np.ndarray, radius: int, least: int, groups: np.ndarray | None = None, own: int = -1) -> np.ndarray:
+        """The same, with the radius raised until ``least`` rows are found or all are.
+
+        With ``groups``, the number of each row's group from 0, until ``least`` groups are found; rows of ``own`` are left out.
+        """
+
+        def found() -> tuple[np.ndarray, int, bool]:
             rows = self.within(code, radius)
+            last = len(rows) == len(self.codes)
+            if groups is None:
+                return rows, len(rows), last
+            rows = rows[groups[rows] != own]
+            return rows, np.count_nonzero(np.bincount(groups[rows])), last
+
+        rows, n, last = found()
+        while n < least and not last:
+            radius += max(1, self.codes.shape[1] // 2)
+            rows, n, last = found()
         return rows
 
 
+def best_of_each(ids: np.ndarray, scores: np.ndarray) -> np.ndarray:
+    """Places of the best score of each id."""
+    order = np.lexsort((-scores, ids))
+    return order[np.flatnonzero(np.concatenate([np.ones(min(1, len(order)), dtype=bool), np.diff(ids[order]) != 0]))]
+
+
 def sound(vector: str) -> Column:
     """No null, NaN or infinite component, and not all zero."""
     bad = F.exists(vector, lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")))
@@ -126,7 +149,8 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 20, sample_rows: int =
     """query_id, rank, vec_id and score: the k nearest found by inner product, for each row that ``queries`` holds for."""
     spark = vectors.sparkSession
     rows = vectors.select("vec_id", F.col("embedding").alias("v")).filter(F.col("vec_id").isNotNull() & sound("v"))
-    sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample_rows).select("v").toPandas()["v"]
+    rows = written(rows.dropDuplicates(["vec_id", "v"]), "vectors")
+    sample = rows.orderBy(F.xxhash64("vec_id", "v"), "vec_id").limit(sample_rows).select("v").toPandas()["v"]
     schema = "query_id long, rank int, vec_id long, score double"
     if sample.empty:
         return spark.createDataFrame([], schema)
@@ -137,7 +161,7 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 20, sample_rows: int =
     shards, blocks = -(-size["n"] // SHARD_ROWS), max(1, -(-size["q"] // BLOCK_ROWS))
 
     def spread(df: DataFrame, own: str, own_n: int, other: str, other_n: int) -> DataFrame:
-        return df.withColumns({own: F.pmod(F.xxhash64("vec_id"), F.lit(own_n)).cast("int"),
+        return df.withColumns({own: F.pmod(F.xxhash64("vec_id", "v"), F.lit(own_n)).cast("int"),
                                other: F.explode(F.sequence(F.lit(0), F.lit(other_n - 1)))})
 
     stored = spread(rows, "shard", shards, "block", blocks)
@@ -149,10 +173,14 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 20, sample_rows: int =
         ids, asking = (t["vec_id"].to_numpy() for t in (left, right))
         if len(x) and len(q):
             index, codes = Index(coder.codes(x)), coder.codes(q)
+            known, groups = np.unique(ids, return_inverse=True)
+            place = np.minimum(np.searchsorted(known, asking), len(known) - 1)
+            own = np.where(known[place] == asking, place, -1)
             for i in range(len(q)):
-                found = index.near(codes[i], coder.radius, k + 1)
-                found = found[ids[found] != asking[i]]
+                found = index.near(codes[i], coder.radius, k, groups, own[i])
                 scores = x[found] @ q[i]
+                if len(known) < len(ids):
+                    found, scores = found[best := best_of_each(ids[found], scores)], scores[best]
                 if len(found) > k:  # all that tie with the k-th stay until ids decide
                     found, scores = found[least := scores >= np.partition(scores, -k)[-k]], scores[least]
                 best = np.lexsort((ids[found], -scores))[:k]
@@ -162,7 +190,7 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 20, sample_rows: int =
                          "score": pa.array(columns[2], pa.float64())})
 
     answers = stored.groupBy("shard", "block").cogroup(asked.groupBy("shard", "block")).applyInArrow(
-        search, "query_id long, vec_id long, score double")
+        search, "query_id long, vec_id long, score double").groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return answers.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select(
         "query_id", "rank", "vec_id", "score")

@@ -123,6 +123,30 @@ def test_odd_vectors_take_no_part(spark):
     assert hashing_index.nearest(spark.createDataFrame([], "vec_id long, embedding array<float>"), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_neighbours_of_repeated_ids(spark, monkeypatch):
+    monkeypatch.setattr(hashing_index, "SHARD_ROWS", 40)
+    rng = np.random.default_rng(6)
+    rows = [(k, [float(v) for v in rng.standard_normal(16)]) for k in range(120)]
+    rows += [rows[0]] * 25 + [rows[7]] * 30  # copies of a query and of a stored row
+    rows += [(20, [float(v) for v in rng.standard_normal(16)]) for _ in range(60)]  # one id, many vectors
+    got = hashing_index.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 20 == 0,
+                                sample_rows=500).collect()
+    for q in range(0, 120, 20):
+        best = {}
+        for i, v in rows:
+            if i != q:
+                best[i] = max([best.get(i, -np.inf), *(float(np.dot(v, w)) for j, w in rows if j == q)])
+        mine = sorted((r for r in got if r["query_id"] == q), key=lambda r: r["rank"])
+        assert [r["rank"] for r in mine] == list(range(1, 21)) and len({r["vec_id"] for r in mine}) == 20
+        assert q not in {r["vec_id"] for r in mine}
+        want = sorted(best, key=lambda i: (-best[i], i))[:20]
+        assert len(set(want) & {r["vec_id"] for r in mine}) >= 18
+    codes = rng.integers(0, 256, (200, 4), dtype=np.uint8)
+    groups = np.repeat(np.arange(50), 4)
+    rows = hashing_index.Index(codes).near(codes[0], 0, 30, groups, 0)
+    assert len(set(groups[rows])) >= 30 and 0 not in groups[rows]
+
+
 def test_url_parts_rules_and_shrinking(spark):
     urls = [("HTTP://Www.Example.NET/en/x?q", "www.example.net", "/en/x", "example.net/en/"), ("http://a.net", "a.net", "", None),
             ("http://a.net/", "a.net", "/", "net/"), ("http://notexample.com/de/", "notexample.com", "/de/", None),
