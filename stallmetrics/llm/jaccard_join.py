@@ -27,6 +27,8 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.window import Window
 
 from stallmetrics.llm.common import sized, texts, written
 
@@ -361,7 +363,8 @@ def common_tokens(sketches: DataFrame) -> np.ndarray:
 
 
 def link_texts(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, orders: int = ORDERS) -> DataFrame:
-    """doc_id, n_shingles and component_id of every row of ``docs``."""
+    """doc_id, n_shingles and component_id of every row of ``docs``, with the set_id of its text and first_set, that of
+    its component's first row: the least by id, then by set. Components that share a repeated id differ by first_set."""
     sketches = written(_sketches(docs, words), "sketches")
     rows = sketches.filter("is_text").select("doc_id", "n_shingles", "set_id")
     nodes = sketches.filter("set_id IS NOT NULL").groupBy("set_id").agg(
@@ -373,23 +376,51 @@ def link_texts(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, orde
     labels = components(stars.union(pairs))
     firsts = sketches.filter("set_id IS NOT NULL").groupBy("set_id").agg(F.min("doc_id").alias("first_id"))
     named = firsts.join(labels, F.col("set_id") == F.col("node"), "left")
-    least = labels.join(firsts, F.col("set_id") == F.col("node")).groupBy("label").agg(F.min("first_id").alias("least_id"))
-    classes = named.join(least, "label", "left").select("set_id", F.coalesce("least_id", "first_id").alias("component_id"))
+    first = F.min(F.struct(F.col("first_id").isNull().alias("none"), "first_id", "set_id")).alias("first")
+    least = labels.join(firsts, F.col("set_id") == F.col("node")).groupBy("label").agg(first).select(
+        "label", F.col("first.first_id").alias("least_id"), F.col("first.set_id").alias("least_set"))
+    classes = named.join(least, "label", "left").select("set_id", F.coalesce("least_id", "first_id").alias("component_id"),
+                                                        F.coalesce("least_set", "set_id").alias("first_set"))
     return rows.join(classes, "set_id", "left").select(
-        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), "set_id", "first_set")
 
 
-def first_of_each(docs: DataFrame, linked: DataFrame) -> DataFrame:
-    """The documents that are the first of their component, one row each; rows without an id stay.
+def _with_sets(docs: DataFrame, words: int) -> DataFrame:
+    """``docs`` with the ``__set_id`` of each text, null without words."""
 
-    Of rows that repeat an id one stays. What goes is written first: Spark then knows its
-    size and chooses the join by it.
+    def run(batches):
+        own = Shingler(words)
+        for batch in sized(batches, "text"):
+            sets = [own.tokens(t) for t in texts(batch)]
+            keys = pa.array([set_hash(s) if len(s) else None for s in sets], pa.int64())
+            yield pa.RecordBatch.from_arrays([*batch.columns, keys], names=[*batch.schema.names, "__set_id"])
+
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("__set_id", LongType())]))
+
+
+def first_of_each(docs: DataFrame, linked: DataFrame, words: int = WORDS) -> DataFrame:
+    """The documents that are the first of their component, one row each.
+
+    An id that occurs once is decided by the id. Of a repeated id, the rows whose text is the
+    first of its component stay, one of each text, and one without words; the row that stays
+    does not depend on the order of the rows. Rows without an id cannot be named as the first
+    of others: one of each component stays, and all without words. What goes is written first:
+    Spark then knows its size and chooses the join by it.
     """
     gone = written(linked.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("gone_id")).distinct(), "gone")
-    twice = written(linked.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").select(
-        F.col("doc_id").alias("twice_id")), "twice")
+    odd = written(linked.groupBy("doc_id").count().filter("count > 1 OR doc_id IS NULL").select(F.col("doc_id").alias("odd_id")), "odd")
     left = docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")
-    if twice.isEmpty():
+    if odd.isEmpty():
         return left
-    single = left.join(twice, left["doc_id"] == twice["twice_id"], "left_anti")
-    return single.unionByName(left.join(twice, left["doc_id"] == twice["twice_id"], "left_semi").dropDuplicates(["doc_id"]))
+    is_odd = docs["doc_id"].eqNullSafe(odd["odd_id"])
+    rows = _with_sets(docs.join(odd, is_odd, "left_semi"), words)
+    known = linked.join(odd, linked["doc_id"].eqNullSafe(odd["odd_id"]), "left_semi").filter("set_id IS NOT NULL")
+    stay = written(known.filter("doc_id = component_id AND set_id = first_set").select("doc_id", "set_id").distinct().unionByName(
+        known.filter("doc_id IS NULL").groupBy("first_set").agg(F.min("set_id").alias("set_id")).select(
+            F.lit(None).cast("long").alias("doc_id"), "set_id")).select(F.col("doc_id").alias("stay_id"), F.col("set_id").alias("stay_set")), "stay")
+    first = rows.join(stay, rows["doc_id"].eqNullSafe(stay["stay_id"]) & (rows["__set_id"] == stay["stay_set"]), "left_semi")
+    wordless = rows.filter("__set_id IS NULL")
+    order = Window.partitionBy("doc_id", "__set_id").orderBy(F.to_json(F.struct(*docs.columns)))
+    one = first.unionByName(wordless.filter("doc_id IS NOT NULL")).withColumn("__row", F.row_number().over(order)).filter("__row = 1")
+    return left.join(odd, is_odd, "left_anti").unionByName(one.select(*docs.columns)).unionByName(
+        wordless.filter("doc_id IS NULL").select(*docs.columns))

@@ -93,7 +93,7 @@ def op9_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_join.link_texts(table(spark, sf_dir, "documents"))
+    return jaccard_join.link_texts(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
 OP10_SQL = r"""

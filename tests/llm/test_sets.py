@@ -77,6 +77,21 @@ def test_links_of_repeated_null_and_common(make, monkeypatch):
     assert jaccard_join.link_texts(make([])).count() == 0
 
 
+def test_first_of_repeated_and_null_ids(make):
+    a, b, c = (" ".join(f"{x}{k}" for k in range(40)) for x in "abc")
+    # 5 repeats a, whose first is 2, and has the clean text b; 7 begins two groups; c and its copies have no id
+    docs = make([a, a, b, b + " z", c + " y", c + " y", c.upper() + " y", "", None, "", b.upper()],
+                [2, 5, 5, 7, 7, None, None, None, None, 9, 5])
+    got = jaccard_join.first_of_each(docs, jaccard_join.link_texts(docs))
+    assert got.columns == docs.columns
+    kept = sorted(((r["doc_id"], shingles(r["text"])) for r in got.collect()), key=lambda r: (r[0] is None, r[0] or 0, len(r[1])))
+    assert kept == [(2, shingles(a)), (5, shingles(b)), (7, shingles(c + " y")), (9, frozenset()),
+                    (None, frozenset()), (None, frozenset()), (None, shingles(c + " y"))]
+    twins = make([a, b, c, b, b], [5, 5, None, None, None])
+    got = jaccard_join.first_of_each(twins, jaccard_join.link_texts(twins)).collect()
+    assert sorted(((r["doc_id"], r["text"]) for r in got), key=str) == sorted([(5, a), (5, b), (None, b), (None, c)], key=str)
+
+
 def test_components_of_a_chain(spark):
     edges = spark.createDataFrame([(k, k + 1) for k in range(40)] + [(100, 101)], "a long, b long")
     got = {r["node"]: r["label"] for r in jaccard_join.components(edges).collect()}
