@@ -2,7 +2,8 @@
 
 A set's prefix under a total order of all tokens is so long that two sets which reach the
 threshold must share a token of their prefixes. That holds for every order, so a candidate
-pair has to share one under each of them: the filters are intersected before verification.
+pair has to share one under each of them. Candidates are made under the first order; the
+others are looked at just before the exact intersection, on the joined token lists.
 All orders begin with the rarest tokens and differ in how ties are broken; a token of one
 set alone can never be shared, so most sets need no candidates at all.
 
@@ -11,8 +12,9 @@ tokens that are very common in a batch of texts are noted. (2) One shuffle of (t
 finds the tokens of two or more sets and their frequencies; the rows of common tokens are
 spread over all partitions. (3) Sets whose prefix holds only unshared tokens drop out. (4)
 The remaining sets are first linked in stars around equal min-hashes, verified; what is
-connected needs no further pairs. (5) Pairs of different components that share a token in
-all prefixes are verified by exact intersection. (6) Components over all verified links.
+connected needs no further pairs, and star pairs pass no prefix filter. (5) Pairs of different
+components that share a token in the first order's prefixes, and pass the filters of the others, are
+verified by exact intersection. (6) Components over all verified links.
 
 Text without words: an empty set, linked with nothing; a null id stays null. Repeated rows
 and equal texts are one node, so their number makes no pairs. Token hashes have 56 bits and
