@@ -50,17 +50,17 @@ def keep_last(df: DataFrame, keys: list[str], position: list[str]) -> DataFrame:
     return _first_rows(df, keys, [F.col(c).desc() for c in position])
 
 
-def first_n(df: DataFrame, keys: list[str], n: int, order: list[str | Column],
-            bucket: Column | None = None) -> DataFrame:
+def first_n(df: DataFrame, keys: list[str], n: int, order: list[str | Column]) -> DataFrame:
     """First n rows per key; without keys the first n of the table.
 
-    Spark's group limit ends at ``spark.sql.optimizer.windowGroupLimitThreshold`` rows
-    (1000). For more rows of a hot key give ``bucket``, a column that never falls along the
-    order: the numbering then splits a key over its buckets (see ``ordered``).
+    Up to ``spark.sql.optimizer.windowGroupLimitThreshold`` rows (1000) a task sends at most n
+    of a key. Beyond, large keys are numbered in pieces (see ``ordered``), and ``order`` must
+    be names of columns, ascending.
     """
-    if bucket is not None:
-        ranked = running_index(df, keys, order, bucket, "__rn")
-        return ranked.filter(F.col("__rn") <= n).drop("__rn")
     if not keys:
         return df.orderBy(*order).limit(n)
-    return _first_rows(df, keys, order, n)
+    if n <= int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold")):
+        return _first_rows(df, keys, order, n)
+    if not all(isinstance(c, str) for c in order):
+        raise ValueError("more rows than the group limit need an order by column names")
+    return running_index(df, keys, order, "__rn").filter(F.col("__rn") <= n).drop("__rn")

@@ -9,7 +9,7 @@ from stallmetrics.functions.filters import trailing_days
 from stallmetrics.functions.money import ratio
 from stallmetrics.functions.text import name_contains
 from stallmetrics.operators.dedupe import first_n, keep_last
-from stallmetrics.operators.ordered import previous_value, running_index, table_index
+from stallmetrics.operators.ordered import SAMPLED_PER_TASK, previous_value, running_index, table_index
 
 KEY = ["site_id", "product_id"]
 # Visibility labels, default category.
@@ -82,10 +82,10 @@ def comparison_sheet(comparison: DataFrame) -> DataFrame:
     )
 
 
-def report_blocks(rows: DataFrame, keys: list[str], order: list[str], bucket: Column, n: int) -> DataFrame:
+def report_blocks(rows: DataFrame, order: list[str], n: int) -> DataFrame:
     """All rows in blocks of n, as a report sheet shows them: ``block`` and the row's place in
-    it, both from 1, in the order of the keys and then of ``order``; for ``bucket`` see ``ordered``."""
-    placed = table_index(rows, keys, order, bucket, "__place")
+    it, both from 1, in the order of the given columns."""
+    placed = table_index(rows, order, "__place")
     return placed.withColumns({
         "block": F.floor((F.col("__place") - 1) / n) + 1, "place": (F.col("__place") - 1) % n + 1}).drop("__place")
 
@@ -137,27 +137,27 @@ def upsert_products(dim: DataFrame, snapshot: DataFrame) -> DataFrame:
     )
 
 
-def price_changes_over_time(history: DataFrame, order: list[str], bucket: Column) -> DataFrame:
+def price_changes_over_time(history: DataFrame, order: list[str], per_task: int = SAMPLED_PER_TASK) -> DataFrame:
     """Every price change in a history, against the observation before it.
 
-    ``order`` fixes the sequence within a product. ``bucket`` (a month of the timestamp,
-    say) splits a product with very many observations over several tasks.
+    ``order`` fixes the sequence within a product. A product with very many observations is
+    split over several tasks (see ``ordered``).
     """
-    seen = previous_value(history, KEY, order, "price", bucket, "old_price")
+    seen = previous_value(history, KEY, order, "price", "old_price", per_task)
     moved = seen.filter(F.col("old_price").isNotNull() & (F.col("price") != F.col("old_price")))
     return moved.withColumnRenamed("price", "new_price").withColumn(
         "price_diff", F.col("new_price") - F.col("old_price"))
 
 
-def visibility_label(products: DataFrame, caps: DataFrame, bucket: Column, position: str = "position") -> DataFrame:
+def visibility_label(products: DataFrame, caps: DataFrame, position: str = "position",
+                     per_task: int = SAMPLED_PER_TASK) -> DataFrame:
     """Label of each product: among the first ``cap`` of its site or beyond.
 
-    ``position`` is unique in a site, and ``bucket`` a column that never falls along it, so
-    that the numbering of a large site is many tasks. ``caps`` has one row per capped site;
-    a site without one, or with a null cap or one of 0, has no labels.
+    ``position`` is unique in a site. ``caps`` has one row per capped site; a site without
+    one, or with a null cap or one of 0, has no labels.
     """
     known = caps.filter(F.col("cap") > 0).select("site_id", F.col("cap").alias("__cap"))
-    numbered = running_index(products, ["site_id"], [position], bucket, "__place").join(known, "site_id", "left")
+    numbered = running_index(products, ["site_id"], [position], "__place", per_task).join(known, "site_id", "left")
     label = (
         F.when(F.col("__cap").isNull(), F.lit(NO_CAP))
         .when(F.col("__place") <= F.col("__cap"), F.lit(VISIBLE)).otherwise(F.lit(HIDDEN))

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from stallmetrics.functions.clock import END_OF_DAY_HOUR, local_time
 from stallmetrics.operators.benchmark import bench_by_site
 from stallmetrics.operators.ordered import running_index, table_index
+from stallmetrics.session import written
 
 # Message wording and signs.
 UP, DOWN = "📈", "📉"
@@ -26,9 +27,6 @@ BLOCK_LINK_FORMAT = "\n<%s|Ürüne Git>"
 MESSAGE_SIZE = 5
 # End of fixed values.
 
-#: Leading characters of a product id that split a site's numbering into tasks.
-NUMBERING_PREFIX = 6
-
 
 def _signed(diff: Column) -> Column:
     text = F.format_string("%.2f", diff)
@@ -51,12 +49,6 @@ def change_lines(changes: DataFrame) -> DataFrame:
         "line": F.concat(line, link(LINK_FORMAT)), "block": F.concat(block, link(BLOCK_LINK_FORMAT))})
 
 
-def _prefix() -> Column:
-    """Products that share their first characters are numbered by one task, so a site with
-    most of the changes is many."""
-    return F.substring("product_id", 1, NUMBERING_PREFIX)
-
-
 def _messages(placed: DataFrame, keys: list[str], text: str, n: int) -> DataFrame:
     """Texts in messages of n; a group holds at most n texts."""
     parts = placed.withColumn("message_no", F.floor((F.col("pos") - 1) / n) + 1).groupBy(*keys, "message_no").agg(
@@ -66,14 +58,15 @@ def _messages(placed: DataFrame, keys: list[str], text: str, n: int) -> DataFram
 
 def batch_messages(changes: DataFrame, n: int = MESSAGE_SIZE) -> DataFrame:
     """All changes in the order of site and product, one line each, in messages of n."""
-    placed = table_index(change_lines(changes), ["site_id"], ["product_id"], _prefix(), "pos")
+    placed = table_index(change_lines(changes), ["site_id", "product_id"], "pos")
     return _messages(placed, [], "line", n)
 
 
 def change_digest(changes: DataFrame, n: int = 50) -> DataFrame:
     """Per site a heading with its number of changes, and its changes in messages of n blocks."""
     keys = ["site_id", "site_name"]
-    placed = running_index(change_lines(changes), keys, ["product_id"], _prefix(), "pos")
+    # The changes are few against the snapshots that they come from, and are read several times.
+    placed = running_index(written(change_lines(changes), "changes"), keys, ["product_id"], "pos")
     parts = _messages(placed, keys, "block", n)
     # The messages of a site carry its number of changes: n times fewer rows than the changes.
     heads = parts.groupBy(*keys).agg(F.sum("change_count").alias("site_changes"))

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -38,11 +40,37 @@ def shared_folder(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
     fallback = tempfile.mkdtemp(prefix="stallmetrics-")
+    atexit.register(shutil.rmtree, fallback, ignore_errors=True)
     spark.conf.set("spark.checkpoint.dir", fallback)
     return fallback
 
 
+def work_folder(spark: SparkSession) -> str:
+    """Folder of this application's work files below the shared folder."""
+    return f"{shared_folder(spark)}/stallmetrics-{spark.sparkContext.applicationId}"
+
+
 def new_workdir(spark: SparkSession, label: str) -> str:
-    """A fresh directory name below the shared folder; Spark creates it on first write."""
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+    """A fresh directory name in the work folder; Spark creates it on first write."""
+    return f"{work_folder(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """``df`` as a table in the work folder: computed once, with its lineage cut, and not
+    lost together with an executor. It stays until ``remove`` or ``clean``."""
+    path = new_workdir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of work files."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
 
+def clean(spark: SparkSession) -> None:
+    """Delete all work files of this application. Results that read them (those of most
+    operators that write) must have been read or stored elsewhere before."""
+    remove(spark, work_folder(spark))

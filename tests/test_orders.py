@@ -200,21 +200,49 @@ def skewed(seed, n=400):
 
 
 @settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(seed=st.integers(0, 10_000), unit=st.sampled_from(["YEAR", "MM", "DD"]))
-def test_split_windows_equal_plain_windows(spark, seed, unit):
-    bucket = lambda: F.date_trunc({"YEAR": "year", "MM": "month", "DD": "day"}[unit], "ts")
+@given(seed=st.integers(0, 10_000), per_task=st.sampled_from([1, 3, 24]))
+def test_split_windows_equal_plain_windows(spark, seed, per_task):
     df = spark.createDataFrame(skewed(seed), "k string, ts timestamp, id int, v double")
     w = W.partitionBy("k").orderBy("ts", "id")
-    want = rows(df.select("id", F.lag("v").over(w), F.row_number().over(w)))
-    split = ordered.previous_value(df, ["k"], ["ts", "id"], "v", bucket())
-    numbered = ordered.running_index(split, ["k"], ["ts", "id"], bucket())
+    want = rows(df.select("id", F.lag("v").over(w), F.row_number().over(w).cast("long")))
+    split = ordered.previous_value(df, ["k"], ["ts", "id"], "v", per_task=per_task)
+    numbered = ordered.running_index(split, ["k"], ["ts", "id"], per_task=per_task)
     assert rows(numbered, "id", "previous", "index") == want
-
-
-def test_running_index_over_the_whole_table(spark):
-    df = spark.range(1000).withColumn("b", F.floor(F.col("id") / 37))
-    got = ordered.running_index(df, [], ["id"], F.col("b"))
-    assert got.filter(F.col("index") != F.col("id") + 1).count() == 0
+    assert numbered.schema["index"].dataType.simpleString() == "bigint"
+
+
+def test_a_key_with_nearly_all_rows_is_many_tasks(spark):
+    data = [("hot" if i % 50 else f"k{i}", i, float(i % 7)) for i in range(5000)]
+    df = spark.createDataFrame(data, "k string, id int, v double").repartition(3)
+    cuts = ordered.cut_points(df, ["k"], ["id"]).collect()
+    assert [c["key"]["k"] for c in cuts] == ["hot"] and len(cuts[0]["cuts"]) >= 3
+    got = ordered.previous_value(df, ["k"], ["id"], "v")
+    w = W.partitionBy("k").orderBy("id")
+    assert rows(got) == rows(df.withColumn("previous", F.lag("v").over(w)))
+    got.collect()
+    final = got._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert final.count("Scan ExistingRDD") == 1 and "ReusedExchange" in final
+    pieces = ordered._pieces(df, ["k"], ["id"], ordered.cut_points(df, ["k"], ["id"]))
+    sizes = [r["count"] for r in pieces.groupBy("__group").count().collect()]
+    assert max(sizes) < 0.7 * 5000
+    assert ordered.cut_points(df.limit(0), ["k"], ["id"]) is None
+    assert ordered.running_index(df.limit(0), ["k"], ["id"]).count() == 0
+
+
+def test_first_n_beyond_the_group_limit(spark):
+    df = spark.range(5000).select(F.when(F.col("id") % 5 > 0, "hot").otherwise(F.col("id").cast("string")).alias("k"), "id")
+    got = dedupe.first_n(df, ["k"], 1500, ["id"])
+    assert got.filter("k = 'hot'").count() == 1500 and got.count() == 2500
+    assert got.filter("k = 'hot'").agg(F.max("id")).first()[0] == 1874
+    with pytest.raises(ValueError, match="names"):
+        dedupe.first_n(df, ["k"], 1500, [F.desc("id")])
+
+
+def test_index_over_the_whole_table(spark):
+    df = spark.range(1000).select("id", F.when(F.col("id") < 900, "hot").otherwise("x").alias("k")).repartition(7)
+    got = ordered.table_index(df, ["k", "id"])
+    assert got.filter(F.col("index") != F.col("id") + 1).count() == 0 and got.count() == 1000
+    assert ordered.table_index(df.limit(0), ["id"]).count() == 0
 
 
 def test_distinct_counts_shuffle_by_order_too(items):

@@ -79,16 +79,15 @@ def test_fallback_only_for_missing_sites(spark, prev, cur):
 def test_visibility(spark):
     df = spark.createDataFrame([("a", i) for i in range(5)] + [("b", i) for i in range(3)] + [("c", 0), ("d", 0), ("e", 0)], "site_id string, position int")
     caps = spark.createDataFrame([("a", 2), ("c", 4), ("d", 0), ("e", None)], "site_id string, cap int")
-    for width in (1, 3, 100):
-        bucket = F.floor(F.col("position") / width)
-        got = pricing.visibility_label(df, caps, bucket).groupBy("site_id", "visibility").count()
+    for per_task in (1, 3, 24):
+        got = pricing.visibility_label(df, caps, per_task=per_task).groupBy("site_id", "visibility").count()
         assert rows(got) == [("a", "Gizli/ekstra", 3), ("a", "Görünür", 2), ("b", "-", 3), ("c", "Görünür", 1),
                              ("d", "-", 1), ("e", "-", 1)]
 
 
 def test_report_blocks_hold_every_row(spark):
     df = spark.createDataFrame([("b" if i % 3 else "a", str(i)) for i in range(25)], "site_id string, product_id string")
-    got = pricing.report_blocks(df, ["site_id"], ["product_id"], F.substring("product_id", 1, 1), 10).orderBy("block", "place")
+    got = pricing.report_blocks(df, ["site_id", "product_id"], 10).orderBy("block", "place")
     want = sorted((("b" if i % 3 else "a", str(i)) for i in range(25)))
     assert [(r.site_id, r.product_id) for r in got.collect()] == want
     assert [(r.block, r.place) for r in got.collect()] == [(i // 10 + 1, i % 10 + 1) for i in range(25)]
