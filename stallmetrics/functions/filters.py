@@ -78,24 +78,20 @@ def changed(column: str = "price_diff") -> Column:
     return F.col(column).isNotNull() & (F.col(column) != 0)
 
 
-def batch_days(batch: DataFrame, column: str = PARTITION_COLUMN) -> dict:
-    """Rows per day of a batch: one entry per partition that the batch belongs to, as many
-    as the driver lists anyway when it writes them."""
-    return {r[0]: r[1] for r in batch.groupBy(column).count().collect()}
+def day_text(column: str = PARTITION_COLUMN) -> Column:
+    """A day as text, and the empty text for a missing day, so that missing days compare as equal."""
+    return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
-def prune_days(table: DataFrame, batch: DataFrame, column: str = PARTITION_COLUMN, found=None) -> DataFrame:
-    """``table`` cut down to the days that occur in ``batch``, by a literal partition filter.
+def prune_days(table: DataFrame, batch: DataFrame, column: str = PARTITION_COLUMN) -> DataFrame:
+    """``table`` cut down to the days that occur in ``batch``, by a join that Spark turns into a
+    partition filter when it runs: nothing is collected.
 
-    ``found`` passes the days in if they are known.
+    The days of a batch are at most a calendar's, so they are broadcast. The comparison holds
+    for every text; Spark prunes only by a side with a condition that might select.
     """
-    found = batch_days(batch, column) if found is None else found
-    # One SQL text instead of thousands of literal objects.
-    listed = ", ".join(f"DATE'{d}'" for d in found if d is not None)
-    keep = F.expr(f"`{column}` IN ({listed})") if listed else F.lit(False)
-    if None in found:
-        keep = keep | F.col(column).isNull()
-    return table.filter(keep)
+    days = batch.select(day_text(column).alias("__day")).filter(F.col("__day") >= "").distinct()
+    return table.join(F.broadcast(days), day_text(column) == F.col("__day"), "left_semi")
 
 
 def morning_filter(df: DataFrame, as_of, start_hour: int = 0, end_hour: int = 8) -> DataFrame:

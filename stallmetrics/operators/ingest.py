@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from stallmetrics import schemas
-from stallmetrics.functions.filters import batch_days, morning_filter, prune_days
+from stallmetrics.functions.filters import morning_filter, prune_days
 from stallmetrics.functions.keys import BUSINESS_KEY, ROW_DIGEST, ROW_KEY, business_key, row_digest
 from stallmetrics.functions.text import date_part, fold_column_names, joined_list
 from stallmetrics.operators.dedupe import first_n
 from stallmetrics.schemas import PARTITION_COLUMN
-from stallmetrics.session import new_workdir
+from stallmetrics.session import new_workdir, remove
 from stallmetrics.sinks.tables import load_snapshot, save_snapshot
 from stallmetrics.sources.readers import read_order_items
 
@@ -50,40 +52,46 @@ def first_per_key(batch: DataFrame) -> DataFrame:
     return first_n(marked, ROW_KEY, 1, [*order, *ROW_DIGEST]).drop(*ROW_DIGEST)
 
 
-def new_rows(batch: DataFrame, table: DataFrame, days: dict | None = None) -> DataFrame:
+def new_rows(batch: DataFrame, table: DataFrame) -> DataFrame:
     """Rows of the batch whose business key is not stored yet, once each.
 
     The key contains the creation date, so only the batch's own days of the table are
     read, and of those only the key columns. ``distinct`` folds copies before the join.
     """
-    stored = prune_days(table, batch, found=days).select(*[c for c in BUSINESS_KEY if c in table.columns])
+    stored = prune_days(table, batch).select(*[c for c in BUSINESS_KEY if c in table.columns])
     known = stored.select(*business_key(stored)).distinct()
     return first_per_key(batch).join(known, ROW_KEY, "left_anti").drop(*ROW_KEY)
 
 
+@contextmanager
+def staged(batch: DataFrame):
+    """The batch computed once, into the work folder, and read from there; removed afterwards."""
+    spark, path = batch.sparkSession, new_workdir(batch.sparkSession, "batch")
+    try:
+        batch.write.parquet(path)
+        yield spark.read.schema(batch.schema).parquet(path)
+    finally:
+        remove(spark, path)
+
+
+def outcome(received: int, inserted: int) -> dict:
+    status = SUCCESS if inserted else ALL_EXISTING if received else EMPTY
+    return {"status": status, "received": received, "inserted": inserted, "skipped": received - inserted}
+
+
 def ingest_batch(batch: DataFrame, path: str) -> dict:
     """Append the unseen rows of one pull and report the outcome.
 
-    The batch is computed once, into the shared folder, and read from there. Running it
-    again with the same rows appends nothing, whatever happened to the first run. Any
-    failing step fails the batch: nothing is inserted unchecked.
+    Running it again with the same rows appends nothing, whatever happened to the first run.
+    Any failing step fails the batch: nothing is inserted unchecked.
     """
-    spark = batch.sparkSession
-    staged = f"{new_workdir(spark, 'batch')}/rows"
-    batch.write.parquet(staged)
-    batch = spark.read.schema(batch.schema).parquet(staged)
-    days = batch_days(batch)  # reads one column
-    received = sum(days.values())
-    if received == 0:
-        return {"status": EMPTY, "received": 0, "inserted": 0, "skipped": 0}
-    written = Observation()
-    fresh = new_rows(batch, read_order_items(spark, path), days)
-    append_observed(fresh, path, written)
-    inserted = int(written.get.get("inserted", 0))
-    return {
-        "status": SUCCESS if inserted else ALL_EXISTING,
-        "received": received, "inserted": inserted, "skipped": received - inserted,
-    }
+    with staged(batch) as rows:
+        received = rows.count()
+        if not received:
+            return outcome(0, 0)
+        written = Observation()
+        append_observed(new_rows(rows, read_order_items(batch.sparkSession, path)), path, written)
+        return outcome(received, int(written.get.get("inserted", 0)))
 
 
 def append_observed(rows: DataFrame, path: str, seen: Observation) -> None:
@@ -94,13 +102,13 @@ def append_observed(rows: DataFrame, path: str, seen: Observation) -> None:
     counted.write.mode("append").partitionBy(PARTITION_COLUMN).parquet(path)
 
 
-def outcome_rows(spark: SparkSession, path: str, outcome: dict) -> DataFrame:
+def outcome_rows(spark: SparkSession, path: str, told: dict) -> DataFrame:
     """Outcome of a run as one row, with the rows now visible in the table."""
     visible = read_order_items(spark, path).agg(F.count("*").alias("visible_rows"))
     return visible.select(
-        F.lit(outcome["status"]).alias("status"), F.lit(outcome["received"]).cast("long").alias("received"),
-        F.lit(outcome["inserted"]).cast("long").alias("inserted"),
-        F.lit(outcome["skipped"]).cast("long").alias("skipped"), "visible_rows")
+        F.lit(told["status"]).alias("status"), F.lit(told["received"]).cast("long").alias("received"),
+        F.lit(told["inserted"]).cast("long").alias("inserted"),
+        F.lit(told["skipped"]).cast("long").alias("skipped"), "visible_rows")
 
 
 def upsert_watermark(marks: DataFrame, fetch_date, fetched_at, updated_at: Column | None = None) -> DataFrame:
@@ -133,7 +141,7 @@ def run_fetch(spark: SparkSession, payload: DataFrame, path: str, mark_store: st
     mark is informational and only set by a successful incremental pull of one day."""
     if mode == "morning":
         payload = morning_filter(payload, date_key, start_hour, end_hour)
-    outcome = ingest_batch(conform(normalize_orders(payload)), path)
-    if mark_store and mode == "incremental" and len(date_key) == 10 and outcome["status"] == SUCCESS:
+    told = ingest_batch(conform(normalize_orders(payload)), path)
+    if mark_store and mode == "incremental" and len(date_key) == 10 and told["status"] == SUCCESS:
         record_fetch(spark, mark_store, date_key, fetched_at)
-    return outcome
+    return told

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from stallmetrics import schemas
 from stallmetrics.functions import filters
-from stallmetrics.operators import benchmark, dedupe, ingest, pricing, repair, sales
+from stallmetrics.operators import benchmark, dedupe, ingest, key_index, pricing, repair, sales
 from stallmetrics.plans.price_reports import (
     CHANGES_CTE, bench_rows, changes, cur, prev, scrape_rows, with_bench)
 from stallmetrics.plans.registry import query
@@ -444,6 +444,25 @@ def _(spark, sf):
     return ingest.outcome_rows(spark, path, outcome)
 
 
+@query("j01_indexed_pulls", with_dup_orders(f"""
+, m AS (SELECT * REPLACE ({MONTH_SQL} AS order_created_date_tr) FROM dup_items),
+n AS (SELECT count(*) AS received, (SELECT count(*) FROM (SELECT DISTINCT {KEY_SQL} FROM m)) AS fresh,
+             (SELECT count(*) FROM (SELECT DISTINCT {KEY_SQL} FROM m WHERE delivery_status <> 'O')) AS early FROM m)
+SELECT 'success' AS status, received, fresh - early AS inserted, received - fresh + early AS skipped, fresh AS visible_rows,
+       fresh AS indexed_rows, CAST(0 AS BIGINT) AS differing_days FROM n"""))
+def _(spark, sf):
+    """Two pulls against the kept index: the second finds the rows of the first by their keys."""
+    path = f"{new_workdir(spark, 'indexed')}/order_items"
+    name = "keys_" + path.split("/")[-2].rsplit("-", 1)[1]
+    key_index.create_index(spark, path, name, unit="year")  # few files in a small table
+    with ingest.staged(monthly_items(order_items_dup(spark, sf))) as rows:
+        key_index.ingest_indexed(rows.filter("delivery_status <> 'O'"), path, name)
+        told = key_index.ingest_indexed(rows, path, name)
+    wrong = key_index.differing_days(readers.read_order_items(spark, path), spark.table(name)).agg(F.count("*").alias("differing_days"))
+    indexed = spark.table(name).agg(F.count("*").alias("indexed_rows"))
+    return ingest.outcome_rows(spark, path, told).join(indexed).join(wrong)
+
+
 @query("st08_redelivery", with_dup_orders(INGEST_SQL + """
 SELECT 'all_existing' AS status, received, CAST(0 AS BIGINT) AS inserted, received AS skipped, fresh AS visible_rows FROM n"""))
 def _(spark, sf):

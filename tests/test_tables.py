@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stallmetrics import schemas
-from stallmetrics.operators import ingest, pricing, quality, repair
+from stallmetrics.operators import ingest, key_index, pricing, quality, repair
 from stallmetrics.session import new_workdir, shared_folder
 from stallmetrics.sinks import maintenance, tables
 from stallmetrics.sources import paths, readers
@@ -211,15 +211,73 @@ def test_replay_completes_a_half_written_batch(spark):
     assert per_day(spark, path) == [(D1, 2), (D2, 1)]
 
 
-def test_existing_rows_are_pruned_to_the_batch_days(spark, table):
+def test_existing_rows_are_pruned_to_the_batch_days(spark, table, tmp_path):
     from stallmetrics.functions.filters import prune_days
 
     stored = spark.read.parquet(table)
-    few = prune_days(stored, batch(spark, item(1), item(2, None)))
-    assert rows(few.groupBy(DAY).count()) == [(D1, 3), (None, 2)]
-    assert "PartitionFilters: [(" in few._jdf.queryExecution().toString()
-    wide = prune_days(stored, batch(spark, item(1), item(2, D2)))
-    assert rows(wide.groupBy(DAY).count()) == [(D1, 3), (D2, 2)]
+    for name, given, want in (("few", [item(1), item(2, None)], [(D1, 3), (None, 2)]), ("wide", [item(1), item(2, D2)], [(D1, 3), (D2, 2)])):
+        batch(spark, *given).write.parquet(f"{tmp_path}/{name}")
+        kept = prune_days(stored, spark.read.parquet(f"{tmp_path}/{name}"))
+        assert rows(kept.groupBy(DAY).count()) == want
+        assert "dynamicpruning" in kept._jdf.queryExecution().executedPlan().toString()
+
+
+def test_work_files_are_removed(spark):
+    from stallmetrics.session import clean, work_folder
+    from stallmetrics.sources.paths import child_dirs
+
+    path = new_workdir(spark, "i") + "/orders"
+    ingest.ingest_batch(batch(spark, item(1), item(2, D2)), path)
+    assert not [d for d in child_dirs(spark, work_folder(spark)) if d.startswith("batch")]
+    assert per_day(spark, path) == [(D1, 1), (D2, 1)]
+    kept = work_folder(spark)
+    clean(spark)
+    assert child_dirs(spark, kept) == []
+
+
+@pytest.fixture
+def indexed(spark):
+    path = new_workdir(spark, "x") + "/orders"
+    name = "keys_" + path.split("/")[-2].rsplit("-", 1)[1]
+    key_index.create_index(spark, path, name, 5)
+    yield path, name
+    spark.sql(f"DROP TABLE {name}")
+
+
+def test_indexed_pulls_equal_plain_ones(spark, indexed):
+    path, name = indexed
+    given = batch(spark, item(1), item(1), item(2, D2), item(3, None))
+    assert key_index.ingest_indexed(given, path, name) == {"status": "success", "received": 4, "inserted": 3, "skipped": 1}
+    more = given.unionByName(batch(spark, item(4, D3)))
+    assert key_index.ingest_indexed(more, path, name)["inserted"] == 1
+    assert key_index.ingest_indexed(given.limit(0), path, name)["status"] == "empty"
+    assert per_day(spark, path) == [(D1, 1), (D2, 1), (D3, 1), (None, 1)]
+    assert spark.table(name).count() == 4
+
+
+def test_an_index_that_lacks_a_day_is_filed_anew(spark, indexed):
+    path, name = indexed
+    key_index.ingest_indexed(batch(spark, item(1), item(2, D2)), path, name)
+    tables.append_rows(batch(spark, item(5), item(6, None)), path)  # data of a run that was lost before its keys
+    again = batch(spark, item(1), item(5), item(6, None), item(7))
+    lacking = key_index.differing_days(readers.read_order_items(spark, path), spark.table(name))
+    assert rows(lacking) == [(D1, 2, 1), (None, 1, 0)]
+    assert key_index.ingest_indexed(again, path, name) == {"status": "success", "received": 4, "inserted": 1, "skipped": 3}
+    assert key_index.refile(spark, path, name) == 0
+    assert spark.table(name).count() == 5
+
+
+def test_stored_keys_are_not_shuffled(spark, indexed):
+    path, name = indexed
+    key_index.ingest_indexed(batch(spark, item(1), item(2, D2)), path, name)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(key_index.unseen_rows(batch(spark, item(1), item(9)), name))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SelectedBucketsCount: 5 out of 5" in plan and "dynamicpruning" in plan
+    stored = plan[plan.rindex("Sort [row_key"):]
+    assert "keys_" in stored and "Exchange hashpartitioning(row_key" not in stored
 
 
 PAYLOAD = """[
