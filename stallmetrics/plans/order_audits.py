@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from stallmetrics.operators import dedupe, quality, repair
+from stallmetrics.operators import dedupe, quality, reconcile, repair
 from stallmetrics.plans.order_reports import round2
 from stallmetrics.plans.registry import query
 from stallmetrics.plans.views import (AS_OF, RECORD_SQL, order_items, order_items_dup, with_dup_orders, with_orders)
@@ -198,6 +198,31 @@ def _(spark, sf):
     return quality.duplicate_order_details(order_items_dup(spark, sf))
 
 
+CHANGED_CTE = """
+, changed AS (SELECT * REPLACE (CASE WHEN order_id % 97 = 0 THEN order_amount + 1 ELSE order_amount END AS order_amount)
+              FROM order_items WHERE order_id % 113 <> 5),
+surplus AS (SELECT 'a' AS side, * FROM (SELECT * FROM dup_items EXCEPT ALL SELECT * FROM changed)
+            UNION ALL SELECT 'b', * FROM (SELECT * FROM changed EXCEPT ALL SELECT * FROM dup_items))"""
+
+
+def changed_items(spark, sf):
+    """Order items of which some have another amount and some are missing."""
+    amount = F.when(F.col("order_id") % 97 == 0, F.col("order_amount") + 1).otherwise(F.col("order_amount"))
+    rows = order_items(spark, sf).filter(F.col("order_id") % 113 != 5)
+    return rows.withColumn("order_amount", amount.cast("decimal(18,2)"))
+
+
+@query("j10_reconcile_rows", with_dup_orders(CHANGED_CTE + f"""
+SELECT {DAY} AS date, order_id AS key, side, count(*) AS rows FROM surplus GROUP BY ALL"""))
+def _(spark, sf):
+    return reconcile.reconcile_rows(order_items_dup(spark, sf), changed_items(spark, sf))
+
+
+@query("m10_differing_days", with_dup_orders(CHANGED_CTE + f"SELECT DISTINCT {DAY} AS date FROM surplus"))
+def _(spark, sf):
+    return reconcile.differing_days(order_items_dup(spark, sf), changed_items(spark, sf))
+
+
 @query("j10_reconcile_days", with_dup_orders(f"""
 , a AS (SELECT {DAY} AS date, count(*) AS n, {ORDERS} AS o FROM dup_items GROUP BY 1),
 b AS (SELECT {DAY} AS date, count(*) AS n, {ORDERS} AS o FROM order_items WHERE delivery_status <> 'P' GROUP BY 1)

@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 
 from stallmetrics.functions import filters
 from stallmetrics.functions.clock import preset_range
-from stallmetrics.operators import sales
+from stallmetrics.operators import frequent, rollup, sales
 from stallmetrics.plans.registry import query
 from stallmetrics.plans.views import ALL_COLUMNS, AS_OF, order_items, with_orders
+from stallmetrics.session import new_workdir
 
 DAY = "order_created_date_tr"
 START, END = "1998-01-01", "1999-12-31"
@@ -113,10 +114,13 @@ def _(spark, sf):
     return sales.top_regions(order_items(spark, sf, *BASE, "city", "district"))
 
 
-@query("a13_kpis", with_orders(f"""
+KPI_SQL = with_orders(f"""
 SELECT count(DISTINCT order_id) AS total_orders, {ITEMS}, {REVENUE}, {AVERAGE},
        count(DISTINCT {DAY}) AS active_days, count(DISTINCT city) AS unique_cities,
-       count(DISTINCT vendor_id) AS unique_vendors FROM order_items WHERE {FLT_SQL}"""))
+       count(DISTINCT vendor_id) AS unique_vendors FROM order_items WHERE {FLT_SQL}""")
+
+
+@query("a13_kpis", KPI_SQL)
 def _(spark, sf):
     return sales.kpis(order_items(spark, sf, *BASE, "city", "vendor_id", "payment_method"), FLT())
 
@@ -154,6 +158,42 @@ for _mode, _base in GROWTH_BASES.items():
     _register_growth(_mode, _base)
 
 
+ROLLED = [DAY, "order_id", "order_amount", "city", "vendor_id", "payment_method"]
+
+
+def rolled_up(spark, sf) -> dict:
+    """The roll-up built while a year of the fact had half its rows, and then refreshed for the days of that year."""
+    path = f"{new_workdir(spark, 'rollup')}/daily"
+    fact = order_items(spark, sf, *ROLLED)
+    early = fact.filter((F.year(DAY) != 1998) | (F.col("order_id") % 2 == 0))
+    rollup.build(early, path, ["payment_method"], "year")  # a year a file, as the table is small
+    rollup.refresh(fact, path, ["payment_method"], [date(1998, 3, 1), date(1998, 12, 31)], "year")
+    return rollup.load(spark, path)
+
+
+@query("a13_kpis_from_rollup", KPI_SQL)
+def _(spark, sf):
+    return rollup.kpis(rolled_up(spark, sf), FLT())
+
+
+@query("a14_growth_from_rollup", growth_sql(*GROWTH_SPAN, *GROWTH_BASES["previous_year"]))
+def _(spark, sf):
+    start, end = (date.fromisoformat(d) for d in GROWTH_SPAN)
+    return rollup.growth(rolled_up(spark, sf), start, end, "previous_year", filters.build_filter(payments=PAYMENTS))
+
+
+@query("o01_frequent_vendors", with_orders(f"""
+SELECT vendor_id, count(*) AS estimate, CAST(ceil((SELECT count(*) FROM order_items WHERE {FLT_SQL}) * {frequent.error_share()}) AS BIGINT)
+         AS error_bound
+FROM order_items WHERE {FLT_SQL} GROUP BY 1 ORDER BY estimate DESC, vendor_id LIMIT 20"""))
+def _(spark, sf):
+    """Vendors with the most items of a span, from daily sketches; there are fewer vendors than counters, so counts are exact."""
+    path = f"{new_workdir(spark, 'sketches')}/vendors"
+    fact = order_items(spark, sf, DAY, "vendor_id", "payment_method")
+    frequent.sketches(fact, "vendor_id", ["payment_method"]).write.parquet(path)
+    return frequent.top_items(spark.read.parquet(path), FLT(), 20, "vendor_id")
+
+
 @query("a15_daily_trend", grouped(DAY, "date", f"{ORDERS}, {REVENUE}, {AVERAGE}", FLT_SQL,
                                   "ORDER BY date DESC LIMIT 90"))
 def _(spark, sf):
