@@ -2,25 +2,17 @@
 
 from __future__ import annotations
 
-import sys
-from collections.abc import Iterator
+from collections.abc import Callable
 
-import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stallmetrics.functions import markup
 from stallmetrics.functions.filters import valid_product
-from stallmetrics.functions.markup import find_all, find_first, parse, text_of
+from stallmetrics.functions.markup import attribute, find_all, find_first, inner, text_of, visible
 from stallmetrics.functions.money import parse_price
 from stallmetrics.functions.text import detect_category
 from stallmetrics.functions.web import absolute_url, product_id_from_url, url_base, url_host
 
-# The card parser travels with its tasks, so executors need not have the package installed.
-cloudpickle.register_pickle_by_value(markup)
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
 LD_JSON = r"(?is)<script[^>]*type\s*=\s*[\"']application/ld\+json[\"'][^>]*>(.*?)</script>"
 ANCHOR = r"(?is)<a\b[^>]*?\bhref\s*=\s*[\"']([^\"']*)[\"'][^>]*>(.*?)</a>"
 ENTITIES = [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")]
@@ -35,10 +27,6 @@ DISCOVERY_PRIORITY = [
 ]
 # End of fixed values.
 
-CARD_SCHEMA = ("page_id long, site_id string, site_name string, site_url string, card_no int, name string, price_text string, "
-               "href string")
-
-
 def extract_json_ld(pages: DataFrame) -> DataFrame:
     """Structured-data blocks of each page, in order; text that is no JSON is dropped."""
     blocks = F.regexp_extract_all("html", F.lit(LD_JSON), F.lit(1))
@@ -57,40 +45,53 @@ def match_sites(pages: DataFrame, sites: DataFrame) -> DataFrame:
     return pages.withColumn("host", url_host(F.col("url"))).join(hosts, "host").drop("host")
 
 
-def _cards(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Raw card texts of each page; parsing of prices and links is left to Spark."""
-    for pdf in batches:
-        rows = []
-        for page in pdf.itertuples(index=False):
-            tree = parse(page.html or "")
-            for i, card in enumerate(find_all(tree, page.product_box)):
-                name, price = find_first(card, page.product_name), find_first(card, page.product_price)
-                link = find_first(card, "a[href]") or card
-                rows.append((page.page_id, page.site_id, page.site_name, page.site_url, i, text_of(name), text_of(price),
-                             link.attrs.get("href")))
-        yield pd.DataFrame(rows, columns=["page_id", "site_id", "site_name", "site_url", "card_no", "name", "price_text", "href"])
+SELECTORS = ["product_box", "product_name", "product_price"]
+
+
+def inner_or_rest(element: Column) -> Column:
+    """Content of an element; of one that is never closed all that follows."""
+    return F.coalesce(inner(element), F.regexp_replace(element, "^<[^>]*>", ""))
 
 
-def extract_products(pages: DataFrame, sites: DataFrame, price_rule: str = "last",
-                     scraped_at: Column | None = None, tasks: int | None = None) -> DataFrame:
-    """Product rows of the cards on each page.
+def extract_products(pages: DataFrame, sites: DataFrame, price_rule: str = "last", scraped_at: Column | None = None,
+                     tasks: int | None = None) -> DataFrame:
+    """Product rows of the cards on each page. Pages read from files are split already; ``tasks``
+    spreads pages that come out of a shuffle, which AQE would merge by size.
 
     Box, name and price selectors are lists; the first one that matches is used. Cards
-    without a name or a positive price are dropped. Parsing costs far more than its bytes
-    suggest: ``tasks`` spreads pages that come out of a shuffle, which AQE would otherwise
-    merge by size. Pages read from files are split already.
+    without a name or a positive price are dropped. The distinct selectors of the site list,
+    which is configuration, are read when the plan is made and become patterns in it.
     """
-    matched = match_sites(pages, sites)
-    narrow = matched.select("page_id", "site_id", "site_name", "site_url", "html", "selectors.product_box", "selectors.product_name",
-                            "selectors.product_price")
-    spread = narrow.repartition(tasks) if tasks else narrow
-    cards = spread.mapInPandas(_cards, CARD_SCHEMA)
-    url = absolute_url(F.col("href"), F.col("site_url"))
+    forms = [r.asDict() for r in sites.select(*[F.col(f"selectors.{c}").alias(c) for c in SELECTORS]).distinct().collect()]
+
+    def by_form(find: Callable[[str], Column], column: str) -> Column:
+        """What a site's own selector finds."""
+        out = F.lit(None)
+        for form in {f[column] or "" for f in forms}:
+            out = F.when(F.coalesce(F.col(column), F.lit("")) == form, find(form)).otherwise(out)
+        return out
+
+    matched = match_sites(pages.repartition(tasks) if tasks else pages, sites).select(
+        "page_id", "site_id", "site_name", "site_url", *[F.col(f"selectors.{c}").alias(c) for c in SELECTORS],
+        visible(F.coalesce("html", F.lit(""))).alias("html"))
+    # Outer forms, here and below: through a plain explode, and through no explode at all, the last
+    # filter would be pushed down together with all that it is computed from.
+    boxes = matched.select(*[c for c in matched.columns if c != "html"], F.posexplode_outer(
+        by_form(lambda s: find_all(F.col("html"), s), "product_box")).alias("card_no", "box")).filter(F.col("box").isNotNull())
+    first = lambda column: by_form(lambda s: find_first(F.col("box.content"), s), column)
+    found = boxes.select("page_id", "site_id", "site_name", "site_url", "card_no", first("product_name").alias("name"),
+                         first("product_price").alias("price"),
+                         F.coalesce(find_first(F.col("box.content"), "a[href]"), F.col("box.tag")).alias("link"))
+    text = lambda element: F.coalesce(text_of(inner_or_rest(element)), F.lit(""))
+    fields = F.struct(text(F.col("name")).alias("name"), text(F.col("price")).alias("price_text"),
+                      attribute(F.col("link"), "href").alias("href"))
+    read = found.select("page_id", "site_id", "site_name", "site_url", "card_no", F.explode_outer(F.array(fields)).alias("c"))
+    url = absolute_url(F.col("c.href"), F.col("site_url"))
     stamp = F.current_timestamp() if scraped_at is None else scraped_at
-    rows = cards.select(
+    rows = read.select(
         "page_id", "site_id", "site_name", "card_no",
         product_id_from_url(url, F.col("site_id"), F.col("card_no")).alias("product_id"),
-        F.trim("name").alias("product_name"), parse_price(F.col("price_text"), price_rule).alias("price"),
+        F.col("c.name").alias("product_name"), parse_price(F.col("c.price_text"), price_rule).alias("price"),
         url.alias("url"), stamp.alias("timestamp"),
     ).filter(valid_product("price", "product_name"))
     return rows.withColumn("category", detect_category(F.col("product_name")))
@@ -105,9 +106,11 @@ def _plain(html: Column) -> Column:
 
 
 def discover_categories(pages: DataFrame, keywords: list[str] = DISCOVERY_KEYWORDS,
-                        priority: list[str] = DISCOVERY_PRIORITY, only: str | None = None) -> DataFrame:
+                        priority: list[str] = DISCOVERY_PRIORITY, only: str | None = None,
+                        configured: list[tuple[str, str]] = ()) -> DataFrame:
     """Category links of each page: anchors naming a keyword, first per URL, then the first
-    anchor per priority name; all of them when no priority name matches.
+    anchor per priority name; when no priority name matches, the ``configured`` (name, link)
+    pairs and then all of the anchors.
 
     Works on arrays inside each page's row, so there is no shuffle. ``only`` restricts the
     result to one category.
@@ -132,7 +135,9 @@ def discover_categories(pages: DataFrame, keywords: list[str] = DISCOVERY_KEYWOR
         F.transform(F.array(*[F.lit(p.lower()) for p in priority]), lambda p: F.try_element_at(
             F.filter("cats", lambda c: F.lower(c["name"]).contains(p)), F.lit(1))),
         lambda c: c.isNotNull())
-    chosen = rows.select("page_id", F.when(F.size(best) > 0, best).otherwise(F.col("cats")).alias("picked"))
+    given = F.array(*[F.struct(F.lit(name).alias("name"), F.lit(link).alias("link")) for name, link in configured])
+    spare = F.concat(given, F.col("cats")) if configured else F.col("cats")
+    chosen = rows.select("page_id", F.when(F.size(best) > 0, best).otherwise(spare).alias("picked"))
     # The outer form: a plain explode would repeat all of the above in a pushed-down filter.
     rows = chosen.select("page_id", F.posexplode_outer("picked").alias("rank", "c")).filter(F.col("c").isNotNull())
     out = rows.select("page_id", "rank", F.col("c.name").alias("category"), F.col("c.link").alias("url"))

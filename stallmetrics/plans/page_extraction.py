@@ -49,7 +49,7 @@ SELECT 'shop' || site_id AS site_id, site_name, 'shop' || site_id || '_' || prod
        product_name || ' & co' AS product_name, price, 'https://shop' || site_id || '.example' || url AS url,
        'Karma/Diğer' AS category FROM cur_snap WHERE price > 0"""))
 def _(spark, sf):
-    tasks = spark.sparkContext.defaultParallelism
+    tasks = 4 * spark.sparkContext.defaultParallelism
     found = ops.extract_products(shop_pages(spark, sf), shop_sites(spark, sf), tasks=tasks)
     return found.select("site_id", "site_name", "product_id", "product_name", "price", "url", "category")
 
@@ -136,6 +136,19 @@ def _(spark, sf):
     return ops.discover_categories(table(spark, sf, "pages"), KEYWORDS, PRIORITY)
 
 
+CONFIGURED = [("Papatya", "https://shop.example/papatya"), ("Orkide", "https://shop.example/orkide")]
+
+
+@query("p23_configured_categories", LINKS_SQL.replace("['thnoth', 'the', 'en']", "['thnoth']").replace(
+    "UNION ALL\n           SELECT page_id, pos, name, url FROM uniq", "UNION ALL SELECT page_id, n - 100, listed, link FROM pages, (VALUES "
+    + ", ".join(f"({k}, '{name}', '{link}')" for k, (name, link) in enumerate(CONFIGURED)) + """) c(n, listed, link)
+           WHERE page_id NOT IN (SELECT page_id FROM best)
+           UNION ALL SELECT page_id, pos, name, url FROM uniq"""))
+def _(spark, sf):
+    """A priority name that few pages have: the others take the configured list and what they link to."""
+    return ops.discover_categories(table(spark, sf, "pages"), KEYWORDS, PRIORITY[:1], configured=CONFIGURED)
+
+
 @query("f22_single_category", f"SELECT * FROM ({LINKS_SQL}) WHERE category = 'the'")
 def _(spark, sf):
     return ops.discover_categories(table(spark, sf, "pages"), KEYWORDS, PRIORITY, only="the")

@@ -219,18 +219,54 @@ def test_extract_products(spark):
     assert one(first, "price") == (1299.9,)
 
 
-def test_markup_without_end_tags():
-    tree = markup.parse('<ul><li class="x">1<ul><li>1a<li>1b</ul><li>2</ul><p>a<p>b<table><tr><td>c<td>d<tr><td>e</table>')
-    assert [markup.text_of(n) for n in markup.find_all(tree, "li")] == ["11a1b", "1a", "1b", "2"]
-    assert [markup.text_of(n) for n in markup.find_all(tree, "p")] == ["a", "b"]
-    assert [markup.text_of(n) for n in markup.find_all(tree, "td")] == ["c", "d", "e"]
-    assert [markup.text_of(n) for n in markup.find_all(tree, "tr")] == ["cd", "e"]
+def found(spark, html, selectors):
+    df = spark.createDataFrame([(html,)], "html string").select(markup.visible(F.col("html")).alias("html"))
+    boxes = df.select(F.explode(markup.find_all(F.col("html"), selectors)).alias("e")).select("e.tag", "e.content")
+    return [(r["tag"], r["text"]) for r in boxes.select("tag", markup.text_of(F.col("content")).alias("text")).collect()]
+
+
+def texts(spark, html, selectors):
+    return [t for _, t in found(spark, html, selectors)]
+
+
+def test_elements_end_where_their_tags_balance(spark):
+    html = """<div class="card">a<div>b</div><DIV>c</DIV ></div>x<div class='card big'>d<br><img src="a.png"/>e</div>
+      <div class="cardboard">no</div><!-- <div class="card">gone</div> --><script>'<div class="card">'</script><div class=card>f</div>"""
+    assert texts(spark, html, ".card") == ["abc", "de", "f"]
+    assert texts(spark, html, "section, .none, div.big") == ["de"]
+    assert texts(spark, '<p class="c">1<p class="c">2<div class="c">3', ".c") == ["1", "2", "3"]
+    assert texts(spark, '<div class="o c">1<div class="c">2</div>3</div>4', ".c") == ["123", "2"]
+    assert texts(spark, "<ul><li>1<li>2</ul>", "li") == ["1", "2"]
+    assert texts(spark, "", ".c") == [] and texts(spark, "<", "a") == []
+    long = "<div class='c'>" + "<div>x</div>" * 3000 + "</div>y"
+    assert texts(spark, long, ".c") == ["x" * 3000]
+
+
+@pytest.mark.parametrize(("selector", "want"), [
+    ("#one", ["1"]), ("[data-x]", ["1", "2", "3"]), ('[data-x="b c"]', ["2"]), ('[data-x*="c"]', ["2", "3"]), ('[data-x^="b"]', ["2"]),
+    ('[data-x$="cd"]', ["3"]), ("b[data-x]", ["3"]), ("B", ["3"]), (".k", ["1", "2"]), ("i.k[data-x]", ["1", "2"]), ("u i", ["2"]), ("*.k", ["1", "2"])])
+def test_selectors(spark, selector, want):
+    html = """<i id="one" class="k" data-x>1</i><u><i class='j k' data-x='b c'>2</i></u><b DATA-X=cd>3</b><i class="kk">4</i>"""
+    assert texts(spark, html, selector) == want
+
+
+def test_characters_and_attributes(spark):
+    assert texts(spark, "<b> &ouml;&amp;#39; &#252;&#x131;&#39;&nope; &lt;i&gt; &#xD800; </b>", "b") == ["ö&#39; üı'&nope; <i> &#xD800;"]
+    df = spark.createDataFrame([("<a class=x HREF = '/p?a=1&amp;b=2'>t",), ("<a data-href='/n'>",), ("<a href=/q>",)], "e string")
+    assert [r[0] for r in df.select(markup.attribute(F.col("e"), "href")).collect()] == ["/p?a=1&b=2", None, "/q"]
 
 
 @pytest.mark.parametrize("selector", ["ul > li", "li:not(.x)", "li + li", "a ~ b"])
-def test_unsupported_selectors_are_errors(selector):
-    with pytest.raises(ValueError):
-        markup.find_all(markup.parse("<ul><li>1</ul>"), selector)
+def test_unsupported_selectors_are_errors(spark, selector):
+    with pytest.raises(ValueError, match="not supported"):
+        markup.find_all(F.col("html"), selector)
+
+
+def test_cards_need_no_python_worker(spark):
+    site = spark.createDataFrame([("s", "Shop", "https://shop.example", (".c", "b", "i"))],
+                                 "id string, name string, url string, selectors struct<product_box string, product_name string, product_price string>")
+    plan = pages.extract_products(page_frame(spark, PAGE), site)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "MapIn" not in plan
 
 
 def test_extract_json_ld_drops_broken_blocks(spark):
@@ -246,4 +282,10 @@ def test_discover_categories(spark):
     assert rows(found, "rank", "category") == [(0, "Çok  Satanlar"), (1, "Orkide & Saksı"), (2, "Orkide & Saksı")]
     everything = pages.discover_categories(df, ["orkide", "satanlar"], ["nothing"])
     assert rows(everything, "rank", "category") == [(0, "Orkide & Saksı"), (1, "Çok  Satanlar")]
+    listed = [("Kutu", "https://x/kutu")]
+    more = pages.discover_categories(df, ["orkide"], ["nothing"], configured=listed)
+    assert rows(more, "rank", "category", "url") == [(0, "Kutu", "https://x/kutu"), (1, "Orkide & Saksı", "https://www.shop.example/orkide")]
+    assert rows(pages.discover_categories(df, ["orkide"], ["orkide"], configured=listed), "category") == [("Orkide & Saksı",)]
+    # Without any link on the home page the configured list stays as it is.
+    assert rows(pages.discover_categories(df, ["zzz"], ["x"], configured=listed), "rank", "category") == [(0, "Kutu")]
     assert pages.discover_categories(df, ["zzz"], ["x"]).count() == 0
