@@ -6,10 +6,14 @@ runs the operator there and returns the state it leaves behind, which SQL can st
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta, timezone
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stallmetrics import schemas
+from stallmetrics.functions.clock import target_date
 from stallmetrics.functions import filters
 from stallmetrics.operators import benchmark, dedupe, ingest, key_index, pricing, repair, sales
 from stallmetrics.plans.price_reports import (
@@ -142,48 +146,62 @@ def snapshot_documents(rows: DataFrame) -> DataFrame:
 FLAT_COLUMNS = ["site_id", "site_name", "product_id", "product_name", "price", "url", "category"]
 
 
-@query("s03_flatten_snapshot", with_snapshots(f"SELECT {', '.join(FLAT_COLUMNS)} FROM cur_snap"))
+STAMP = 'CAST("timestamp" AS TIMESTAMP) AS seen_at'
+
+
+def stamped(rows: DataFrame, column: str = "timestamp") -> DataFrame:
+    return rows.withColumn("seen_at", F.col(column).cast("timestamp_ntz"))
+
+
+@query("s03_flatten_snapshot", with_snapshots(f"SELECT {', '.join(FLAT_COLUMNS)}, {STAMP} FROM cur_snap"))
 def _(spark, sf):
     path = f"{new_workdir(spark, 'snapshot')}/docs"
     snapshot_documents(cur(spark, sf)).write.json(path)
-    return readers.flatten_snapshot(readers.read_snapshot(spark, path, multiline=False)).select(*FLAT_COLUMNS)
+    found = readers.flatten_snapshot(readers.read_snapshot(spark, path, multiline=False))
+    return stamped(found).select(*FLAT_COLUMNS, "seen_at")
 
 
-@query("s04_flatten_flat_snapshot", with_snapshots("SELECT product_id, product_name, price, url FROM cur_snap"))
+@query("s04_flatten_flat_snapshot", with_snapshots(f"SELECT product_id, product_name, price, url, {STAMP} FROM cur_snap"))
 def _(spark, sf):
     path = f"{new_workdir(spark, 'flat')}/docs"
     docs = snapshot_documents(cur(spark, sf)).select(F.explode("sites").alias("site_id", "site"))
     docs.select(F.to_json("site.products").alias("value")).write.text(path)
     texts = readers.read_flat_snapshot(spark, path, wholetext=False)
-    return readers.flatten_flat_snapshot(texts).select("product_id", "product_name", "price", "url")
+    return stamped(readers.flatten_flat_snapshot(texts)).select("product_id", "product_name", "price", "url", "seen_at")
 
 
 @query("s05_flatten_scrape", with_snapshots("""
 SELECT CAST(s_suppkey AS VARCHAR) AS site_id, s_name AS site_name, s_acctbal >= 0 AS success,
-       CASE WHEN s_acctbal < 0 THEN 'timeout' END AS error, c.product_id, c.price
+       CASE WHEN s_acctbal < 0 THEN 'timeout' END AS error, c.product_id, c.price, CAST(c."timestamp" AS TIMESTAMP) AS seen_at,
+       TIMESTAMP '2000-01-01 10:00:00' AS scraped_at,
+       CASE WHEN c.product_id IS NOT NULL THEN CAST(row_number() OVER (PARTITION BY c.site_id, CAST(c.product_id AS BIGINT) // 50
+            ORDER BY CAST(c.product_id AS BIGINT)) - 1 AS INTEGER) END AS position
 FROM supplier LEFT JOIN cur_snap c ON c.site_id = CAST(s_suppkey AS VARCHAR) AND s_acctbal >= 0"""))
 def _(spark, sf):
     path = f"{new_workdir(spark, 'scrape')}/docs"
     chunk = F.floor(F.col("product_id").cast("long") / CHUNK).alias("chunk")
     product = F.when(F.col("product_id").isNotNull(), F.struct(
-        F.col("product_id").alias("id"), F.col("product_name").alias("name"), "price", "url", "category"))
+        F.col("product_id").cast("long").alias("n"), F.col("product_id").alias("id"), F.col("product_name").alias("name"), "price",
+        "url", "category", F.col("timestamp").cast("timestamp").alias("timestamp")))
     sites = scrape_rows(spark, sf).groupBy("site_id", "site_name", "success", "error", chunk).agg(
-        F.collect_list(product).alias("products"))
-    sites.select(F.array(F.struct("site_id", "site_name", "success", "error", "products")).alias("sites")).write.json(path)
-    rows = readers.flatten_scrape(readers.read_scrape(spark, path, multiline=False))
-    return rows.select("site_id", "site_name", "success", "error", "product_id", "price")
+        F.sort_array(F.collect_list(product)).alias("products"), F.lit("2000-01-01 10:00:00").cast("timestamp").alias("scraped_at"))
+    sites.select(F.array(F.struct("site_id", "site_name", "success", "error", "products", "scraped_at")).alias("sites")).write.json(path)
+    rows = stamped(readers.flatten_scrape(readers.read_scrape(spark, path, multiline=False)))
+    return rows.select("site_id", "site_name", "success", "error", "product_id", "price", "seen_at",
+                       F.col("scraped_at").cast("timestamp_ntz").alias("scraped_at"), "position")
 
 
 @query("s06_flatten_benchmark", with_bench(
-    "SELECT site_name, product_count, avg_price, min_price, max_price FROM sites"))
+    "SELECT site_name, product_count, avg_price, min_price, max_price, TIMESTAMP '2000-01-01 10:00:00' AS seen_at FROM sites"))
 def _(spark, sf):
     path = f"{new_workdir(spark, 'report')}/docs"
     text = lambda c: F.format_string("%.2f", F.col(c)).alias(c)
     entry = F.struct("product_count", text("avg_price"), text("min_price"), text("max_price"))
     by_site = F.create_map("site_name", entry).alias("by_site")
-    reports = benchmark.bench_by_site(bench_rows(spark, sf)).select(F.struct(by_site).alias("price_analysis"))
+    reports = benchmark.bench_by_site(bench_rows(spark, sf)).select(
+        F.lit("2000-01-01 10:00:00").cast("timestamp").alias("date"), F.struct(by_site).alias("price_analysis"))
     reports.write.json(path)
-    return readers.flatten_benchmark(readers.read_benchmark(spark, path, multiline=False)).drop("timestamp")
+    return stamped(readers.flatten_benchmark(readers.read_benchmark(spark, path, multiline=False))).drop("timestamp")
 
 
 @query("s07_enabled_sites", "SELECT CAST(s_suppkey AS VARCHAR) AS id, s_name AS name, 'h2, h3' AS product_name FROM supplier WHERE s_acctbal >= 0")
@@ -206,18 +224,47 @@ def _(spark, sf):
     return pricing.price_changes(before, cur(spark, sf)).agg(F.count("*").alias("change_count"))
 
 
-@query("k01_create_tables", with_orders(state_sql("order_items")))
-def _(spark, sf):
+def mart(spark) -> str:
+    """A fresh database with the declared tables."""
     base = new_workdir(spark, "mart")
     db = "mart_" + base.rsplit("-", 1)[1]
     tables.create_tables(spark, db, base)
+    return db
+
+
+@query("k01_create_tables", with_orders(state_sql("order_items")))
+def _(spark, sf):
+    db = mart(spark)
     # Monthly days keep the number of partitions of the test table small.
-    rows = order_items(spark, sf).withColumn(DAY, F.trunc(DAY, "MM"))
-    rows = ingest.conform(rows).select(*spark.table(f"{db}.order_items").columns)
-    tables.balanced(rows, DAY).write.insertInto(f"{db}.order_items")
+    rows = ingest.conform(order_items(spark, sf).withColumn(DAY, F.trunc(DAY, "MM")))
+    tables.load_table(rows, f"{db}.order_items", schemas.ORDER_ITEMS, DAY)
     return state(spark.table(f"{db}.order_items"), DAY)
 
 
+@query("k01_load_marts", with_bench("""
+SELECT 'products' AS mart, count(*) AS row_count, count(DISTINCT site_id) AS sites, CAST(max("timestamp") AS TIMESTAMP) AS newest FROM cur_snap
+UNION ALL SELECT 'price_history', count(*), count(DISTINCT site_id), CAST(max("timestamp") AS TIMESTAMP) FROM cur_snap
+UNION ALL SELECT 'benchmarks', count(*), count(DISTINCT site_id), TIMESTAMP '2000-01-01 10:00:00' FROM sites
+UNION ALL SELECT 'fetch_watermark', 1, 0, TIMESTAMP '2000-01-01 10:00:00'"""))
+def _(spark, sf):
+    """The four price marts, each loaded through its declaration."""
+    db, run = mart(spark), F.lit("2000-01-01 10:00:00").cast("timestamp")
+    snapshot = cur(spark, sf)
+    load = lambda rows, name, schema, day=None: tables.load_table(rows, f"{db}.{name}", schema, day)
+    load(pricing.product_rows(snapshot), "products", schemas.PRODUCTS)
+    load(snapshot.withColumn("date", F.lit("2000-01-01").cast("date")), "price_history", schemas.PRICE_HISTORY, "date")
+    stats = benchmark.bench_by_site(bench_rows(spark, sf)).withColumns({"timestamp": run, "date": F.to_date(run)})
+    load(stats, "benchmarks", schemas.BENCHMARKS, "date")
+    marks = spark.createDataFrame([], schemas.FETCH_WATERMARK)
+    load(ingest.upsert_watermark(marks, "2000-01-01", "2000-01-01 10:00:00"), "fetch_watermark", schemas.FETCH_WATERMARK)
+    stamps = {"products": "last_seen", "price_history": "timestamp", "benchmarks": "timestamp", "fetch_watermark": "last_fetch_timestamp"}
+    found = [spark.table(f"{db}.{name}").agg(
+        F.lit(name).alias("mart"), F.count("*").alias("row_count"),
+        (F.count_distinct("site_id") if name != "fetch_watermark" else F.lit(0).cast("long")).alias("sites"),
+        F.max(stamp).cast("timestamp_ntz").alias("newest")) for name, stamp in stamps.items()]
+    return reduce(DataFrame.unionByName, found)
+
+
 @query("k02_append_rows", with_dup_orders(state_sql("dup_items")))
 def _(spark, sf):
     path = f"{new_workdir(spark, 'append')}/table"
@@ -241,6 +288,19 @@ def _(spark, sf):
     return tables.load_snapshot(spark, store, schemas.PRODUCT_ROWS).select("site_id", "product_id", "price")
 
 
+@query("k04_expire_snapshots", with_snapshots("""
+SELECT 1 AS first_deleted, 1 AS deleted, (SELECT count(*) FROM cur_snap) AS row_count"""))
+def _(spark, sf):
+    """Of three versions, one named by its writer, the oldest goes and the newest is read."""
+    store = f"{new_workdir(spark, 'state')}/snapshots"
+    tables.save_snapshot(prev(spark, sf), store, 1)
+    for rows in (prev(spark, sf), cur(spark, sf)):
+        tables.save_snapshot(rows, store)
+    gone = tables.expire_snapshots(spark, store, 2)
+    left = tables.load_snapshot(spark, store, schemas.PRODUCT_ROWS).agg(F.count("*").alias("row_count"))
+    return left.select(F.lit(gone[0]).alias("first_deleted"), F.lit(len(gone)).alias("deleted"), "row_count")
+
+
 @query("k05_append_price_history", with_snapshots("""
 SELECT DATE '1999-01-01' AS date, site_id, product_id, price FROM prev_snap
 UNION ALL SELECT DATE '2000-01-01', site_id, product_id, price FROM cur_snap"""))
@@ -252,12 +312,13 @@ def _(spark, sf):
 
 
 @query("k06_append_benchmarks", with_bench("""
-SELECT DATE '2000-01-01' AS date, site_id, site_name, product_count, avg_price, min_price, max_price FROM sites"""))
+SELECT DATE '2000-01-01' AS date, site_id, site_name, product_count, avg_price, min_price, max_price,
+       TIMESTAMP '2000-01-01 10:00:00' AS seen_at FROM sites"""))
 def _(spark, sf):
     path = f"{new_workdir(spark, 'benchmarks')}/table"
     run = F.lit("2000-01-01 10:00:00").cast("timestamp")
     tables.append_benchmarks(benchmark.bench_by_site(bench_rows(spark, sf)), path, run)
-    return load(spark, path).drop("timestamp").withColumn("date", F.col("date").cast("date"))
+    return stamped(load(spark, path)).drop("timestamp").withColumn("date", F.col("date").cast("date"))
 
 
 @query("k07_export_catalog", with_snapshots("""
@@ -272,11 +333,11 @@ def _(spark, sf):
 
 
 @query("k08_append_change_log", with_snapshots(
-    CHANGES_CTE + "SELECT product_id, product_name, old_price, new_price, price_diff, url FROM changes"))
+    CHANGES_CTE + "SELECT product_id, product_name, old_price, new_price, price_diff, url, TIMESTAMP '2000-01-01 10:00:00' AS seen_at FROM changes"))
 def _(spark, sf):
     path = f"{new_workdir(spark, 'log')}/changes"
-    tables.append_change_log(changes(spark, sf), path)
-    return load(spark, path).drop("logged_at")
+    tables.append_change_log(changes(spark, sf), path, F.lit("2000-01-01 10:00:00").cast("timestamp"))
+    return stamped(load(spark, path), "logged_at").drop("logged_at")
 
 
 @query("k09_export_orders", with_orders("""
@@ -535,6 +596,20 @@ def _(spark, sf):
     return readers.read_order_items(spark, path).groupBy(F.col(DAY).alias("part")).agg(F.count("*").alias("row_count"))
 
 
+@query("st05_days_back", with_dup_orders(f"""
+SELECT {DAY} AS part, count(*) AS row_count FROM (SELECT DISTINCT {KEY_SQL} FROM dup_items
+  WHERE {DAY} BETWEEN DATE '1997-03-15' AND DATE '1997-03-18') GROUP BY 1"""))
+def _(spark, sf):
+    """Pulls of the four days before a moment that is still the day before at home, each day's payload by its key."""
+    path = f"{new_workdir(spark, 'back')}/order_items"
+    now = datetime(1997, 3, 18, 21, 30, tzinfo=timezone(timedelta(0)))  # half past midnight of the 19th, local time
+    rows = order_items_dup(spark, sf)
+    for n in (1, 2, 3, 4, 1):
+        key = target_date(now, days_back=n)
+        ingest.run_fetch(spark, rows.filter(filters.on_day(key)), path, date_key=key)
+    return readers.read_order_items(spark, path).groupBy(F.col(DAY).alias("part")).agg(F.count("*").alias("row_count"))
+
+
 @query("st03_progress_mark", with_orders(
     # A pull without new rows sets no mark: the second one needs rows the first did not bring.
     "SELECT DATE '1997-03-18' AS fetch_date, CASE WHEN bool_or(delivery_status <> 'O') THEN TIMESTAMP '1997-03-18 09:00:00' "

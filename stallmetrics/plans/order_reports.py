@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from stallmetrics.functions import filters
-from stallmetrics.functions.clock import preset_range
+from stallmetrics.functions.clock import ALL_TIME_START, PRESET_DAYS, preset_range
 from stallmetrics.operators import frequent, rollup, sales
 from stallmetrics.plans.registry import query
 from stallmetrics.plans.views import ALL_COLUMNS, AS_OF, order_items, with_orders
@@ -360,8 +360,10 @@ _filter_query("f13_build_filter", f"{FLT_SQL} AND city IN ('NATION_1', 'NATION_2
               lambda: filters.build_filter(START, END, ["NATION_1", "NATION_2"], PAYMENTS, ["O", "F"]),
               DAY, "city", "payment_method", "delivery_status")
 _filter_query("f13_empty_filter", "TRUE", lambda: filters.build_filter())
-_filter_query("f14_preset_last_year", f"{DAY} BETWEEN DATE '{AS_OF}' - 365 AND DATE '{AS_OF}'",
-              lambda: filters.between_days(*preset_range("last_year", date.fromisoformat(AS_OF))), DAY)
+for _name, _days in {**PRESET_DAYS, "all_time": None}.items():
+    _from = f"DATE '{AS_OF}' - {_days}" if _days is not None else f"DATE '{ALL_TIME_START}'"
+    _filter_query(f"f14_preset_{_name}", f"{DAY} BETWEEN {_from} AND DATE '{AS_OF}'",
+                  lambda name=_name: filters.between_days(*preset_range(name, date.fromisoformat(AS_OF))), DAY)
 
 
 @query("o05_latest_row", with_orders("""

@@ -414,10 +414,18 @@ def _(spark, sf):
     return benchmark.freshness(cur(spark, sf), bench_history(spark, sf))
 
 
-@query("o03_sort_products", with_snapshots(
-    "SELECT site_id, product_id, price FROM cur_snap ORDER BY price DESC, site_id, product_id"))
-def _(spark, sf):
-    return pricing.sort_products(cur(spark, sf), "price_desc").select("site_id", "product_id", "price")
+SORTS = {"price_asc": "price", "price_desc": "price DESC", "site": "site_name", "category": "category"}
+
+
+def _sorted(mode: str, order: str) -> None:
+    @query("o03_sort_products" if mode == "price_desc" else f"o03_sort_by_{mode}", with_snapshots(
+        f"SELECT site_id, product_id, price FROM cur_snap ORDER BY {order}, site_id, product_id"))
+    def _(spark, sf):
+        return pricing.sort_products(cur(spark, sf), mode).select("site_id", "product_id", "price")
+
+
+for _mode, _order in SORTS.items():
+    _sorted(_mode, _order)
 
 
 @query("o08_categories_by_price", with_bench(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from stallmetrics import schemas
 from stallmetrics.schemas import PARTITION_COLUMN
@@ -30,6 +31,20 @@ def create_tables(spark: SparkSession, database: str, location: str | None = Non
     return [f"{database}.{name}" for name in plan]
 
 
+def load_table(rows: DataFrame, table: str, schema: StructType, partition: str | None = None) -> None:
+    """Append rows to a declared table, in its column order and types. A null in a NOT NULL column
+    fails the load, which the file format itself would not."""
+
+    def column(f: StructField):
+        value = F.col(f.name).cast(f.dataType)
+        missing = F.raise_error(F.lit(f"{table}.{f.name} is null")).cast(f.dataType)
+        return (value if f.nullable else F.coalesce(value, missing)).alias(f.name)
+
+    spark = rows.sparkSession
+    checked = rows.select(*[column(f) for f in schema.fields]).select(*spark.table(table).columns)
+    (balanced(checked, partition) if partition else checked).write.insertInto(table)
+
+
 def balanced(df: DataFrame, *columns: str) -> DataFrame:
     """Gather rows of the same partition value for writing. AQE splits a value that holds
     much of the data over several tasks and merges small ones, so no day is one task."""
@@ -81,24 +96,50 @@ def insert_from(src: DataFrame, path: str, partition: str = PARTITION_COLUMN) ->
     append_rows(src, path, partition)
 
 
+#: Folder of a snapshot store with one empty file for each version that a writer has taken.
+CLAIMS = "_claims"
+
+
 def snapshot_versions(spark: SparkSession, path: str) -> list[int]:
     """Complete versions of a snapshot store, oldest first."""
     found = [d for d in paths.child_dirs(spark, path) if d.startswith("snapshot_id=")]
     return sorted(int(d.split("=", 1)[1]) for d in found if paths.exists(spark, f"{path}/{d}/_SUCCESS"))
 
 
+def _claimed_version(spark: SparkSession, path: str) -> int:
+    """The next version, which no other writer gets. That of a writer that failed stays out of use."""
+    known = snapshot_versions(spark, path)
+    taken = [int(n) for n in paths.child_files(spark, f"{path}/{CLAIMS}") if n.isdigit()]
+    version = max([-1, *known, *taken]) + 1
+    while not paths.claim(spark, f"{path}/{CLAIMS}/{version}"):
+        version += 1
+    return version
+
+
 def save_snapshot(df: DataFrame, path: str, version: int | None = None) -> int:
     """Publish the newest state as a new version; readers of older ones are not disturbed.
 
-    Writing a version twice replaces it, which makes a replayed micro-batch harmless.
+    Writers that name no version each get one of their own. A named version is written anew,
+    which makes a replayed micro-batch harmless.
     """
     if version is None:
-        known = snapshot_versions(df.sparkSession, path)
-        version = known[-1] + 1 if known else 0
-    df.write.mode("overwrite").parquet(f"{path}/snapshot_id={version}")
+        version = _claimed_version(df.sparkSession, path)
+        df.write.mode("errorifexists").parquet(f"{path}/snapshot_id={version}")
+    else:
+        df.write.mode("overwrite").parquet(f"{path}/snapshot_id={version}")
     return version
 
 
+def expire_snapshots(spark: SparkSession, path: str, keep: int = 2) -> list[int]:
+    """Delete all complete versions but the newest ``keep``; returns the deleted ones."""
+    if keep < 1:
+        raise ValueError("at least one version is kept")
+    gone = snapshot_versions(spark, path)[:-keep]
+    for version in gone:
+        paths.delete(spark, f"{path}/snapshot_id={version}")
+    return gone
+
+
 def load_snapshot(spark: SparkSession, path: str, schema, before: int | None = None) -> DataFrame:
     """Newest complete version (older than ``before`` if given), empty on the first run."""
     known = [v for v in snapshot_versions(spark, path) if before is None or v < before]

@@ -36,3 +36,16 @@ def rename(spark: SparkSession, src: str, dst: str) -> None:
 def delete(spark: SparkSession, path: str) -> bool:
     fs, p = _fs(spark, path)
     return fs.delete(p, True)
+
+
+def claim(spark: SparkSession, path: str) -> bool:
+    """Create an empty file; false if it exists already, so that only one of several callers gets it."""
+    fs, p = _fs(spark, path)
+    fs.mkdirs(p.getParent())
+    return fs.createNewFile(p)
+
+
+def child_files(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files directly below ``path`` (none if it does not exist)."""
+    fs, p = _fs(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isFile()) if fs.exists(p) else []

@@ -388,3 +388,37 @@ def test_backup_of_two_days_and_of_an_unfinished_one(spark, tmp_path):
     with pytest.raises(ValueError):
         swap_table(spark, str(tmp_path / "new"), table, backup)
     assert spark.read.parquet(table).count() == 6
+
+
+def test_writers_never_share_a_version(spark):
+    store = new_workdir(spark, "s") + "/snap"
+    df = products(spark, [("a", "1", 1, "x")])
+    assert tables.save_snapshot(df, store) == 0
+    assert tables._claimed_version(spark, store) == 1  # a writer that is still at work, or lost
+    assert tables.save_snapshot(df.limit(0), store) == 2
+    assert tables.save_snapshot(df, store, 7) == 7 and tables.save_snapshot(df, store, 7) == 7
+    assert tables.save_snapshot(df, store) == 8
+    assert tables.snapshot_versions(spark, store) == [0, 2, 7, 8]
+    assert tables.expire_snapshots(spark, store, 2) == [0, 2] and tables.expire_snapshots(spark, store, 2) == []
+    assert tables.load_snapshot(spark, store, schemas.PRODUCT_ROWS).count() == 1
+    with pytest.raises(ValueError):
+        tables.expire_snapshots(spark, store, 0)
+
+
+def test_declared_columns_take_no_nulls(spark):
+    base = new_workdir(spark, "mart")
+    db = "mart_" + base.rsplit("-", 1)[1]
+    tables.create_tables(spark, db, base)
+    good = pricing.product_rows(products(spark, [("a", "1", 1, None)]))
+    tables.load_table(good, f"{db}.products", schemas.PRODUCTS)
+    assert spark.table(f"{db}.products").count() == 1
+    with pytest.raises(Exception, match="site_name is null"):
+        tables.load_table(good.withColumn("site_name", F.lit(None).cast("string")), f"{db}.products", schemas.PRODUCTS)
+    assert spark.table(f"{db}.products").count() == 1
+
+
+def test_sorting_modes(spark):
+    df = products(spark, [("b", "1", 2, "y"), ("a", "2", 1, "z"), ("a", "1", 3, "x")])
+    order = lambda mode: [(r.site_id, r.product_id) for r in pricing.sort_products(df, mode).collect()]
+    assert order("price_asc") == [("a", "2"), ("b", "1"), ("a", "1")] and order("price_desc") == order("price_asc")[::-1]
+    assert order("site") == [("a", "1"), ("a", "2"), ("b", "1")] and order("category") == [("a", "1"), ("b", "1"), ("a", "2")]
