@@ -23,6 +23,7 @@ from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
 from stallmetrics.llm.common import sized, texts
 
@@ -217,8 +218,11 @@ def codec(path: str) -> Codec:
 
 
 def encode_texts(docs: DataFrame, path: str) -> DataFrame:
-    """The given columns without ``text``, and the ids of its tokens."""
-    keep = [c for c in docs.columns if c not in ("text", "ids", "n_tokens")]
+    """The given columns without ``text``, and the ids of its tokens. Given columns that are named
+    ``ids`` or ``n_tokens``, in letters of any case, are replaced; others may have any names."""
+    names = [c for c in docs.columns if c != "text" and c.lower() not in ("ids", "n_tokens")]
+    plain = docs.toDF(*["text" if c == "text" else f"extra_{k}" for k, c in enumerate(docs.columns)])
+    keep = [f"extra_{k}" for k, c in enumerate(docs.columns) if c in names]
 
     def encode(batches):
         for batch in sized(batches, "text"):
@@ -227,8 +231,10 @@ def encode_texts(docs: DataFrame, path: str) -> DataFrame:
                 [*(batch[k] for k in keep), pa.array([len(i) for i in ids], pa.int64()), pa.array(ids, pa.list_(pa.int32()))],
                 names=[*keep, "n_tokens", "ids"])
 
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name in keep)
-    return docs.select(*keep, "text").mapInArrow(encode, f"{kinds}, n_tokens long, ids array<int>")
+    given = plain.select(*keep, "text")
+    schema = StructType([*(f for f in given.schema if f.name != "text"), StructField("n_tokens", LongType()),
+                         StructField("ids", ArrayType(IntegerType()))])
+    return given.mapInArrow(encode, schema).toDF(*names, "n_tokens", "ids")
 
 
 def decode_ids(rows: DataFrame, path: str) -> DataFrame:

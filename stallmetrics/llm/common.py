@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
-from stallmetrics.session import new_workdir
+from stallmetrics.session import new_workdir, remove
+
+#: Columns of documents that operators know by name.
+DOCUMENT = ("doc_id", "text", "lang", "source", "n_chars")
 
 #: Bytes of text that a worker handles at once; a longer text is handled alone.
 BATCH_BYTES = 4 << 20
@@ -24,7 +27,23 @@ def written(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = new_workdir(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.work_path = path
+    return out
+
+
+def done(*tables: DataFrame) -> None:
+    """Remove tables of ``written`` that nothing reads any more."""
+    for df in tables:
+        remove(df.sparkSession, df.work_path)
+
+
+def under_plain_names(docs: DataFrame, stage: Callable[[DataFrame], DataFrame], known: tuple[str, ...] = DOCUMENT) -> DataFrame:
+    """The result of a stage that keeps the columns of ``docs``, run while all columns that it does not
+    know have plain names, so that no given name can clash with one of the stage or hold a dot."""
+    names = docs.columns
+    plain = [n if n in known else f"extra_{k}" for k, n in enumerate(names)]
+    return stage(docs.toDF(*plain)).toDF(*names)
 
 
 def sized(batches: Iterator[pa.RecordBatch], column: str, limit: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:

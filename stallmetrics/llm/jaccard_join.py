@@ -1,25 +1,31 @@
 """N-gram Jaccard join of whole texts, with prefix filters under several global token orders.
 
 A set's prefix under a total order of all tokens is so long that two sets which reach the
-threshold must share a token of their prefixes. That holds for every order, so a candidate
-pair has to share one under each of them. Candidates are made under the first order; the
-others are looked at just before the exact intersection, on the joined token lists.
-All orders begin with the rarest tokens and differ in how ties are broken; a token of one
-set alone can never be shared, so most sets need no candidates at all.
+threshold must share a token of their prefixes, early enough in both. That holds for every
+order, so a pair has to share one under each of them. Three orders are used: the rarest
+tokens first; coarse classes of frequency, by hash within them; by hash alone. In all of them a
+token of one set alone comes first: it can never be shared, so most sets need no candidates
+at all.
 
 Steps: (1) per text its set's hash, size and min-hashes; equal sets become one node, and
 tokens that are very common in a batch of texts are noted. (2) One shuffle of (token, set)
 finds the tokens of two or more sets and their frequencies; the rows of common tokens are
 spread over all partitions. (3) Sets whose prefix holds only unshared tokens drop out. (4)
-The remaining sets are first linked in stars around equal min-hashes, verified; what is
-connected needs no further pairs, and star pairs pass no prefix filter. (5) Pairs of different
-components that share a token in the first order's prefixes, and pass the filters of the others, are
-verified by exact intersection. (6) Components over all verified links.
+Pairs that share a token of the first order's prefixes are the candidates; (5) those that
+share none of the second's, and then of the third's, are dropped, by joins of (token, set)
+rows; (6) the token lists of what is left are joined and intersected exactly. (7) Components
+over all verified links.
+
+An extra for large families of altered copies (``stars``, can be switched off): sets are first
+paired with the centre of those that have the same min-hash, about one pair a set. These pairs
+pass the filters of all orders and the same verification, and sets that they connect need no
+further pairs. Components are the same with and without it.
 
 Text without words: an empty set, linked with nothing; a null id stays null. Repeated rows
-and equal texts are one node, so their number makes no pairs. Token hashes have 56 bits and
-set hashes 64. No partner or candidate is capped; the list of common tokens steers partitioning and
-order only, and any order gives the same links.
+and equal texts are one node, so their number makes no pairs. Token hashes have 55 bits and
+set hashes 64: among n different texts n * n / 2**65 pairs are expected to
+be taken for equal, 0.03 at a billion texts. No partner or candidate is
+capped; the list of common tokens steers partitioning and order only, and any order gives the same links.
 """
 
 from __future__ import annotations
@@ -32,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 from pyspark.sql.window import Window
 
-from stallmetrics.llm.common import sized, texts, written
+from stallmetrics.llm.common import done, sized, texts, under_plain_names, written
 
 WORDS = 5
 PERCENT = 75
@@ -218,79 +224,111 @@ def prefix_length(n: int, percent: int = PERCENT) -> int:
     return n + (-n * percent // 100) + 1
 
 
-def _active(shared: DataFrame, nodes: DataFrame, percent: int, orders: int) -> DataFrame:
-    """The sets whose prefixes hold shared tokens: their shared tokens, and those of the prefixes with their place in
-    each order, counted from 1 and with the unshared tokens before them (0: not in that prefix)."""
+def in_order(tokens: np.ndarray, order: int) -> np.ndarray:
+    """Indices of shared tokens, their class of frequency in the top bits, by one of the global orders."""
+    tie = tokens.view(np.uint64) * _ODD[1][order]
+    f = tokens >> 56
+    return np.lexsort((tie, (f, (f > 8).astype(np.int64) + (f > EXACT_DF), np.zeros_like(f))[order]))
+
+
+def prefix(tokens: np.ndarray, n: int, unshared: int, order: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """The shared tokens in a set's prefix under an order, with their places from 1; the unshared ones come before them."""
+    first = in_order(tokens, order)[:max(0, prefix_length(n, percent) - unshared)]
+    return tokens[first], np.arange(unshared + 1, unshared + 1 + len(first))
+
+
+def _active(shared: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """The sets whose prefixes hold shared tokens, with those tokens, sorted, and the number of the others."""
     lists = shared.groupBy("set_id").agg(F.collect_set("token").alias("rows"))
     known = lists.join(nodes.select("set_id", "n_shingles"), "set_id").filter(
         F.col("n_shingles") - F.size("rows") < F.expr(f"n_shingles + floor(-n_shingles * {percent} / 100D) + 1"))
 
-    def prefixes(batches):
+    def described(batches):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            rows = batch["rows"]
-            token = rows.flatten().to_numpy(zero_copy_only=False)
-            ends = np.concatenate([[0], np.cumsum(rows.value_lengths().to_numpy(zero_copy_only=False))])
-            sizes = batch["n_shingles"].to_pylist()
-            tokens, mins, places, weights, own = [], [], [], [], []
-            for k, n in enumerate(sizes):
-                t = np.sort(token[ends[k]:ends[k + 1]])
-                f, alone = t >> 56, n - len(t)
-                most = prefix_length(n, percent) - alone
-                place = np.zeros((orders, len(t)), dtype=np.int32)
-                for o in range(orders):
-                    first = np.lexsort((t.view(np.uint64) * _ODD[1][o], f))[:most]
-                    place[o, first] = np.arange(alone + 1, alone + 1 + len(first))
-                own.append(alone)
-                weights.append((int(f.sum()) + alone) / n)
+            tokens, mins, weights, own = [], [], [], []
+            for row, n in zip(batch["rows"], batch["n_shingles"].to_pylist(), strict=True):
+                t = np.sort(row.values.to_numpy())
+                own.append(n - len(t))
+                weights.append((int((t >> 56).sum()) + own[-1]) / n)
                 tokens.append(t)
                 mins.append(_min_hashes(t.view(np.uint64), HASHES))
-                places.append([p.tolist() for p in place])
             yield pa.RecordBatch.from_arrays(
                 [batch["set_id"], batch["n_shingles"], pa.array(own, pa.int64()), pa.array(weights, pa.float64()),
-                 pa.array(mins, pa.list_(pa.int64())), pa.array(tokens, pa.list_(pa.int64())),
-                 pa.array(places, pa.list_(pa.list_(pa.int32())))],
-                names=["set_id", "n", "u", "weight", "mins", "tokens", "places"])
+                 pa.array(mins, pa.list_(pa.int64())), pa.array(tokens, pa.list_(pa.int64()))],
+                names=["set_id", "n", "u", "weight", "mins", "tokens"])
 
     return known.select("set_id", "n_shingles", "rows").mapInArrow(
-        prefixes, "set_id long, n long, u long, weight double, mins array<long>, tokens array<long>, places array<array<int>>")
+        described, "set_id long, n long, u long, weight double, mins array<long>, tokens array<long>")
+
+
+def _prefix_rows(active: DataFrame, order: int, percent: int) -> DataFrame:
+    """(token, set_id, n, place) of the prefixes of all sets under one order."""
+
+    def cut(batches):
+        for batch in batches:
+            found = [prefix(t.values.to_numpy(), n, u, order, percent) for t, n, u in zip(
+                batch["tokens"], batch["n"].to_pylist(), batch["u"].to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [batch["set_id"], batch["n"], pa.array([f[0] for f in found], pa.list_(pa.int64())),
+                 pa.array([f[1] for f in found], pa.list_(pa.int64()))], names=["set_id", "n", "token", "place"])
+
+    lists = active.select("set_id", "n", "u", "tokens").mapInArrow(cut, "set_id long, n long, token array<long>, place array<long>")
+    return lists.select("set_id", "n", F.explode(F.arrays_zip("token", "place")).alias("p")).select(
+        F.col("p.token").alias("token"), "set_id", "n", F.col("p.place").alias("place"))
 
 
 def _enough(n_a: int, n_b: int, a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
     """For shared tokens at places ``a`` and ``b`` of an order: could the pair reach the threshold if this is the first?"""
     most = np.minimum(n_a - a, n_b - b) + 1
-    return (a > 0) & (b > 0) & ((100 + percent) * most >= percent * (n_a + n_b))
+    return (100 + percent) * most >= percent * (n_a + n_b)
+
 
+def _enough_rows(percent: int):
+    most = F.least(F.col("n_a") - F.col("p_a"), F.col("n_b") - F.col("p_b")) + 1
+    return (100 + percent) * most >= percent * (F.col("n_a") + F.col("n_b"))
+
+
+def _ids(pairs: DataFrame) -> DataFrame:
+    """The sets that occur in pairs. Spark knows the size of the written ids and joins by it."""
+    return written(pairs.select(F.col("a").alias("set_id")).union(pairs.select("b")).distinct(), "ids")
+
+
+def _sharing(pairs: DataFrame, active: DataFrame, order: int, percent: int) -> DataFrame:
+    """The pairs that share a prefix token, early enough, under one more order; joined by (token, set) rows."""
+    rows = _prefix_rows(active.join(_ids(pairs), "set_id", "left_semi"), order, percent)
+    side = {s: rows.select("token", F.col("set_id").alias(s), F.col("n").alias(f"n_{s}"), F.col("place").alias(f"p_{s}")) for s in "ab"}
+    met = pairs.join(side["a"], "a").join(side["b"], ["b", "token"]).filter(_enough_rows(percent))
+    return met.select("a", "b").distinct()
 
-def _verified(pairs: DataFrame, active: DataFrame, percent: int, orders: int) -> DataFrame:
-    """The pairs (a, b) that pass the filter of every order and then reach the threshold.
+
+def _verified(pairs: DataFrame, active: DataFrame, percent: int, orders: tuple[int, ...] = ()) -> DataFrame:
+    """The written pairs (a, b) that reach the threshold; before, those that fail the filter of one of
+    ``orders`` are dropped.
 
     Tokens of one set alone cannot be common ones, so the shared ones do. Only sets that
-    occur in a pair are shuffled; Spark knows the size of the written ids and joins by it.
+    occur in a pair are shuffled.
     """
-    pairs = written(pairs.select("a", "b"), "candidates")
-    ids = written(pairs.select(F.col("a").alias("set_id")).union(pairs.select("b")).distinct(), "ids")
-    sets = active.join(ids, "set_id", "left_semi")
-    side = {s: sets.select(F.col("set_id").alias(s), F.col("n").alias(f"n_{s}"), F.col("tokens").alias(f"t_{s}"),
-                           *([F.col("places").alias(f"p_{s}")] if orders else [])) for s in "ab"}
+    sets = active.join(_ids(pairs), "set_id", "left_semi")
+    side = {s: sets.select(F.col("set_id").alias(s), F.col("n").alias(f"n_{s}"), F.col("u").alias(f"u_{s}"),
+                           F.col("tokens").alias(f"t_{s}")) for s in "ab"}
+
+    def passes(t_a, t_b, n_a, n_b, u_a, u_b) -> bool:
+        for order in orders:
+            a, at = prefix(t_a, n_a, u_a, order, percent)
+            b, bt = prefix(t_b, n_b, u_b, order, percent)
+            _, i, j = np.intersect1d(a, b, assume_unique=True, return_indices=True)
+            if not _enough(n_a, n_b, at[i], bt[j], percent).any():
+                return False
+        common = len(np.intersect1d(t_a, t_b, assume_unique=True))
+        return 100 * common >= percent * (n_a + n_b - common)
 
     def check(batches):
         for batch in batches:
-            keep = []
-            for row in range(batch.num_rows):
-                n_a, n_b = (batch[c][row].as_py() for c in ("n_a", "n_b"))
-                t_a, t_b = (batch[c][row].values.to_numpy() for c in ("t_a", "t_b"))
-                good = True
-                for o in range(orders):
-                    a, b = (batch[c][row].values[o].values.to_numpy() for c in ("p_a", "p_b"))
-                    _, i, j = np.intersect1d(t_a[a > 0], t_b[b > 0], assume_unique=True, return_indices=True)
-                    good = good and bool(_enough(n_a, n_b, a[a > 0][i], b[b > 0][j], percent).any())
-                if good:
-                    common = len(np.intersect1d(t_a, t_b, assume_unique=True))
-                    good = 100 * common >= percent * (n_a + n_b - common)
-                if good:
-                    keep.append(row)
+            sizes = zip(*(batch[c].to_pylist() for c in ("n_a", "n_b", "u_a", "u_b")), strict=True)
+            keep = [row for row, k in enumerate(sizes) if passes(
+                *(batch[c][row].values.to_numpy() for c in ("t_a", "t_b")), *k)]
             if keep:
                 yield batch.select(["a", "b"]).take(pa.array(keep))
 
@@ -300,18 +338,21 @@ def _verified(pairs: DataFrame, active: DataFrame, percent: int, orders: int) ->
 def components(edges: DataFrame) -> DataFrame:
     """(node, label): the smallest node that links reach, by passing on minima and following labels to their labels."""
     both = written(edges.select("a", "b").union(edges.select("b", "a")).distinct(), "links")
-    labels = written(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("least")).select(
+    kept = written(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("least")).select(
         "node", F.least("node", "least").alias("label")), "labels")
     while True:
+        labels = kept.select("node", "label")
         near = both.join(labels.select(F.col("node").alias("b"), "label"), "b").groupBy(F.col("a").alias("node")).agg(
             F.min("label").alias("near"))
         passed = labels.join(near, "node").select("node", F.col("label").alias("old"), F.least("label", "near").alias("label"))
         up = labels.select(F.col("node").alias("label"), F.col("label").alias("up"))
         moved = written(passed.join(up, "label").select(
             "node", F.least("label", "up").alias("label"), (F.least("label", "up") != F.col("old")).alias("moved")), "labels")
-        labels = moved.select("node", "label")
+        done(kept)
+        kept = moved
         if moved.filter("moved").isEmpty():
-            return labels
+            done(both)
+            return moved.select("node", "label")
 
 
 def _compatible(percent: int):
@@ -336,26 +377,44 @@ def _stars(active: DataFrame, percent: int, hashes: int) -> DataFrame:
     return pairs.filter(_compatible(percent) & (F.col("agree") * 2 >= hashes)).select("a", "b").distinct()
 
 
-def _candidates(active: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """Pairs of sets in different components that share a prefix token under the first order.
+def _candidates(active: DataFrame, labels: DataFrame | None, percent: int, order: int = 0) -> DataFrame:
+    """Pairs of sets that share a prefix token under one order; with ``labels`` only of different components.
 
     If a token is the first that a pair shares in some order, the pair shares at most that
     one and what follows it on either side. A token counts only if that is enough.
     """
-    rows = active.select("set_id", "n", F.explode(F.arrays_zip("tokens", F.get("places", 0).alias("place"))).alias("p")).select(
-        "set_id", "n", F.col("p.tokens").alias("token"), F.col("p.place").alias("place")).filter("place > 0")
-    rows = rows.join(labels, rows["set_id"] == labels["node"], "left").select(
-        "token", "set_id", "n", "place", F.coalesce("label", "set_id").alias("label"))
+    rows = _prefix_rows(active, order, percent)
+    if labels is None:
+        rows = rows.withColumn("label", F.col("set_id"))
+    else:
+        rows = rows.join(labels, rows["set_id"] == labels["node"], "left").select(
+            "token", "set_id", "n", "place", F.coalesce("label", "set_id").alias("label"))
     several = rows.groupBy("token").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x < y").select("token")
     rows = written(rows.join(several, "token", "left_semi"), "postings")
     left, right = (rows.select("token", F.col("set_id").alias(s), F.col("n").alias(f"n_{s}"), F.col("place").alias(f"p_{s}"),
                                F.col("label").alias(f"l_{s}")) for s in "ab")
-    most = F.least(F.col("n_a") - F.col("p_a"), F.col("n_b") - F.col("p_b")) + 1
     met = left.join(right, [left["token"] == right["token"], F.col("a") < F.col("b"), F.col("l_a") != F.col("l_b"),
-                            (100 + percent) * most >= percent * (F.col("n_a") + F.col("n_b"))])
+                            _enough_rows(percent)])
     return met.select("a", "b").distinct()
 
 
+def linked_pairs(active: DataFrame, percent: int, orders: int, stars: bool) -> DataFrame:
+    """All verified links that the components need."""
+    labels, found = None, None
+    if stars:
+        pairs = written(_stars(active, percent, HASHES), "stars")
+        found = written(_verified(pairs, active, percent, tuple(range(orders))), "stars")
+        done(pairs)
+        labels = components(found)
+    pairs = written(_candidates(active, labels, percent), "candidates")
+    for order in range(1, orders):
+        fewer = written(_sharing(pairs, active, order, percent), "candidates")
+        done(pairs)
+        pairs = fewer
+    links = written(_verified(pairs, active, percent), "pairs")
+    return links if found is None else found.union(links)
+
+
 def common_tokens(sketches: DataFrame) -> np.ndarray:
     """Tokens of a thousandth of all sets or more; their number is bounded by the mean size of a set over that share."""
     n = sketches.filter("is_text").count()
@@ -364,7 +423,7 @@ def common_tokens(sketches: DataFrame) -> np.ndarray:
     return np.sort(rows["token"].to_numpy().astype(np.int64).view(np.uint64))
 
 
-def link_texts(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, orders: int = ORDERS) -> DataFrame:
+def link_texts(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, orders: int = ORDERS, stars: bool = True) -> DataFrame:
     """doc_id, n_shingles and component_id of every row of ``docs``, with the set_id of its text and first_set, that of
     its component's first row: the least by id, then by set. Components that share a repeated id differ by first_set."""
     sketches = written(_sketches(docs, words), "sketches")
@@ -372,10 +431,9 @@ def link_texts(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, orde
     nodes = sketches.filter("set_id IS NOT NULL").groupBy("set_id").agg(
         F.min("doc_id").alias("first_id"), F.min("n_shingles").alias("n_shingles"))
     shared = _shared_tokens(docs, words, common_tokens(sketches))
-    active = written(_active(shared, nodes, percent, orders), "active")
-    stars = written(_verified(_stars(active, percent, HASHES), active, percent, 0), "stars")
-    pairs = written(_verified(_candidates(active, components(stars), percent), active, percent, orders), "pairs")
-    labels = components(stars.union(pairs))
+    active = written(_active(shared, nodes, percent), "active")
+    labels = components(linked_pairs(active, percent, orders, stars))
+    done(active)
     firsts = sketches.filter("set_id IS NOT NULL").groupBy("set_id").agg(F.min("doc_id").alias("first_id"))
     named = firsts.join(labels, F.col("set_id") == F.col("node"), "left")
     first = F.min(F.struct(F.col("first_id").isNull().alias("none"), "first_id", "set_id")).alias("first")
@@ -407,8 +465,12 @@ def first_of_each(docs: DataFrame, linked: DataFrame, words: int = WORDS) -> Dat
     first of its component stay, one of each text, and one without words; the row that stays
     does not depend on the order of the rows. Rows without an id cannot be named as the first
     of others: one of each component stays, and all without words. What goes is written first:
-    Spark then knows its size and chooses the join by it.
+    Spark then knows its size and chooses the join by it. Further columns may have any names.
     """
+    return under_plain_names(docs, lambda plain: _first_of_each(plain, linked, words))
+
+
+def _first_of_each(docs: DataFrame, linked: DataFrame, words: int) -> DataFrame:
     gone = written(linked.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("gone_id")).distinct(), "gone")
     odd = written(linked.groupBy("doc_id").count().filter("count > 1 OR doc_id IS NULL").select(F.col("doc_id").alias("odd_id")), "odd")
     left = docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")

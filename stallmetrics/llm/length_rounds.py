@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from stallmetrics.llm.common import written
+from stallmetrics.llm.common import done, written
 
 #: Rows of the first round, and the factor from one round to the next.
 FIRST_ROWS, GROWTH = 8192, 4
@@ -182,6 +182,7 @@ def search(rows: DataFrame, askers: DataFrame, bands: DataFrame, k: int, scale:
             F.col("low") <= reach).drop("low", "ask_id"), "live")
         asking = live.count()
         if not asking:
+            done(live)
             continue
         blocks = -(-asking // side)
         spread = F.xxhash64("vec_id", "v")
@@ -216,5 +217,7 @@ def search(rows: DataFrame, askers: DataFrame, bands: DataFrame, k: int, scale:
 
         found = stored.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInArrow(
             meet, "ask_id long, band int, vec_id long, score long")
-        best = written(_best(best.unionByName(found), k), "best")
+        now = written(_best(best.unionByName(found), k), "best")
+        done(live, *([best] if hasattr(best, "work_path") else []))
+        best = now
     return best

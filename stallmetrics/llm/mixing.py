@@ -3,7 +3,7 @@
 Spark sums the tokens of every (source, lang, topic) cell that occurs, and the fit runs on
 that list in the driver: it grows with the cells, not with the rows. The cells with their
 probabilities are written and joined to the documents, and each document is then kept with
-its cell's calibrated probability, decided by a hash of its id.
+its cell's calibrated probability, decided by a hash of its id and text.
 
 Values that the targets do not name are cells of their own and have their targets from the
 sums: see ``aims_of``. Null and the empty string are one value, without a name.
@@ -15,14 +15,11 @@ rows share their decision.
 
 from __future__ import annotations
 
-from functools import reduce
-from itertools import product
-
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stallmetrics.llm.common import written
+from stallmetrics.llm.common import done, under_plain_names, written
 
 MARGINS = ("source", "lang", "topic")
 _REST = ""
@@ -30,12 +27,14 @@ _BUCKETS = 1 << 30
 
 
 def rake_cells(tokens: np.ndarray, places: list[np.ndarray], targets: list[np.ndarray], rounds: int = 200,
-               tolerance: float = 1e-9) -> np.ndarray:
-    """Weights of listed cells, in proportion to ``tokens``, whose margins are ``targets`` (sums of 1).
+               tolerance: float = 1e-9) -> tuple[np.ndarray, float]:
+    """Weights of listed cells, in proportion to ``tokens``, whose margins are ``targets`` (sums of 1), and the
+    largest share by which a margin was missed in the last round.
 
     ``places`` has for each margin the index of every cell's value."""
+    moved = 0.0
     if not tokens.sum():
-        return np.zeros(tokens.shape)
+        return np.zeros(tokens.shape), moved
     fitted = tokens / tokens.sum()
     for _ in range(rounds):
         moved = 0.0
@@ -50,13 +49,7 @@ def rake_cells(tokens: np.ndarray, places: list[np.ndarray], targets: list[np.nd
             fitted = fitted * ratio[place]
         if moved < tolerance:
             break
-    return fitted
-
-
-def rake(tokens: np.ndarray, targets: list[np.ndarray], rounds: int = 200, tolerance: float = 1e-9) -> np.ndarray:
-    """The same for a table with an axis for each margin."""
-    places = [i.ravel() for i in np.indices(tokens.shape)]
-    return rake_cells(tokens.ravel(), places, targets, rounds, tolerance).reshape(tokens.shape)
+    return fitted, moved
 
 
 def aims_of(amounts: np.ndarray, given: np.ndarray, nameless: np.ndarray) -> np.ndarray:
@@ -89,49 +82,11 @@ def _chances(amounts: np.ndarray, fitted: np.ndarray, rate: float) -> np.ndarray
     return np.where(amounts > 0, ratio / most, 1.0) * rate if most else np.full(amounts.shape, rate)
 
 
-def _place(column: str, values: list[str]) -> Column:
-    """Index of the value among the targets; the last one is for all others."""
-    known = [v for v in values if v != _REST]
-    found = reduce(lambda c, kv: c.when(F.col(column).cast("string") == kv[1], F.lit(kv[0])), enumerate(known),
-                   F.when(F.lit(False), F.lit(0)))
-    return found.otherwise(F.lit(len(known)))
-
-
 def word_tokens() -> Column:
     """White-space separated words of ``text`` as its token weight."""
     return F.size(F.array_remove(F.split(F.coalesce(F.col("text"), F.lit("")), r"[\x20\x09-\x0D]+"), "")).cast("long")
 
 
-def cell_of(targets: dict[str, dict[str, float]], columns: dict[str, str]) -> Column:
-    """Number of a row's cell. ``columns`` names the column of each margin."""
-    cell = F.lit(0)
-    for m in MARGINS:
-        size = len([v for v in targets[m] if v != _REST]) + 1
-        cell = cell * size + _place(columns[m], list(targets[m]))
-    return cell
-
-
-def fit_probabilities(rows: DataFrame, targets: dict[str, dict[str, float]], columns: dict[str, str], tokens: str,
-                      rate: float = 1.0) -> dict[int, float]:
-    """Probability of keeping a document, by cell, with one place per margin for all values that the targets do not name.
-
-    ``targets`` gives per margin the share of tokens of each value; what is missing to 1 falls
-    to all other values. ``rate`` below 1 thins out all cells alike.
-    """
-    names = {m: [v for v in targets[m] if v != _REST] + [_REST] for m in MARGINS}
-    shape = [len(names[m]) for m in MARGINS]
-    summed = {r["cell"]: int(r["n"]) for r in rows.groupBy(cell_of(targets, columns).alias("cell"))
-              .agg(F.sum(F.col(tokens)).alias("n")).collect()}
-    amounts = np.array([summed.get(k, 0) for k in range(int(np.prod(shape)))], dtype=float).reshape(shape)
-    aims = []
-    for axis, m in enumerate(MARGINS):
-        given = np.array([*(float(targets[m][v]) for v in names[m][:-1]), np.nan])
-        sums = amounts.sum(axis=tuple(a for a in range(len(shape)) if a != axis))
-        aims.append(aims_of(sums, given, np.isnan(given)))
-    chance = _chances(amounts, rake(amounts, aims), rate)
-    return {k: float(c) for k, c in zip(range(chance.size), chance.ravel(), strict=True)}
-
-
 def _value(column: str) -> Column:
     return F.nullif(F.col(column).cast("string"), F.lit(_REST))
 
@@ -149,7 +104,7 @@ def cell_chances(rows: DataFrame, targets: dict[str, dict[str, float]], columns:
         given = np.array([float(targets[m].get(v, np.nan)) for v in values])
         places.append(place)
         aims.append(aims_of(np.bincount(place, amounts, len(values)), given, np.array([v is None for v in values])))
-    chance = _chances(amounts, rake_cells(amounts, places, aims), rate)
+    chance = _chances(amounts, rake_cells(amounts, places, aims)[0], rate)
     schema = ", ".join([*(f"__{m}_cell string" for m in MARGINS), "__chance double"])
     listed = [(*r[:len(MARGINS)], c) for r, c in zip(sums, chance.tolist(), strict=True)]
     return written(rows.sparkSession.createDataFrame(listed, schema).coalesce(1), "cells")
@@ -161,15 +116,22 @@ def with_chance(rows: DataFrame, chances: DataFrame, columns: dict[str, str]) ->
     return rows.join(chances, same, "left").drop(*(f"__{m}_cell" for m in MARGINS))
 
 
-def draw(doc_id: str = "doc_id", seed: int = 7) -> Column:
-    """A number in [0, 1) that depends on the id alone."""
-    return F.pmod(F.xxhash64(F.col(doc_id), F.lit(seed)), F.lit(_BUCKETS)) / F.lit(_BUCKETS)
-
+def draw(seed: int = 7) -> Column:
+    """A number in [0, 1) that depends on ``doc_id`` and ``text`` alone, so that rows without an id are
+    decided by their texts and equal rows alike."""
+    return F.pmod(F.xxhash64("doc_id", "text", F.lit(seed)), F.lit(_BUCKETS)) / F.lit(_BUCKETS)
 
-def probability(cell: Column, chances: dict[int, float]) -> Column:
-    return F.element_at(F.array(*(F.lit(chances[k]) for k in range(len(chances)))), cell + 1)
 
+def keep_drawn(docs: DataFrame, topics: DataFrame, targets: dict[str, dict[str, float]], rate: float = 1.0) -> DataFrame:
+    """The documents drawn with the probabilities of their cells, with all their columns, whatever
+    the names of further ones. ``topics`` has ``topic_id``, once each, and ``topic``.
 
-def cells(targets: dict[str, dict[str, float]]) -> list[tuple[str, ...]]:
-    """The margin values of each cell number."""
-    return list(product(*([v for v in targets[m] if v != _REST] + [_REST] for m in MARGINS)))
+    Words are counted before the topics are joined, so texts are shuffled once, with their topics.
+    """
+    columns = {"source": "source", "lang": "lang", "topic": "topic"}
+    named = lambda df: df.join(topics, df["doc_id"] == topics["topic_id"], "left").drop("topic_id")
+    light = written(named(docs.select("doc_id", "source", "lang", word_tokens().alias("n_tokens"))), "mix")
+    chances = cell_chances(light, targets, columns, "n_tokens", rate)
+    done(light)
+    return under_plain_names(docs, lambda plain: with_chance(named(plain), chances, columns).filter(
+        draw() < F.col("__chance")).drop("topic", "__chance"))

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stallmetrics.llm.common import sized, texts
+from stallmetrics.llm.common import sized, texts, under_plain_names
 
 #: Labelled rows that the list is fitted on, at most.
 SAMPLE_ROWS = 20_000
@@ -219,7 +219,11 @@ def judge(docs: DataFrame, rules: list[Rule]) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, rules: list[Rule]) -> DataFrame:
-    """The rows of the documents that pass, with all their columns."""
+    """The rows of the documents that pass, with all their columns, whatever the names of further ones."""
+    return under_plain_names(docs, lambda plain: _keep_good(plain, rules))
+
+
+def _keep_good(docs: DataFrame, rules: list[Rule]) -> DataFrame:
     names = docs.columns
 
     def run(batches):

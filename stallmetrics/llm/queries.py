@@ -16,7 +16,7 @@ WORDS = "word_bpe_49k.json"
 #: Token shares aimed at; all other values have theirs from the measured shares (``mixing.aims_of``).
 MIX = {"source": {"src0": 0.3}, "lang": {"en": 0.55, "de": 0.17, "fr": 0.17, "es": 0.11},
        "topic": {str(k): 0.02 for k in range(10)}}
-MIX_COLUMNS = {"source": "source", "lang": "lang", "topic": "__topic"}
+MIX_COLUMNS = {"source": "source", "lang": "lang", "topic": "topic"}
 ARCHIVE_RECORDS = 512
 
 
@@ -70,20 +70,20 @@ def op6_hashing_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hashing_index.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
-def with_topic(docs: DataFrame, embeddings: DataFrame) -> DataFrame:
-    """Documents with ``__topic``: the label of the vector with the same id, null without one."""
-    topics = embeddings.groupBy(F.col("vec_id").alias("__vec_id")).agg(F.min("label").cast("string").alias("__topic"))
-    return docs.join(topics, docs["doc_id"] == topics["__vec_id"], "left").drop("__vec_id")
+def topics_of(embeddings: DataFrame) -> DataFrame:
+    """topic_id and topic: the least label of the vectors with an id."""
+    return embeddings.groupBy(F.col("vec_id").alias("topic_id")).agg(F.min("label").cast("string").alias("topic"))
 
 
 def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its cell's probability and whether it is drawn."""
-    docs = with_topic(table(spark, sf_dir, "documents").select(
-        "doc_id", "source", "lang", mixing.word_tokens().alias("n_tokens")), table(spark, sf_dir, "embeddings"))
-    docs = written(docs, "mix")
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", "source", "lang", mixing.word_tokens().alias("n_tokens"), mixing.draw().alias("drawn_at"))
+    topics = topics_of(table(spark, sf_dir, "embeddings"))
+    docs = written(docs.join(topics, docs["doc_id"] == topics["topic_id"], "left").drop("topic_id"), "mix")
     docs = mixing.with_chance(docs, mixing.cell_chances(docs, MIX, MIX_COLUMNS, "n_tokens"), MIX_COLUMNS)
-    return docs.select("doc_id", "source", "lang", F.col("__topic").alias("topic"), "n_tokens",
-                       F.round("__chance", 9).alias("probability"), (mixing.draw() < F.col("__chance")).alias("drawn"))
+    return docs.select("doc_id", "source", "lang", "topic", "n_tokens", F.round("__chance", 9).alias("probability"),
+                       (F.col("drawn_at") < F.col("__chance")).alias("drawn"))
 
 
 def op8_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -191,9 +191,11 @@ placed AS (SELECT *, left(role, 1) AS r, row_number() OVER (PARTITION BY conv_id
              ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS i FROM damaged),
 faulty AS (
   SELECT *, lag(r) OVER (PARTITION BY conv_id ORDER BY i) AS before,
-    CASE WHEN NOT regexp_matches(text, '[^ 	-]') THEN 'b'
+    CASE WHEN NOT regexp_matches(text, '[^ 	-
+]') THEN 'b'
          WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'd'
-         WHEN NOT regexp_matches(text, '[.!?][ 	-]*$') THEN 't' ELSE 'k' END AS fault FROM placed),
+         WHEN NOT regexp_matches(text, '[.!?][ 	-
+]*$') THEN 't' ELSE 'k' END AS fault FROM placed),
 -- 0 nothing, 1 s, 2 u, 3 su, 4 complete, 5 complete and u
 reads(p, c, q) AS (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 3), (2, 'a', 4), (3, 'a', 4), (4, 'u', 5), (5, 'a', 4)),
 inserts(p, q, n) AS (VALUES (0, 0, 0), (1, 1, 0), (2, 2, 0), (3, 3, 0), (4, 4, 0), (5, 5, 0), (0, 2, 1), (0, 4, 2), (0, 5, 3),

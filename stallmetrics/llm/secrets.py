@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from stallmetrics.llm.automaton import SEPARATOR, Automaton, compile_rules, longest, run_lanes
-from stallmetrics.llm.common import sized, texts
+from stallmetrics.llm.common import sized, texts, under_plain_names
 
 
 @dataclass(frozen=True)
@@ -132,8 +132,13 @@ def redact(text: str, spans: list[tuple[int, int, int]], mark: str = "[secret]")
 def redact_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """The same rows and columns, secrets in ``text`` replaced; ``n_chars`` follows if it is there.
 
-    A null text stays null and a text without secrets stays as it is, n_chars included.
+    A null text stays null and a text without secrets stays as it is, n_chars included. Further
+    columns may have any names.
     """
+    return under_plain_names(docs, lambda plain: _redact_secrets(plain, rules))
+
+
+def _redact_secrets(docs: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
     names = docs.columns
 
     def clean(batches):

@@ -1,14 +1,19 @@
 """Links, neighbours, hosts, mixing, fixity and the pipeline against plain versions."""
 
 import random
+import re
+from collections import Counter
 
 import duckdb
 import numpy as np
+import public_tokenizers
 import pytest
+import tokenizers
+import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from stallmetrics.llm import fixity, hashing_index, hosts, jaccard_join, mixing, queries
+from stallmetrics.llm import fixity, hashing_index, hosts, jaccard_join, mixing, quality, queries
 from tests.llm.conftest import ODD
 
 SF = "/root/testdata/sf0.001"
@@ -62,6 +67,41 @@ def test_links_equal_all_pairs(make, seed):
     assert all(r["n_shingles"] == len(shingles(texts[r["doc_id"]])) for r in rows)
 
 
+@pytest.mark.parametrize("seed", [4, 5])
+def test_links_without_stars_are_the_same(make, seed):
+    """The dealt path alone: candidates of the first order, the others' filters, exact intersection."""
+    rng = random.Random(seed)
+    texts = [t for _ in range(5) for t in family(rng, rng.randrange(6, 120), rng.randrange(1, 20), 8)]
+    passage = " ".join(f"p{k}" for k in range(60))
+    texts += [passage + " " + " ".join(f"q{rng.randrange(10**6)}" for _ in range(rng.randrange(1, 60))) for _ in range(30)]
+    want = plain_components(list(enumerate(texts)))
+    for stars in (False, True):
+        got = jaccard_join.link_texts(make(texts), stars=stars).collect()
+        assert {r["doc_id"]: r["component_id"] for r in got} == want
+
+
+def test_orders_differ_and_each_drops_pairs(spark, make):
+    """Sets below the threshold that share frequent tokens only are found by one order and dropped by another."""
+    rng = random.Random(9)
+    passages = [" ".join(f"p{k}w{i}" for i in range(12)) for k in range(24)]
+    texts = [" ".join(rng.sample(passages, 9)) for _ in range(40)]
+    texts += [t + " end" for t in texts[:5]]
+    docs = make(texts)
+    sketches = jaccard_join._sketches(docs, 5).filter("set_id IS NOT NULL")
+    nodes = sketches.groupBy("set_id").agg(F.min("n_shingles").alias("n_shingles"))
+    shared = jaccard_join._shared_tokens(docs, 5, np.zeros(0, np.uint64))
+    active = jaccard_join._active(shared, nodes, 75).persist()
+    pairs = [{tuple(r) for r in jaccard_join._candidates(active, None, 75, o).collect()} for o in range(3)]
+    assert all(a != b for k, a in enumerate(pairs) for b in pairs[:k])
+    one = spark.createDataFrame(sorted(pairs[0]), "a long, b long")
+    for o in (1, 2):
+        assert {tuple(r) for r in jaccard_join._sharing(one, active, o, 75).collect()} == pairs[0] & pairs[o] < pairs[0]
+    true = {tuple(r) for r in jaccard_join._verified(one, active, 75).collect()}
+    assert true == {tuple(r) for r in jaccard_join._verified(one, active, 75, (0, 1, 2)).collect()}
+    assert true <= pairs[0] & pairs[1] & pairs[2]
+    active.unpersist()
+
+
 def test_links_of_repeated_null_and_common(make, monkeypatch):
     monkeypatch.setattr(jaccard_join, "COMMON_SHARE", 0.0)
     monkeypatch.setattr(jaccard_join, "EXACT_ROWS", 3)
@@ -179,26 +219,38 @@ def test_url_parts_rules_and_shrinking(spark):
     assert hosts.judge_urls(pages, labels.limit(0)).count() == len(urls)
 
 
-def test_raking_meets_its_margins(make, spark):
+def test_raking_meets_its_margins(make):
     rng = np.random.default_rng(4)
     tokens = rng.random((4, 3, 2)) + 0.1
     aims = [np.array([0.1, 0.2, 0.3, 0.4]), np.array([0.5, 0.3, 0.2]), np.array([0.6, 0.4])]
-    fitted = mixing.rake(tokens, aims)
+    fitted, miss = mixing.rake_cells(tokens.ravel(), [i.ravel() for i in np.indices(tokens.shape)], aims)
+    fitted = fitted.reshape(tokens.shape)
+    assert miss < 1e-9
     for axis, aim in enumerate(aims):
         assert np.allclose(fitted.sum(axis=tuple(a for a in range(3) if a != axis)), aim, atol=1e-6)
-    targets = {"source": {"src0": 0.6, "src1": 0.2}, "lang": {"en": 1.0}, "topic": {"x": 0.5}}
-    columns = {"source": "source", "lang": "lang", "topic": "spans"}
-    docs = make(["w " * 10] * 6000).withColumn("n_tokens", mixing.word_tokens())
-    chances = mixing.fit_probabilities(docs, targets, columns, "n_tokens")
-    chance = mixing.probability(mixing.cell_of(targets, columns), chances)
-    drawn = docs.filter("length(text) = 20").filter(mixing.draw() < chance).groupBy("source").count().collect()
-    n = {r["source"]: r["count"] for r in drawn}
-    share = n["src0"] / sum(n.values())
-    assert 0.5 < share < 0.75 and max(chances.values()) <= 1
+    # two cells on a diagonal cannot have these margins, and the miss says so
+    assert mixing.rake_cells(np.ones(2), [np.arange(2)] * 2, [np.array([0.9, 0.1]), np.array([0.2, 0.8])])[1] > 0.1
     odd = make(ODD).withColumn("n_tokens", mixing.word_tokens())
     assert [r["n_tokens"] for r in odd.orderBy("doc_id").collect()][:5] == [0, 0, 0, 1, 10]
-    assert mixing.fit_probabilities(odd, targets, columns, "n_tokens") and mixing.fit_probabilities(docs.limit(0), targets, columns, "n_tokens")
-    assert len(mixing.cells(targets)) == len(chances)
+
+
+def plain_draw(doc_id, text, seed=7):
+    h = 42
+    for v in (None if doc_id is None else doc_id.to_bytes(8, "little", signed=True), None if text is None else text.encode(), seed.to_bytes(4, "little")):
+        h = h if v is None else xxhash.xxh64_intdigest(v, h)
+    return h % (1 << 30) / (1 << 30)
+
+
+def test_draws_without_ids_follow_the_text(spark, make):
+    docs = make([f"w {k}" for k in range(400)], [None if k % 2 else k for k in range(400)])
+    rows = docs.select("doc_id", "text", mixing.draw().alias("d")).collect()
+    assert all(abs(r["d"] - plain_draw(r["doc_id"], r["text"])) < 1e-12 for r in rows)
+    missing = [r["d"] for r in rows if r["doc_id"] is None]
+    assert len(set(missing)) == 200 and 0.4 < np.mean(missing) < 0.6
+    topics = spark.createDataFrame([], "topic_id long, topic string")
+    kept = mixing.keep_drawn(docs, topics, queries.MIX, 0.5).collect()
+    assert 40 < sum(r["doc_id"] is None for r in kept) < 160
+    assert mixing.keep_drawn(docs.limit(0), topics, queries.MIX).count() == 0
 
 
 def test_mixing_names_every_value(spark):
@@ -208,7 +260,7 @@ def test_mixing_names_every_value(spark):
         source = rng.choice(["src0", "hot", "hot", "hot", "hot", "hot", "hot", "b", "c", None])
         rows.append((k, source, rng.choice(["en", "en", "de", "fr", "es", "it", None, ""]), rng.choice(["0", "1", "77", None]), rng.randrange(5, 40)))
     rows.append((4000, "rare", "en", None, 3))
-    docs = spark.createDataFrame(rows, "doc_id long, source string, lang string, __topic string, n_tokens long")
+    docs = spark.createDataFrame(rows, "doc_id long, source string, lang string, topic string, n_tokens long")
     chances = mixing.cell_chances(docs, queries.MIX, queries.MIX_COLUMNS, "n_tokens")
     got = {r["doc_id"]: r for r in mixing.with_chance(docs, chances, queries.MIX_COLUMNS).collect()}
     assert len(got) == len(rows) and all(0 < r["__chance"] <= 1 for r in got.values())
@@ -256,18 +308,97 @@ def test_fixity_equals_a_full_comparison(spark):
     assert fixity.audit(left.limit(0), left, 500, 3).count() == 900
 
 
-def test_pipeline_stages(spark):
-    docs = spark.read.parquet(f"{SF}/documents.parquet")
-    seen = docs
-    for name, stage in corpus_pipeline.STAGES[:-1]:
-        after = stage(spark, seen, SF).cache()
-        assert after.columns == docs.columns, name
-        assert 0 < after.count() <= seen.count()
-        seen = after
-    done = corpus_pipeline.STAGES[-1][1](spark, seen, SF)
-    assert done.count() == seen.count() and "ids" in done.columns
+CLASHING = {"__set_id": 1, "__topic": 2, "__chance": 3, "a.b": 4, "ids": 5, "topic": 6, "row": 7, "stats": 8, "gone_id": 9,
+            "extra_0": 10, "n_words": 11, "x`y": 12, "topic_id": 13, "n_TOKENS": 14}
+
+
+def test_each_stage_keeps_what_a_plain_version_keeps(spark):
+    """Ids and texts after every stage, on a table with null and repeated ids and columns of clashing names."""
+    base = spark.read.parquet(f"{SF}/documents.parquet").collect()
+    rows = [(*r, *CLASHING.values()) for r in base]
+    rows += [(None, r["text"], r["lang"], r["source"], r["n_chars"], *CLASHING.values()) for r in base[:15]]
+    rows += [(base[0]["doc_id"], base[3]["text"], "en", "src0", 9, *CLASHING.values()), (None, None, None, None, None, *CLASHING.values())]
+    kinds = ", ".join(f"`{n.replace('`', '``')}` int" for n in CLASHING)
+    docs = spark.createDataFrame(rows, f"doc_id long, text string, lang string, source string, n_chars long, {kinds}")
+    stages = dict(corpus_pipeline.STAGES)
+    both = lambda df: sorted(((r[0], r[1]) for r in df.collect()), key=str)
+    # quality: the counts by hand, then the fitted list's conditions on them
+    rules = quality.fit_rules(docs, spark.read.parquet(f"{SF}/labels.parquet"))
+    good = stages["quality rules"](spark, docs, SF)
+    verdicts = quality.judge(docs.select("doc_id", "text"), rules).select("doc_id", "kept").collect()
+    kept_by_id = {r["doc_id"]: r["kept"] for r in verdicts if r["doc_id"] is not None and r["doc_id"] != base[0]["doc_id"]}
+    got = both(good)
+    for i, k in kept_by_id.items():
+        assert (i in {g[0] for g in got}) == k
+    for _, text in got:
+        n, repeated = plain_counts(text)
+        assert n >= 50 and 100 * repeated <= 50 * n
+    # near duplicates: one row of each component of all pairs that stays
+    kept = good.collect()
+    one = stages["n-gram Jaccard join"](spark, good, SF)
+    links = plain_components(list(enumerate(r["text"] for r in kept)))
+    groups = {}
+    for k, r in enumerate(kept):
+        groups.setdefault(links[k], []).append(r)
+    left = both(one)
+    assert one.columns == docs.columns
+    named = [g for g in groups.values() if any(r["doc_id"] is not None for r in g)]
+    for g in named:
+        first = min(r["doc_id"] for r in g if r["doc_id"] is not None)
+        assert sum(1 for i, t in left if i == first and t in {r["text"] for r in g}) >= 1
+        assert not [i for i, t in left if i is not None and i != first and (i, t) in {(r["doc_id"], r["text"]) for r in g}]
+    assert len([x for x in left if x[0] is not None]) == len(named)
+    # secrets: the base patterns are gone, texts without any are as they were
+    clean = stages["secret scans"](spark, one, SF)
+    before, after = both(one), both(clean)
+    assert len(before) == len(after) and clean.columns == docs.columns
+    untouched = {x for x in before if not re.search(r"(?i)(password|passwd|secret|token|api_?key)|AKIA|[0-9a-f]{24}|[A-Za-z0-9_-]{24}|@|-----", x[1])}
+    assert untouched <= set(after)
+    assert not [t for _, t in after if re.search(r"AKIA[A-Z0-9]{16}", t)]
+    # mixing: the cells' chances and a draw for each row
+    mixed = stages["mixing sources"](spark, clean, SF)
+    topics = queries.topics_of(spark.read.parquet(f"{SF}/embeddings.parquet"))
+    topic = {r["topic_id"]: r["topic"] for r in topics.collect()}
+    light = clean.select("doc_id", "source", "lang", mixing.word_tokens().alias("n_tokens"))
+    light = light.join(topics, light["doc_id"] == topics["topic_id"], "left")
+    chances = {(r[0], r[1], r[2]): r[3] for r in mixing.cell_chances(light, queries.MIX, queries.MIX_COLUMNS, "n_tokens").collect()}
+    want = [(r[0], r[1]) for r in clean.collect()
+            if plain_draw(r[0], r[1]) < chances[r["source"] or None, r["lang"] or None, topic.get(r[0])]]
+    assert both(mixed) == sorted(want, key=str) and mixed.columns == docs.columns
+    # encoding: the library's ids
+    done = stages["BPE encoding"](spark, mixed, SF)
+    assert done.columns == [c for c in docs.columns if c not in ("text", "ids", "n_TOKENS")] + ["n_tokens", "ids"]
+    library = tokenizers.Tokenizer.from_file(public_tokenizers.path(queries.WORDS))
+    library.no_truncation()
+    library.no_padding()
+    want = sorted(((i, library.encode(t, add_special_tokens=False).ids) for i, t in both(mixed)), key=str)
+    assert sorted(((r["doc_id"], list(r["ids"])) for r in done.collect()), key=str) == want
+
+
+def plain_counts(text):
+    words = (text or "").encode().split()
+    windows = [tuple(words[i:i + 3]) for i in range(len(words) - 2)]
+    often = Counter(windows)
+    inside = {i + k for i, w in enumerate(windows) if often[w] > 1 for k in range(3)}
+    return len(words), len(inside)
+
+
+def test_run_is_its_stages_and_leaves_one_table(spark):
+    from stallmetrics.session import clean, work_folder
+    from stallmetrics.sources.paths import child_dirs
+
+    clean(spark)
+    seen = spark.read.parquet(f"{SF}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES:
+        seen = stage(spark, seen, SF)
+    want = sorted(tuple(r) for r in seen.select("doc_id", "n_tokens").collect())
+    clean(spark)
     whole = corpus_pipeline.run(spark, SF)
-    assert {tuple(r) for r in whole.select("doc_id", "n_tokens").collect()} == {tuple(r) for r in done.select("doc_id", "n_tokens").collect()}
+    assert sorted(tuple(r) for r in whole.select("doc_id", "n_tokens").collect()) == want
+    stages = [d for d in child_dirs(spark, work_folder(spark)) if d.startswith("stage")]
+    assert len(stages) == 1
+    clean(spark)
+    assert child_dirs(spark, work_folder(spark)) == []
 
 
 def test_stages_on_empty_and_odd_tables(spark, make):
