@@ -1,17 +1,19 @@
 """The corpus pipeline: quality rules, near duplicates, secrets, source mix, encoding.
 
-Every stage takes (spark, docs, sf_dir) and works on all rows that its predecessor kept.
+Every stage takes (spark, docs, sf_dir) and works on all rows that its predecessor kept. Further
+columns of documents may have any names and stay, except that the encoding replaces columns named
+``ids`` or ``n_tokens``. Rows without an id are rows like others in all stages: in the mix, their
+texts decide. Empty texts fail the quality rules.
 """
 
 from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from stallmetrics.llm import bpe, jaccard_join, mixing, quality, secrets
-from stallmetrics.llm.common import table, written
-from stallmetrics.llm.queries import MIX, MIX_COLUMNS, WORDS, with_topic
+from stallmetrics.llm.common import done, table, written
+from stallmetrics.llm.queries import MIX, WORDS, topics_of
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,11 +33,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents drawn with the probabilities that bring the token shares to their targets."""
-    columns = docs.columns
-    topical = with_topic(docs, table(spark, sf_dir, "embeddings"))
-    light = written(topical.select("source", "lang", "__topic", mixing.word_tokens().alias("n_tokens")), "mix")
-    dealt = mixing.with_chance(topical, mixing.cell_chances(light, MIX, MIX_COLUMNS, "n_tokens"), MIX_COLUMNS)
-    return dealt.filter(mixing.draw() < F.col("__chance")).select(*columns)
+    return mixing.keep_drawn(docs, topics_of(table(spark, sf_dir, "embeddings")), MIX)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,13 +44,16 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [("quality rules", keep_good), ("n-gram Jaccard join", keep_first_of_each), ("secret scans", redact_secrets),
           ("mixing sources", mix_sources), ("BPE encoding", encode)]
 
-#: Learned lists, fitted weights and encodings are not SQL; the tests hold the operators against plain
-#: versions, but of the stages themselves only columns and row counts; their kept rows are not compared.
+#: Learned lists, fitted weights and encodings are not SQL; the tests hold the rows and texts that each
+#: stage keeps against a plain version of it.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
+    before = []
     for _, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), "stage")
+        done(*before)
+        before = [docs]
     return STAGES[-1][1](spark, docs, sf_dir)
