@@ -8,17 +8,18 @@ within that distance of each substring retrieves every code within R. What is wi
 then reranked by inner products of the original vectors in double precision.
 
 R is learned on the sample: it covers ``coverage`` of the pairs of a vector and its nearest
-ones there; in a larger table the nearest are nearer still. Where a shard holds fewer than k
-codes of other ids within R, R is raised there until it does or all rows are in.
+ones there; in a larger table the nearest are nearer still. As long as a query has found fewer
+than k other ids, R is raised in each shard until that holds k of them or all its rows are in.
 
-Every row is indexed. Index shards have a fixed number of rows, queries go in blocks to
-every shard, and each shard answers with its k best, so no task sees more than one shard and
-one block. Vectors that are null, zero, of another length than the sample's most frequent
+Every row is indexed, once: shards of a bounded number of rows stay where they are dealt, each
+builds its index, and the queries pass by it in batches. Shards are searched in rounds that
+grow by a factor; after a round each query knows its k-th best score, and only better rows
+come back, so answers grow with the logarithm of the table and not with the number of shards. Vectors that are null, zero, of another length than the sample's most frequent
 one, or with null or non-finite components take no part; a null id takes none either.
 
 Neighbours are ids. Rows that repeat an id with the same vector count once; if an id has
 several vectors it asks with each and is found by each, and the score of two ids is the best
-of their vectors. Rows are dealt to shards and blocks by id and vector, so the vectors of one
+of their vectors. Rows are dealt to rounds and shards by id and vector, so the vectors of one
 id spread.
 """
 
@@ -32,12 +33,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from stallmetrics.llm.common import written
+from stallmetrics.llm.common import done, written
 
 SAMPLE_ROWS = 4096
 ROTATIONS = 2
-SHARD_ROWS = 16_384
-BLOCK_ROWS = 4096
+#: Rows of a shard: at most, and where that leaves cores without one.
+SHARD_ROWS, LEAST_SHARD = 131_072, 16_384
+#: Rows of the first round, and the factor from one round to the next.
+FIRST_ROWS, GROWTH = 65_536, 4
+_PLACES = 1 << 30
 _POPCOUNT = np.array([bin(x).count("1") for x in range(256)], dtype=np.uint8)
 
 
@@ -145,7 +149,60 @@ def _matrix(column: pa.ChunkedArray) -> np.ndarray:
     return flat.reshape(len(joined), -1) if len(joined) else np.zeros((0, 0))
 
 
-def nearest(vectors: DataFrame, queries: Column, k: int = 20, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+def rounds_of(n: int, first: int = FIRST_ROWS) -> list[tuple[int, int]]:
+    """Shares of the rows, in places from 0 to 2**30, that the rounds take."""
+    sizes, left = [], n
+    while left > 0:
+        sizes.append(min(left, first * GROWTH ** len(sizes)))
+        left -= sizes[-1]
+    ends = [round(int(e) / n * _PLACES) for e in np.cumsum(sizes)]
+    return list(zip([0, *ends[:-1]], [*ends[:-1], _PLACES], strict=True))
+
+
+class _Shard:
+    """One shard's rows as they come, and its answers once all are in."""
+
+    def __init__(self, coder: Coder, k: int):
+        self.coder, self.k = coder, k
+        self.ids: list[np.ndarray] = []
+        self.rows: list[np.ndarray] = []
+        self.index: Index | None = None
+
+    def add(self, ids: np.ndarray, x: np.ndarray) -> None:
+        self.ids.append(ids)
+        self.rows.append(x)
+
+    def close(self) -> None:
+        if self.index is None and self.rows:
+            self.id, self.x = np.concatenate(self.ids), np.concatenate(self.rows)
+            self.index = Index(self.coder.codes(self.x))
+            self.known, self.groups = np.unique(self.id, return_inverse=True)
+
+    def answer(self, asking: np.ndarray, q: np.ndarray, least: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """query_id, vec_id and score of what is at least as good as each query's score so far (NaN: none yet)."""
+        self.close()
+        out: list[tuple[np.ndarray, ...]] = []
+        if self.index is not None and len(q):
+            codes = self.coder.codes(q)
+            place = np.minimum(np.searchsorted(self.known, asking), len(self.known) - 1)
+            own = np.where(self.known[place] == asking, place, -1)
+            for i in range(len(q)):
+                need = self.k if np.isnan(least[i]) else 0
+                found = self.index.near(codes[i], self.coder.radius, need, self.groups, own[i])
+                scores = self.x[found] @ q[i]
+                if not need:
+                    found, scores = found[better := scores >= least[i]], scores[better]
+                if len(self.known) < len(self.id):
+                    found, scores = found[best := best_of_each(self.id[found], scores)], scores[best]
+                if len(found) > self.k:  # all that tie with the k-th stay until ids decide
+                    found, scores = found[least_ := scores >= np.partition(scores, -self.k)[-self.k]], scores[least_]
+                best = np.lexsort((self.id[found], -scores))[:self.k]
+                out.append((np.full(len(best), asking[i]), self.id[found[best]], scores[best]))
+        return tuple(np.concatenate(c) for c in zip(*out, strict=True)) if out else (np.zeros(0, np.int64),) * 2 + (np.zeros(0),)
+
+
+def nearest(vectors: DataFrame, queries: Column, k: int = 20, sample_rows: int = SAMPLE_ROWS, first: int = FIRST_ROWS,
+            shard_rows: int = SHARD_ROWS) -> DataFrame:
     """query_id, rank, vec_id and score: the k nearest found by inner product, for each row that ``queries`` holds for."""
     spark = vectors.sparkSession
     rows = vectors.select("vec_id", F.col("embedding").alias("v")).filter(F.col("vec_id").isNotNull() & sound("v"))
@@ -157,40 +214,48 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 20, sample_rows: int =
     dims = int(sample.map(len).mode()[0])
     coder = learn_coder(np.stack([np.asarray(v, dtype=np.float64) for v in sample if len(v) == dims]), k)
     rows = rows.filter(F.size("v") == dims)
-    size = rows.agg(F.count("*").alias("n"), F.count_if(queries).alias("q")).first()
-    shards, blocks = -(-size["n"] // SHARD_ROWS), max(1, -(-size["q"] // BLOCK_ROWS))
-
-    def spread(df: DataFrame, own: str, own_n: int, other: str, other_n: int) -> DataFrame:
-        return df.withColumns({own: F.pmod(F.xxhash64("vec_id", "v"), F.lit(own_n)).cast("int"),
-                               other: F.explode(F.sequence(F.lit(0), F.lit(other_n - 1)))})
-
-    stored = spread(rows, "shard", shards, "block", blocks)
-    asked = spread(rows.filter(queries), "block", blocks, "shard", shards)
-
-    def search(left: pa.Table, right: pa.Table) -> pa.Table:
-        out: list[tuple[int, int, float]] = []
-        x, q = _matrix(left["v"]), _matrix(right["v"])
-        ids, asking = (t["vec_id"].to_numpy() for t in (left, right))
-        if len(x) and len(q):
-            index, codes = Index(coder.codes(x)), coder.codes(q)
-            known, groups = np.unique(ids, return_inverse=True)
-            place = np.minimum(np.searchsorted(known, asking), len(known) - 1)
-            own = np.where(known[place] == asking, place, -1)
-            for i in range(len(q)):
-                found = index.near(codes[i], coder.radius, k, groups, own[i])
-                scores = x[found] @ q[i]
-                if len(known) < len(ids):
-                    found, scores = found[best := best_of_each(ids[found], scores)], scores[best]
-                if len(found) > k:  # all that tie with the k-th stay until ids decide
-                    found, scores = found[least := scores >= np.partition(scores, -k)[-k]], scores[least]
-                best = np.lexsort((ids[found], -scores))[:k]
-                out += zip([int(asking[i])] * len(best), ids[found[best]].tolist(), scores[best].tolist(), strict=True)
-        columns = list(zip(*out, strict=True)) or [(), (), ()]
-        return pa.table({"query_id": pa.array(columns[0], pa.int64()), "vec_id": pa.array(columns[1], pa.int64()),
-                         "score": pa.array(columns[2], pa.float64())})
-
-    answers = stored.groupBy("shard", "block").cogroup(asked.groupBy("shard", "block")).applyInArrow(
-        search, "query_id long, vec_id long, score double").groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    n = rows.count()
+    best = spark.createDataFrame([], "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-    return answers.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select(
-        "query_id", "rank", "vec_id", "score")
+    ranked = lambda df: df.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+
+    def search(batches):
+        shard, number = _Shard(coder, k), None
+        for batch in batches:
+            numbers, kinds = (batch[c].to_numpy() for c in ("shard", "asks"))
+            cuts = np.flatnonzero((np.diff(numbers) != 0) | (np.diff(kinds) != 0)) + 1
+            for start, stop in zip([0, *cuts.tolist()], [*cuts.tolist(), len(numbers)], strict=True):
+                if stop == start:
+                    continue
+                piece = batch.slice(start, stop - start)
+                if numbers[start] != number:
+                    shard, number = _Shard(coder, k), numbers[start]
+                ids, x = piece["vec_id"].to_numpy(), _matrix(piece["v"])
+                if not kinds[start]:
+                    shard.add(ids, x)
+                    continue
+                least = piece["least"].to_numpy(zero_copy_only=False).astype(np.float64)
+                for at in range(0, len(ids), 2048):
+                    q, v, s = shard.answer(ids[at:at + 2048], x[at:at + 2048], least[at:at + 2048])
+                    yield pa.RecordBatch.from_arrays([pa.array(q, pa.int64()), pa.array(v, pa.int64()), pa.array(s, pa.float64())],
+                                                     names=["query_id", "vec_id", "score"])
+
+    for low, high in rounds_of(n, first):
+        held = max(1, round(n * (high - low) / _PLACES))
+        shards = max(-(-held // shard_rows), min(spark.sparkContext.defaultParallelism, -(-held // min(shard_rows, LEAST_SHARD))))
+        place = F.pmod(F.xxhash64("vec_id", "v", F.lit(3)), F.lit(_PLACES))
+        stored = rows.filter((place >= low) & (place < high)).select(
+            "vec_id", "v", F.lit(None).cast("double").alias("least"), F.lit(0).alias("asks"),
+            F.pmod(F.xxhash64("vec_id", "v"), F.lit(shards)).cast("int").alias("shard"))
+        kth = best.groupBy("query_id").agg(F.count("*").alias("n"), F.min("score").alias("least")).filter(F.col("n") >= k)
+        asking = rows.filter(queries)
+        asked = asking.join(kth, asking["vec_id"] == kth["query_id"], "left").select(
+            "vec_id", "v", "least", F.lit(1).alias("asks"), F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"))
+        dealt = stored.unionByName(asked).repartition(shards, "shard").sortWithinPartitions("shard", "asks")
+        found = dealt.mapInArrow(search, "query_id long, vec_id long, score double")
+        both = best.unionByName(found).groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+        now = written(ranked(both).drop("rank"), "best")
+        if hasattr(best, "work_path"):
+            done(best)
+        best = now
+    return ranked(best).select("query_id", "rank", "vec_id", "score")

@@ -178,14 +178,14 @@ def test_odd_vectors_take_no_part(spark):
     assert hashing_index.nearest(spark.createDataFrame([], "vec_id long, embedding array<float>"), F.col("vec_id") % 20 == 0).count() == 0
 
 
-def test_neighbours_of_repeated_ids(spark, monkeypatch):
-    monkeypatch.setattr(hashing_index, "SHARD_ROWS", 40)
+@pytest.mark.parametrize(("first", "shard_rows"), [(65_536, 40), (30, 20)])
+def test_neighbours_of_repeated_ids(spark, first, shard_rows):
     rng = np.random.default_rng(6)
     rows = [(k, [float(v) for v in rng.standard_normal(16)]) for k in range(120)]
     rows += [rows[0]] * 25 + [rows[7]] * 30  # copies of a query and of a stored row
     rows += [(20, [float(v) for v in rng.standard_normal(16)]) for _ in range(60)]  # one id, many vectors
     got = hashing_index.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 20 == 0,
-                                sample_rows=500).collect()
+                                sample_rows=500, first=first, shard_rows=shard_rows).collect()
     for q in range(0, 120, 20):
         best = {}
         for i, v in rows:
