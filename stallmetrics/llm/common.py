@@ -59,6 +59,7 @@ def sized(batches: Iterator[pa.RecordBatch], column: str, limit: int = BATCH_BYT
             if stop > start:
                 yield batch.slice(start, stop - start)
                 start = stop
+    pa.default_memory_pool().release_unused()  # the worker stays for other tasks
 
 
 def texts(batch: pa.RecordBatch, column: str = "text") -> list[str]:

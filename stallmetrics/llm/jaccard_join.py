@@ -50,6 +50,8 @@ COMMON_SHARE = 0.001
 EXACT_DF = 64
 #: Sets of one token whose rows a task holds back to count them; a larger group counts as most frequent.
 EXACT_ROWS = 50_000
+#: Words whose hashes a worker remembers, some 200 bytes each.
+KNOWN_WORDS = 100_000
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 _ODD = [[np.uint64(int(m) * (2 * k + 1) & (1 << 64) - 1) for k in range(HASHES)] for m in _MIX]
 _UPPER = bytes(range(65, 91))
@@ -82,7 +84,7 @@ class Shingler:
         if not words:
             return np.zeros(0, dtype=np.uint64)
         known = self.hashes
-        if len(known) > 500_000:
+        if len(known) > KNOWN_WORDS:
             known.clear()
         h = np.array([known[w] for w in words], dtype=np.uint64)
         n = min(self.words, len(h))
