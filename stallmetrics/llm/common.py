@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -59,7 +60,15 @@ def sized(batches: Iterator[pa.RecordBatch], column: str, limit: int = BATCH_BYT
             if stop > start:
                 yield batch.slice(start, stop - start)
                 start = stop
-    pa.default_memory_pool().release_unused()  # the worker stays for other tasks
+    give_back()
+
+
+def give_back() -> None:
+    """Return freed memory to the system, since a worker stays for other tasks; where the C library cannot, nothing happens."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
 
 
 def texts(batch: pa.RecordBatch, column: str = "text") -> list[str]:
