@@ -146,15 +146,15 @@ HTML = """<div class="a card"><p id="t">x <b>y</b></p><img src="i"><a href="/1">
 <section><div class="card"><span data-price="3" class="now-price">9</span></div></section><script>var s = "<p>no</p>"</script>"""
 
 
-def test_selectors():
-    tree = markup.parse(HTML)
-    assert len(markup.find_all(tree, "article, .card")) == 2
-    assert markup.text_of(markup.find_first(tree, "#t")) == "x y"
-    assert markup.text_of(markup.find_first(tree, "[class*=price]")) == "9"
-    assert markup.find_first(tree, '[data-price="3"]') is not None and markup.find_first(tree, '[data-price="4"]') is None
-    assert len(markup.find_all(tree, "section div.card")) == 1
-    assert markup.find_first(tree, "a[href]").attrs["href"] == "/1"
-    assert [n.tag for n in markup.find_all(tree, "p")] == ["p"]  # text inside scripts is no markup
+def test_selectors_of_one_page(spark):
+    page = spark.createDataFrame([(HTML,)], "html string").select(markup.visible(F.col("html")).alias("html"))
+    count = lambda selector: page.select(F.size(F.coalesce(markup.find_all(F.col("html"), selector), F.array()))).first()[0]
+    text = lambda selector: page.select(markup.text_of(markup.inner(markup.find_first(F.col("html"), selector)))).first()[0]
+    assert count("article, .card") == 2 and count("section div.card") == 1
+    assert count("p") == 1  # text inside scripts is no markup
+    assert text("#t") == "x y" and text("[class*=price]") == "9"
+    assert text('[data-price="3"]') == "9" and text('[data-price="4"]') is None
+    assert page.select(markup.attribute(markup.find_first(F.col("html"), "a[href]"), "href")).first()[0] == "/1"
 
 
 def test_target_date_is_local():
