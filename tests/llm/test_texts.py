@@ -182,6 +182,86 @@ def test_notices_with_words_put_in_and_left_out(make):
     assert rows[3]["score"] == 1.0 and 0.6 <= rows[0]["score"] < 1
 
 
+def test_notices_with_long_insertions(make):
+    """Stretches of foreign words, left-out words, another order, a notice that is there twice, and too long a span."""
+    words = licenses.NOTICES["zlib-text"].split()
+    n = len(words)
+    foreign = [f"x{k}" for k in range(30)]
+    half = words[n // 2:] + words[:n // 2]
+    given = [words, words[:40] + foreign + words[40:], words[:30] + foreign[:5] + words[30:60] + foreign[5:9] + words[60:80] + words[84:],
+             words[:n // 3] + foreign * 9 + words[n // 3:2 * n // 3] + foreign * 9 + words[2 * n // 3:], half,
+             ["of", "the", "software"] * 3000 + words, words[:20] + foreign + words, sorted(words)]
+    rows = licenses.scan_licenses(make([" ".join(g) for g in given])).orderBy("doc_id").collect()
+    assert ["zlib-text" in r["labels"].split(",") for r in rows] == [True, True, True, False, False, True, True, False]
+    assert [r["score"] for r in rows if r["doc_id"] in (0, 5, 6)] == [1.0, 1.0, 1.0]
+    assert rows[1]["score"] == (n - 2 - 2) / (n - 2)
+
+
+def plain_share(text, template):
+    """The largest share of a template's word triples that some chain of votes covers, votes one by one."""
+    k = licenses.NOTICE_WORDS
+    at = {}
+    for j in range(len(template) - k + 1):
+        at.setdefault(tuple(template[j:j + k]), []).append(j)
+    votes = [(i, j) for i in range(len(text) - k + 1) for j in at.get(tuple(text[i:i + k]), [])]
+    runs = {}
+    for i, j in votes:
+        runs.setdefault(i - j, []).append(i)
+    pieces = []
+    for d, places in runs.items():
+        for i in sorted(places):
+            if pieces and pieces[-1][0] == d and pieces[-1][2] == i - 1:
+                pieces[-1][2] = i
+            else:
+                pieces.append([d, i, i])
+    pieces.sort(key=lambda x: (x[1], x[2]))
+    n = len(template)
+    best = 0
+    for d, low, high in pieces:
+        chains = [(high, high - d, high - low + 1)]
+        for e, a, b in pieces:
+            if a >= low and b - low + k <= licenses.STRETCH * n and abs(e - d) <= (licenses.STRETCH - 1) * n + k:
+                before = [c[2] for c in chains if c[0] < a and c[1] < a - e]
+                if before:
+                    chains.append((b, b - e, max(before) + b - a + 1))
+        best = max(best, *(c[2] for c in chains))
+    return best / (n - k + 1)
+
+
+def test_notice_scores_equal_plain_chains(make, spark):
+    rng = random.Random(3)
+    letters = "abcdefg"
+    notices = [(f"n{k}", " ".join(rng.choice(letters) for _ in range(rng.randrange(4, 25)))) for k in range(6)]
+    given = []
+    for _ in range(60):
+        text = []
+        for _ in range(rng.randrange(4)):
+            part = rng.choice(notices)[1].split()
+            cut = rng.randrange(len(part))
+            text += part[:cut] + rng.choices(letters + "xyz", k=rng.randrange(7)) + part[cut + rng.randrange(3):]
+            text += rng.choices("xyz", k=rng.randrange(9))
+        given.append(text)
+    table = spark.createDataFrame([*notices, notices[0], (None, "a b c d"), ("empty", None), ("short", "a b")], "label string, text string")
+    got = licenses.scan_licenses(make([" ".join(g) for g in given]), notices=table).orderBy("doc_id").collect()
+    hits = 0
+    for text, row in zip(given, got, strict=True):
+        shares = {label: plain_share(text, t.split()) for label, t in notices}
+        found = {label: x for label, x in shares.items() if x >= licenses.SHARE}
+        assert row["labels"] == ",".join(sorted(found))
+        assert abs(row["score"] - max(found.values(), default=0)) < 1e-12
+        hits += len(found)
+    assert hits > 40
+
+
+def test_templates_beyond_the_broadcast(make, monkeypatch):
+    monkeypatch.setattr(licenses, "BROADCAST_GRAMS", 0)
+    spark = make([]).sparkSession
+    table = licenses.as_table(spark, list(licenses.NOTICES.items()))
+    given = make([licenses.NOTICES["isc-text"], "cc by", *ODD])
+    assert sorted(map(tuple, licenses.scan_licenses(given, notices=table).collect()), key=str) == sorted(
+        map(tuple, licenses.scan_licenses(given).collect()), key=str)
+
+
 def test_empty_tables(make, spark):
     none = make([])
     path = public_tokenizers.path("word_bpe_49k.json")
