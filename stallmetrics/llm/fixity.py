@@ -5,9 +5,12 @@ ranges of a fixed number of bytes of their file, ranges into wider ranges, up to
 per file and one per replica. Two replicas are compared from the roots down; only children
 of branches that differ are looked at, and the leaves of differing ranges give the records.
 
-A null payload counts as an empty record. Repeated rows: records at the same offset are
-hashed together in order of their digests. A record that one replica lacks is missing
-there. Empty replicas have no root; two of them agree.
+A null payload counts as an empty record. Equal records with one key are one leaf, with the
+number of copies in its digest, so a key with any number of copies stays small. Records at the
+same offset are hashed together in order of their digests. Records without a file number (a
+null or negative one), and those of a file with far more records than it should have, are dealt
+by digest to further files of bounded size. A record that one replica lacks is missing there.
+Empty replicas have no root; two of them agree.
 """
 
 from __future__ import annotations
@@ -16,11 +19,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from stallmetrics.llm.common import written
+from stallmetrics.llm.common import done, written
 
 #: Bytes of the lowest range and children of a node.
 RANGE_BYTES = 1 << 16
 FANOUT = 16
+#: Records of a file, and how many times as many make it a crowded one that is divided.
+FILE_RECORDS = 512
+CROWDED = 4
+#: Parts over which the records of one file are spread where files are joined with their sizes.
+SALTS = 64
 
 
 def warc_record(url: Column, payload: Column) -> Column:
@@ -31,15 +39,43 @@ def warc_record(url: Column, payload: Column) -> Column:
     return F.concat(head.cast("binary"), body, F.lit("\r\n\r\n").cast("binary"))
 
 
-def records(rows: DataFrame, key: str, file: Column, record: Column) -> DataFrame:
-    """(file, offset, length, digest, key): records one after another in their files, in order of key.
-
-    Only lengths and digests are shuffled. A file is a unit of the archive, of bounded size.
+def _in_files(leaves: DataFrame, per_file: int) -> DataFrame:
+    """``leaves`` with the file that each goes to; ``file`` is -1 for those without one."""
+    most = leaves.agg(F.max("file").alias("file")).first()["file"]
+    sizes = leaves.groupBy(F.col("file").alias("crowded")).agg(F.ceil(F.count("*") / per_file).alias("pieces"))
+    crowded = sizes.filter((F.col("crowded") < 0) | (F.col("pieces") > CROWDED))
+    if most is None or crowded.isEmpty():
+        return leaves
+    # files of pieces come after all others: the k-th piece of file f is file (k + 1) * base + f + 1
+    base = F.lit(most + 2)
+    crowded = crowded.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    joined = leaves.withColumn("salt", F.pmod(F.xxhash64("digest"), F.lit(SALTS))).join(
+        crowded, (F.col("file") == F.col("crowded")) & (F.col("salt") == F.col("part")), "left")
+    piece = (F.pmod(F.xxhash64(F.lit("piece"), "digest"), F.col("pieces")) + 1) * base + F.col("file") + 1
+    return joined.withColumn("file", F.coalesce(piece, F.col("file")).cast("long")).drop("salt", "part", "crowded", "pieces")
+
+
+def records(rows: DataFrame, key: str, file: Column, record: Column, altered: Column | None = None,
+            per_file: int = FILE_RECORDS) -> DataFrame:
+    """(file, offset, length, digest, key, copies): records one after another in their files, in order of key.
+
+    The result is written. Only lengths and digests are shuffled. ``altered`` is the record as a replica has it
+    at the same place; its digest is kept beside the other as ``altered``.
     """
-    order = Window.partitionBy("file").orderBy("key", "digest").rowsBetween(Window.unboundedPreceding, -1)
-    made = rows.select(F.col(key).alias("key"), file.alias("file"), record.alias("record")).select(
-        "key", "file", F.octet_length("record").cast("long").alias("length"), F.sha2("record", 256).alias("digest"))
-    return made.withColumn("offset", F.coalesce(F.sum("length").over(order), F.lit(0)).cast("long"))
+    made = rows.select(F.col(key).alias("key"), file.alias("file"), record.alias("record"),
+                       (record if altered is None else altered).alias("altered"))
+    made = made.select("key", F.when(F.col("file") >= 0, F.col("file").cast("long")).otherwise(F.lit(-1)).alias("file"),
+                       F.octet_length("record").cast("long").alias("length"), F.sha2("record", 256).alias("digest"),
+                       F.sha2("altered", 256).alias("altered"))
+    leaves = written(made.groupBy("key", "file", "length", "digest", "altered").agg(F.count("*").alias("copies")), "leaves")
+    order = Window.partitionBy("file").orderBy("key", "digest", "altered").rowsBetween(Window.unboundedPreceding, -1)
+    counted = lambda c: F.when(F.col("copies") > 1, F.sha2(F.concat_ws(":", c, "copies"), 256)).otherwise(F.col(c)).alias(c)
+    placed = _in_files(leaves, per_file).withColumn("length", F.col("length") * F.col("copies"))
+    placed = placed.withColumn("offset", F.coalesce(F.sum("length").over(order), F.lit(0)).cast("long"))
+    extra = [] if altered is None else [counted("altered")]
+    out = written(placed.select("file", "offset", "length", counted("digest"), "key", "copies", *extra), "manifest")
+    done(leaves)
+    return out
 
 
 def _parent(k: int, range_levels: int, fanout: int) -> list[Column]:
@@ -111,7 +147,8 @@ def audit(left: DataFrame, right: DataFrame, range_bytes: int = RANGE_BYTES, fan
     for k in range(sum(shape) - 2, -1, -1):
         parents = wrong.select(F.col("file").alias("up_file"), F.col("node").alias("up_node"))
         a, b = (_below(x[k], k, shape, fanout).join(parents, ["up_file", "up_node"], "left_semi") for x in (lefts, rights))
-        wrong = written(_differing(a, b, ["file", "node"]), "wrong")
+        above, wrong = wrong, written(_differing(a, b, ["file", "node"]), "wrong")
+        done(*([above] if k < sum(shape) - 2 else []), lefts[k + 1], rights[k + 1])
 
     def inside(leaves: DataFrame, name: str) -> DataFrame:
         found = leaves.withColumn("node", F.floor(F.col("offset") / range_bytes).cast("long")).join(wrong, ["file", "node"], "left_semi")

@@ -17,26 +17,25 @@ WORDS = "word_bpe_49k.json"
 MIX = {"source": {"src0": 0.3}, "lang": {"en": 0.55, "de": 0.17, "fr": 0.17, "es": 0.11},
        "topic": {str(k): 0.02 for k in range(10)}}
 MIX_COLUMNS = {"source": "source", "lang": "lang", "topic": "topic"}
-ARCHIVE_RECORDS = 512
 
 
 def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_digests(table(spark, sf_dir, "documents"))
 
 
-def archive(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+def archive(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Leaves of the pages as archive records, and of a replica in which some are altered in place or lost."""
-    pages = table(spark, sf_dir, "pages")
     record = fixity.warc_record(F.col("url"), F.col("html"))
-    file = F.floor(F.coalesce(F.col("page_id"), F.lit(0)) / ARCHIVE_RECORDS).cast("long")
-    first = written(fixity.records(pages, "page_id", file, record), "manifest")
+    file = F.floor(F.col("page_id") / fixity.FILE_RECORDS).cast("long")
     flipped = F.concat(F.substring(record, 1, 20), F.lit("X").cast("binary"), F.substring(record, 22, 1 << 30))
-    damaged = fixity.records(pages, "page_id", file, F.when(F.col("page_id") % 97 == 13, flipped).otherwise(record))
-    return first, written(damaged.filter((F.col("key") % 331 != 7) | F.col("key").isNull()), "manifest")
+    altered = F.when(F.col("page_id") % 97 == 13, flipped).otherwise(record)
+    first = fixity.records(pages, "page_id", file, record, altered)
+    lost = first.filter((F.col("key") % 331 != 7) | F.col("key").isNull())
+    return first, lost.withColumn("digest", F.col("altered"))
 
 
 def op2_warc_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
-    left, right = archive(spark, sf_dir)
+    left, right = archive(table(spark, sf_dir, "pages"))
     return fixity.audit(left, right).select("file", F.col("key").alias("page_id"), "offset", "finding")
 
 

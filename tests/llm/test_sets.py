@@ -308,6 +308,45 @@ def test_fixity_equals_a_full_comparison(spark):
     assert fixity.audit(left.limit(0), left, 500, 3).count() == 900
 
 
+def test_fixity_with_null_and_hot_ids(spark):
+    """Rows without an id, one id with many records, copies and a negative id: small files, every damage found."""
+    rows = [(k, f"http://h/{k}", "body " * (k % 40)) for k in range(700)]
+    rows += [(None, f"http://n/{k}", "x" * (k % 50)) for k in range(1500)] + [(None, "http://same/", "copy")] * 800
+    rows += [(77, f"http://hot/{k}", "y" * (k % 30)) for k in range(900)] + [(77, "http://hot/same", "z")] * 500
+    rows += [(13, f"http://few/{k}", None) for k in range(3)] + [(-5, "http://minus/", "m"), (None, None, None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    record = fixity.warc_record(F.col("url"), F.col("html"))
+    left = fixity.records(pages, "page_id", F.floor(F.col("page_id") / 100).cast("long"), record, per_file=100)
+    made = left.collect()
+    assert sum(r["copies"] for r in made) == len(rows) and len(made) == len(set(rows))
+    files = {}  # the records of file 0, which has id 77, and those without a file go to further ones
+    for r in made:
+        files.setdefault(r["file"], []).append(r)
+    assert max(map(len, files.values())) <= 400 and not {-1, 0, 7} & set(files) and {r["copies"] for r in made} == {1, 500, 800}
+    for found in files.values():
+        found.sort(key=lambda r: r["offset"])
+        assert [r["offset"] for r in found] == [sum(x["length"] for x in found[:k]) for k in range(len(found))]
+    assert {r["file"] for r in made if r["key"] is not None and r["key"] >= 100} == set(range(1, 7))
+    hurt = {r["digest"] for r in random.Random(4).sample(made, 60)} | {r["digest"] for r in made if r["copies"] > 1}
+    right = left.withColumn("digest", F.when(F.col("digest").isin(*hurt), F.reverse("digest")).otherwise(F.col("digest")))
+    got = fixity.audit(left, right, 500, 3).collect()
+    at = {(r["file"], r["offset"]): r["digest"] for r in made}
+    assert {at[r["file"], r["offset"]] for r in got} == hurt and len(got) == len(hurt)
+    assert {r["finding"] for r in got} == {"changed"}
+
+
+def test_archive_query_on_odd_pages(spark):
+    """The replica lies at the same places as the archive, whatever the ids are, and the planted damage is all that is found."""
+    rows = [(k, f"http://h/{k}", "b" * (k % 9), 1) for k in range(400)] + [(110, f"http://again/{k}", "b" * k, 1) for k in range(30)]
+    rows += [(None, f"http://n/{k}", "x" * (k % 5), 1) for k in range(50)] + [(7, "http://h/7", "b" * 7, 1)] * 4 + [(None, None, None, None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, altered int")
+    left, right = queries.archive(pages)
+    got = Counter((r["key"], r["finding"]) for r in fixity.audit(left, right).collect())
+    want = Counter((i, "missing" if i % 331 == 7 else "changed") for i, *_ in set(rows) if i is not None and (i % 331 == 7 or i % 97 == 13))
+    assert got == want and want[110, "changed"] == 31
+    assert fixity.audit(*queries.archive(pages.limit(0))).count() == 0
+
+
 CLASHING = {"__set_id": 1, "__topic": 2, "__chance": 3, "a.b": 4, "ids": 5, "topic": 6, "row": 7, "stats": 8, "gone_id": 9,
             "extra_0": 10, "n_words": 11, "x`y": 12, "topic_id": 13, "n_TOKENS": 14}
 
