@@ -24,3 +24,18 @@ def test_customers_join_orders_before_items(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "c_custkey" in below(plan, "SortMergeJoin [o_custkey") and "l_orderkey" not in below(plan, "SortMergeJoin [o_custkey")
     assert "p_partkey" in below(plan, "SortMergeJoin [l_partkey") and "o_orderkey" not in below(plan, "SortMergeJoin [l_partkey")
+
+
+def test_payload_files_are_compressed_and_land_twice(spark):
+    from stallmetrics.plans import streams
+    from stallmetrics.session import new_workdir
+    from stallmetrics.sources import paths
+
+    landing = new_workdir(spark, "landing")
+    rows = spark.range(5).selectExpr("id AS order_id", "'x' AS city")
+    for _ in range(2):
+        streams.deliver(spark, rows, landing)
+    files = [f for f in paths.child_files(spark, landing) if f.startswith("part-")]
+    assert files and all(f.endswith(".gz") for f in files)
+    landed = spark.read.schema("order_id long, city string").json(landing)
+    assert sorted(r.order_id for r in landed.collect()) == [0, 0, 1, 1, 2, 2, 3, 3, 4, 4] and landed.filter("city = 'x'").count() == 10
