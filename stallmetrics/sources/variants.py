@@ -13,19 +13,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from stallmetrics.functions.markup import let
+
 REST = "rest"
 
 
 def parsed_lines(spark: SparkSession, path: str, wholetext: bool = False) -> DataFrame:
     """One row per object of the files: its variant, or the raw text of what is none."""
     lines = spark.read.text(path, wholetext=wholetext).filter(F.trim("value") != "")
-    parsed = lines.select("value", F.try_parse_json("value").alias("__v"))
-    several = F.try_variant_get("__v", "$", "array<variant>")
-    one = F.when(F.schema_of_variant("__v").startswith("ARRAY"), several).otherwise(F.array("__v"))
-    rows = parsed.select("value", F.explode_outer(one).alias("v"))
+    # The first character tells an array; a variant's schema is a text of all that it holds, which takes far longer.
+    is_array = F.col("value").rlike(r"^\s*\[")
+    parsed = lines.select("value", is_array.alias("__array"), F.try_parse_json("value").alias("__v"))
+    several = F.when(F.col("__v").isNotNull(), F.try_variant_get("__v", "$", "array<variant>"))
+    rows = parsed.select("value", "__array", F.col("__v").isNotNull().alias("__parsed"), F.explode_outer(
+        F.when(F.col("__array") & F.col("__v").isNotNull(), several).otherwise(F.array("__v"))).alias("v"))
     # An empty array is no row.
-    is_object = F.coalesce(F.schema_of_variant("v").startswith("OBJECT"), F.lit(False))
-    empty = F.col("v").isNull() & F.coalesce(F.schema_of_variant(F.try_parse_json("value")).startswith("ARRAY"), F.lit(False))
+    empty = F.col("v").isNull() & F.col("__array") & F.col("__parsed")
+    is_object = F.try_variant_get("v", "$", "struct<_:variant>").isNotNull()  # only an object is a struct
     return rows.filter(~empty).select(
         F.when(is_object, F.col("v")).alias("v"),
         F.when(~is_object, F.coalesce(F.to_json("v"), F.col("value"))).alias("raw"))
@@ -38,7 +42,9 @@ def typed_rows(objects: DataFrame, schema: StructType) -> DataFrame:
     rows = objects.select("raw", F.try_variant_get("v", "$", "map<string,variant>").alias("__all"), *typed)
     read = F.map_from_arrays(F.array(*[F.lit(n) for n in names]), F.array(*[F.col(f"`{n}`").isNotNull() for n in names]))
     given = lambda value: ~F.coalesce(F.is_variant_null(value), F.lit(True))
-    kept = F.map_filter("__all", lambda name, value: given(value) & ~F.coalesce(F.try_element_at(read, name), F.lit(False)))
+    # Bound by ``let``: inside the lambda the map of what was read would be built again for every field.
+    kept = let(read, lambda known: F.map_filter("__all", lambda name, value: given(value) & ~F.coalesce(
+        F.try_element_at(known, name), F.lit(False))))
     texts = F.transform_values(kept, lambda name, value: F.to_json(value))
     broken = F.create_map(F.lit(""), F.col("raw"))
     return rows.select(*[F.col(f"`{n}`") for n in names], F.when(F.col("raw").isNotNull(), broken).otherwise(texts).alias(REST))
