@@ -1,5 +1,7 @@
 """Plans and files that decide how much is shuffled, written and held."""
 
+import re
+
 from stallmetrics.plans import views
 from tests.conftest import plan_of
 
@@ -53,3 +55,35 @@ def test_changing_payload_builds_no_schema_text_and_its_map_once(spark, tmp_path
     assert plan.index("map_from_arrays") < plan.index("map_filter") or "array(map_from_arrays" in plan
     got = [(r.order_id, sorted((r["rest"] or {}).items())) for r in found.collect()]
     assert sorted(got, key=str) == sorted([(1, [("x", '{"y":2}')]), (None, [("order_id", '"z"')]), (None, [("", "3")])], key=str)
+
+
+def test_pull_and_repair_deal_whole_rows_once(spark, monkeypatch):
+    """Rows are dealt by day and order, in parts that a large order or rows without one fill as well; copies share a part."""
+    from pyspark.sql import functions as F
+
+    from stallmetrics.functions.keys import row_digest
+    from stallmetrics.operators import dedupe
+
+    monkeypatch.setattr(dedupe, "PART_ROWS", 10)
+    rows = spark.range(400).selectExpr("DATE'2025-01-01' AS day", "CASE WHEN id < 100 THEN 7 WHEN id < 200 THEN NULL ELSE id DIV 4 END AS o",
+                                       "id DIV 2 AS v").unionByName(spark.sql("SELECT CAST(NULL AS DATE) AS day, 1L AS o, 1L AS v"))
+    placed = dedupe.dealt(rows, "day", F.xxhash64("o"), row_digest(rows))
+    parts = lambda where: placed.filter(where).select(dedupe.PART).distinct().count()
+    assert parts("o = 7") > 3 and parts("o IS NULL") > 3
+    nulls = dedupe.dealt(rows, "day", F.col("o"), row_digest(rows)).filter("o IS NULL")
+    assert nulls.select(dedupe.PART).distinct().count() > 3
+    assert placed.groupBy("day", "o").agg(F.count_distinct(dedupe.PART).alias("n")).filter("o <> 7 AND n > 1").isEmpty()  # small orders stay together
+    clean = dedupe.dedupe_exact(placed)
+    assert clean.drop(dedupe.PART).exceptAll(rows.distinct()).isEmpty() and clean.count() == 201
+    dealt_by = re.findall(r"Exchange hashpartitioning\(day#\d+, (\w+)", plan_of(clean))
+    assert [c for c in dealt_by if c in ("o", "v", dedupe.PART)] == [dedupe.PART]
+
+
+def test_new_rows_of_a_pull_need_one_exchange_of_rows(spark):
+    from stallmetrics.operators import ingest
+    from stallmetrics.plans.views import order_items
+
+    rows = ingest.conform(order_items(spark, SMALLEST))
+    plan = plan_of(ingest.new_rows(rows, rows.limit(0)))
+    assert "Exchange hashpartitioning(order_created_date_tr" in plan and "__part" in plan
+    assert "Exchange hashpartitioning(row_key_1" not in plan
