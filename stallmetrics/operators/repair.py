@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stallmetrics.functions.keys import ROW_DIGEST, row_digest
-from stallmetrics.operators.dedupe import dedupe_exact, dedupe_latest
+from stallmetrics.operators.dedupe import dealt, dedupe_exact, dedupe_latest
 from stallmetrics.operators.quality import dates_with_duplicates, row_grain
 from stallmetrics.schemas import PARTITION_COLUMN
 from stallmetrics.sinks.maintenance import replace_partition
-from stallmetrics.sinks.tables import balanced
+from stallmetrics.sinks.tables import cluster_columns
 from stallmetrics.sources import paths
 
 DAY = PARTITION_COLUMN
@@ -37,14 +37,19 @@ def repair_dates(spark: SparkSession, path: str, backup: str, dates: list | None
     if None in dates:
         chosen = chosen | F.col(DAY).isNull()
     if not resumed:
-        balanced(table.filter(chosen), DAY).write.mode("overwrite").partitionBy(DAY).parquet(backup)
+        # The table's files hold a day each, so the backup gets no more files than they are, or their splits.
+        table.filter(chosen).write.mode("overwrite").option("compression", "zstd").partitionBy(DAY).parquet(backup)
     saved = spark.read.schema(table.schema).parquet(backup)
     if resumed:
         stored = table.filter(chosen)
         known_rows = saved.select(*row_digest(saved)).distinct()
         if not stored.select(*row_digest(stored)).join(known_rows, ROW_DIGEST, "left_anti").isEmpty():
             raise ValueError(f"{path} has rows that {backup} lacks")
-    replace_partition(dedupe_exact(saved), path)
+    # Shuffled once, in parts of days that hold all copies of a row.
+    cluster = cluster_columns(spark, path)[:1]
+    near = F.xxhash64(*cluster) if cluster else row_digest(saved)[0]
+    clean = dedupe_exact(dealt(saved, DAY, near, row_digest(saved))).sortWithinPartitions(DAY, *cluster)
+    replace_partition(clean.select(*saved.columns), path, dealt=True)
     return repair_report(saved, spark.read.schema(table.schema).parquet(path).filter(chosen))
 
 

@@ -34,12 +34,13 @@ def delete_partition(spark: SparkSession, path: str, day, column: str = PARTITIO
     return True
 
 
-def replace_partition(clean: DataFrame, path: str, column: str = PARTITION_COLUMN) -> None:
+def replace_partition(clean: DataFrame, path: str, column: str = PARTITION_COLUMN, dealt: bool = False) -> None:
     """Replace exactly the days that occur in ``clean``, partition by partition when the write commits.
 
-    ``clean`` must not read the days it replaces: take it from a backup.
+    ``clean`` must not read the days it replaces: take it from a backup. Rows that are in parts of days already
+    (``dealt``) are written as they are.
     """
-    writer = balanced(clean, column).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer = (clean if dealt else balanced(clean, column)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(column).parquet(path)
 
 
