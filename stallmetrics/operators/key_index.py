@@ -10,17 +10,19 @@ that differ anew before it looks for known keys.
 
 from __future__ import annotations
 
+from contextlib import nullcontext
+
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from stallmetrics.functions.filters import day_text, prune_days
 from stallmetrics.functions.keys import ROW_KEY, business_key
-from stallmetrics.operators.ingest import append_observed, first_per_key, outcome, staged
+from stallmetrics.operators.ingest import NEAR, append_observed, key_rows, outcome, staged, unseen
 from stallmetrics.schemas import PARTITION_COLUMN
 from stallmetrics.sources import paths
 from stallmetrics.sources.readers import read_order_items
 
-DAY, PERIOD = "day", "period"
+DAY, PERIOD, KNOWN = "day", "period", "known"
 COLUMNS = [*ROW_KEY, DAY, PERIOD]
 
 
@@ -80,26 +82,34 @@ def refile(spark: SparkSession, path: str, name: str, days: DataFrame | None = N
     return len(wrong)
 
 
-def unseen_rows(batch: DataFrame, name: str) -> DataFrame:
-    """Rows of the batch, with key and period, whose key is not in the index, once each. Of the
-    index the batch's periods are read."""
+def looked_up(batch: DataFrame, name: str) -> DataFrame:
+    """Keys of the batch, once each, with period and whether the index has them. Of the index the
+    batch's periods are read."""
     spark = batch.sparkSession
     period = period_of(spark, name)
-    first = first_per_key(batch).withColumn(PERIOD, period)
-    known = prune_days(spark.table(name), batch.select(period), PERIOD).select(*ROW_KEY)
-    return first.join(known, ROW_KEY, "left_anti")
+    keys = key_rows(batch).groupBy(*ROW_KEY).agg(*[F.any_value(c).alias(c) for c in (PARTITION_COLUMN, NEAR)])
+    known = prune_days(spark.table(name), batch.select(period), PERIOD).select(*ROW_KEY, F.lit(True).alias(KNOWN)).distinct()
+    found = keys.join(known, ROW_KEY, "left").withColumn(KNOWN, F.col(KNOWN).isNotNull())
+    return found.withColumns({PERIOD: period, DAY: F.col(PARTITION_COLUMN)})
+
+
+def unseen_rows(batch: DataFrame, name: str, keys: DataFrame | None = None) -> DataFrame:
+    """Rows of the batch whose key is not in the index, once each; ``keys`` are the batch's, looked up
+    already."""
+    return unseen(batch, (looked_up(batch, name) if keys is None else keys).filter(KNOWN))
 
 
-def ingest_indexed(batch: DataFrame, path: str, name: str) -> dict:
-    """``ingest_batch`` with a kept index: appends the unseen rows and then their keys."""
+def ingest_indexed(batch: DataFrame, path: str, name: str, stored: bool = False) -> dict:
+    """``ingest_batch`` with a kept index: appends the unseen rows and then their keys. Only keys are
+    joined with the index and kept for both steps; a batch read from files (``stored``) is not staged."""
     spark = batch.sparkSession
-    with staged(batch) as rows:
+    with nullcontext(batch) if stored else staged(batch) as rows:
         received = rows.count()
         if not received:
             return outcome(0, 0)
         refile(spark, path, name, rows)
-        with staged(unseen_rows(rows, name)) as fresh:
+        with staged(looked_up(rows, name)) as keys:
             written = Observation()
-            append_observed(fresh.drop(*ROW_KEY, PERIOD), path, written)
-            _file(spark, fresh.withColumn(DAY, F.col(PARTITION_COLUMN)), name, "append")
+            append_observed(unseen_rows(rows, name, keys), path, written)
+            _file(spark, keys.filter(~F.col(KNOWN)), name, "append")
         return outcome(received, int(written.get.get("inserted", 0)))

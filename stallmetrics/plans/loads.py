@@ -573,8 +573,8 @@ def _(spark, sf):
     name = "keys_" + path.split("/")[-2].rsplit("-", 1)[1]
     key_index.create_index(spark, path, name, unit="year")  # few files in a small table
     with ingest.staged(monthly_items(order_items_dup(spark, sf))) as rows:
-        key_index.ingest_indexed(rows.filter("delivery_status <> 'O'"), path, name)
-        told = key_index.ingest_indexed(rows, path, name)
+        key_index.ingest_indexed(rows.filter("delivery_status <> 'O'"), path, name, stored=True)
+        told = key_index.ingest_indexed(rows, path, name, stored=True)
     wrong = key_index.differing_days(readers.read_order_items(spark, path), spark.table(name)).agg(F.count("*"))
     indexed = spark.table(name).agg(F.count("*"))
     return ingest.outcome_rows(spark, path, told).select(
@@ -586,8 +586,8 @@ SELECT 'all_existing' AS status, received, CAST(0 AS BIGINT) AS inserted, receiv
 def _(spark, sf):
     path = f"{new_workdir(spark, 'ingest')}/order_items"
     with ingest.staged(monthly_items(order_items_dup(spark, sf))) as batch:
-        ingest.ingest_batch(batch, path)
-        return ingest.outcome_rows(spark, path, ingest.ingest_batch(batch, path))
+        ingest.ingest_batch(batch, path, stored=True)
+        return ingest.outcome_rows(spark, path, ingest.ingest_batch(batch, path, stored=True))
 
 
 @query("st05_backfill", with_dup_orders(FRESH_SQL.replace("WHERE_", "").replace("new_rows", "row_count")))
@@ -595,8 +595,8 @@ def _(spark, sf):
     path = f"{new_workdir(spark, 'ingest')}/order_items"
     late = F.col(DAY) < "1997-01-01"
     with ingest.staged(monthly_items(order_items_dup(spark, sf))) as rows:
-        ingest.ingest_batch(rows.filter(~late), path)
-        ingest.ingest_batch(rows, path)  # the old months arrive late, the rest again
+        ingest.ingest_batch(rows.filter(~late), path, stored=True)
+        ingest.ingest_batch(rows, path, stored=True)  # the old months arrive late, the rest again
     return readers.read_order_items(spark, path).groupBy(F.col(DAY).alias("part")).agg(F.count("*").alias("row_count"))
 
 
