@@ -2,6 +2,7 @@
 
 from datetime import datetime
 
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from stallmetrics.session import new_workdir
@@ -48,6 +49,52 @@ def test_several_runs_in_one_batch(spark):
     assert land(spark, base, [both]) == [(1, "a", "1", 1.0, 2.0), (2, "b", "1", 5.0, 6.0), (2, "c", "1", 4.0, 5.0)]
 
 
+def test_products_share_values_of_the_state_store(spark):
+    """One call to the store for each bucket of a run, not for each product."""
+    base = new_workdir(spark, "k")
+    runs = [run_of(spark, n, data) for n, data in enumerate(RUNS)]
+    assert land(spark, base, [*runs, runs[-1]], buckets=1) == [(1, "a", "1", 1.0, 2.0), (2, "b", "1", 5.0, 6.0), (2, "c", "1", 4.0, 5.0)]
+    held = spark.read.format("statestore").option("stateVarName", "last_prices").load(base + "/cp")
+    assert held.count() == 1 and held.selectExpr("json_array_length(value.products)").first()[0] == 4
+    assert keyed.buckets_for(spark.range(1000).selectExpr("'s' AS site_id", "CAST(id AS STRING) AS product_id")) in range(8, 13)
+
+
+def test_a_product_is_forgotten_though_others_of_its_bucket_are_seen():
+    class Held:
+        value = None
+
+        def get(self):
+            return self.value
+
+        def update(self, value):
+            self.value = value
+
+    class Clock:
+        def __init__(self, ms):
+            self.getCurrentProcessingTimeInMs = lambda: ms
+
+    fields = "run_id site_id product_id site_name product_name price url category position_0".split()
+    row = lambda run, product, price: Row(*fields)(run, "s", product, "S", "P", price, "/", "c", 1)
+    processor = keyed.LastPrices(1, True, 100)
+    processor.held = Held()
+    told = lambda ms, *given: [(r.product_id, r.old_price, r.new_price) for r in processor.handleInputRows((0,), iter(given), Clock(ms))]
+    assert told(0, row(0, "a", 1.0), row(0, "b", 1.0)) == []
+    assert told(60, row(1, "a", 2.0)) == [("a", 1.0, 2.0)]
+    assert told(100, row(2, "a", 3.0), row(2, "b", 3.0)) == [("a", 2.0, 3.0)]
+
+
+def test_changes_are_read_from_the_written_state(spark):
+    from stallmetrics.streaming import changes
+
+    base = new_workdir(spark, "c")
+    for n in (0, 1, 2, 1, 2):  # two runs are repeated
+        changes.detect_run(run_of(spark, n, RUNS[n]), n, base + "/state", base + "/log", ["pos"])
+    assert rows(changes.read_change_log(spark, base + "/log"), "run_id", "site_id", "product_id", "old_price", "new_price") == [
+        (1, "a", "1", 1.0, 2.0), (2, "b", "1", 5.0, 6.0), (2, "c", "1", 4.0, 5.0)]
+    state = spark.read.parquet(base + "/state/snapshot_id=1")
+    assert rows(state, "site_id", "product_id", "price", "old_price") == [("a", "1", 2.0, 1.0), ("b", "1", 5.0, 5.0), ("c", "1", 4.0, None)]
+
+
 def test_first_row_wins_until_the_watermark(spark, tmp_path):
     landing = tmp_path / "in"
     landing.mkdir()
