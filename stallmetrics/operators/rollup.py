@@ -5,8 +5,9 @@ bitmaps, which merge by OR and count exactly; distinct texts as rows. Changed da
 refreshed by writing their period anew from that period of the fact.
 
 Null ids and texts are not counted, as in COUNT(DISTINCT); ids of 0 and below have bits of
-their own. Rows without a day are left out, as in the reports. Ids that are near each other
-on a day share a bitmap of 4 KB; ids scattered over a wide range cost a bitmap each.
+their own. Rows without a day are left out, as in the reports. A bitmap is a long of 64 neighbouring
+ids: scattered ids cost 16 bytes each, and aggregates on longs run on hash maps of bounded memory
+(bitmaps of 4 KB were sorted, one for nearly every id when ids are scattered).
 """
 
 from __future__ import annotations
@@ -34,8 +35,8 @@ def _parts(rows: DataFrame, dims: list[str], unit: str) -> dict[str, DataFrame]:
     ids = dated.select(*cell, F.explode(F.array(*[
         F.struct(F.lit(c).alias("name"), F.col(c).cast("long").alias("id")) for c in IDS])).alias("__s"))
     ids = ids.select(*cell, F.col("__s.name").alias("name"), F.col("__s.id").alias("__id")).filter(F.col("__id").isNotNull())
-    bitmaps = ids.groupBy(*cell, "name", F.bitmap_bucket_number("__id").alias("bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("__id")).alias("bitmap"))
+    bitmaps = ids.groupBy(*cell, "name", F.shiftright("__id", 6).alias("bucket")).agg(
+        F.bit_or(F.expr("shiftleft(1L, CAST(__id & 63 AS INT))")).alias("bitmap"))
     texts = dated.select(*cell, F.explode(F.array(*[
         F.struct(F.lit(c).alias("name"), F.col(c).cast("string").alias("value")) for c in TEXTS])).alias("__s"))
     values = texts.select(*cell, "__s.name", "__s.value").filter(F.col("value").isNotNull()).distinct()
@@ -67,8 +68,8 @@ def load(spark: SparkSession, path: str) -> dict[str, DataFrame]:
 
 def _distinct_ids(bitmaps: DataFrame, *keys: str) -> DataFrame:
     """Exact number of distinct ids per key and name: bitmaps merge by OR in each bucket first."""
-    merged = bitmaps.groupBy(*keys, "name", "bucket").agg(F.bitmap_or_agg("bitmap").alias("bitmap"))
-    return merged.groupBy(*keys, "name").agg(F.sum(F.bitmap_count("bitmap")).alias("n"))
+    merged = bitmaps.groupBy(*keys, "name", "bucket").agg(F.bit_or("bitmap").alias("bitmap"))
+    return merged.groupBy(*keys, "name").agg(F.sum(F.bit_count("bitmap")).alias("n"))
 
 
 def _picked(counts: DataFrame, name: str, column: str) -> Column:

@@ -87,3 +87,34 @@ def test_new_rows_of_a_pull_need_one_exchange_of_rows(spark):
     plan = plan_of(ingest.new_rows(rows, rows.limit(0)))
     assert "Exchange hashpartitioning(order_created_date_tr" in plan and "__part" in plan
     assert "Exchange hashpartitioning(row_key_1" not in plan
+
+
+def test_scattered_ids_are_rolled_up_without_sorting_large_bitmaps(spark):
+    from stallmetrics.operators import rollup
+
+    ids = [0, 1, 63, 64, -1, -64, -65, 2**62, -2**63, 2**63 - 1, 64, 0]
+    fact = spark.createDataFrame([(i, 1, "x") for i in ids], "order_id long, vendor_id long, city string").selectExpr(
+        "*", "DATE'2025-01-01' AS order_created_date_tr", "1.0 AS order_amount", "'p' AS payment_method")
+    bitmaps = rollup._parts(fact, ["payment_method"], "month")[rollup.BITMAPS]
+    assert dict(bitmaps.dtypes)["bitmap"] == "bigint"
+    found = rollup._distinct_ids(bitmaps)
+    assert "SortAggregate" not in plan_of(found)
+    assert sorted((r["name"], r["n"]) for r in found.collect()) == [("order_id", 10), ("vendor_id", 1)]
+
+
+def test_pages_are_spread_after_they_have_their_site(spark):
+    from stallmetrics import schemas
+    from stallmetrics.operators import pages
+
+    html = spark.createDataFrame([(1, "https://a.example/x", '<div class="c"><h2>N</h2><i class="p">5 TL</i></div>')], schemas.PAGES)
+    site = spark.createDataFrame([("a", "A", "https://a.example", (".c", "h2", ".p", "a"))],
+                                 "id string, name string, url string, selectors struct<product_box: string, product_name: string, "
+                                 "product_price: string, product_link: string>")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = pages.extract_products(html, site, tasks=7)
+        plan = plan_of(found)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "page_id" in plan and plan.index("REPARTITION_BY_NUM") < plan.index("Join")
+    assert [(r.product_name, r.price) for r in found.collect()] == [("N", 5.0)]
