@@ -56,7 +56,8 @@ def inner_or_rest(element: Column) -> Column:
 def extract_products(pages: DataFrame, sites: DataFrame, price_rule: str = "last", scraped_at: Column | None = None,
                      tasks: int | None = None) -> DataFrame:
     """Product rows of the cards on each page. Pages read from files are split already; ``tasks``
-    spreads pages that come out of a shuffle, which AQE would merge by size.
+    spreads pages that come out of a shuffle, which AQE would merge by size. They are spread once they
+    have their site, since that join can be one more shuffle.
 
     Box, name and price selectors are lists; the first one that matches is used. Cards
     without a name or a positive price are dropped. The distinct selectors of the site list,
@@ -71,7 +72,8 @@ def extract_products(pages: DataFrame, sites: DataFrame, price_rule: str = "last
             out = F.when(F.coalesce(F.col(column), F.lit("")) == form, find(form)).otherwise(out)
         return out
 
-    matched = match_sites(pages.repartition(tasks) if tasks else pages, sites).select(
+    matched = match_sites(pages, sites)
+    matched = (matched.repartition(tasks, "page_id") if tasks else matched).select(
         "page_id", "site_id", "site_name", "site_url", *[F.col(f"selectors.{c}").alias(c) for c in SELECTORS],
         visible(F.coalesce("html", F.lit(""))).alias("html"))
     # Outer forms, here and below: through a plain explode, and through no explode at all, the last
