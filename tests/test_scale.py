@@ -118,3 +118,22 @@ def test_pages_are_spread_after_they_have_their_site(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "page_id" in plan and plan.index("REPARTITION_BY_NUM") < plan.index("Join")
     assert [(r.product_name, r.price) for r in found.collect()] == [("N", 5.0)]
+
+
+def test_snapshot_documents_are_full_and_need_one_exchange(spark):
+    """Ids far apart made each product a document of its own."""
+    from stallmetrics import schemas
+    from stallmetrics.plans import loads
+    from stallmetrics.sources import readers
+
+    ids = spark.range(1230).selectExpr("CASE WHEN id < 1200 THEN 'a' ELSE 'b' END AS s", "CAST(id * 1009 AS STRING) AS p")
+    products = ids.selectExpr("s AS site_id", "upper(s) AS site_name", "p AS product_id", "concat('n', p) AS product_name",
+                              "1.5D AS price", "p AS url", "'c' AS category", "TIMESTAMP'2025-01-01 00:00:00' AS timestamp")
+    docs = loads.snapshot_documents(products)
+    plan = plan_of(docs)
+    assert plan.count("Exchange hashpartitioning") == 1 and "Exchange hashpartitioning(site_id" in plan
+    sizes = [len(site["products"]) for r in docs.collect() for site in r.sites.values()]
+    assert sum(sizes) == 1230 and max(sizes) <= loads.CHUNK
+    assert len(sizes) <= 1200 / loads.CHUNK + 2 * loads.SITE_PARTS
+    flat = readers.flatten_snapshot(docs).select(*schemas.PRODUCT_ROWS.names)
+    assert sorted(flat.collect()) == sorted(products.select(*schemas.PRODUCT_ROWS.names).collect())
