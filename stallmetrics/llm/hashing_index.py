@@ -88,27 +88,49 @@ def _masks() -> list[np.ndarray]:
     return [np.flatnonzero(_POPCOUNT <= r).astype(np.uint8) for r in range(9)]
 
 
+def _words(codes: np.ndarray) -> list[np.ndarray]:
+    """Codes as columns of eight bytes, the last filled up with zeros."""
+    full = np.pad(codes, ((0, 0), (0, -codes.shape[1] % 8)))
+    return list(np.ascontiguousarray(np.ascontiguousarray(full).view(np.uint64).T))
+
+
 class Index:
-    """The substring tables of one shard."""
+    """The substring tables of one shard.
+
+    What the buckets near a byte hold is kept as bits of rows once it has been probed: many queries share a byte,
+    and the rows found by any table are the bits found by each, taken together.
+    """
 
     def __init__(self, codes: np.ndarray):
         self.codes = codes
         self.order = [np.argsort(codes[:, j], kind="stable").astype(np.int32) for j in range(codes.shape[1])]
         self.starts = [np.searchsorted(codes[o, j], np.arange(257)) for j, o in enumerate(self.order)]
         self.masks = _masks()
+        self.words = _words(codes)
+        self.probed: dict[tuple[int, int, int], np.ndarray] = {}
+
+    def probe(self, j: int, byte: int, radius: int) -> np.ndarray:
+        """Bits of the rows in the buckets of table ``j`` that differ from a byte in at most ``radius`` bits."""
+        if (j, byte, radius) not in self.probed:
+            hit = np.zeros(len(self.codes), dtype=bool)
+            for b in (byte ^ self.masks[radius]).tolist():
+                hit[self.order[j][self.starts[j][b]:self.starts[j][b + 1]]] = True
+            self.probed[j, byte, radius] = np.packbits(hit)
+        return self.probed[j, byte, radius]
 
     def within(self, code: np.ndarray, radius: int) -> np.ndarray:
         """Rows whose codes differ from ``code`` in at most ``radius`` bits."""
         m = self.codes.shape[1]
-        hit = np.zeros(len(self.codes), dtype=bool)
-        for j in range(m):
-            buckets = code[j] ^ self.masks[min(8, radius // m)]
-            starts = self.starts[j]
-            pieces = [self.order[j][starts[b]:starts[b + 1]] for b in buckets.tolist()]
-            hit[np.concatenate(pieces)] = True
-        rows = np.flatnonzero(hit)
-        apart = _POPCOUNT[self.codes[rows] ^ code].sum(axis=1, dtype=np.int64)
-        return rows[apart <= radius]
+        near = min(8, radius // m)
+        if len(self.probed) > 256 * m * 2:  # bits of more than two radii
+            self.probed = {key: bits for key, bits in self.probed.items() if key[2] == near}
+        hit = np.bitwise_or.reduce([self.probe(j, byte, near) for j, byte in enumerate(code.tolist())])
+        hit = np.unpackbits(hit, count=len(self.codes)).view(bool)
+        rows = None if 2 * np.count_nonzero(hit) > len(hit) else np.flatnonzero(hit)  # none: too many to be picked out one by one
+        apart = 0
+        for word, asked in zip(self.words, _words(code[None, :]), strict=True):
+            apart = np.bitwise_count((word if rows is None else word[rows]) ^ asked) + (apart if m <= 24 else np.int16(0) + apart)
+        return np.flatnonzero(hit & (apart <= radius)) if rows is None else rows[apart <= radius]
 
     def near(self, code: np.ndarray, radius: int, least: int, groups: np.ndarray | None = None, own: int = -1) -> np.ndarray:
         """The same, with the radius raised until ``least`` rows are found or all are.
@@ -121,8 +143,8 @@ class Index:
             last = len(rows) == len(self.codes)
             if groups is None:
                 return rows, len(rows), last
-            rows = rows[groups[rows] != own]
-            return rows, np.count_nonzero(np.bincount(groups[rows])), last
+            rows = rows[groups[rows] != own] if own >= 0 else rows
+            return rows, np.count_nonzero(np.bincount(groups[rows])) if least else 0, last
 
         rows, n, last = found()
         while n < least and not last:
@@ -159,6 +181,10 @@ def rounds_of(n: int, first: int = FIRST_ROWS) -> list[tuple[int, int]]:
     return list(zip([0, *ends[:-1]], [*ends[:-1], _PLACES], strict=True))
 
 
+#: Estimates in single precision are made for vectors up to this length; beyond it their squares might overflow.
+LONGEST = 1e15
+
+
 class _Shard:
     """One shard's rows as they come, and its answers once all are in."""
 
@@ -175,8 +201,24 @@ class _Shard:
     def close(self) -> None:
         if self.index is None and self.rows:
             self.id, self.x = np.concatenate(self.ids), np.concatenate(self.rows)
+            self.ids, self.rows = [], []
             self.index = Index(self.coder.codes(self.x))
             self.known, self.groups = np.unique(self.id, return_inverse=True)
+            self.longest = float(np.sqrt((self.x ** 2).sum(axis=1).max()))
+            self.brief = self.x.astype(np.float32) if self.longest < LONGEST else None
+
+    def promising(self, found: np.ndarray, q: np.ndarray, least: float) -> np.ndarray:
+        """``found`` without rows that cannot come in: their score in single precision is below the least one needed
+        (a query's score so far, or the k-th in this shard) by more than its largest error."""
+        length = float(np.sqrt(q @ q))
+        if self.brief is None or not length < LONGEST:
+            return found
+        about = self.brief.take(found, axis=0) @ q.astype(np.float32)
+        off = (2 * len(q) + 8) * 2.0 ** -24 * length * self.longest + 1e-20
+        if len(found) > self.k and len(self.known) == len(self.id):
+            kth = float(np.partition(about, -self.k)[-self.k]) - off
+            least = kth if np.isnan(least) else max(least, kth)
+        return found if np.isnan(least) else found[about >= least - off]
 
     def answer(self, asking: np.ndarray, q: np.ndarray, least: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """query_id, vec_id and score of what is at least as good as each query's score so far (NaN: none yet)."""
@@ -189,7 +231,8 @@ class _Shard:
             for i in range(len(q)):
                 need = self.k if np.isnan(least[i]) else 0
                 found = self.index.near(codes[i], self.coder.radius, need, self.groups, own[i])
-                scores = self.x[found] @ q[i]
+                found = self.promising(found, q[i], least[i])
+                scores = np.einsum("ij,j->i", self.x[found], q[i])  # equal rows score alike wherever they stand
                 if not need:
                     found, scores = found[better := scores >= least[i]], scores[better]
                 if len(self.known) < len(self.id):
@@ -251,7 +294,7 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 20, sample_rows: int =
         asking = rows.filter(queries)
         asked = asking.join(kth, asking["vec_id"] == kth["query_id"], "left").select(
             "vec_id", "v", "least", F.lit(1).alias("asks"), F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"))
-        dealt = stored.unionByName(asked).repartition(shards, "shard").sortWithinPartitions("shard", "asks")
+        dealt = stored.unionByName(asked).repartitionById(shards, "shard").sortWithinPartitions("shard", "asks")
         found = dealt.mapInArrow(search, "query_id long, vec_id long, score double")
         both = best.unionByName(found).groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
         now = written(ranked(both).drop("rank"), "best")

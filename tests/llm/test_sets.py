@@ -166,6 +166,39 @@ def test_every_code_within_the_radius_is_found():
     assert len(index.near(codes[7], 0, 50)) >= 50 and len(index.near(codes[7], 0, 9999)) == 3000
 
 
+def test_probes_are_kept_as_bits_and_estimates_leave_the_answers(monkeypatch):
+    """Buckets near a byte are gathered once for all queries; double precision is spent on what can come in."""
+    rng = np.random.default_rng(5)
+    x = rng.standard_normal((4000, 24)) * rng.lognormal(0, 1, (4000, 1))
+    x[100:160] = x[7]  # ties
+    coder = hashing_index.learn_coder(x[:1000], 10)
+    shard = hashing_index._Shard(coder, 10)
+    shard.add(np.arange(4000), x)
+    shard.close()
+    asks = np.arange(0, 4000, 40)
+    for least in (np.full(100, np.nan), np.array([np.sort(x @ x[i])[-6] for i in asks])):
+        got = shard.answer(asks, x[asks], least)
+        assert len(shard.index.probed) <= 256 * coder.planes.shape[1] // 8
+        monkeypatch.setattr(hashing_index._Shard, "promising", lambda self, found, q, least: found)
+        plain = shard.answer(asks, x[asks], least)
+        monkeypatch.undo()
+        assert all(np.array_equal(a, b) for a, b in zip(got[:2], plain[:2], strict=True)) and np.allclose(got[2], plain[2], atol=1e-12, rtol=0)
+    found = shard.index.within(coder.codes(x[:1])[0], coder.radius)
+    assert len(shard.promising(found, x[0], np.nan)) < len(found) / 10
+
+
+def test_each_shard_has_a_task_of_its_own(spark, monkeypatch):
+    """Dealt by a hash of its number, a shard shared a task with others while cores were idle."""
+    rng = np.random.default_rng(3)
+    vectors = spark.createDataFrame([(k, [float(v) for v in rng.standard_normal(8)]) for k in range(300)], "vec_id long, embedding array<double>")
+    kind, seen = type(vectors), []
+    by_id = kind.repartitionById
+    monkeypatch.setattr(kind, "repartitionById", lambda df, *a: seen.append(
+        by_id(df, *a).groupBy(F.spark_partition_id()).agg(F.count_distinct("shard").alias("n")).collect()) or by_id(df, *a))
+    assert hashing_index.nearest(vectors, F.col("vec_id") % 20 == 0, shard_rows=30).count() == 300
+    assert [[r["n"] for r in parts] for parts in seen] == [[1] * 10]
+
+
 def test_odd_vectors_take_no_part(spark):
     rng = np.random.default_rng(2)
     rows = [(k, [float(v) for v in rng.standard_normal(8)], "z") for k in range(12)]
