@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from stallmetrics.functions.filters import not_on_day, on_day
 from stallmetrics.schemas import PARTITION_COLUMN
-from stallmetrics.sinks.tables import balanced, cluster_columns, write_clustered
+from stallmetrics.sinks.tables import (
+    WHOLE, balanced, cluster_columns, gathered, note_clustering, write_clustered, write_copied)
 from stallmetrics.sources import paths
 
 
@@ -22,8 +23,13 @@ def backup_partition(spark: SparkSession, path: str, day, backup: str, column: s
 
 
 def backup_table(spark: SparkSession, path: str, backup: str, column: str = PARTITION_COLUMN) -> None:
-    """Copy the whole table; fails if the backup exists."""
-    balanced(spark.read.parquet(path), column).write.mode("errorifexists").partitionBy(column).parquet(backup)
+    """Copy the whole table; fails if the backup exists. Its files are copied as they lie, unless they
+    are many small ones."""
+    rows = spark.read.parquet(path)
+    if gathered(spark, path):
+        write_copied(rows, backup, column, cluster_columns(spark, path))
+    else:
+        balanced(rows, column).write.mode("errorifexists").options(**WHOLE).partitionBy(column).parquet(backup)
 
 
 def delete_partition(spark: SparkSession, path: str, day, column: str = PARTITION_COLUMN) -> bool:
@@ -60,10 +66,15 @@ def restore_partition(spark: SparkSession, backup: str, path: str, day, column:
 def rebuild_table(spark: SparkSession, path: str, day, clean: DataFrame, out: str,
                   column: str = PARTITION_COLUMN, cluster: str = "order_id") -> None:
     """New table: all other days (rows without a date included) plus the clean day. It keeps
-    the table's own clustering; ``cluster`` is for a table without any."""
+    the table's own clustering; ``cluster`` is for a table without any. Files of the other days are
+    copied as they lie, unless they are many small ones; only the clean day is shuffled."""
     cluster = next(iter(cluster_columns(spark, path)), cluster)
     others = spark.read.parquet(path).filter(not_on_day(day, column))
-    write_clustered(others.unionByName(clean), out, column, cluster)
+    if gathered(spark, path):
+        write_copied(others.unionByName(balanced(clean, column)), out, column, [cluster])
+        note_clustering(spark, out, cluster)
+    else:
+        write_clustered(others.unionByName(clean), out, column, cluster)
 
 
 def swap_table(spark: SparkSession, new: str, current: str, backup: str) -> None:

@@ -8,8 +8,12 @@ from pyspark.sql.types import StructField, StructType
 
 from stallmetrics import schemas
 from stallmetrics.schemas import PARTITION_COLUMN
+from stallmetrics.session import settings
 from stallmetrics.sources import paths
 
+#: Compression of tables that are written whole.
+WHOLE = {"compression": "zstd"}
+
 
 def create_tables(spark: SparkSession, database: str, location: str | None = None) -> list[str]:
     """Declare the mart's tables with nullability and day partitioning, if absent."""
@@ -67,9 +71,33 @@ def write_clustered(df: DataFrame, path: str, partition: str = PARTITION_COLUMN,
     """Partitioned by day and sorted by the cluster column, so that Parquet min/max
     statistics skip row groups on that column. The column is noted beside the data."""
     ordered = balanced(df, partition).sortWithinPartitions(partition, cluster)
-    ordered.write.mode(mode).partitionBy(partition).parquet(path)
-    note = df.sparkSession.createDataFrame([(cluster,)], "cluster string")
-    note.write.mode("overwrite").json(f"{path}/{CLUSTERING}")
+    ordered.write.mode(mode).options(**WHOLE).partitionBy(partition).parquet(path)
+    note_clustering(df.sparkSession, path, cluster)
+
+
+def note_clustering(spark: SparkSession, path: str, cluster: str) -> None:
+    """Note beside a table's data what it is clustered by."""
+    spark.createDataFrame([(cluster,)], "cluster string").write.mode("overwrite").json(f"{path}/{CLUSTERING}")
+
+
+#: Bytes of files that a task copies; it holds and sorts their rows.
+COPIED = {"spark.sql.files.maxPartitionBytes": "16m", "spark.sql.files.openCostInBytes": "1m"}
+#: Files of a partition value, on average, up to which a table counts as gathered, besides those that its size alone explains.
+FEW_FILES, FILE_BYTES = 4, 8 << 20
+
+
+def gathered(spark: SparkSession, path: str) -> bool:
+    """Whether the files of a partitioned table are few enough to be copied one by one. One that
+    appends have left in small pieces is better dealt anew."""
+    files, size = paths.content(spark, path)
+    return files <= FEW_FILES * max(1, len(paths.child_dirs(spark, path))) + size // FILE_BYTES
+
+
+def write_copied(rows: DataFrame, path: str, partition: str, clusters: list[str], mode: str = "errorifexists") -> None:
+    """Rows of a partitioned table's files, written as they lie: nothing is shuffled. A task reads files of few
+    partition values, so it writes few; sorting is in memory."""
+    with settings(rows.sparkSession, COPIED):
+        rows.sortWithinPartitions(partition, *clusters).write.mode(mode).options(**WHOLE).partitionBy(partition).parquet(path)
 
 
 def cluster_columns(spark: SparkSession, path: str) -> list[str]:

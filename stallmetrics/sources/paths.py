@@ -49,3 +49,10 @@ def child_files(spark: SparkSession, path: str) -> list[str]:
     """Names of the files directly below ``path`` (none if it does not exist)."""
     fs, p = _fs(spark, path)
     return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isFile()) if fs.exists(p) else []
+
+
+def content(spark: SparkSession, path: str) -> tuple[int, int]:
+    """Number and bytes of all files below ``path``."""
+    fs, p = _fs(spark, path)
+    found = fs.getContentSummary(p)
+    return found.getFileCount(), found.getLength()

@@ -137,3 +137,36 @@ def test_snapshot_documents_are_full_and_need_one_exchange(spark):
     assert len(sizes) <= 1200 / loads.CHUNK + 2 * loads.SITE_PARTS
     flat = readers.flatten_snapshot(docs).select(*schemas.PRODUCT_ROWS.names)
     assert sorted(flat.collect()) == sorted(products.select(*schemas.PRODUCT_ROWS.names).collect())
+
+
+def test_gathered_tables_are_copied_without_a_shuffle(spark, tmp_path, monkeypatch):
+    """Backup and rebuild dealt all rows by day again, though each file holds one day."""
+    from stallmetrics.sinks import maintenance, tables
+
+    path = str(tmp_path / "t")
+    rows = spark.range(2000).selectExpr("id AS order_id", "IF(id % 7 = 0, NULL, DATE'2025-01-01' + CAST(id % 7 AS INT)) AS day", "id % 3 AS v")
+    tables.write_clustered(rows, path, "day")
+    one = "2025-01-03"
+    clean = rows.filter(f"day = DATE'{one}' AND v = 0")
+    kept = rows.filter(f"day IS NULL OR day <> DATE'{one}'")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    dealt, plain = [], maintenance.balanced
+    monkeypatch.setattr(maintenance, "balanced", lambda df, *c: (dealt.append(df.count()), plain(df, *c))[1])
+    monkeypatch.setattr(maintenance, "write_clustered", lambda *a: dealt.append("all"))
+    maintenance.backup_table(spark, path, f"{path}-backup", "day")
+    assert not dealt
+    maintenance.rebuild_table(spark, path, one, clean, f"{path}-new", "day")
+    assert dealt == [clean.count()]
+    monkeypatch.undo()
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
+    same = lambda a, b: a.select(*b.columns).exceptAll(b).isEmpty() and a.count() == b.count()
+    assert same(spark.read.parquet(f"{path}-backup"), rows) and same(spark.read.parquet(f"{path}-new"), kept.unionByName(clean))
+    assert tables.cluster_columns(spark, f"{path}-new") == ["order_id"]
+    # A table that appends left in small pieces is gathered by the way.
+    pieces = str(tmp_path / "pieces")
+    rows.repartition(12).write.partitionBy("day").parquet(pieces)
+    assert tables.gathered(spark, path) and not tables.gathered(spark, pieces)
+    maintenance.backup_table(spark, pieces, f"{pieces}-backup", "day")
+    maintenance.rebuild_table(spark, pieces, one, clean, f"{pieces}-new", "day")
+    assert tables.gathered(spark, f"{pieces}-backup") and same(spark.read.parquet(f"{pieces}-backup"), rows)
+    assert tables.gathered(spark, f"{pieces}-new") and same(spark.read.parquet(f"{pieces}-new"), kept.unionByName(clean))
