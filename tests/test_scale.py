@@ -2,6 +2,8 @@
 
 import re
 
+from pyspark.sql import functions as F
+
 from stallmetrics.plans import views
 from tests.conftest import plan_of
 
@@ -170,3 +172,18 @@ def test_gathered_tables_are_copied_without_a_shuffle(spark, tmp_path, monkeypat
     maintenance.rebuild_table(spark, pieces, one, clean, f"{pieces}-new", "day")
     assert tables.gathered(spark, f"{pieces}-backup") and same(spark.read.parquet(f"{pieces}-backup"), rows)
     assert tables.gathered(spark, f"{pieces}-new") and same(spark.read.parquet(f"{pieces}-new"), kept.unionByName(clean))
+
+
+def test_reconciled_tables_are_computed_once_and_rows_picked_without_a_shuffle(spark):
+    from stallmetrics.operators import reconcile
+
+    a = spark.range(3000).selectExpr("id DIV 3 AS order_id", "IF(id % 5 = 0, NULL, DATE'2025-01-01' + CAST(id % 5 AS INT)) AS day", "id AS v")
+    b = a.filter("v NOT IN (10, 11)").unionByName(a.filter("v = 40")).selectExpr("IF(v = 77, 0, v) AS v", "day", "order_id")
+    found = reconcile.reconcile_rows(a, b, "day", "order_id", pieces=100)
+    plan = plan_of(found)
+    assert "Range (" not in plan and "hashpartitioning(__day" not in plan.split("BroadcastExchange")[0]
+    got = {(str(r.date), r.key, r.side, r["rows"]) for r in found.collect()}
+    assert got == {("None", 3, "a", 1), ("2025-01-02", 3, "a", 1), ("None", 13, "b", 1), ("2025-01-03", 25, "a", 1), ("2025-01-03", 25, "b", 1)}
+    few = a.filter("v < 2000")
+    assert {r["rows"] for r in reconcile.reconcile_rows(a, few, "day", "order_id").select(
+        F.sum("rows").alias("rows")).collect()} == {1000} and reconcile.reconcile_rows(a, a, "day", "order_id").isEmpty()
