@@ -47,7 +47,7 @@ def replace_partition(clean: DataFrame, path: str, column: str = PARTITION_COLUM
     (``dealt``) are written as they are.
     """
     writer = (clean if dealt else balanced(clean, column)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy(column).parquet(path)
+    writer.options(**WHOLE).partitionBy(column).parquet(path)
 
 
 # The published MERGE with ON FALSE deletes the day and inserts the clean rows,
