@@ -11,10 +11,11 @@ from stallmetrics import schemas
 from stallmetrics.functions.filters import morning_filter, prune_days
 from stallmetrics.functions.keys import BUSINESS_KEY, ROW_DIGEST, ROW_KEY, business_key, row_digest
 from stallmetrics.functions.text import date_part, fold_column_names, joined_list
+from stallmetrics.operators import cells
 from stallmetrics.operators.dedupe import PART, dealt, first_n
 from stallmetrics.schemas import PARTITION_COLUMN
 from stallmetrics.session import new_workdir, remove
-from stallmetrics.sinks.tables import load_snapshot, save_snapshot
+from stallmetrics.sinks.tables import WHOLE, load_snapshot, save_snapshot
 from stallmetrics.sources.readers import read_order_items
 
 DATE_COLUMNS = [PARTITION_COLUMN, "order_delivery_date", "requested_delivery_date"]
@@ -104,6 +105,26 @@ def staged(batch: DataFrame):
         remove(spark, path)
 
 
+def among(rows: DataFrame, fresh: DataFrame) -> DataFrame:
+    """Rows whose day is one of unseen keys and whose key may be one of them."""
+    return cells.possible(prune_days(rows, fresh), business_key(rows)[0], cells.field(fresh, ROW_KEY[0]))
+
+
+@contextmanager
+def narrowed(batch: DataFrame, table: DataFrame):
+    """Batch and table without rows that cannot matter to ``new_rows``: those whose key is no unseen one.
+
+    Keys alone are compared first, so that rows which are stored already are not shuffled whole.
+    """
+    stored = prune_days(table, batch).select(*[c for c in BUSINESS_KEY if c in table.columns])
+    if stored.isEmpty():
+        yield batch, table
+        return
+    keys = batch.select(PARTITION_COLUMN, *business_key(batch))
+    with staged(keys.join(stored.select(*business_key(stored)), ROW_KEY, "left_anti").select(PARTITION_COLUMN, ROW_KEY[0])) as fresh:
+        yield tuple(among(rows, fresh) for rows in (batch, table))
+
+
 def outcome(received: int, inserted: int) -> dict:
     status = SUCCESS if inserted else ALL_EXISTING if received else EMPTY
     return {"status": status, "received": received, "inserted": inserted, "skipped": received - inserted}
@@ -121,7 +142,8 @@ def ingest_batch(batch: DataFrame, path: str, stored: bool = False) -> dict:
         if not received:
             return outcome(0, 0)
         written = Observation()
-        append_observed(new_rows(rows, read_order_items(batch.sparkSession, path)), path, written)
+        with narrowed(rows, read_order_items(batch.sparkSession, path)) as (some, table):
+            append_observed(new_rows(some, table), path, written)
         return outcome(received, int(written.get.get("inserted", 0)))
 
 
@@ -129,7 +151,7 @@ def append_observed(rows: DataFrame, path: str, seen: Observation) -> None:
     """Append and count in one job, rows in parts of days as ``unseen`` leaves them. The count sits behind the last shuffle, in the writing
     stage, where a task retried after a lost executor is counted once."""
     counted = rows.observe(seen, F.count(F.lit(1)).alias("inserted"))
-    counted.write.mode("append").partitionBy(PARTITION_COLUMN).parquet(path)
+    counted.write.mode("append").options(**WHOLE).partitionBy(PARTITION_COLUMN).parquet(path)
 
 
 def outcome_rows(spark: SparkSession, path: str, told: dict) -> DataFrame:
