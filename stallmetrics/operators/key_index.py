@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from stallmetrics.functions.filters import day_text, prune_days
 from stallmetrics.functions.keys import ROW_KEY, business_key
-from stallmetrics.operators.ingest import NEAR, append_observed, key_rows, outcome, staged, unseen
+from stallmetrics.operators.ingest import NEAR, among, append_observed, key_rows, new_rows, outcome, staged, unseen
 from stallmetrics.schemas import PARTITION_COLUMN
 from stallmetrics.sources import paths
 from stallmetrics.sources.readers import read_order_items
@@ -37,11 +37,14 @@ def keys_of(rows: DataFrame, period: Column) -> DataFrame:
     return rows.select(*business_key(rows), F.col(PARTITION_COLUMN).alias(DAY), period)
 
 
-def _file(spark: SparkSession, keys: DataFrame, name: str, mode: str) -> None:
-    """Write keys into the index, each bucket of a period as one file."""
-    buckets = spark.sql(f"DESCRIBE EXTENDED {name}").filter("col_name = 'Num Buckets'").first()["data_type"]
-    dealt = keys.select(*COLUMNS).repartition(int(buckets), *ROW_KEY).sortWithinPartitions(PERIOD, *ROW_KEY)
-    dealt.write.mode(mode).option("partitionOverwriteMode", "dynamic").insertInto(name, overwrite=mode == "overwrite")
+def _file(spark: SparkSession, keys: DataFrame, name: str, mode: str, dealt: bool = False) -> None:
+    """Write keys into the index, each bucket of a period as one file. Keys that a join with the index has left
+    in files of whole buckets (``dealt``) are not shuffled again."""
+    rows = keys.select(*COLUMNS)
+    if not dealt:
+        buckets = spark.sql(f"DESCRIBE EXTENDED {name}").filter("col_name = 'Num Buckets'").first()["data_type"]
+        rows = rows.repartition(int(buckets), *ROW_KEY).sortWithinPartitions(PERIOD, *ROW_KEY)
+    rows.write.mode(mode).option("partitionOverwriteMode", "dynamic").insertInto(name, overwrite=mode == "overwrite")
 
 
 def create_index(spark: SparkSession, path: str, name: str, buckets: int | None = None, unit: str = "month") -> None:
@@ -82,12 +85,12 @@ def refile(spark: SparkSession, path: str, name: str, days: DataFrame | None = N
     return len(wrong)
 
 
-def looked_up(batch: DataFrame, name: str) -> DataFrame:
-    """Keys of the batch, once each, with period and whether the index has them. Of the index the
-    batch's periods are read."""
+def looked_up(batch: DataFrame, name: str, placed: bool = True) -> DataFrame:
+    """Keys of the batch, once each, with period and whether the index has them, and with their order if ``placed``.
+    Of the index the batch's periods are read."""
     spark = batch.sparkSession
     period = period_of(spark, name)
-    keys = key_rows(batch).groupBy(*ROW_KEY).agg(*[F.any_value(c).alias(c) for c in (PARTITION_COLUMN, NEAR)])
+    keys = key_rows(batch).groupBy(*ROW_KEY).agg(*[F.any_value(c).alias(c) for c in (PARTITION_COLUMN, *[NEAR] * placed)])
     known = prune_days(spark.table(name), batch.select(period), PERIOD).select(*ROW_KEY, F.lit(True).alias(KNOWN)).distinct()
     found = keys.join(known, ROW_KEY, "left").withColumn(KNOWN, F.col(KNOWN).isNotNull())
     return found.withColumns({PERIOD: period, DAY: F.col(PARTITION_COLUMN)})
@@ -101,15 +104,19 @@ def unseen_rows(batch: DataFrame, name: str, keys: DataFrame | None = None) -> D
 
 def ingest_indexed(batch: DataFrame, path: str, name: str, stored: bool = False) -> dict:
     """``ingest_batch`` with a kept index: appends the unseen rows and then their keys. Only keys are
-    joined with the index and kept for both steps; a batch read from files (``stored``) is not staged."""
+    joined with the index, and the unseen ones kept for both steps; a batch read from files (``stored``) is not staged."""
     spark = batch.sparkSession
     with nullcontext(batch) if stored else staged(batch) as rows:
         received = rows.count()
         if not received:
             return outcome(0, 0)
         refile(spark, path, name, rows)
-        with staged(looked_up(rows, name)) as keys:
+        table, period = read_order_items(spark, path), period_of(spark, name)
+        known = not prune_days(spark.table(name), rows.select(period), PERIOD).isEmpty()
+        with staged(looked_up(rows, name, placed=False).filter(~F.col(KNOWN)).select(PARTITION_COLUMN, *COLUMNS)) as fresh:
+            # Rows that the index knows are not shuffled whole, and of the table only keys that may be taken for unseen ones.
+            some, stored_rows = (among(r, fresh) for r in (rows, table)) if known else (rows, table)
             written = Observation()
-            append_observed(unseen_rows(rows, name, keys), path, written)
-            _file(spark, keys.filter(~F.col(KNOWN)), name, "append")
+            append_observed(new_rows(some, stored_rows), path, written)
+            _file(spark, fresh, name, "append", dealt=True)
         return outcome(received, int(written.get.get("inserted", 0)))

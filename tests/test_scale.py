@@ -187,3 +187,48 @@ def test_reconciled_tables_are_computed_once_and_rows_picked_without_a_shuffle(s
     few = a.filter("v < 2000")
     assert {r["rows"] for r in reconcile.reconcile_rows(a, few, "day", "order_id").select(
         F.sum("rows").alias("rows")).collect()} == {1000} and reconcile.reconcile_rows(a, a, "day", "order_id").isEmpty()
+
+
+def test_field_tells_which_rows_can_be_among_given_ones(spark, monkeypatch):
+    from stallmetrics.operators import cells
+
+    rows = spark.range(-500, 500).select("id", F.xxhash64("id").alias("d"), F.lit(1).alias("word"))
+    given = rows.filter("id % 100 = 0")
+    found = cells.possible(rows, F.col("d"), cells.field(given, "d"))
+    assert found.columns == rows.columns and found.count() == 10 and given.exceptAll(found).isEmpty()
+    monkeypatch.setattr(cells, "WORDS", 2)  # a small field keeps few out, and loses none
+    found = cells.possible(rows, F.col("d"), cells.field(given, "d"))
+    assert given.exceptAll(found).isEmpty() and 10 < found.count() < 300
+    assert cells.possible(rows, F.col("d"), cells.field(given.limit(0), "d")).isEmpty()
+
+
+def test_stored_rows_are_not_dealt_again(spark, tmp_path, monkeypatch):
+    """A second delivery shuffled all its rows whole, and a repair all rows of its days."""
+    from stallmetrics.operators import ingest, key_index, repair
+    from stallmetrics.plans.views import order_items, order_items_dup
+    from stallmetrics.sinks import tables
+
+    day = F.trunc("order_created_date_tr", "MM")
+    rows = ingest.conform(order_items_dup(spark, SMALLEST).withColumn("order_created_date_tr", day)).localCheckpoint()
+    late = F.col("order_created_date_tr") < "1996-01-01"
+    whole = ingest.conform(order_items(spark, SMALLEST)).count()
+    seen, plain = [], ingest.dealt
+    monkeypatch.setattr(ingest, "dealt", lambda df, *a: (seen.append(df.count()), plain(df, *a))[1])
+    for name in ("", "keys_again"):
+        path = str(tmp_path / f"t{name}")
+        if name:
+            key_index.create_index(spark, path, name, unit="year")
+        take = lambda df: key_index.ingest_indexed(df, path, name) if name else ingest.ingest_batch(df, path)
+        first, second, third = take(rows.filter(~late)), take(rows), take(rows)
+        assert first["inserted"] + second["inserted"] == whole and third == ingest.outcome(rows.count(), 0)
+        assert seen[-1] == 0 and rows.filter(late).count() <= seen[-2] < rows.filter(late).count() * 1.2 and len(seen) == 3
+        seen.clear()
+        if name:
+            assert spark.table(name).count() == whole
+    monkeypatch.undo()
+    table = str(tmp_path / "copies")
+    tables.write_clustered(rows, table)
+    monkeypatch.setattr(repair, "dealt", lambda df, *a: (seen.append(df.count()), plain(df, *a))[1])
+    report = repair.repair_dates(spark, table, f"{table}-backup").agg(F.sum(F.col("rows_before") - F.col("rows_after")), F.sum("duplicates_left")).first()
+    assert tuple(report) == (rows.count() - whole, 0) and len(seen) == 1 and seen[0] < rows.count() / 10
+    assert spark.read.parquet(table).count() == whole and spark.read.schema(rows.schema).parquet(table).select(*rows.columns).exceptAll(rows.distinct()).isEmpty()
